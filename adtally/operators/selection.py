@@ -224,14 +224,20 @@ def first_k(rows: int, fraction: float) -> int:
     return max(1, int(rows * fraction))
 
 
-def _quantile_positions(rows: int, bins: int) -> list[float]:
+def interpolate(low: float, high: float, share: float) -> float:
+    """The point between two values, measured from the nearer one."""
+    return high - (high - low) * (1 - share) if share >= 0.5 else low + (high - low) * share
+
+
+def quantile_positions(rows: int, bins: int) -> list[float]:
+    """0-based positions of the bins + 1 equally spaced quantiles of `rows` sorted values."""
     step = 1.0 / bins
     shares = [i * step for i in range(bins)] + [1.0]
     # The detour over percent reproduces the rounding of the positions that quantile edges are defined by.
     return [(share * 100 / 100) * (rows - 1) for share in shares]
 
 
-def quantile_edges(
+def quantiles(
     df: DataFrame,
     columns: Mapping[str, Column],
     *,
@@ -239,28 +245,29 @@ def quantile_edges(
     where: Column | None = None,
     limit_bins_to_rows: bool = False,
 ) -> dict[str, list[float]]:
-    """Distinct linearly interpolated quantile edges of every column's non-null values; [] for an empty column."""
+    """Linearly interpolated exact quantiles, from minimum to maximum, of every column's non-null values.
+
+    An empty column gives an empty list.
+    """
     names = list(columns)
     counts = _count_rows(df, [Ask(columns[name], [], where) for name in names])
-    positions: dict[str, list[float]] = {}
+    positions: list[list[float]] = []
     asks = []
     for name, rows in zip(names, counts, strict=True):
         parts = min(bins, rows) if limit_bins_to_rows else bins
-        positions[name] = _quantile_positions(rows, parts) if rows else []
-        ranks = set()
-        for h in positions[name]:
-            ranks |= {math.floor(h) + 1, min(math.floor(h) + 2, rows)}
+        positions.append(quantile_positions(rows, parts) if rows else [])
+        ranks = {min(math.floor(h) + up, rows) for h in positions[-1] for up in (1, 2)}
         asks.append(Ask(columns[name], sorted(ranks), where, rows))
-    edges = {}
-    for name, rows, hits in zip(names, counts, values_at_ranks(df, asks), strict=True):
-        found = set()
-        for h in positions[name]:
-            low = float(hits[math.floor(h) + 1].value)
-            high = float(hits[min(math.floor(h) + 2, rows)].value)
-            t = h - math.floor(h)
-            found.add(high - (high - low) * (1 - t) if t >= 0.5 else low + (high - low) * t)
-        edges[name] = sorted(found)
-    return edges
+    found = {}
+    for name, rows, at, hits in zip(names, counts, positions, values_at_ranks(df, asks), strict=True):
+        value = lambda rank: float(hits[min(rank, rows)].value)  # noqa: B023, E731
+        found[name] = [interpolate(value(math.floor(h) + 1), value(math.floor(h) + 2), h - math.floor(h)) for h in at]
+    return found
+
+
+def quantile_edges(df: DataFrame, columns: Mapping[str, Column], **options) -> dict[str, list[float]]:
+    """The distinct quantiles in rising order, as bin edges."""
+    return {name: sorted(set(values)) for name, values in quantiles(df, columns, **options).items()}
 
 
 def medians(df: DataFrame, columns: Mapping[str, Column], where: Column | None = None) -> dict[str, float | None]:

@@ -177,7 +177,7 @@ def _edges(source: str, value: str, bins: str = "10", where: str = "true") -> st
 
 def _bin(edges: str, value: str) -> str:
     """Inner edges below the value."""
-    return f"len(list_filter({edges}[2:len({edges}) - 1], e -> e < {value}))"
+    return f"len(list_filter({edges}[2:len({edges}) - 1], lambda e: e < {value}))"
 
 
 def _final(ctes: list[str], source: str, columns: str) -> str:
@@ -442,7 +442,7 @@ def _features() -> dict[str, str]:
 def _sliced(source: str, slices: int) -> str:
     """Rows with the 1-based quantile slice of their position in time."""
     return f"""
-SELECT * EXCLUDE (pos, edges), 1 + len(list_filter(edges[2:len(edges) - 1], e -> e < pos)) AS time_slice
+SELECT * EXCLUDE (pos, edges), 1 + len(list_filter(edges[2:len(edges) - 1], lambda e: e < pos)) AS time_slice
 FROM (SELECT *, row_number() OVER (ORDER BY {TIME}) - 1 AS pos FROM {source})
 CROSS JOIN (SELECT {_edges(f'(SELECT row_number() OVER () - 1 AS pos FROM {source})', 'pos', f'least({slices}, len(vs))')} AS edges)"""
 
@@ -839,7 +839,7 @@ SELECT max(reference_rows) AS reference_rows, max(current_rows) AS current_rows,
   max(psi) FILTER (NOT score) AS max_feature_psi, max(psi) FILTER (score) AS max_score_psi
 FROM (SELECT kind, reference_rows, current_rows, psi, "column" IN ({names}) AS score FROM ({numeric})
       UNION ALL SELECT kind, reference_rows, current_rows, psi, false FROM ({categorical}))"""
-    early = "l_shipdate < TIMESTAMP '1995-01-01'"
+    early = "l_shipdate < TIMESTAMP '1998-06-01'"
     clicks = [LOG, FEATURES, SPLIT_LOG, CLICKS]
     p = "greatest(least(pred_score, 1e0 - 2.220446049250313e-16), 2.220446049250313e-16)"
     edges = _edges("clicks", "pred_score", "10", "split = 'validation'")

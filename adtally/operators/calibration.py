@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.functions.expressions import bin_index, clipped_probability
+from adtally.functions.binning import with_right_closed_bin
+from adtally.functions.expressions import clipped_probability
 from adtally.operators.contracts import check_calibration_input
 from adtally.operators.selection import quantile_edges
 
@@ -32,7 +33,7 @@ def calibration_totals(
     scores = {"s": F.col(score_col).cast("double")}
     edges = quantile_edges(reference, scores, bins=bins)["s"]
     p = clipped_probability(F.col("s"))
-    return both.groupBy("side", bin_index(F.col("s"), edges[1:-1]).alias("bin")).agg(
+    return with_right_closed_bin(both, {"bin": (F.col("s"), edges[1:-1])}).groupBy("side", "bin").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("y").alias("positives"),
         F.sum("s").alias("score_sum"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adtally.functions.expressions import bin_index, population_stability, ratio
+from adtally.functions.binning import with_right_closed_bin
+from adtally.functions.expressions import population_stability, ratio
 from adtally.operators.selection import quantile_edges
 
 
@@ -49,14 +50,14 @@ def _numeric_stats(df: DataFrame, columns: Sequence[str], side: str) -> DataFram
     )
 
 
-def _bin_counts(df: DataFrame, columns: Sequence[str], edges: dict[str, list[float]], side: int) -> DataFrame:
-    pieces = []
-    for name in columns:
-        pieces += [F.lit(name), bin_index(_number(df, name), edges[name][1:-1])]
-    return (
-        df.select(F.stack(F.lit(len(columns)), *pieces).alias("column", "bin"), F.lit(side).alias("side"))
-        .filter(F.col("bin").isNotNull())
-    )
+def _binned(df: DataFrame, columns: Sequence[str], edges: dict[str, list[float]], side: int) -> DataFrame:
+    """(column, bin, side) per non-null value."""
+    names = {name: f"bin_{i}" for i, name in enumerate(columns)}
+    numbers = df.select(*[_number(df, name).alias(name) for name in columns])
+    wide = with_right_closed_bin(numbers, {names[name]: (F.col(name), edges[name][1:-1]) for name in columns})
+    pieces = [piece for name in columns for piece in (F.lit(name), F.col(names[name]))]
+    long = wide.select(F.stack(F.lit(len(columns)), *pieces).alias("column", "bin"), F.lit(side).alias("side"))
+    return long.filter(F.col("bin").isNotNull())
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, *, columns: Sequence[str], bins: int = 10) -> DataFrame:
@@ -68,8 +69,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, *, columns: Sequence
     _check(reference, current, columns)
     edges = quantile_edges(reference, {name: _number(reference, name) for name in columns}, bins=bins)
     counts = (
-        _bin_counts(reference, columns, edges, 0)
-        .unionByName(_bin_counts(current, columns, edges, 1))
+        _binned(reference, columns, edges, 0)
+        .unionByName(_binned(current, columns, edges, 1))
         .groupBy("column", "bin")
         .agg(F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
     )

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.functions.expressions import bin_index, clipped_probability, ratio
-from adtally.operators.ranking import ROWS_PER_BUCKET, bucket_splits, with_bucket
+from adtally.functions.binning import with_right_closed_bin
+from adtally.functions.expressions import clipped_probability, ratio
+from adtally.operators.ranking import ROWS_PER_BUCKET, value_buckets, with_bucket
 from adtally.operators.selection import quantile_edges
 from adtally.operators.splits import TIME_KEY, with_time_slice
 
@@ -29,9 +30,9 @@ def binary_metrics(
     """
     by = list(by)
     work = df.select(*by, F.col(score_col).cast("double").alias("score"), F.col(label_col).cast("double").alias("y"))
-    splits = bucket_splits(work, {"score": F.col("score")}, rows_per_bucket=rows_per_bucket)["score"]
+    buckets = value_buckets(work, {"score": F.col("score")}, rows_per_bucket=rows_per_bucket)["score"]
     per_score = (
-        with_bucket(work, F.col("score"), splits, "bucket")
+        with_bucket(work, F.col("score"), buckets, "bucket")
         .groupBy(*by, "bucket", "score")
         .agg(F.sum("y").alias("p"), F.sum(1.0 - F.col("y")).alias("q"))
     )
@@ -90,7 +91,8 @@ def calibration_bins(df: DataFrame, *, label_col: str, score_col: str, bins: int
     work = df.select(F.col(score_col).cast("double").alias("score"), F.col(label_col).cast("double").alias("y"))
     edges = quantile_edges(work, {"score": F.col("score")}, bins=bins, limit_bins_to_rows=True)["score"]
     grouped = (
-        work.groupBy(bin_index(F.col("score"), edges[1:-1]).alias("bin"))
+        with_right_closed_bin(work, {"bin": (F.col("score"), edges[1:-1])})
+        .groupBy("bin")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.sum("y").alias("positives"),

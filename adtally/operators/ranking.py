@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adtally.functions.binning import with_interval
 from adtally.sources.staging import stage
 
 ROWS_PER_BUCKET = 500_000
@@ -22,10 +23,18 @@ MAX_BUCKETS = 16_384
 SALTS = 1_024
 
 
-def bucket_splits(
+@dataclass(frozen=True)
+class Buckets:
+    """Strictly increasing bucket starts of a column and its number of non-null rows."""
+
+    starts: list[float]
+    rows: int
+
+
+def value_buckets(
     df: DataFrame, columns: Mapping[str, Column], *, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> dict[str, list[float]]:
-    """Strictly increasing split points per column, about `rows_per_bucket` rows apart.
+) -> dict[str, Buckets]:
+    """Buckets of about `rows_per_bucket` rows per column.
 
     The driver receives at most MAX_BUCKETS numbers per column. A value that fills several buckets shows up
     as one repeated boundary; it is kept apart by a second split just above it.
@@ -41,63 +50,67 @@ def bucket_splits(
             for name in names
         ]
     ).first()
-    splits = {}
+    buckets_of = {}
     for name in names:
-        inner: set[float] = set()
+        starts: set[float] = set()
         for boundary in row[name] or [0.0]:
-            inner |= {boundary, math.nextafter(boundary, math.inf)}
-        splits[name] = [-math.inf, *sorted(b for b in inner if math.isfinite(b)), math.inf]
-    return splits
+            starts |= {boundary, math.nextafter(boundary, math.inf)}
+        buckets_of[name] = Buckets(sorted(start for start in starts if math.isfinite(start)), counts[name])
+    return buckets_of
 
 
-def with_bucket(df: DataFrame, column: Column, splits: Sequence[float], output: str) -> DataFrame:
-    """Bucket number by binary search over the splits; -1 for null."""
-    work = f"{output}_input"
-    bucketizer = Bucketizer(splits=list(splits), inputCol=work, outputCol=output, handleInvalid="keep")
-    bucketed = bucketizer.transform(df.withColumn(work, column.cast("double"))).drop(work)
-    return bucketed.withColumn(output, F.when(column.isNull(), F.lit(-1)).otherwise(F.col(output).cast("int")))
+def with_bucket(df: DataFrame, column: Column, buckets: Buckets, output: str) -> DataFrame:
+    """Bucket number by binary search; -1 for null."""
+    numbered = with_interval(df, {output: (column, buckets.starts)})
+    return numbered.withColumn(output, F.coalesce(F.col(output), F.lit(-1)))
 
 
 def _spread(columns: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id()), F.lit(SALTS)).cast("int")
 
 
-def with_average_rank(
-    df: DataFrame, column: Column, output: str, splits: Sequence[float], *, as_share: bool = True
-) -> DataFrame:
-    """Ascending rank with ties sharing their mean rank, null for null; divided by the non-null count if asked."""
-    names = df.columns
-    bucketed = with_bucket(df.withColumn("rank_value", column), F.col("rank_value"), splits, "rank_bucket")
-    totals = bucketed.groupBy("rank_bucket").agg(
-        F.count("rank_value").alias("bucket_rows"),
-        (F.count("rank_value") > 0).alias("has_values"),
-        F.coalesce(F.min("rank_value") == F.max("rank_value"), F.lit(True)).alias("one_value"),
-    )
-    # At most 2 * MAX_BUCKETS + 2 rows: a single window and a broadcast are both bounded.
-    in_order = Window.partitionBy(F.lit(0)).orderBy("rank_bucket")
-    totals = totals.select(
-        "rank_bucket",
-        "bucket_rows",
-        "one_value",
+def _bucket_totals(df: DataFrame, columns: Mapping[str, Column], buckets: Mapping[str, Buckets]) -> DataFrame:
+    """(name, bucket, one_value, rank_base) of all columns, counted in one pass.
+
+    `rank_base` is the number of rows in lower buckets, or the shared rank itself where one value fills a bucket.
+    """
+    numbers = {name: f"bucket_{i}" for i, name in enumerate(columns)}
+    wide = with_interval(df, {numbers[name]: (column, buckets[name].starts) for name, column in columns.items()})
+    pieces = []
+    for name, column in columns.items():
+        pieces += [F.lit(name), F.coalesce(F.col(numbers[name]), F.lit(-1)), column.cast("double")]
+    long = wide.select(F.stack(F.lit(len(columns)), *pieces).alias("name", "bucket", "value"))
+    totals = long.groupBy("name", "bucket").agg(
+        F.count("value").alias("bucket_rows"),
+        # Doubles hold whole numbers exactly only below 2^53; beyond, different ones may look alike.
         F.coalesce(
-            F.sum("bucket_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("rows_before"),
-        F.sum("bucket_rows").over(Window.partitionBy(F.lit(0))).alias("all_rows"),
+            (F.min("value") == F.max("value")) & (F.abs(F.min("value")) < F.lit(2.0**53)), F.lit(True)
+        ).alias("one_value"),
     )
-    joined = bucketed.join(F.broadcast(totals), "rank_bucket").withColumn(
+    # At most columns x (2 * MAX_BUCKETS + 2) rows: small windows here, a bounded broadcast later.
+    in_order = Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("bucket_rows").over(in_order), F.lit(0)).cast("double")
+    shared = F.when(F.col("one_value"), (F.col("bucket_rows") + 1) / F.lit(2.0)).otherwise(0.0)
+    return totals.select("name", "bucket", "one_value", (before + shared).alias("rank_base"))
+
+
+def _with_rank(
+    df: DataFrame, column: Column, output: str, buckets: Buckets, totals: DataFrame, as_share: bool
+) -> DataFrame:
+    names = df.columns
+    bucketed = with_bucket(df.withColumn("rank_value", column), F.col("rank_value"), buckets, "bucket")
+    joined = bucketed.join(F.broadcast(totals), "bucket").withColumn(
         # Rows of a bucket holding one value need no ordering and are spread over many tasks.
         "rank_salt", F.when(F.col("one_value"), _spread(names)).otherwise(F.lit(-1))
-    )
-    inside = Window.partitionBy("rank_bucket", "rank_salt").orderBy("rank_value")
+    ).drop("one_value")
+    inside = Window.partitionBy("bucket", "rank_salt").orderBy("rank_value")
     ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
-    rank = F.when(
-        F.col("one_value"), F.col("rows_before") + (F.col("bucket_rows") + 1) / F.lit(2.0)
-    ).otherwise(F.col("rows_before") + F.rank().over(inside) + (ties - 1) / F.lit(2.0))
+    ordered = F.rank().over(inside) + (ties - 1) / F.lit(2.0)
+    rank = F.col("rank_base") + F.when(F.col("rank_salt") == -1, ordered).otherwise(0.0)
     if as_share:
-        rank = rank / F.col("all_rows")
+        rank = rank / F.lit(float(buckets.rows))
     rank = F.when(F.col("rank_value").isNotNull(), rank)
-    keep = [F.col(name) for name in names if name != output]
-    return joined.select(*keep, rank.alias(output))
+    return joined.select(*[F.col(name) for name in names if name != output], rank.alias(output))
 
 
 def with_average_ranks(
@@ -107,11 +120,19 @@ def with_average_ranks(
     as_share: bool = True,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Average ranks of several columns; the boundaries of all of them come from one pass."""
-    splits = bucket_splits(df, columns, rows_per_bucket=rows_per_bucket)
-    for output, column in columns.items():
-        df = with_average_rank(df, column, output, splits[output], as_share=as_share)
-    return df
+    """Ascending rank per column with ties sharing their mean rank, null for null.
+
+    The rank is divided by the column's non-null count unless `as_share` is off. Boundaries and bucket counts
+    of all columns come from shared passes over `df`; after them each column costs one shuffle by bucket.
+    """
+    buckets = value_buckets(df, columns, rows_per_bucket=rows_per_bucket)
+    # Counted once and read back, so that ranking the next column does not recount the one before.
+    totals = stage(_bucket_totals(df, columns, buckets), "buckets")
+    base = df
+    for name, column in columns.items():
+        own = totals.filter(F.col("name") == name).drop("name")
+        base = _with_rank(base, column, name, buckets[name], own, as_share)
+    return base
 
 
 def with_row_number(

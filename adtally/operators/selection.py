@@ -2,10 +2,10 @@
 
 Many reports need only a few ranks of a huge ordering: the row where the training split ends, the k-th best
 score, a quantile edge. Each is found by narrowing: an approximate-percentile aggregate proposes candidate
-values, one counting aggregate tells their exact ranks, and only the value range that still hides a wanted
-rank is looked at again. Both aggregates combine map-side, so per round a few thousand bytes per task travel
-and the driver receives a handful of numbers. Ties on the first key are resolved by the next key, within the
-tied rows only.
+values, one counting aggregate tells their exact ranks, and only the value ranges that still hide a wanted
+rank are looked at again. Both aggregates combine map-side, so per round a few thousand bytes per task travel
+and the driver receives a handful of numbers. Once the open ranges are counted to hold few rows, their values
+are read and the search ends. Ties on the first key are resolved by the next key, within the tied rows only.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adtally.functions.binning import with_interval
 from adtally.functions.expressions import add_all
 
-# Relative rank error of a proposal is 1 / ACCURACY; up to half that many rows are exact at once.
-ACCURACY = 100_000
+# Relative rank error of a proposal is 1 / ACCURACY; open ranges with no more rows than FINISH_ROWS are read.
+ACCURACY = 10_000
+FINISH_ROWS = 5_000
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,9 @@ class Ask:
     where: Column | None = None
     rows: int | None = None
 
+    def value(self) -> Column:
+        return self.column if self.where is None else F.when(self.where, self.column)
+
 
 @dataclass(frozen=True)
 class Hit:
@@ -44,8 +49,8 @@ class Hit:
 
 
 @dataclass
-class _Cell:
-    """An open value range (low, high) known to hold `rows` rows and the wanted `ranks`."""
+class _Range:
+    """An open value range (low, high) known to hold `rows` rows, `offset` rows below it, and wanted `ranks`."""
 
     ask: int
     ranks: list[int]
@@ -55,109 +60,171 @@ class _Cell:
     high: float | None = None
     candidates: list[float] = field(default_factory=list)
 
-    def condition(self, ask: Ask) -> Column:
-        parts = [] if ask.where is None else [ask.where]
-        if self.low is not None:
-            parts.append(ask.column > F.lit(self.low))
-        if self.high is not None:
-            parts.append(ask.column < F.lit(self.high))
-        condition = ask.column.isNotNull()
-        for part in parts:
-            condition = condition & part
-        return condition
-
 
 def _count_rows(df: DataFrame, asks: Sequence[Ask]) -> list[int]:
     unknown = [i for i, ask in enumerate(asks) if ask.rows is None]
     known = {i: ask.rows for i, ask in enumerate(asks) if ask.rows is not None}
     if unknown:
-        counts = df.agg(
-            *[
-                F.count(asks[i].column if asks[i].where is None else F.when(asks[i].where, asks[i].column)).alias(str(i))
-                for i in unknown
-            ]
-        ).first()
+        counts = df.agg(*[F.count(asks[i].value()).alias(str(i)) for i in unknown]).first()
         known.update({i: counts[str(i)] for i in unknown})
     return [known[i] for i in range(len(asks))]
 
 
-def _propose(df: DataFrame, asks: Sequence[Ask], cells: list[_Cell], integral: list[bool]) -> None:
-    aggregates = []
-    for i, cell in enumerate(cells):
-        ask = asks[cell.ask]
+class _Search:
+    """The passes over one table on behalf of many asks."""
+
+    def __init__(self, df: DataFrame, asks: Sequence[Ask]):
+        self.df, self.asks = df, asks
+        types = df.select(*[ask.column.alias(f"c{i}") for i, ask in enumerate(asks)]).schema
+        self.integral = [isinstance(f.dataType, T.IntegralType) for f in types]
+
+    def _base(self, item: _Range) -> int:
         # Whole numbers are measured from the lower bound so that doubles hold the distance exactly.
-        base = cell.low if integral[cell.ask] and cell.low is not None else 0
-        value = F.when(cell.condition(ask), ask.column - F.lit(base) if base else ask.column)
-        points = [(rank - cell.offset - 0.5) / cell.rows for rank in cell.ranks]
-        aggregates += [
-            F.percentile_approx(value, points, F.lit(ACCURACY)).alias(f"p{i}"),
-            F.min(value).alias(f"a{i}"),
-            F.max(value).alias(f"z{i}"),
-        ]
-    row = df.agg(*aggregates).first()
-    for i, cell in enumerate(cells):
-        base = cell.low if integral[cell.ask] and cell.low is not None else 0
-        # Smallest and largest value are always candidates, so every round makes progress.
-        found = {value + base for value in [*row[f"p{i}"], row[f"a{i}"], row[f"z{i}"]]}
-        cell.candidates = sorted(found)
-
-
-def _measure(df: DataFrame, asks: Sequence[Ask], cells: list[_Cell]) -> list[dict[int, int]]:
-    """Rows per position code: 2i lies between candidate i-1 and i, 2i+1 equals candidate i."""
-    pieces = []
-    for i, cell in enumerate(cells):
-        ask = asks[cell.ask]
-        steps = []
-        for candidate in cell.candidates:
-            steps += [(ask.column >= F.lit(candidate)).cast("int"), (ask.column > F.lit(candidate)).cast("int")]
-        pieces += [F.lit(i), F.when(cell.condition(ask), add_all(steps))]
-    coded = df.select(F.stack(F.lit(len(cells)), *pieces).alias("cell", "code")).filter(F.col("code").isNotNull())
-    counts: list[dict[int, int]] = [{} for _ in cells]
-    for row in coded.groupBy("cell", "code").count().collect():
-        counts[row["cell"]][row["code"]] = row["count"]
-    return counts
-
-
-def values_at_ranks(df: DataFrame, asks: Sequence[Ask]) -> list[dict[int, Hit]]:
+        return item.low if self.integral[item.ask] and item.low is not None else 0
+
+    def propose(self, ranges: list[_Range]) -> None:
+        """Give every range candidate values near its wanted ranks."""
+        aggregates = []
+        for i, item in enumerate(ranges):
+            value = self.asks[item.ask].value()
+            inside = F.lit(True)
+            if item.low is not None:
+                inside = inside & (value > F.lit(item.low))
+            if item.high is not None:
+                inside = inside & (value < F.lit(item.high))
+            measured = F.when(inside, value - F.lit(self._base(item)) if self._base(item) else value)
+            # Each rank is bracketed by twice the possible error, so that the gap hiding it is always narrow.
+            middle = [(rank - item.offset - 0.5) / item.rows for rank in item.ranks]
+            points = [min(max(p + step / ACCURACY, 0.0), 1.0) for p in middle for step in (-2, 0, 2)]
+            aggregates.append(F.percentile_approx(measured, points, F.lit(ACCURACY)).alias(f"p{i}"))
+            if self.integral[item.ask]:
+                # Proposals for huge whole numbers are rounded; true extremes guarantee progress.
+                aggregates.append(F.array(F.min(measured), F.max(measured)).alias(f"m{i}"))
+        row = self.df.agg(*aggregates).first()
+        for i, item in enumerate(ranges):
+            found = [*row[f"p{i}"], *(row[f"m{i}"] if self.integral[item.ask] else [])]
+            item.candidates = sorted({value + self._base(item) for value in found})
+
+    def _positions(self, points: Mapping[int, list[float]]) -> tuple[DataFrame, dict[int, list[int]]]:
+        """The table with a column `at<ask>` per ask, and per ask the place code of every number in it.
+
+        For the sorted points of an ask, place 2i lies between points i-1 and i, place 2i+1 equals point i.
+        """
+        starts, codes = {}, {}
+        for i, values in points.items():
+            if self.integral[i]:
+                codes[i] = list(range(2 * len(values) + 1))
+                continue
+            above = [math.nextafter(value, math.inf) for value in values]
+            splits = sorted({*values, *above} - {math.inf, -math.inf})
+            place = {value: 2 * k + 2 for k, value in enumerate(above)}
+            place.update({value: 2 * k + 1 for k, value in enumerate(values)})
+            codes[i] = [1 if values and values[0] == -math.inf else 0, *[place[split] for split in splits]]
+            starts[f"at{i}"] = (self.asks[i].value(), splits)
+        table = with_interval(self.df, starts)
+        for i, values in points.items():
+            if self.integral[i]:
+                value = self.asks[i].value()
+                steps = [(value >= F.lit(v)).cast("int") + (value > F.lit(v)).cast("int") for v in values]
+                table = table.withColumn(f"at{i}", F.when(value.isNotNull(), add_all(steps)))
+        return table, codes
+
+    def measure(self, ranges: list[_Range]) -> list[list[tuple[float | None, int]]]:
+        """Per range, its rows in rising order as (candidate or None for a gap, count)."""
+        points: dict[int, list[float]] = {}
+        for item in ranges:
+            bounds = [value for value in (item.low, item.high) if value is not None]
+            points.setdefault(item.ask, []).extend([*item.candidates, *bounds])
+        points = {i: sorted(set(values)) for i, values in points.items()}
+        table, codes = self._positions(points)
+        pieces = [piece for i in points for piece in (F.lit(i), F.col(f"at{i}"))]
+        long = table.select(F.stack(F.lit(len(points)), *pieces).alias("ask", "at"))
+        counts: dict[int, dict[int, int]] = {i: {} for i in points}
+        # Bounded: one row per ask and place.
+        for row in long.filter(F.col("at").isNotNull()).groupBy("ask", "at").count().collect():
+            place = codes[row["ask"]][row["at"]]
+            counts[row["ask"]][place] = counts[row["ask"]].get(place, 0) + row["count"]
+        result = []
+        for item in ranges:
+            values = points[item.ask]
+            first = 0 if item.low is None else 2 * values.index(item.low) + 2
+            last = 2 * len(values) if item.high is None else 2 * values.index(item.high)
+            result.append(
+                [
+                    (values[place // 2] if place % 2 else None, counts[item.ask].get(place, 0))
+                    for place in range(first, last + 1)
+                ]
+            )
+        return result
+
+    def read(self, ranges: list[_Range]) -> list[list[tuple[float, int]]]:
+        """Per range, every distinct value in it with its count. Only for ranges counted to hold few rows."""
+        points: dict[int, set[float]] = {}
+        for item in ranges:
+            points.setdefault(item.ask, set()).update(v for v in (item.low, item.high) if v is not None)
+        bounds = {i: sorted(values) for i, values in points.items()}
+        table, codes = self._positions(bounds)
+        wanted: dict[int, dict[int, int]] = {i: {} for i in bounds}
+        for k, item in enumerate(ranges):
+            wanted[item.ask][0 if item.low is None else 2 * bounds[item.ask].index(item.low) + 2] = k
+        pieces = []
+        for i in bounds:
+            numbers = [at for at, place in enumerate(codes[i]) if place in wanted[i]]
+            value = F.when(F.col(f"at{i}").isin(numbers), self.asks[i].value())
+            whole, real = (value, F.lit(None)) if self.integral[i] else (F.lit(None), value)
+            pieces += [F.lit(i), F.col(f"at{i}"), whole.cast("long"), real.cast("double")]
+        long = table.select(F.stack(F.lit(len(bounds)), *pieces).alias("ask", "at", "whole", "real"))
+        inside = long.filter(F.col("whole").isNotNull() | F.col("real").isNotNull())
+        found: list[list[tuple[float, int]]] = [[] for _ in ranges]
+        for row in inside.groupBy("ask", "at", "whole", "real").count().collect():
+            value = row["whole"] if row["whole"] is not None else row["real"]
+            found[wanted[row["ask"]][codes[row["ask"]][row["at"]]]].append((value, row["count"]))
+        return [sorted(values) for values in found]
+
+
+def _settle(
+    item: _Range, pieces: Sequence[tuple[float | None, int]], hits: list[dict[int, Hit]]
+) -> list[_Range]:
+    """Record the ranks that fall on a value; return the gaps that still hide one."""
+    open_gaps = []
+    below, low, wanted = item.offset, item.low, list(item.ranks)
+    for k, (value, count) in enumerate(pieces):
+        here = [rank for rank in wanted if below < rank <= below + count]
+        if here and value is not None:
+            hits[item.ask].update({rank: Hit(value, below, count) for rank in here})
+        elif here:
+            high = pieces[k + 1][0] if k + 1 < len(pieces) else item.high
+            open_gaps.append(_Range(ask=item.ask, ranks=here, rows=count, offset=below, low=low, high=high))
+        low = value if value is not None else low
+        wanted = [rank for rank in wanted if rank > below + count]
+        below += count
+    if wanted:
+        raise RuntimeError("the input changed between two passes; stage it before selecting ranks")
+    return open_gaps
+
+
+def values_at_ranks(
+    df: DataFrame, asks: Sequence[Ask], *, finish_rows: int = FINISH_ROWS
+) -> list[dict[int, Hit]]:
     """For every ask, the exact value at each wanted rank. All asks share the same passes over `df`."""
-    types = df.select(*[ask.column.alias(f"c{i}") for i, ask in enumerate(asks)]).schema
-    integral = [isinstance(f.dataType, T.IntegralType) for f in types]
+    search = _Search(df, asks)
     hits: list[dict[int, Hit]] = [{} for _ in asks]
-    cells = []
+    ranges = []
     for i, (ask, rows) in enumerate(zip(asks, _count_rows(df, asks), strict=True)):
         ranks = sorted(set(ask.ranks))
         if ranks and not 1 <= ranks[0] <= ranks[-1] <= rows:
             raise ValueError(f"ranks {ranks[0]}..{ranks[-1]} are outside 1..{rows}")
         if ranks:
-            cells.append(_Cell(ask=i, ranks=ranks, rows=rows))
-    while cells:
-        _propose(df, asks, cells, integral)
-        narrower = []
-        for cell, counts in zip(cells, _measure(df, asks, cells), strict=True):
-            below = cell.offset
-            wanted = list(cell.ranks)
-            for code in range(2 * len(cell.candidates) + 1):
-                count = counts.get(code, 0)
-                here = [rank for rank in wanted if below < rank <= below + count]
-                if here and code % 2:
-                    value = cell.candidates[code // 2]
-                    hits[cell.ask].update({rank: Hit(value, below, count) for rank in here})
-                elif here:
-                    narrower.append(
-                        _Cell(
-                            ask=cell.ask,
-                            ranks=here,
-                            rows=count,
-                            offset=below,
-                            low=cell.candidates[code // 2 - 1] if code else cell.low,
-                            high=cell.candidates[code // 2] if code // 2 < len(cell.candidates) else cell.high,
-                        )
-                    )
-                wanted = [rank for rank in wanted if rank > below + count]
-                below += count
-            if wanted:
-                raise RuntimeError("the input changed between two passes; stage it before selecting ranks")
-        cells = narrower
+            ranges.append(_Range(ask=i, ranks=ranks, rows=rows))
+    started = False
+    while ranges:
+        if started and sum(item.rows for item in ranges) <= finish_rows:
+            pieces = search.read(ranges)
+        else:
+            search.propose(ranges)
+            pieces = search.measure(ranges)
+        started = True
+        ranges = [gap for item, parts in zip(ranges, pieces, strict=True) for gap in _settle(item, parts, hits)]
     return hits
 
 

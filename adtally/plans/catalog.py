@@ -260,7 +260,9 @@ def _catalog() -> dict[str, Query]:
         ),
         "lineitem_describe_numeric": _lineitem_quartiles,
         # sources
-        "head_sample": lambda s, d: head_rows(_table(s, d, "orders"), 1000),
+        "head_sample": lambda s, d: head_rows(_table(s, d, "orders"), 1000).select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+        ),
         "head_sample_by_key": lambda s, d: head_rows(log(s, d), 1000, order=[F.col(name) for name in KEY]).select(
             *KEY, "click", "cost"
         ),

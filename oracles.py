@@ -378,8 +378,11 @@ def _tables() -> dict[str, str]:
         "lineitem_describe_numeric": _final(
             [], _describe("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]), DESCRIBE_COLUMNS
         ),
-        "head_sample": """SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,
-            o_orderdate, o_orderpriority FROM orders LIMIT 1000""",
+        "head_sample": _final(
+            [],
+            "SELECT * FROM orders LIMIT 1000",
+            "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:d o_orderpriority:s",
+        ),
         "head_sample_by_key": _final(
             [LOG], f"SELECT * FROM log ORDER BY {TIME} LIMIT 1000", KEY_COLUMNS + " click:l cost:d"
         ),

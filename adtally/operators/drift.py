@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from adtally.functions.binning import with_right_closed_bin
 from adtally.functions.expressions import population_stability, ratio
 from adtally.operators.selection import quantile_edges
+from adtally.sources.staging import stage
 
 
 def _check(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> None:
@@ -123,6 +124,8 @@ def categorical_drift(
         .groupBy("column", "value")
         .agg(F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("c"))
     )
+    # Every figure below is read from these counts; the two tables are scanned once.
+    counts = stage(counts, "value-counts")
     known = F.col("value").isNotNull()
     # Count first, then the smaller value: the order in which `max_by` and the top lists prefer values.
     number = F.expr("try_cast(value AS double)")

@@ -12,6 +12,7 @@ from adtally.functions.expressions import clipped_probability, ratio
 from adtally.operators.ranking import ROWS_PER_BUCKET, value_buckets, with_bucket
 from adtally.operators.selection import quantile_edges
 from adtally.operators.splits import TIME_KEY, with_time_slice
+from adtally.sources.staging import stage
 
 
 def binary_metrics(
@@ -47,6 +48,9 @@ def binary_metrics(
             F.coalesce(F.sum("bucket_q").over(higher), F.lit(0.0)).alias("q_above"),
         )
     )
+    # One row per group and bucket, written so that the planner sees its size: it is broadcast when small
+    # enough for the session's broadcast limit and joined by shuffle otherwise.
+    above = stage(above, "score-totals")
     same = F.col("bucket") == F.col("above_bucket")
     for name in by:
         same = same & F.col(name).eqNullSafe(F.col(f"above_{name}"))

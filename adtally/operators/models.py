@@ -33,7 +33,6 @@ UPLIFT_TREE_DEFAULTS = {
     "n_estimators": 100, "max_depth": 3, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8,
     "random_state": 42,
 }
-_TEMPORARY = ("features", "rawPrediction", "probability", "prediction")
 
 
 @dataclass(frozen=True)
@@ -84,11 +83,9 @@ def _preparation(train: DataFrame, features: Features, *, one_hot: bool) -> list
         if one_hot:
             # The dropped last slot is the one of unknown values: they become all-zero vectors.
             vectors = [f"hot_{name}" for name in features.categorical]
-            sizes = [len(labels) + 1 for labels in indexer.labelsArray]
             encoder = OneHotEncoder(inputCols=codes, outputCols=vectors, dropLast=True, handleInvalid="error")
             sample = indexer.transform(stages[0].transform(train.limit(1)))
             stages.append(encoder.fit(sample))
-            assert len(sizes) == len(vectors)
             inputs += vectors
         else:
             # Plain numbers, -1 for unknown: trees then split by order instead of by category sets.
@@ -116,8 +113,11 @@ def _tree_settings(params: Mapping[str, Any], label_col: str) -> dict[str, Any]:
     }
 
 
-def _fit(train: DataFrame, features: Features, label_col: str, *, one_hot: bool, estimator) -> PipelineModel:
-    stages = _preparation(train, features, one_hot=one_hot)
+def _fit(
+    train: DataFrame, features: Features, label_col: str, *, one_hot: bool, estimator, like: PipelineModel | None = None
+) -> PipelineModel:
+    """Fit on `train`; a model fitted on the same rows and features may lend its preparation stages."""
+    stages = _preparation(train, features, one_hot=one_hot) if like is None else like.stages[:-1]
     prepared = PipelineModel(stages).transform(train).select("features", F.col(label_col).cast("double").alias(label_col))
     # Every solver iteration rereads the prepared vectors.
     prepared.persist()
@@ -172,7 +172,7 @@ def fit_click_model(
     raise ValueError(f"Unsupported model_type: {model_type}")
 
 
-def with_prediction(model: PipelineModel, df: DataFrame, output: str, *, transformed: Column | None = None) -> DataFrame:
+def with_prediction(model: PipelineModel, df: DataFrame, output: str) -> DataFrame:
     """Add the model's probability of label 1 (or its predicted value) as one column, all helpers dropped."""
     scored = model.transform(df)
     if "probability" in scored.columns:
@@ -207,7 +207,9 @@ def _outcome_model(rows: DataFrame, spec: UpliftSpec) -> PipelineModel:
     return _classifier(rows, spec, spec.outcome_col)
 
 
-def fit_ridge(train: DataFrame, features: Features, label_col: str, *, alpha: float = 1.0) -> PipelineModel:
+def fit_ridge(
+    train: DataFrame, features: Features, label_col: str, *, alpha: float = 1.0, like: PipelineModel | None = None
+) -> PipelineModel:
     """Least squares with an L2 penalty of alpha on the squared-error sum.
 
     Spark minimises the mean error of the label divided by its deviation, so the penalty is alpha times that
@@ -227,14 +229,14 @@ def fit_ridge(train: DataFrame, features: Features, label_col: str, *, alpha: fl
             tol=1e-10,
         )
 
-    return _fit(train, features, label_col, one_hot=True, estimator=estimator)
+    return _fit(train, features, label_col, one_hot=True, estimator=estimator, like=like)
 
 
-def _effect_model(train: DataFrame, spec: UpliftSpec, label_col: str) -> PipelineModel:
+def _effect_model(train: DataFrame, spec: UpliftSpec, label_col: str, like: PipelineModel) -> PipelineModel:
     if spec.learner == "linear":
-        return fit_ridge(train, spec.features, label_col, alpha=spec.ridge_alpha)
+        return fit_ridge(train, spec.features, label_col, alpha=spec.ridge_alpha, like=like)
     settings = _tree_settings(UPLIFT_TREE_DEFAULTS | dict(spec.learner_params), label_col)
-    return _fit(train, spec.features, label_col, one_hot=False, estimator=lambda _: GBTRegressor(**settings))
+    return _fit(train, spec.features, label_col, one_hot=False, estimator=lambda _: GBTRegressor(**settings), like=like)
 
 
 def doubly_robust_outcome(
@@ -274,7 +276,8 @@ def fit_uplift(train: DataFrame, spec: UpliftSpec) -> dict[str, PipelineModel]:
     )
     # Written once: the effect model's fit would otherwise score three models again in every pass.
     with_effect = stage(_with_nuisances(train, models, spec).withColumn("effect_outcome", effect), "effect")
-    return models | {"tau_model": _effect_model(with_effect, spec, "effect_outcome")}
+    # The propensity model saw the same rows and features: its imputation and encoding are reused.
+    return models | {"tau_model": _effect_model(with_effect, spec, "effect_outcome", models["propensity_model"])}
 
 
 def with_uplift_scores(df: DataFrame, models: Mapping[str, PipelineModel], spec: UpliftSpec) -> DataFrame:

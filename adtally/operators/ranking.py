@@ -21,6 +21,12 @@ ROWS_PER_BUCKET = 500_000
 MIN_BUCKETS = 8
 MAX_BUCKETS = 16_384
 SALTS = 1_024
+ROWS_PER_TASK = 2_000_000
+
+
+def task_count(df: DataFrame, rows: int) -> int:
+    """Shuffle partitions for `rows` rows: the session's number, or more where tasks would grow too large."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / ROWS_PER_TASK))
 
 
 @dataclass(frozen=True)
@@ -103,6 +109,10 @@ def _with_rank(
         # Rows of a bucket holding one value need no ordering and are spread over many tasks.
         "rank_salt", F.when(F.col("one_value"), _spread(names)).otherwise(F.lit(-1))
     ).drop("one_value")
+    tasks = task_count(df, buckets.rows)
+    if tasks > task_count(df, 0):
+        # Adaptive execution merges shuffle partitions but never adds any.
+        joined = joined.repartition(tasks, "bucket", "rank_salt")
     inside = Window.partitionBy("bucket", "rank_salt").orderBy("rank_value")
     ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
     ordered = F.rank().over(inside) + (ties - 1) / F.lit(2.0)
@@ -141,6 +151,7 @@ def with_row_number(
     output: str,
     *,
     running: Mapping[str, Column] | None = None,
+    rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """1-based position under `order`, plus running sums in that order.
@@ -149,7 +160,7 @@ def with_row_number(
     the whole ordering, tie-break keys included, so one tied score does not overload a partition. The numbered
     rows are written before the offsets are read: both jobs then see the same partitions.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or task_count(df, df.count() if rows is None else rows)
     running = dict(running or {})
     slotted = (
         df.withColumns({f"add_{name}": column for name, column in running.items()})

@@ -69,9 +69,17 @@ def with_time_slice(
     return df.withColumn(output, F.lit(1) + add_all([(~cuts[end]).cast("int") for end in ends]))
 
 
-def random_order(seed: int, key: Sequence[str] = TIME_KEY) -> list[Column]:
-    """Sort keys of a seeded shuffle: a hash of the row key, then the key itself."""
-    return [hash_uniform(seed, key), *[F.col(name) for name in key]]
+RANDOM_DRAW = "random_draw"
+
+
+def with_random_draw(df: DataFrame, seed: int, key: Sequence[str] = TIME_KEY) -> DataFrame:
+    """Adds the hash of the row key as its own column, so that many comparisons share one evaluation."""
+    return df.withColumn(RANDOM_DRAW, hash_uniform(seed, key))
+
+
+def random_order(key: Sequence[str] = TIME_KEY) -> list[Column]:
+    """Sort keys of a seeded shuffle: the draw, then the row key."""
+    return [F.col(name) for name in (RANDOM_DRAW, *key)]
 
 
 def random_selection(
@@ -84,6 +92,7 @@ def random_selection(
     rows = df.count()
     ordered = sorted(fractions)
     sizes = [first_k(rows, fraction) for fraction in ordered]
-    cuts = rank_cuts(df, [Ordering(random_order(seed, key), sizes, rows=rows)])[0]
+    drawn = with_random_draw(df, seed, key)
+    cuts = rank_cuts(drawn, [Ordering(random_order(key), sizes, rows=rows)])[0]
     smallest = F.coalesce(*[F.when(cuts[k], F.lit(float(f))) for f, k in zip(ordered, sizes, strict=True)])
-    return df.filter(cuts[sizes[-1]]).withColumn("smallest_fraction", smallest)
+    return drawn.filter(cuts[sizes[-1]]).withColumn("smallest_fraction", smallest).drop(RANDOM_DRAW)

@@ -16,7 +16,7 @@ from adtally.functions.expressions import add_all, descending, ratio
 from adtally.operators.contracts import check_fraction, check_present
 from adtally.operators.ranking import with_average_ranks, with_row_number
 from adtally.operators.selection import Ordering, first_k, rank_cuts
-from adtally.operators.splits import TIME_KEY, random_order
+from adtally.operators.splits import TIME_KEY, random_order, with_random_draw
 
 FRACTIONS = (0.01, 0.05, 0.1, 0.2, 0.3)
 
@@ -230,7 +230,7 @@ def policy_table(
     if not rows:
         raise ValueError("policy simulation requires at least one row")
     no_score = F.lit(None).cast("double")
-    orders = {"random_policy": (random_order(seed, key), no_score)}
+    orders = {"random_policy": (random_order(key), no_score)}
     score_names = {"random_policy": None}
     if true_effect_col is not None:
         orders["oracle_true_effect"] = (best_first(true_effect_col, key), F.col(true_effect_col))
@@ -241,7 +241,7 @@ def policy_table(
     sums = {"y": F.col(outcome_col), "t": F.col(treatment_col)}
     if true_effect_col is not None:
         sums["effect"] = F.col(true_effect_col)
-    chosen = _selections(df, orders, fractions, sums, rows)
+    chosen = _selections(with_random_draw(df, seed, key), orders, fractions, sums, rows)
 
     # Policies x fractions rows from here on.
     whole = F.col("position") == len(fractions)
@@ -390,8 +390,8 @@ def batch_scores(
     if not work.filter(F.col(preferred_score_col).isNull()).isEmpty():
         raise ValueError(f"{preferred_score_col} contains null scores that cannot be ranked")
     order = [F.desc(preferred_score_col), *[F.asc(name) for name in key]]
-    ranked = with_row_number(work, order, "policy_score_rank")
     rows = df.count()
+    ranked = with_row_number(work, order, "policy_score_rank", rows=rows)
     rank = F.col("policy_score_rank")
     return ranked.select(
         *output,

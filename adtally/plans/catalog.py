@@ -42,11 +42,13 @@ def tidy(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _once(
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+) -> DataFrame:
     """A derived table written once per application: several reports read it, as they would a stored table."""
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _tables:
-        _tables[key] = stage(build(), name)
+        _tables[key] = stage(build(), name, partition_by=partition_by)
     return _tables[key]
 
 
@@ -62,6 +64,7 @@ def split_log(spark: SparkSession, folder: str) -> DataFrame:
             features.apply_feature_set(ad_log_table(spark, folder), "ctr_notebook_v2"),
             train_fraction=0.7, validation_fraction=0.1,
         ),
+        ("split",),
     )
 
 
@@ -92,7 +95,7 @@ def uplift_table(spark: SparkSession, folder: str) -> DataFrame:
             }
         )
 
-    return _once(spark, folder, "uplift", build)
+    return _once(spark, folder, "uplift", build, ("split",))
 
 
 def uplift_test(spark: SparkSession, folder: str) -> DataFrame:

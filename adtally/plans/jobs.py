@@ -121,7 +121,7 @@ def prepare_click_table(log: DataFrame, job: ClickJob, *, checked: bool = False)
     table = time_split(table, train_fraction=job.train_fraction, validation_fraction=job.validation_fraction)
     if job.train_only_encodings:
         table = encode_campaign(table, label_col=job.label)
-    table = stage(table, "click-table")
+    table = stage(table, "click-table", partition_by=["split"])
     check_training_table(table, split_col="split", numeric_features=list(job.features.numeric), **columns)
     return table
 
@@ -131,7 +131,7 @@ def score_click_table(table: DataFrame, job: ClickJob):
     model = fit_click_model(
         _part(table, "train"), job.features, job.label, model_type=job.model_type, params=job.model_params
     )
-    return model, stage(with_prediction(model, table.filter("split <> 'train'"), "pred_score"), "click-scores")
+    return model, stage(with_prediction(model, table.filter("split <> 'train'"), "pred_score"), "click-scores", partition_by=["split"])
 
 
 def run_click_model(
@@ -247,7 +247,7 @@ def score_uplift_table(log: DataFrame, job: UpliftJob):
     """(four fitted models, all rows with split and five scores). Fitted once, read by every report below."""
     table = prepare_uplift_table(log, job)
     models = fit_uplift(_part(table, "train"), job.spec)
-    return models, stage(with_uplift_scores(table, models, job.spec), "uplift-scores")
+    return models, stage(with_uplift_scores(table, models, job.spec), "uplift-scores", partition_by=["split"])
 
 
 def _by_split(scored: DataFrame, splits: Sequence[str], report) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from adtally.sources.staging import stage
 
 HEAVY_USER_ROWS = 1_000_000
+MAX_HEAVY_USERS = 100_000
 CHUNK_MICROS = 3_600_000_000
 
 _logs: dict[tuple[str, str], DataFrame] = {}
@@ -34,16 +35,14 @@ def _user_events(events: DataFrame) -> DataFrame:
 
 def _with_chunk(rows: DataFrame, heavy_user_rows: int, chunk_micros: int) -> DataFrame:
     """Chunk 0 for ordinary users, a time slot for users above the row limit."""
+    limit = max(heavy_user_rows, rows.count() // MAX_HEAVY_USERS)
     heavy = (
-        rows.groupBy("uid")
-        .count()
-        .filter(F.col("count") > heavy_user_rows)
-        .select("uid", F.lit(True).alias("heavy"))
+        rows.groupBy("uid").count().filter(F.col("count") > limit).select("uid", F.lit(True).alias("heavy"))
     )
-    # At most total_rows / heavy_user_rows users qualify; adaptive execution broadcasts them when small.
     slot = F.floor(F.col("timestamp") / F.lit(chunk_micros))
     return (
-        rows.join(heavy, "uid", "left")
+        # Fewer than MAX_HEAVY_USERS users can each hold more than that share of the rows.
+        rows.join(F.broadcast(heavy), "uid", "left")
         .withColumn("chunk", F.when(F.col("heavy"), slot).otherwise(F.lit(0)).cast("long"))
         .drop("heavy")
     )

@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +34,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def stage(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write `df` as parquet in the shared folder and return the written table."""
+def stage(df: DataFrame, label: str = "table", *, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write `df` as parquet in the shared folder and return the written table.
+
+    With `partition_by`, later filters on those columns skip whole files.
+    """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every intermediate table this application wrote. Staged DataFrames cannot be read afterwards."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

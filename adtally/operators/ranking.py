@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from adtally.functions.binning import with_interval
 from adtally.sources.staging import stage
 
-ROWS_PER_BUCKET = 500_000
-MIN_BUCKETS = 8
+ROWS_PER_BUCKET = 20_000
+MIN_BUCKETS = 64
 MAX_BUCKETS = 16_384
 SALTS = 1_024
 ROWS_PER_TASK = 2_000_000
@@ -104,7 +104,13 @@ def _with_rank(
     df: DataFrame, column: Column, output: str, buckets: Buckets, totals: DataFrame, as_share: bool
 ) -> DataFrame:
     names = df.columns
+    kept = [F.col(name) for name in names if name != output]
     bucketed = with_bucket(df.withColumn("rank_value", column), F.col("rank_value"), buckets, "bucket")
+    per_row = F.lit(float(buckets.rows)) if as_share else F.lit(1.0)
+    if totals.filter(~F.col("one_value")).isEmpty():
+        # Few distinct values: every bucket holds one, its rank is known, and no row has to move.
+        rank = F.when(F.col("rank_value").isNotNull(), F.col("rank_base") / per_row)
+        return bucketed.join(F.broadcast(totals), "bucket").select(*kept, rank.alias(output))
     joined = bucketed.join(F.broadcast(totals), "bucket").withColumn(
         # Rows of a bucket holding one value need no ordering and are spread over many tasks.
         "rank_salt", F.when(F.col("one_value"), _spread(names)).otherwise(F.lit(-1))
@@ -116,11 +122,8 @@ def _with_rank(
     inside = Window.partitionBy("bucket", "rank_salt").orderBy("rank_value")
     ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
     ordered = F.rank().over(inside) + (ties - 1) / F.lit(2.0)
-    rank = F.col("rank_base") + F.when(F.col("rank_salt") == -1, ordered).otherwise(0.0)
-    if as_share:
-        rank = rank / F.lit(float(buckets.rows))
-    rank = F.when(F.col("rank_value").isNotNull(), rank)
-    return joined.select(*[F.col(name) for name in names if name != output], rank.alias(output))
+    rank = (F.col("rank_base") + F.when(F.col("rank_salt") == -1, ordered).otherwise(0.0)) / per_row
+    return joined.select(*kept, F.when(F.col("rank_value").isNotNull(), rank).alias(output))
 
 
 def with_average_ranks(

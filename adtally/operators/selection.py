@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,13 @@ class _Search:
         types = df.select(*[ask.column.alias(f"c{i}") for i, ask in enumerate(asks)]).schema
         self.integral = [isinstance(f.dataType, T.IntegralType) for f in types]
 
+    def _relevant(self, wanted: Sequence[int]) -> DataFrame:
+        """The rows that any of the wanted asks looks at."""
+        conditions = [self.asks[i].where for i in wanted]
+        if any(condition is None for condition in conditions):
+            return self.df
+        return self.df.filter(reduce(Column.__or__, conditions))
+
     def _base(self, item: _Range) -> int:
         # Whole numbers are measured from the lower bound so that doubles hold the distance exactly.
         return item.low if self.integral[item.ask] and item.low is not None else 0
@@ -100,7 +108,7 @@ class _Search:
             if self.integral[item.ask]:
                 # Proposals for huge whole numbers are rounded; true extremes guarantee progress.
                 aggregates.append(F.array(F.min(measured), F.max(measured)).alias(f"m{i}"))
-        row = self.df.agg(*aggregates).first()
+        row = self._relevant([item.ask for item in ranges]).agg(*aggregates).first()
         for i, item in enumerate(ranges):
             found = [*row[f"p{i}"], *(row[f"m{i}"] if self.integral[item.ask] else [])]
             item.candidates = sorted({value + self._base(item) for value in found})
@@ -121,7 +129,7 @@ class _Search:
             place.update({value: 2 * k + 1 for k, value in enumerate(values)})
             codes[i] = [1 if values and values[0] == -math.inf else 0, *[place[split] for split in splits]]
             starts[f"at{i}"] = (self.asks[i].value(), splits)
-        table = with_interval(self.df, starts)
+        table = with_interval(self._relevant(list(points)), starts)
         for i, values in points.items():
             if self.integral[i]:
                 value = self.asks[i].value()

@@ -82,9 +82,9 @@ def uplift_table(spark: SparkSession, folder: str) -> DataFrame:
 
     def build() -> DataFrame:
         # Effects are drawn from the raw columns: logarithms may merge neighbouring doubles differently elsewhere.
-        known = add_known_effect_columns(ad_log_table(spark, folder), seed=42)
-        # Written before the split, whose rank cuts scan it again.
-        known = stage(features.apply_feature_set(known, "semisynthetic_rank_v1"), "known-effect")
+        # Both rank steps and the split scan their input several times, so each step's result is written.
+        known = stage(add_known_effect_columns(ad_log_table(spark, folder), seed=42), "known-effect")
+        known = stage(features.apply_feature_set(known, "semisynthetic_rank_v1"), "known-features")
         return splits.time_split(known, train_fraction=0.7, validation_fraction=0.1).withColumns(
             {
                 "propensity_score": clip(F.col("cost") / (F.col("cost") + F.lit(20.0)), 0.05, 0.95),

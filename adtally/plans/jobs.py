@@ -231,14 +231,14 @@ def prepare_uplift_table(log: DataFrame, job: UpliftJob) -> DataFrame:
     check_source(log)
     table = apply_feature_set(log, job.feature_set)
     if job.known_effect:
+        # Ranking scans its input several times, so the features are written first; so is the result below.
         table = add_known_effect_columns(
-            table,
+            stage(table, "features"),
             treatment_col=job.spec.treatment_col,
             outcome_col=job.spec.outcome_col,
             true_effect_col=job.true_effect_col,
             seed=job.seed,
         )
-    # Written before the split: its rank cuts scan the table several times.
     table = stage(table, "uplift-features")
     return time_split(table, train_fraction=job.train_fraction, validation_fraction=job.validation_fraction)
 

@@ -10,8 +10,9 @@ and small per-chunk summaries carry the counts across chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adtally.sources.staging import stage
 
@@ -22,10 +23,18 @@ CHUNK_MICROS = 3_600_000_000
 _logs: dict[tuple[str, str], DataFrame] = {}
 
 
+def _micros(events: DataFrame, name: str) -> Column:
+    """Microseconds since 1970; a time without zone is read as UTC whatever the session's zone is."""
+    if isinstance(events.schema[name].dataType, T.TimestampNTZType):
+        seconds = F.expr(f"CAST(`{name}` - TIMESTAMP_NTZ'1970-01-01' AS INTERVAL SECOND)").cast("decimal(20,6)")
+        return (seconds * F.lit(1_000_000)).cast("long")
+    return F.unix_micros(F.col(name).cast("timestamp"))
+
+
 def _user_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("long").alias("uid"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("timestamp"),
+        _micros(events, "ts").alias("timestamp"),
         F.col("event_id").cast("long").alias("event_id"),
         F.col("event_type"),
         F.col("value").cast("double").alias("value"),
@@ -66,7 +75,13 @@ def ad_log(
 
     in_chunk = Window.partitionBy("uid", "chunk").orderBy("timestamp", "event_id")
     earlier = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    onward = in_chunk.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Later rows are read as the earlier rows of the reverse order: a frame that ends at the last row would
+    # be summed anew for every row.
+    onward = (
+        Window.partitionBy("uid", "chunk")
+        .orderBy(F.desc("timestamp"), F.desc("event_id"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     local = (
         rows.withColumn("purchases_here", F.coalesce(F.sum(is_purchase.cast("long")).over(earlier), F.lit(0)))
         .withColumn("clicks_here", F.coalesce(F.sum(is_click.cast("long")).over(earlier), F.lit(0)))
@@ -86,7 +101,7 @@ def ad_log(
     )
     by_user = Window.partitionBy("uid")
     before = by_user.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    after = by_user.orderBy("chunk").rowsBetween(1, Window.unboundedFollowing)
+    after = by_user.orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         summary.withColumn("clicks_before", F.coalesce(F.sum("clicks").over(before), F.lit(0)))
         .withColumn("purchases_before", F.coalesce(F.sum("purchases").over(before), F.lit(0)))

@@ -34,9 +34,13 @@ def test_paths_match_a_plain_loop_for_light_and_heavy_users(spark, folder):
     frame["ts"] = frame["ts"].astype("datetime64[ns]")
     want = expected(frame)
     # Every user above 20 events counts as heavy and is cut into two-day chunks in the second run.
+    zone = spark.conf.get("spark.sql.session.timeZone")
     for options in ({}, {"heavy_user_rows": 20, "chunk_micros": 2 * 86_400_000_000}):
+        # The result does not depend on the session's zone.
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York" if options else zone)
         got = ad_log(events, **options).select(*want.columns).toPandas()
         got = got.sort_values(list(want.columns)).reset_index(drop=True).astype("int64")
+        spark.conf.set("spark.sql.session.timeZone", zone)
         pd.testing.assert_frame_equal(got, want.astype("int64"))
 
 

@@ -22,8 +22,10 @@ from pyspark.sql import types as T
 from adtally.functions.binning import with_interval
 from adtally.functions.expressions import add_all
 
-# Relative rank error of a proposal is 1 / ACCURACY; open ranges with no more rows than FINISH_ROWS are read.
+# Relative rank error of a proposal is 1 / ACCURACY. In ranges of at most EXACT_ROWS rows proposals are made
+# without error; open ranges with no more rows than FINISH_ROWS are read.
 ACCURACY = 10_000
+EXACT_ROWS = 50_000
 FINISH_ROWS = 5_000
 
 
@@ -101,10 +103,13 @@ class _Search:
             if item.high is not None:
                 inside = inside & (value < F.lit(item.high))
             measured = F.when(inside, value - F.lit(self._base(item)) if self._base(item) else value)
-            # Each rank is bracketed by twice the possible error, so that the gap hiding it is always narrow.
-            middle = [(rank - item.offset - 0.5) / item.rows for rank in item.ranks]
-            points = [min(max(p + step / ACCURACY, 0.0), 1.0) for p in middle for step in (-2, 0, 2)]
-            aggregates.append(F.percentile_approx(measured, points, F.lit(ACCURACY)).alias(f"p{i}"))
+            points = [(rank - item.offset - 0.5) / item.rows for rank in item.ranks]
+            accuracy = 2 * EXACT_ROWS
+            if item.rows > EXACT_ROWS:
+                # Each rank is bracketed by twice the possible error, so that the gap hiding it is always narrow.
+                accuracy = ACCURACY
+                points = [min(max(p + step / ACCURACY, 0.0), 1.0) for p in points for step in (-2, 0, 2)]
+            aggregates.append(F.percentile_approx(measured, points, F.lit(accuracy)).alias(f"p{i}"))
             if self.integral[item.ask]:
                 # Proposals for huge whole numbers are rounded; true extremes guarantee progress.
                 aggregates.append(F.array(F.min(measured), F.max(measured)).alias(f"m{i}"))

@@ -27,6 +27,7 @@ def frame(spark, rows=5000):
 @pytest.mark.parametrize("accuracy", [20, 10_000])
 def test_values_at_ranks_are_exact(spark, monkeypatch, accuracy, finish_rows):
     monkeypatch.setattr(selection, "ACCURACY", accuracy)
+    monkeypatch.setattr(selection, "EXACT_ROWS", 0 if finish_rows else 100)
     pdf, df = frame(spark)
     ranks = [1, 2, 17, 1234, 2500, 4999, 5000]
     asks = [Ask(F.col(name), ranks) for name in ("x", "tied", "big")]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adtally.operators.ranking import with_row_number
 from adtally.operators.selection import medians
+from adtally.sources.staging import stage
 
 
 def _train(df: DataFrame, split_col: str) -> DataFrame:
@@ -94,7 +96,11 @@ def impute(
 
 
 def ordinal_codes(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> DataFrame:
-    """0-based code of every training value per column, in numeric order: (name, value, code)."""
+    """0-based code of every training value per column, in numeric order: (name, value, code).
+
+    The distinct values of all columns are numbered as one range-partitioned order; a column's codes start
+    at its first number.
+    """
     pairs = [item for name in columns for item in (F.lit(name), F.col(name).cast("long"))]
     values = (
         _train(df, split_col)
@@ -102,8 +108,10 @@ def ordinal_codes(df: DataFrame, columns: Sequence[str], *, split_col: str = "sp
         .filter(F.col("value").isNotNull())
         .distinct()
     )
-    in_order = Window.partitionBy("name").orderBy("value")
-    return values.withColumn("code", F.row_number().over(in_order) - 1)
+    numbered = stage(with_row_number(values, [F.asc("name"), F.asc("value")], "number"), "codes")
+    first = numbered.groupBy("name").agg(F.min("number").alias("first"))
+    # One row per column is broadcast.
+    return numbered.join(F.broadcast(first), "name").select("name", "value", (F.col("number") - F.col("first")).alias("code"))
 
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> DataFrame:

@@ -280,6 +280,7 @@ def _catalog() -> dict[str, Query]:
         "lineitem_rank": lambda s, d: with_average_ranks(
             _table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"),
             {"quantity_rank": F.col("l_quantity"), "price_rank": F.col("l_extendedprice")},
+            as_share=False,
         ),
         "expected_value_top": lambda s, d: features.expected_value_top(
             click_scored(s, d), score_col="pred_score"

@@ -111,10 +111,12 @@ CLICKS = """
 clicks AS MATERIALIZED (SELECT *, 5e-2 + 9e-1 * cost / (cost + 40e0 + cpo) AS pred_score FROM split_log)"""
 
 
+def _mean_rank(column: str) -> str:
+    return f"(rank() OVER (ORDER BY {column}) + (count(*) OVER (PARTITION BY {column}) - 1) / 2e0)"
+
+
 def _share_rank(column: str) -> str:
-    return (
-        f"(rank() OVER (ORDER BY {column}) + (count(*) OVER (PARTITION BY {column}) - 1) / 2e0) / (count(*) OVER ())"
-    )
+    return f"{_mean_rank(column)} / (count(*) OVER ())"
 
 
 def _uniform(seed: int, salt: str = "") -> str:
@@ -406,7 +408,7 @@ def _features() -> dict[str, str]:
         "lineitem_rank": _final(
             [],
             f"SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, "
-            f"{_share_rank('l_quantity')} AS quantity_rank, {_share_rank('l_extendedprice')} AS price_rank FROM lineitem",
+            f"{_mean_rank('l_quantity')} AS quantity_rank, {_mean_rank('l_extendedprice')} AS price_rank FROM lineitem",
             "l_orderkey:l l_partkey:l l_linenumber:l l_quantity:d l_extendedprice:d quantity_rank:d price_rank:d",
         ),
         "expected_value_top": _final(
@@ -590,13 +592,10 @@ FROM (SELECT score_col, fraction AS top_fraction, count(*) FILTER (rn <= k) AS "
     avg(y) FILTER (rn <= k AND t = 1) AS treated_outcome_rate, avg(y) FILTER (rn <= k AND t = 0) AS control_outcome_rate
   FROM (SELECT *, greatest(1, CAST(trunc(n * fraction) AS BIGINT)) AS k FROM placed, {FRACTIONS})
   GROUP BY score_col, fraction)"""
-    mean_rank = lambda c: (
-        f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2e0"
-    )
     correlations = " UNION ALL ".join(
         f"""SELECT '{s}' AS score_col, corr(ra, rb) AS spearman, corr(a, b) AS pearson
-        FROM (SELECT {s} AS a, true_treatment_effect AS b, {mean_rank(s)} AS ra,
-                {mean_rank('true_treatment_effect')} AS rb FROM test)"""
+        FROM (SELECT {s} AS a, true_treatment_effect AS b, {_mean_rank(s)} AS ra,
+                {_mean_rank('true_treatment_effect')} AS rb FROM test)"""
         for s in SCORES
     )
     effect_placed = positioned + f""",

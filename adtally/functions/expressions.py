@@ -21,6 +21,16 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
 
 
+def correlation(first: str, second: str) -> Column:
+    """Aggregate: linear correlation over rows where both are known, null when either is constant.
+
+    Built from the covariance because the built-in correlation raises on a constant column in ANSI mode.
+    """
+    a = F.when(F.col(second).isNotNull(), F.col(first).cast("double"))
+    b = F.when(F.col(first).isNotNull(), F.col(second).cast("double"))
+    return ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def clip(value: Column, low: float, high: float) -> Column:
     """Value limited to [low, high]; null stays null."""
     return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(float(high))), F.lit(float(low))))

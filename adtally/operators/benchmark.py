@@ -37,7 +37,8 @@ def add_known_effect_columns(
     }
     ranked = with_average_ranks(df, sources)
     cost, cpo, rec = (F.coalesce(F.col(name), F.lit(0.5)) for name in sources)
-    previous = F.col("has_prev_click") if "has_prev_click" in names else F.coalesce(recency >= 0, F.lit(False)).cast("int")
+    clicked_before = F.coalesce(recency >= 0, F.lit(False)).cast("int")
+    previous = F.col("has_prev_click") if "has_prev_click" in names else clicked_before
     treated = (hash_uniform(seed, key, "t") < F.col(f"{treatment_col}_propensity")).cast("int")
     converted = (hash_uniform(seed, key, "y") < F.col(f"{outcome_col}_probability")).cast("int")
     return (

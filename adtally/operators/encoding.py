@@ -21,11 +21,11 @@ def _with_campaign_rate(df: DataFrame, campaign_col: str, label_col: str, split_
     rates = (
         train.filter(F.col(campaign_col).isNotNull())
         .groupBy(campaign_col)
-        .agg(F.avg(label_col).alias("campaign_rate"))
-        .withColumnRenamed(campaign_col, "encoded_campaign")
+        .agg(F.avg(label_col).alias("__campaign_rate"))
+        .withColumnRenamed(campaign_col, "__encoded_campaign")
     )
     # No broadcast hint: the number of campaigns is open, adaptive execution broadcasts by measured size.
-    return df.join(rates, F.col(campaign_col) == F.col("encoded_campaign"), "left").drop("encoded_campaign")
+    return df.join(rates, F.col(campaign_col) == F.col("__encoded_campaign"), "left").drop("__encoded_campaign")
 
 
 def encode_campaign(
@@ -39,7 +39,7 @@ def encode_campaign(
     """Training mean of the label per campaign; the global training mean for campaigns never trained on."""
     prior = _train(df, split_col).agg(F.avg(label_col).alias("prior")).first()["prior"]
     encoded = _with_campaign_rate(df, campaign_col, label_col, split_col)
-    return encoded.withColumn(output, F.coalesce("campaign_rate", F.lit(prior))).drop("campaign_rate")
+    return encoded.withColumn(output, F.coalesce("__campaign_rate", F.lit(prior))).drop("__campaign_rate")
 
 
 def encoding_metadata(
@@ -47,7 +47,7 @@ def encoding_metadata(
 ) -> DataFrame:
     """Prior, number of trained campaigns, and unseen rows and rate per split (rate null for an empty split)."""
     trained = F.col(split_col) == "train"
-    unseen = F.col("campaign_rate").isNull()
+    unseen = F.col("__campaign_rate").isNull()
     encoded = _with_campaign_rate(df, campaign_col, label_col, split_col)
     aggregates = [F.avg(F.when(trained, F.col(label_col))).alias("global_prior")]
     for name in ("validation", "test"):
@@ -111,7 +111,8 @@ def ordinal_codes(df: DataFrame, columns: Sequence[str], *, split_col: str = "sp
     numbered = stage(with_row_number(values, [F.asc("name"), F.asc("value")], "number"), "codes")
     first = numbered.groupBy("name").agg(F.min("number").alias("first"))
     # One row per column is broadcast.
-    return numbered.join(F.broadcast(first), "name").select("name", "value", (F.col("number") - F.col("first")).alias("code"))
+    code = (F.col("number") - F.col("first")).alias("code")
+    return numbered.join(F.broadcast(first), "name").select("name", "value", code)
 
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> DataFrame:
@@ -119,11 +120,11 @@ def ordinal_encode(df: DataFrame, columns: Sequence[str], *, split_col: str = "s
     codes = ordinal_codes(df, columns, split_col=split_col)
     for name in columns:
         one = codes.filter(F.col("name") == name).select(
-            F.col("value").alias("coded_value"), F.col("code").alias("coded")
+            F.col("value").alias("__coded_value"), F.col("code").alias("__coded")
         )
         df = (
-            df.join(one, F.col(name).cast("long") == F.col("coded_value"), "left")
-            .withColumn(name, F.coalesce("coded", F.lit(-1)).cast("int"))
-            .drop("coded_value", "coded")
+            df.join(one, F.col(name).cast("long") == F.col("__coded_value"), "left")
+            .withColumn(name, F.coalesce("__coded", F.lit(-1)).cast("int"))
+            .drop("__coded_value", "__coded")
         )
     return df

@@ -30,20 +30,21 @@ def binary_metrics(
     is spread over all its buckets. Both areas are null when a group has one class only.
     """
     by = list(by)
-    work = df.select(*by, F.col(score_col).cast("double").alias("score"), F.col(label_col).cast("double").alias("y"))
-    buckets = value_buckets(work, {"score": F.col("score")}, rows_per_bucket=rows_per_bucket)["score"]
+    score, label = F.col(score_col).cast("double"), F.col(label_col).cast("double")
+    work = df.select(*by, score.alias("__score"), label.alias("__y"))
+    buckets = value_buckets(work, {"score": F.col("__score")}, rows_per_bucket=rows_per_bucket)["score"]
     per_score = (
-        with_bucket(work, F.col("score"), buckets, "bucket")
-        .groupBy(*by, "bucket", "score")
-        .agg(F.sum("y").alias("p"), F.sum(1.0 - F.col("y")).alias("q"))
+        with_bucket(work, F.col("__score"), buckets, "__bucket")
+        .groupBy(*by, "__bucket", "__score")
+        .agg(F.sum("__y").alias("p"), F.sum(1.0 - F.col("__y")).alias("q"))
     )
-    higher = Window.partitionBy(*by, F.lit(0)).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*by, F.lit(0)).orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
     above = (
-        per_score.groupBy(*by, "bucket")
+        per_score.groupBy(*by, "__bucket")
         .agg(F.sum("p").alias("bucket_p"), F.sum("q").alias("bucket_q"))
         .select(
-            *[F.col(name).alias(f"above_{name}") for name in by],
-            F.col("bucket").alias("above_bucket"),
+            *[F.col(name).alias(f"__above_{name}") for name in by],
+            F.col("__bucket").alias("__above_bucket"),
             F.coalesce(F.sum("bucket_p").over(higher), F.lit(0.0)).alias("p_above"),
             F.coalesce(F.sum("bucket_q").over(higher), F.lit(0.0)).alias("q_above"),
         )
@@ -51,18 +52,18 @@ def binary_metrics(
     # One row per group and bucket, written so that the planner sees its size: it is broadcast when small
     # enough for the session's broadcast limit and joined by shuffle otherwise.
     above = stage(above, "score-totals")
-    same = F.col("bucket") == F.col("above_bucket")
+    same = F.col("__bucket") == F.col("__above_bucket")
     for name in by:
-        same = same & F.col(name).eqNullSafe(F.col(f"above_{name}"))
+        same = same & F.col(name).eqNullSafe(F.col(f"__above_{name}"))
     within = (
-        Window.partitionBy(*by, "bucket")
-        .orderBy(F.desc("score"))
+        Window.partitionBy(*by, "__bucket")
+        .orderBy(F.desc("__score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     curve = per_score.join(above, same).withColumns(
         {"tp": F.col("p_above") + F.sum("p").over(within), "fp": F.col("q_above") + F.sum("q").over(within)}
     )
-    s, p, q = F.col("score"), F.col("p"), F.col("q")
+    s, p, q = F.col("__score"), F.col("p"), F.col("q")
     prob = clipped_probability(s)
     sums = curve.groupBy(*by).agg(
         F.sum(p).alias("positives"),

@@ -54,7 +54,7 @@ class UpliftSpec:
 
 
 def _numeric_inputs(train: DataFrame, features: Features) -> SQLTransformer:
-    """Fills nulls with training medians and modes; categories become fixed-width text so text order is numeric order."""
+    """Fills nulls with training medians and modes; categories become fixed-width text, ordered like numbers."""
     fills = medians(train, {name: F.col(name) for name in features.numeric}) if features.numeric else {}
     modes = most_frequent(train, features.categorical)
     parts = [
@@ -118,7 +118,8 @@ def _fit(
 ) -> PipelineModel:
     """Fit on `train`; a model fitted on the same rows and features may lend its preparation stages."""
     stages = _preparation(train, features, one_hot=one_hot) if like is None else like.stages[:-1]
-    prepared = PipelineModel(stages).transform(train).select("features", F.col(label_col).cast("double").alias(label_col))
+    label = F.col(label_col).cast("double").alias(label_col)
+    prepared = PipelineModel(stages).transform(train).select("features", label)
     # Every solver iteration rereads the prepared vectors.
     prepared.persist()
     try:

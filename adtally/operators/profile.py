@@ -23,7 +23,9 @@ def table_profile(
     aggregates += [F.avg(F.col(name).isNull().cast("double")).alias(f"null|{name}") for name in names]
     aggregates += [F.avg(name).alias(f"mean|{name}") for name in mean_columns]
     if approximate:
-        aggregates += [F.approx_count_distinct(name).cast("double").alias(f"distinct|{name}") for name in distinct_columns]
+        aggregates += [
+            F.approx_count_distinct(name).cast("double").alias(f"distinct|{name}") for name in distinct_columns
+        ]
     pieces: list[Column] = [F.lit("rows"), F.lit("*"), F.col("rows")]
     pieces += [F.lit("columns"), F.lit("*"), F.lit(float(len(names)))]
     measured = [("null_rate", "null", name) for name in names] + [("mean", "mean", name) for name in mean_columns]
@@ -64,8 +66,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row = df.agg(*aggregates).first()
     quartiles = quantiles(df, numbers, bins=4)
     out = [
-        (name, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"a{i}"], *(quartiles[name][1:4] or [None] * 3), row[f"z{i}"])
+        (name, *(row[f"{part}{i}"] for part in "nmsa"), *(quartiles[name][1:4] or [None] * 3), row[f"z{i}"])
         for i, name in enumerate(columns)
     ]
-    schema = "column string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    measures = ("mean", "std", "min", "p25", "p50", "p75", "max")
+    schema = "column string, count long, " + ", ".join(f"{measure} double" for measure in measures)
     return df.sparkSession.createDataFrame(out, schema)

@@ -76,9 +76,9 @@ def _spread(columns: Sequence[str]) -> Column:
 
 
 def _bucket_totals(df: DataFrame, columns: Mapping[str, Column], buckets: Mapping[str, Buckets]) -> DataFrame:
-    """(name, bucket, one_value, rank_base) of all columns, counted in one pass.
+    """(name, __bucket, __one_value, __base) of all columns, counted in one pass.
 
-    `rank_base` is the number of rows in lower buckets, or the shared rank itself where one value fills a bucket.
+    `__base` is the number of rows in lower buckets, or the shared rank itself where one value fills a bucket.
     """
     numbers = {name: f"bucket_{i}" for i, name in enumerate(columns)}
     wide = with_interval(df, {numbers[name]: (column, buckets[name].starts) for name, column in columns.items()})
@@ -97,7 +97,12 @@ def _bucket_totals(df: DataFrame, columns: Mapping[str, Column], buckets: Mappin
     in_order = Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("bucket_rows").over(in_order), F.lit(0)).cast("double")
     shared = F.when(F.col("one_value"), (F.col("bucket_rows") + 1) / F.lit(2.0)).otherwise(0.0)
-    return totals.select("name", "bucket", "one_value", (before + shared).alias("rank_base"))
+    return totals.select(
+        "name",
+        F.col("bucket").alias("__bucket"),
+        F.col("one_value").alias("__one_value"),
+        (before + shared).alias("__base"),
+    )
 
 
 def _with_rank(
@@ -105,25 +110,25 @@ def _with_rank(
 ) -> DataFrame:
     names = df.columns
     kept = [F.col(name) for name in names if name != output]
-    bucketed = with_bucket(df.withColumn("rank_value", column), F.col("rank_value"), buckets, "bucket")
+    bucketed = with_bucket(df.withColumn("__value", column), F.col("__value"), buckets, "__bucket")
     per_row = F.lit(float(buckets.rows)) if as_share else F.lit(1.0)
-    if totals.filter(~F.col("one_value")).isEmpty():
+    if totals.filter(~F.col("__one_value")).isEmpty():
         # Few distinct values: every bucket holds one, its rank is known, and no row has to move.
-        rank = F.when(F.col("rank_value").isNotNull(), F.col("rank_base") / per_row)
-        return bucketed.join(F.broadcast(totals), "bucket").select(*kept, rank.alias(output))
-    joined = bucketed.join(F.broadcast(totals), "bucket").withColumn(
+        rank = F.when(F.col("__value").isNotNull(), F.col("__base") / per_row)
+        return bucketed.join(F.broadcast(totals), "__bucket").select(*kept, rank.alias(output))
+    joined = bucketed.join(F.broadcast(totals), "__bucket").withColumn(
         # Rows of a bucket holding one value need no ordering and are spread over many tasks.
-        "rank_salt", F.when(F.col("one_value"), _spread(names)).otherwise(F.lit(-1))
-    ).drop("one_value")
+        "__salt", F.when(F.col("__one_value"), _spread(names)).otherwise(F.lit(-1))
+    ).drop("__one_value")
     tasks = task_count(df, buckets.rows)
     if tasks > task_count(df, 0):
         # Adaptive execution merges shuffle partitions but never adds any.
-        joined = joined.repartition(tasks, "bucket", "rank_salt")
-    inside = Window.partitionBy("bucket", "rank_salt").orderBy("rank_value")
+        joined = joined.repartition(tasks, "__bucket", "__salt")
+    inside = Window.partitionBy("__bucket", "__salt").orderBy("__value")
     ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
     ordered = F.rank().over(inside) + (ties - 1) / F.lit(2.0)
-    rank = (F.col("rank_base") + F.when(F.col("rank_salt") == -1, ordered).otherwise(0.0)) / per_row
-    return joined.select(*kept, F.when(F.col("rank_value").isNotNull(), rank).alias(output))
+    rank = (F.col("__base") + F.when(F.col("__salt") == -1, ordered).otherwise(0.0)) / per_row
+    return joined.select(*kept, F.when(F.col("__value").isNotNull(), rank).alias(output))
 
 
 def with_average_ranks(
@@ -166,28 +171,28 @@ def with_row_number(
     partitions = partitions or task_count(df, df.count() if rows is None else rows)
     running = dict(running or {})
     slotted = (
-        df.withColumns({f"add_{name}": column for name, column in running.items()})
+        df.withColumns({f"__add_{name}": column for name, column in running.items()})
         .repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
-        .withColumn("slot", F.monotonically_increasing_id())
+        .withColumn("__slot", F.monotonically_increasing_id())
     )
     # The generated id holds the partition in its upper 31 bits and the position within it in the lower 33.
-    table = stage(slotted, "ordered").withColumn("part", F.shiftright("slot", 33))
-    sizes = table.groupBy("part").agg(
-        F.count(F.lit(1)).alias("part_rows"), *[F.sum(f"add_{name}").alias(f"sum_{name}") for name in running]
+    table = stage(slotted, "ordered").withColumn("__part", F.shiftright("__slot", 33))
+    sizes = table.groupBy("__part").agg(
+        F.count(F.lit(1)).alias("part_rows"), *[F.sum(f"__add_{name}").alias(f"sum_{name}") for name in running]
     )
-    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "part",
-        F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"),
-        *[F.coalesce(F.sum(f"sum_{name}").over(before), F.lit(0)).alias(f"before_{name}") for name in running],
+        "__part",
+        F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("__rows_before"),
+        *[F.coalesce(F.sum(f"sum_{name}").over(before), F.lit(0)).alias(f"__before_{name}") for name in running],
     )
     # One row per range partition: bounded by the partition count.
-    joined = table.join(F.broadcast(offsets), "part")
-    within = Window.partitionBy("part").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = F.col("rows_before") + F.col("slot").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    joined = table.join(F.broadcast(offsets), "__part")
+    within = Window.partitionBy("__part").orderBy("__slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    position = F.col("__rows_before") + F.col("__slot").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return joined.select(
         *[F.col(name) for name in df.columns],
         position.alias(output),
-        *[(F.col(f"before_{name}") + F.sum(f"add_{name}").over(within)).alias(name) for name in running],
+        *[(F.col(f"__before_{name}") + F.sum(f"__add_{name}").over(within)).alias(name) for name in running],
     )

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.functions.expressions import add_all, descending, ratio
+from adtally.functions.expressions import add_all, correlation, descending, ratio
 from adtally.operators.contracts import check_fraction, check_present
 from adtally.operators.ranking import with_average_ranks, with_row_number
 from adtally.operators.selection import Ordering, first_k, rank_cuts
@@ -71,11 +71,6 @@ def _whole(name: str, fractions: Sequence[float], window) -> Column:
     return F.max(F.when(F.col("position") == len(fractions), F.col(name))).over(window)
 
 
-def _correlation(first: str, second: str) -> Column:
-    """Linear correlation, null when undefined."""
-    return F.nanvl(F.corr(first, second), F.lit(None).cast("double"))
-
-
 def ranking_diagnostics(
     df: DataFrame,
     *,
@@ -175,8 +170,8 @@ def known_effect_report(
     columns = {f"rank_{i}": F.col(name) for i, name in enumerate(score_cols)} | {"rank_effect": effect}
     ranked = with_average_ranks(df.select(*score_cols, true_effect_col), columns, as_share=False)
     correlations = ranked.agg(
-        *[_correlation(f"rank_{i}", "rank_effect").alias(f"s{i}") for i in range(len(score_cols))],
-        *[_correlation(name, true_effect_col).alias(f"p{i}") for i, name in enumerate(score_cols)],
+        *[correlation(f"rank_{i}", "rank_effect").alias(f"s{i}") for i in range(len(score_cols))],
+        *[correlation(name, true_effect_col).alias(f"p{i}") for i, name in enumerate(score_cols)],
     )
     pieces = []
     for i, name in enumerate(score_cols):
@@ -208,7 +203,7 @@ def known_effect_report(
 
 def score_correlation(df: DataFrame, first: str, second: str) -> DataFrame:
     """Linear correlation of two scores; null when undefined."""
-    return df.agg(_correlation(first, second).alias("correlation"))
+    return df.agg(correlation(first, second).alias("correlation"))
 
 
 def policy_table(

@@ -78,22 +78,25 @@ def read_table(
 def _first_in_files(df: DataFrame, n: int, block: Column, index: Column) -> DataFrame:
     """The first n rows by file path, block and position in it, as a filter: no rows are moved."""
     placed = df.select(
-        "*", F.col("_metadata.file_path").alias("in_file"), block.alias("in_block"), index.alias("in_place")
+        "*", F.col("_metadata.file_path").alias("__in_file"), block.alias("__in_block"), index.alias("__in_place")
     )
     # One row per file block.
-    sizes = placed.groupBy("in_file", "in_block").agg(F.count(F.lit(1)).alias("rows"), F.min("in_place").alias("start"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy("in_file", "in_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__in_file", "__in_block").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("__in_place").alias("start")
+    )
+    earlier = Window.partitionBy(F.lit(0)).orderBy("__in_file", "__in_block").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         sizes.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
         .filter(F.col("before") + F.col("rows") >= n)
-        .orderBy("in_file", "in_block")
+        .orderBy("__in_file", "__in_block")
         .first()
     )
     if cut is None:
         return df
-    same_file = F.col("in_file") == cut["in_file"]
-    inside = (F.col("in_block") == cut["in_block"]) & (F.col("in_place") - cut["start"] < n - cut["before"])
-    wanted = (F.col("in_file") < cut["in_file"]) | (same_file & ((F.col("in_block") < cut["in_block"]) | inside))
+    same_file = F.col("__in_file") == cut["__in_file"]
+    inside = (F.col("__in_block") == cut["__in_block"]) & (F.col("__in_place") - cut["start"] < n - cut["before"])
+    earlier_block = F.col("__in_block") < cut["__in_block"]
+    wanted = (F.col("__in_file") < cut["__in_file"]) | (same_file & (earlier_block | inside))
     return placed.filter(wanted).select(*df.columns)
 
 

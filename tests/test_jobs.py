@@ -89,6 +89,24 @@ def test_uplift_targeting_scoring_and_drift_share_one_scored_table(spark, uplift
     assert spark.read.parquet(f"{tmp_path}/runs").count() == 3
 
 
+def test_observational_uplift_with_trees(spark, log, tmp_path):
+    """Clicks as treatment and conversions as outcome, without a known effect."""
+    job = jobs.UpliftJob(
+        jobs.UpliftSpec(
+            treatment_col="click", outcome_col="conversion", learner="boosted_trees",
+            features=Features(numeric=("log_cost", "has_prev_click"), categorical=("cat1",)),
+            learner_params={"n_estimators": 2, "max_depth": 2},
+        ),
+        feature_set="ctr_notebook_v1", known_effect=False,
+    )
+    reports = jobs.run_uplift(log, job, folder=str(tmp_path), run_name="observed")
+    assert set(reports) == {"uplift_summary", "uplift_ranking", "uplift_policy_curve"}
+    assert {r.split for r in reports["uplift_summary"].collect()} == {"validation", "test"}
+    assert sorted(p.name for p in (tmp_path / "models" / "observed").iterdir()) == [
+        "control_outcome_model", "propensity_model", "tau_model", "treated_outcome_model",
+    ]
+
+
 def test_linear_model_recovers_the_known_effect(spark):
     """On 40,000 rows the ranks that define the effect let the linear learner order rows by it."""
     from adtally.operators.targeting import known_effect_report

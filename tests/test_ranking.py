@@ -37,7 +37,7 @@ def test_hot_value_is_spread_over_tasks(spark):
     """The rows sharing one value do not meet in one window group."""
     _, df = frame(spark)
     plan = with_average_ranks(df, {"a": F.col("hot")}, rows_per_bucket=100)._jdf.queryExecution().toString()
-    assert "rank_salt" in plan and "Exchange SinglePartition" not in plan
+    assert "__salt" in plan and "Exchange SinglePartition" not in plan
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
@@ -50,3 +50,12 @@ def test_row_number_and_running_sum(spark, partitions):
     assert got.rn.tolist() == list(range(1, len(pdf) + 1))
     assert got.id.tolist() == want.id.tolist()
     assert got.gain.tolist() == want.id.cumsum().tolist()
+
+
+def test_user_columns_keep_their_names(spark):
+    df = spark.createDataFrame([(3, 1, 9, 2.0), (4, 2, 8, 1.0)], "bucket int, part int, slot int, value double")
+    ranked = with_average_ranks(df, {"r": F.col("value")})
+    numbered = with_row_number(ranked, [F.asc("value")], "n", running={"total": F.col("slot")})
+    rows = sorted(tuple(row) for row in numbered.collect())
+    assert numbered.columns == ["bucket", "part", "slot", "value", "r", "n", "total"]
+    assert rows == [(3, 1, 9, 2.0, 1.0, 2, 17), (4, 2, 8, 1.0, 0.5, 1, 8)]

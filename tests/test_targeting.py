@@ -214,3 +214,14 @@ def test_input_errors(spark):
         T.policy_table(df, score_cols=["zz"], fractions=[0.1], **options)
     with pytest.raises(ValueError, match="top_fractions"):
         T.policy_table(df, score_cols=["a"], fractions=[1.5], **options)
+
+
+def test_correlation_skips_gaps_and_is_null_for_a_constant(spark):
+    pdf, df = frame(spark)
+    assert T.score_correlation(df, "a", "b").first()[0] == pytest.approx(pdf.a.corr(pdf.b))
+    constant = df.withColumn("c", F.lit(2.0))
+    assert T.score_correlation(constant, "a", "c").first()[0] is None
+    report = T.known_effect_report(constant, score_cols=["c"], true_effect_col="e", fractions=(0.1,))
+    row = report.filter("score_col = 'c'").first()
+    assert row.spearman_corr_with_true_effect is None and row.pearson_corr_with_true_effect is None
+    assert row.mean_true_effect == pytest.approx(pdf.head(70).e.mean())

@@ -31,11 +31,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from adtally.llm.common import BATCH_CHARS, chunks_by_size
+from adtally.llm.common import chunks_by_size
 
 NEVER = 1 << 60
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 48
+ENCODED_CHARS = 1_000_000  # characters of one output batch
+DECODED_ROWS = 200
 # Below this code point composition changes nothing and all Unicode versions agree.
 SIMPLE_END = 0x250
 # The separators 28 to 31 are white space to Python but not to the file.
@@ -91,9 +93,6 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("|".join(re.escape(n) for n in names)) if names else None
-        self.names = np.empty(max([*self.vocab.values(), *self.special.values()]) + 1, dtype=object)
-        for name, number in [*self.vocab.items(), *self.special.items()]:
-            self.names[number] = name
         self.bytes = byte_symbols()
         self.end_bytes = [chr(0xE000 + ord(s)) for s in self.bytes]
         self._read_merges(model["merges"])
@@ -210,12 +209,21 @@ class WordBpe:
             return b"".join(map(self.words.__getitem__, self.fallback(text)))
         return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
-    def decode(self, ids: pa.ListArray) -> pa.Array:
-        """The names of each row's tokens joined by one space: the file names no decoder."""
-        table = pa.array(list(self.names), type=pa.large_string())
-        names = table.take(ids.values.slice(ids.offsets[0].as_py(), len(ids.flatten())))
-        offsets = pc.cast(pc.subtract(ids.offsets, ids.offsets[0]), pa.int64())
-        return pc.binary_join(pa.LargeListArray.from_arrays(offsets, names), pa.scalar(" ", pa.large_string()))
+
+@functools.lru_cache(maxsize=4)
+def token_names(path: str) -> pa.Array:
+    """The name of every id of a tokenizers file; all that decoding needs."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    numbered = {n: name for name, n in spec["model"]["vocab"].items()}
+    numbered |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([numbered.get(i) for i in range(max(numbered) + 1)], type=pa.string())
+
+
+def decode_ids(ids: pa.ListArray, names: pa.Array) -> pa.Array:
+    """The names of each row's tokens joined by one space: the file names no decoder. Null for null ids."""
+    lists = pa.ListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]), names.take(ids.flatten()))
+    return pc.if_else(ids.is_valid(), pc.binary_join(lists, " "), None)
 
 
 @functools.lru_cache(maxsize=4)
@@ -231,7 +239,7 @@ def encode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
         bpe = vocabulary(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, end in chunks_by_size(texts, BATCH_CHARS):
+            for start, end in chunks_by_size(texts, ENCODED_CHARS):
                 found = [bpe.encode(t) for t in texts[start:end]]
                 offsets = np.zeros(len(found) + 1, dtype=np.int32)
                 np.cumsum([len(x) for x in found], out=offsets[1:])
@@ -247,14 +255,12 @@ def decode(df: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "
     """`id_col`, the ids and their decoded text, as `decoded`. Null ids decode to an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        names = token_names(path)
         for batch in batches:
-            ids = batch.column(1)
-            step = max(1, min(len(ids), 2_000))
-            for start in range(0, len(ids), step):
-                part = ids.slice(start, step)
-                text = pc.fill_null(bpe.decode(part), "").cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, step), part, text], ["key", "ids", "decoded"])
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                text = pc.fill_null(decode_ids(part.column(1), names), "")
+                yield pa.RecordBatch.from_arrays([*part.columns, text], ["key", "ids", "decoded"])
 
     key_type = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, ids_col).mapInArrow(run, f"key {key_type}, ids array<int>, decoded string")

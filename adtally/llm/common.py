@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +62,30 @@ def mix64(values: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def map_texts(
+    df: DataFrame, *, keep: Sequence[str], text_col: str, outputs: dict[str, str],
+    compute: Callable[[list[str]], dict[str, Sequence]], limit: int = BATCH_CHARS,
+) -> DataFrame:
+    """The columns of `keep`, untouched, and the outputs `compute` gives for each batch of texts (null: empty)."""
+    keep = list(dict.fromkeys(keep))
+    names = [*keep, *([] if text_col in keep else [text_col])]
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            for start, end in chunks_by_size(texts, limit):
+                found = compute(texts[start:end])
+                kept = [batch.column(i).slice(start, end - start) for i in range(len(keep))]
+                made = [pa.array(found[name], type=ARROW[kind]) for name, kind in outputs.items()]
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=[f"c{i}" for i in range(len(kept) + len(made))])
+
+    kinds = [*(df.schema[name].dataType.simpleString() for name in keep), *outputs.values()]
+    inner = df.select(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)])
+    out = inner.mapInArrow(run, ", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds)))
+    return out.toDF(*keep, *outputs)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe
-from adtally.llm.common import read_table
+from adtally.llm import bpe, language_id, quality
+from adtally.llm.common import fold, read_table
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,8 +23,23 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = quality.learn(docs, read_table(spark, folder, "labels"), fold("doc_id", 5) != 0)
+    held = docs.withColumn("held_out", fold("doc_id", 5) == 0)
+    scored = quality.score(held, model, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = language_id.learn(docs, fold("doc_id", 3) != 1)
+    held = docs.withColumn("held_out", fold("doc_id", 3) == 1)
+    return language_id.predict(held, model, keep=("doc_id", "held_out"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe}
+    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op10_language_id": op10_language_id}
 
 
 def llm_oracles() -> dict[str, str]:

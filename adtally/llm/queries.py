@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, language_id, quality
+from adtally.llm import bpe, chat, language_id, quality
 from adtally.llm.common import fold, read_table
 
 
@@ -31,6 +31,54 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    rows = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    made = chat.format_conversations(
+        chat.as_chain(rows, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text")
+    )
+    turns = made.withColumn("turns", chat.read_back(F.col("formatted")))
+    each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    trained = F.array_join(F.transform("loss_turns", lambda i: F.col("turns")[(i - 1).cast("int")]["text"]), "")
+    return turns.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(each, ""), 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+CHAT_SQL = """
+WITH given AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), clean AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given
+), pieces AS (
+    SELECT *, '<turn>' || replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&br;') || chr(10)
+        || replace(replace(text, '&', '&amp;'), '<', '&lt;') || '</turn>' || chr(10) AS piece
+    FROM clean
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+        sum(length(piece)) AS formatted
+    FROM pieces GROUP BY conv_id
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(turns) AS turns_sha256,
+    CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+    CAST(formatted AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     model = language_id.learn(docs, fold("doc_id", 3) != 1)
@@ -39,8 +87,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op10_language_id": op10_language_id}
+    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op9_chat": op9_chat, "op10_language_id": op10_language_id}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op9_chat": CHAT_SQL}

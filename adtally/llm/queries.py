@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, chat, language_id, mixture, quality
+from adtally.llm import bpe, chat, language_id, line_templates, mixture, quality
 from adtally.llm.common import fold, read_table
 
 
@@ -35,6 +35,13 @@ def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_sources(read_table(spark, folder, "documents")).documents.drop("source")
 
 
+def op8_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs).select(
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"), "n_dropped"
+    )
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     tricky = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -91,7 +98,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op9_chat": op9_chat, "op10_language_id": op10_language_id}
+    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op8_line_templates": op8_line_templates,
+        "op9_chat": op9_chat, "op10_language_id": op10_language_id}
 
 
 def llm_oracles() -> dict[str, str]:

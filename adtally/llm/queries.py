@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, chat, language_id, line_templates, mixture, quality
+from adtally.llm import bpe, chat, language_id, line_templates, mixture, quality, spot_signatures
 from adtally.llm.common import fold, read_table
 
 
@@ -35,6 +35,14 @@ def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_sources(read_table(spark, folder, "documents")).documents.drop("source")
 
 
+def op7_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    found = spot_signatures.fingerprint_neighbours(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next",
+    )
+
+
 def op8_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return line_templates.drop_recurring_lines(docs).select(
@@ -98,7 +106,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op8_line_templates": op8_line_templates,
+    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
+        "op8_line_templates": op8_line_templates,
         "op9_chat": op9_chat, "op10_language_id": op10_language_id}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, chat, language_id, line_templates, mixture, quality, spot_signatures
+from adtally.llm import bpe, chat, language_id, line_templates, mixture, nearest, quality, spot_signatures
 from adtally.llm.common import fold, read_table
 
 
@@ -23,6 +23,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    index = nearest.build_index(read_table(spark, folder, "embeddings"))
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return nearest.search(index, F.col("vec_id") % 20 == 0)
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     model = quality.learn(docs, read_table(spark, folder, "labels"), fold("doc_id", 5) != 0)
@@ -106,7 +113,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
+    return {"op1_bpe": op1_bpe, "op2_nearest": op2_nearest,
+        "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
         "op8_line_templates": op8_line_templates,
         "op9_chat": op9_chat, "op10_language_id": op10_language_id}
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm import bpe, chat, language_id, line_templates, mixture, nearest, quality, spot_signatures
+from adtally.llm import (
+    bpe, chat, language_id, line_templates, mixture, nearest, personal_data, quality, spot_signatures,
+)
 from adtally.llm.common import fold, read_table
 
 
@@ -30,6 +32,14 @@ def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.search(index, F.col("vec_id") % 20 == 0)
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = personal_data.find(docs, personal_data.learn(docs))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     model = quality.learn(docs, read_table(spark, folder, "labels"), fold("doc_id", 5) != 0)
@@ -114,6 +124,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_nearest": op2_nearest,
+        "op3_personal_data": op3_personal_data,
         "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
         "op8_line_templates": op8_line_templates,
         "op9_chat": op9_chat, "op10_language_id": op10_language_id}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import (
-    bpe, chat, language_id, line_templates, mixture, nearest, personal_data, quality, spot_signatures,
+    bpe, chat, language_id, line_templates, mixture, nearest, personal_data, quality, shingle_join,
+    spot_signatures,
 )
 from adtally.llm.common import fold, read_table
 
@@ -48,6 +49,11 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = shingle_join.join_similar(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_sources(read_table(spark, folder, "documents")).documents.drop("source")
 
@@ -125,7 +131,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_nearest": op2_nearest,
         "op3_personal_data": op3_personal_data,
-        "op4_quality": op4_quality, "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
+        "op4_quality": op4_quality, "op5_shingle_join": op5_shingle_join,
+        "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
         "op8_line_templates": op8_line_templates,
         "op9_chat": op9_chat, "op10_language_id": op10_language_id}
 

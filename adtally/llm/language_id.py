@@ -168,14 +168,17 @@ def learn(
 
 def predict(
     docs: DataFrame, model: LanguageModel, *, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-    margin: float = 0.02,
+    margin: float = 0.02, prefix: str = "",
 ) -> DataFrame:
-    """The columns of `keep`, `lang_pred`, `score` and `ambiguous`, per row of `docs`."""
+    """The columns of `keep`, `lang_pred`, `score` and `ambiguous`, per row of `docs`.
+
+    With a `prefix` the three new names begin with it, so that they cannot clash with kept columns.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: features x bits
 
     def decide(texts: list[str]) -> dict:
         lang, score, unsure = shared.value.predict(texts, margin)
-        return {"lang_pred": lang, "score": score, "ambiguous": unsure}
+        return {f"{prefix}lang_pred": lang, f"{prefix}score": score, f"{prefix}ambiguous": unsure}
 
-    outputs = {"lang_pred": "string", "score": "double", "ambiguous": "boolean"}
+    outputs = {f"{prefix}lang_pred": "string", f"{prefix}score": "double", f"{prefix}ambiguous": "boolean"}
     return map_texts(docs, keep=keep, text_col=text_col, outputs=outputs, compute=decide)

@@ -1,7 +1,15 @@
 """The corpus pipeline: documents to token ids, each stage written and read again.
 
-Stages keep every row their predecessor kept unless the stage's own decision drops it; all but the last
-return the columns of documents.
+Stages work on every row their predecessor kept; all but the last return the columns of documents.
+
+* language: rows without a letter and rows whose language is ambiguous go.
+* lines: recurring lines are cut from the texts; rows stay, `n_chars` follows the text.
+* near_duplicates: of each group of linked documents the one with the smallest id stays, once; documents
+  without words and rows with a null id stay.
+* mixture: a document stands in the mix as often as its share of taken words says; repeats are repeated rows.
+* bpe: token ids and the text they decode to.
+
+No SQL equivalent: the language model is fitted and the tokenizer's merges have no SQL form.
 """
 
 from __future__ import annotations
@@ -11,28 +19,74 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adtally.llm import bpe
-from adtally.sources.staging import shared_folder
+from adtally.llm import bpe, language_id, line_templates, mixture, shingle_join
+from adtally.llm.common import fold
+from adtally.sources.staging import shared_folder, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Ids sent to every task: 16 bytes each. Beyond that both sides of a join are partitioned by id.
+MAX_BROADCAST_IDS = 2_000_000
+
+
+def _checked(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.learn(docs, fold("doc_id", 3) != 1)
+    found = language_id.predict(docs, model, keep=tuple(docs.columns), prefix="language_stage_")
+    known = F.col("language_stage_lang_pred") != language_id.UNKNOWN
+    return found.filter(known & ~F.col("language_stage_ambiguous")).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = line_templates.drop_recurring_lines(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = stage(shingle_join.join_similar(docs), "components")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = _checked(stage(gone, "gone"))
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    repeated = found.filter("node is not null and doc_id is not null").groupBy("doc_id", "node").count().filter("count > 1")
+    if repeated.isEmpty():
+        return kept
+    once = F.when(F.col("doc_id").isNull() | (F.trim("text") == ""), F.uuid()).otherwise(F.xxhash64("text").cast("string"))
+    return kept.withColumn("only_once", once).dropDuplicates(["doc_id", "only_once"]).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = mixture.mix_sources(docs).documents
+    times = mixture.copies(F.col("size"), F.col("taken"), "doc_id")
+    times = stage(rows.groupBy(F.col("doc_id").alias("mix_id")).agg(F.max(times).alias("mix_times")).filter("mix_times > 0"), "copies")
+    met = docs.join(_checked(times), F.col("doc_id").eqNullSafe(F.col("mix_id")))
+    return met.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*docs.columns)
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document and the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.decode(bpe.encode(docs, path), path)
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mixed),
+    ("bpe", tokens),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, step in STAGES:
         path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -7,6 +7,7 @@ Column checks read only the schema. Value checks give a table of violations from
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,10 +61,15 @@ def _not_binary(name: str) -> Column:
 
 
 def check_binary_label(df: DataFrame, label_col: str) -> None:
-    bad = df.filter(F.col(label_col).isNotNull() & ~F.col(label_col).isin(0, 1))
-    found = [row[0] for row in bad.select(label_col).distinct().orderBy(label_col).limit(20).collect()]
-    if found:
-        raise ValueError(f"{label_col} must be binary with values in {{0, 1}}; found {found}")
+    """Raise with the number of offending rows and the range of their values, all from one aggregate."""
+    value = F.col(label_col)
+    bad = F.when(value.isNotNull() & ~value.isin(0, 1), value)
+    found = df.agg(F.count(bad).alias("rows"), F.min(bad).alias("least"), F.max(bad).alias("most")).first()
+    if found["rows"]:
+        raise ValueError(
+            f"{label_col} must be binary with values in {{0, 1}}; "
+            f"found {found['rows']} other rows from {found['least']} to {found['most']}"
+        )
 
 
 def check_source_schema(df: DataFrame) -> None:
@@ -89,6 +95,13 @@ def duplicate_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"))
 
 
+def _duplicate_rows(df: DataFrame, key: Sequence[str]) -> int:
+    """Fully equal rows beyond the first, counted among the rows whose key repeats: only those are shuffled whole."""
+    repeated = df.groupBy(*key).count().filter(F.col("count") > 1).select(*[F.col(n).alias(f"__{n}") for n in key])
+    same = reduce(Column.__and__, [F.col(f"`{n}`").eqNullSafe(F.col(f"__{n}")) for n in key])
+    return duplicate_count(df.join(repeated, same, "left_semi"), df.columns).first()["duplicates"]
+
+
 def quality_violations(
     df: DataFrame,
     *,
@@ -100,7 +113,7 @@ def quality_violations(
     """One row per check and column: (check, column, violations, observed_min).
 
     Nulls, minimums and labels come from a single aggregate. Fully equal rows are equal on the key, so the
-    wide duplicate count over all columns runs only when the narrow key count found any.
+    wide duplicate count over all columns runs only when the narrow key count found any, on those rows.
     """
     spark = df.sparkSession
     measures = {f"null|{name}": F.count_if(F.col(name).isNull()) for name in required}
@@ -110,7 +123,7 @@ def quality_violations(
     measures |= {f"binary|{name}": _not_binary(name) for name in binary}
     found = df.agg(*[column.alias(name) for name, column in measures.items()]).first().asDict()
     same_key = duplicate_count(df, key).first()["duplicates"]
-    same_row = duplicate_count(df, df.columns).first()["duplicates"] if same_key else 0
+    same_row = _duplicate_rows(df, key) if same_key else 0
     rows = [("null", name, found[f"null|{name}"], None) for name in required]
     rows += [("duplicate_row", "*", same_row, None), ("duplicate_key", ",".join(key), same_key, None)]
     rows += [("minimum", name, found[f"below|{name}"], found[f"min|{name}"]) for name in minimums]
@@ -169,6 +182,18 @@ def check_overlap(df: DataFrame, treatment_col: str) -> None:
         raise ValueError("uplift training data must contain both treated and control rows")
 
 
+def check_scored(df: DataFrame, label_col: str, score_col: str) -> None:
+    """No row may lack a label or a score: such a row has no place in a metric."""
+    label, score = F.col(label_col).cast("double"), F.col(score_col).cast("double")
+    found = df.agg(
+        F.count_if(label.isNull() | F.isnan(label)).alias("labels"), F.count_if(score.isNull() | F.isnan(score)).alias("scores")
+    ).first()
+    if found["labels"]:
+        raise ValueError(f"{found['labels']} rows have no value in the label column {label_col}")
+    if found["scores"]:
+        raise ValueError(f"{found['scores']} rows have no value in the score column {score_col}")
+
+
 def check_calibration_input(df: DataFrame, label_col: str, score_col: str, *, frame_name: str) -> None:
     """Non-empty, no nulls, labels 0/1 and scores within [0, 1], in one aggregate."""
     label, score = F.col(label_col).cast("double"), F.col(score_col).cast("double")

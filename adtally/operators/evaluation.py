@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally.functions.binning import with_right_closed_bin
 from adtally.functions.expressions import clipped_probability, ratio
+from adtally.operators.contracts import check_scored
 from adtally.operators.ranking import ROWS_PER_BUCKET, value_buckets, with_bucket
 from adtally.operators.selection import quantile_edges
 from adtally.operators.splits import TIME_KEY, with_time_slice
@@ -27,9 +28,11 @@ def binary_metrics(
 
     Rows are first summed per distinct score, so ties collapse before the shuffle. Running totals are taken
     inside score buckets and completed by the totals of the higher buckets: a group holding most of the rows
-    is spread over all its buckets. Both areas are null when a group has one class only.
+    is spread over all its buckets. Both areas are null when a group has one class only. Rows without a label
+    or a score are refused.
     """
     by = list(by)
+    check_scored(df, label_col, score_col)
     score, label = F.col(score_col).cast("double"), F.col(label_col).cast("double")
     work = df.select(*by, score.alias("__score"), label.alias("__y"))
     buckets = value_buckets(work, {"score": F.col("__score")}, rows_per_bucket=rows_per_bucket)["score"]

@@ -57,6 +57,10 @@ def _numeric_inputs(train: DataFrame, features: Features) -> SQLTransformer:
     """Fills nulls with training medians and modes; categories become fixed-width text, ordered like numbers."""
     fills = medians(train, {name: F.col(name) for name in features.numeric}) if features.numeric else {}
     modes = most_frequent(train, features.categorical)
+    empty = [name for name in features.numeric if fills[name] is None]
+    empty += [name for name in features.categorical if modes[name] is None]
+    if empty:
+        raise ValueError(f"training columns without any value: {empty}")
     parts = [
         f"CAST(COALESCE(CAST(`{name}` AS DOUBLE), {fills[name]!r}D) AS DOUBLE) AS `num_{name}`"
         for name in features.numeric
@@ -84,8 +88,8 @@ def _preparation(train: DataFrame, features: Features, *, one_hot: bool) -> list
             # The dropped last slot is the one of unknown values: they become all-zero vectors.
             vectors = [f"hot_{name}" for name in features.categorical]
             encoder = OneHotEncoder(inputCols=codes, outputCols=vectors, dropLast=True, handleInvalid="error")
-            sample = indexer.transform(stages[0].transform(train.limit(1)))
-            stages.append(encoder.fit(sample))
+            # The encoder's sizes are the indexer's, read from the column metadata: no row is needed.
+            stages.append(encoder.fit(indexer.transform(stages[0].transform(train.filter(F.lit(False))))))
             inputs += vectors
         else:
             # Plain numbers, -1 for unknown: trees then split by order instead of by category sets.

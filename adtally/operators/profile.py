@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.operators.selection import quantiles
+from adtally.operators.selection import quantiles, without_nan
 
 
 def table_profile(
@@ -51,8 +51,8 @@ def table_profile(
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per column, one row each."""
-    numbers = {name: F.col(name).cast("double") for name in columns}
+    """count, mean, std, min, exact quartiles and max per column, one row each; NaN counts as null."""
+    numbers = {name: without_nan(F.col(name).cast("double")) for name in columns}
     aggregates = []
     for i, name in enumerate(columns):
         value = numbers[name]

@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.functions.binning import with_interval
+from adtally.operators.selection import sketched_quantiles
 from adtally.sources.staging import stage
 
 ROWS_PER_BUCKET = 20_000
 MIN_BUCKETS = 64
 MAX_BUCKETS = 16_384
+MAX_SKETCH = 16_384
 SALTS = 1_024
 ROWS_PER_TASK = 2_000_000
 
@@ -49,17 +51,12 @@ def value_buckets(
     counts = df.agg(*[F.count(columns[name]).alias(name) for name in names]).first()
     most = max([counts[name] for name in names], default=0)
     buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(most / rows_per_bucket)))
-    points = "array(" + ",".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")"
-    row = df.agg(
-        *[
-            F.percentile_approx(columns[name].cast("double"), F.expr(points), F.lit(8 * buckets)).alias(name)
-            for name in names
-        ]
-    ).first()
+    points = [i / buckets for i in range(1, buckets)]
+    row = sketched_quantiles(df, {name: (columns[name], points) for name in names}, size=min(MAX_SKETCH, 4 * buckets))
     buckets_of = {}
     for name in names:
         starts: set[float] = set()
-        for boundary in row[name] or [0.0]:
+        for boundary in map(float, row[name] or [0.0]):
             starts |= {boundary, math.nextafter(boundary, math.inf)}
         buckets_of[name] = Buckets(sorted(start for start in starts if math.isfinite(start)), counts[name])
     return buckets_of

@@ -1,11 +1,14 @@
 """Exact order statistics and rank cuts without sorting or shuffling the rows.
 
 Many reports need only a few ranks of a huge ordering: the row where the training split ends, the k-th best
-score, a quantile edge. Each is found by narrowing: an approximate-percentile aggregate proposes candidate
-values, one counting aggregate tells their exact ranks, and only the value ranges that still hide a wanted
-rank are looked at again. Both aggregates combine map-side, so per round a few thousand bytes per task travel
-and the driver receives a handful of numbers. Once the open ranges are counted to hold few rows, their values
-are read and the search ends. Ties on the first key are resolved by the next key, within the tied rows only.
+score, a quantile edge. Each is found by narrowing: quantile sketches propose candidate values, one counting
+aggregate tells their exact ranks, and only the value ranges that still hide a wanted rank are looked at
+again. Once the open ranges are counted to hold few rows, their values are read and the search ends. Ties on
+the first key are resolved by the next key, within the tied rows only.
+
+Sketches are merged in two levels: every task sends its sketches (some tens of kilobytes each) to one of
+SKETCH_GROUPS tasks, and the last task merges one sketch per group and column, whatever the number of tasks.
+Proposals need not be exact, nor repeatable: the counting pass decides.
 """
 
 from __future__ import annotations
@@ -22,13 +25,45 @@ from pyspark.sql import types as T
 from adtally.functions.binning import with_interval
 from adtally.functions.expressions import add_all
 
-# Relative rank error of a proposal is 1 / ACCURACY. In ranges of at most EXACT_ROWS rows proposals are made
-# without error; open ranges with no more rows than FINISH_ROWS are read.
-ACCURACY = 10_000
-EXACT_ROWS = 50_000
+# Values a sketch keeps; with no more rows than that its proposals are exact. Open ranges with no more rows than
+# FINISH_ROWS are read.
+SKETCH_SIZE = 2_000
+SKETCH_GROUPS = 64
 FINISH_ROWS = 5_000
 
 
+def rank_error(size: int) -> float:
+    """A bound on the share of rows by which a sketch of `size` values misses a rank."""
+    return 3.0 / size**0.9
+
+
+def sketched_quantiles(
+    df: DataFrame, asked: Mapping[str, tuple[Column, Sequence[float]]], *, size: int = SKETCH_SIZE
+) -> dict[str, list[float]]:
+    """Approximate quantiles of the non-null, non-NaN values of each named column at the given shares.
+
+    They are followed by the exact minimum and maximum, as values of the column's own type.
+    """
+    if not asked:
+        return {}
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group")
+    numbers = {name: without_nan(value.cast("double")) for name, (value, _) in asked.items()}
+    own = {f"{name}__own": without_nan(value) for name, (value, _) in asked.items()}
+    wide = df.select(part, *[value.alias(name) for name, value in (numbers | own).items()])
+    sketches = [F.kll_sketch_agg_double(name, size).alias(name) for name in asked]
+    ends = [f(name).alias(f"{f.__name__}_{name}") for name in own for f in (F.min, F.max)]
+    groups = wide.groupBy("__group").agg(*sketches, *ends)
+    ends = [f(f"{f.__name__}_{name}").alias(f"{f.__name__}_{name}") for name in own for f in (F.min, F.max)]
+    merged = groups.agg(*[F.kll_merge_agg_double(name).alias(name) for name in asked], *ends)
+    found = [F.col(f"{f}_{name}") for name in own for f in ("min", "max")]
+    for name, (_, points) in asked.items():
+        some = F.when(F.kll_sketch_get_n_double(name) > 0, F.col(name))
+        at = F.array(*[F.lit(min(max(float(p), 0.0), 1.0)) for p in points])
+        found.append(F.kll_sketch_get_quantile_double(some, at).alias(name))
+    row = merged.select(*found).first()
+    return {n: [*row[n], row[f"min_{n}__own"], row[f"max_{n}__own"]] if row[n] else [] for n in asked}
+
+
 @dataclass(frozen=True)
 class Ask:
     """Values wanted at 1-based ascending ranks of `column`, among rows where `where` holds."""
@@ -94,7 +129,7 @@ class _Search:
 
     def propose(self, ranges: list[_Range]) -> None:
         """Give every range candidate values near its wanted ranks."""
-        aggregates = []
+        asked = {}
         for i, item in enumerate(ranges):
             value = self.asks[item.ask].value()
             inside = F.lit(True)
@@ -104,19 +139,15 @@ class _Search:
                 inside = inside & (value < F.lit(item.high))
             measured = F.when(inside, value - F.lit(self._base(item)) if self._base(item) else value)
             points = [(rank - item.offset - 0.5) / item.rows for rank in item.ranks]
-            accuracy = 2 * EXACT_ROWS
-            if item.rows > EXACT_ROWS:
+            if item.rows > SKETCH_SIZE:
                 # Each rank is bracketed by twice the possible error, so that the gap hiding it is always narrow.
-                accuracy = ACCURACY
-                points = [min(max(p + step / ACCURACY, 0.0), 1.0) for p in points for step in (-2, 0, 2)]
-            aggregates.append(F.percentile_approx(measured, points, F.lit(accuracy)).alias(f"p{i}"))
-            if self.integral[item.ask]:
-                # Proposals for huge whole numbers are rounded; true extremes guarantee progress.
-                aggregates.append(F.array(F.min(measured), F.max(measured)).alias(f"m{i}"))
-        row = self._relevant([item.ask for item in ranges]).agg(*aggregates).first()
+                points = [p + step * rank_error(SKETCH_SIZE) for p in points for step in (-2, 0, 2)]
+            asked[f"p{i}"] = (measured, points)
+        found = sketched_quantiles(self._relevant([item.ask for item in ranges]), asked)
         for i, item in enumerate(ranges):
-            found = [*row[f"p{i}"], *(row[f"m{i}"] if self.integral[item.ask] else [])]
-            item.candidates = sorted({value + self._base(item) for value in found})
+            # Proposals for huge whole numbers are rounded; the true extremes guarantee progress.
+            values = [int(v) if self.integral[item.ask] else v for v in found[f"p{i}"]]
+            item.candidates = sorted({value + self._base(item) for value in values})
 
     def _positions(self, points: Mapping[int, list[float]]) -> tuple[DataFrame, dict[int, list[int]]]:
         """The table with a column `at<ask>` per ask, and per ask the place code of every number in it.
@@ -299,6 +330,11 @@ def rank_cuts(df: DataFrame, orderings: Sequence[Ordering]) -> list[dict[int, Co
     return cuts
 
 
+def without_nan(column: Column) -> Column:
+    """Not-a-number as null: it has no rank."""
+    return F.when(~F.isnan(column), column)
+
+
 def first_k(rows: int, fraction: float) -> int:
     """Rows in the top fraction: at least one, otherwise the product cut to a whole number."""
     return max(1, int(rows * fraction))
@@ -329,7 +365,7 @@ def quantiles(
 
     An empty column gives an empty list.
     """
-    names = list(columns)
+    names, columns = list(columns), {name: without_nan(column) for name, column in columns.items()}
     counts = _count_rows(df, [Ask(columns[name], [], where) for name in names])
     positions: list[list[float]] = []
     asks = []
@@ -352,7 +388,7 @@ def quantile_edges(df: DataFrame, columns: Mapping[str, Column], **options) -> d
 
 def medians(df: DataFrame, columns: Mapping[str, Column], where: Column | None = None) -> dict[str, float | None]:
     """Exact medians (mean of the middle two) of the non-null values; None for an empty column."""
-    names = list(columns)
+    names, columns = list(columns), {name: without_nan(column) for name, column in columns.items()}
     counts = _count_rows(df, [Ask(columns[name], [], where) for name in names])
     asks = [
         Ask(columns[name], sorted({(rows + 1) // 2, rows // 2 + 1}) if rows else [], where, rows)

@@ -14,6 +14,11 @@ from adtally.operators.selection import Ordering, first_k, interpolate, quantile
 TIME_KEY = ("timestamp", "uid", "campaign")
 
 
+def split_order(timestamp_col: str) -> tuple[str, ...]:
+    """Rows by a chosen time column, ties by the row key."""
+    return tuple(dict.fromkeys((timestamp_col, *TIME_KEY)))
+
+
 def _check_bounds(train_fraction: float, validation_fraction: float) -> None:
     if not 0 < train_fraction < 1:
         raise ValueError("train_fraction must be between 0 and 1")

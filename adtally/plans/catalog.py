@@ -15,7 +15,7 @@ from adtally.operators.benchmark import add_known_effect_columns
 from adtally.operators.ranking import with_average_ranks
 from adtally.plans import jobs
 from adtally.sources.event_log import ad_log, ad_log_table
-from adtally.sources.staging import stage
+from adtally.sources.staging import stage, staged_cache
 from adtally.sources.tables import head_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,7 @@ SCORES = ("observational_score", "doubly_robust_score")
 EFFECT = "true_treatment_effect"
 TREATMENT, OUTCOME = "synthetic_treatment", "synthetic_outcome"
 
-_tables: dict[tuple[str, str, str], DataFrame] = {}
+_tables: dict[tuple[str, str, str], DataFrame] = staged_cache()
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -137,17 +137,18 @@ def _categorical_drift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _drift_summary(spark: SparkSession, folder: str) -> DataFrame:
-    both = _numeric_drift(spark, folder)
+    both = stage(_numeric_drift(spark, folder), "drift")
     is_score = F.col("column").isin(*SCORES)
     return drift.drift_summary(both.filter(~is_score), _categorical_drift(spark, folder), both.filter(is_score))
 
 
 def _calibration_totals(spark: SparkSession, folder: str) -> DataFrame:
     scored = click_scored(spark, folder)
-    return calibration.calibration_totals(
+    totals = calibration.calibration_totals(
         scored.filter("split = 'validation'"), scored.filter("split = 'test'"),
         label_col="click", score_col="pred_score", bins=10,
     )
+    return stage(totals, "calibration")
 
 
 def _lineitem_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -187,6 +188,21 @@ def _click_time_slices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _missing_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The ad log of events of which every tenth has lost its user."""
+
+    def build() -> DataFrame:
+        user = F.when(F.col("event_id") % 10 != 0, F.col("user_id"))
+        return ad_log(_table(spark, folder, "events").withColumn("user_id", user))
+
+    return _once(spark, folder, "missing-users", build)
+
+
+def _discount_with_nan(spark: SparkSession, folder: str) -> DataFrame:
+    value = F.when(F.col("l_linenumber") != 3, F.col("l_discount").cast("double")).otherwise(F.lit(float("nan")))
+    return _table(spark, folder, "lineitem").withColumn("l_discount", value)
+
+
 def _holey(spark: SparkSession, folder: str) -> DataFrame:
     """Split rows with nulls in a category: every row whose cat7 is 3 loses its cat4."""
     return split_log(spark, folder).withColumn("cat4", F.when(F.col("cat7") != 3, F.col("cat4")))
@@ -197,7 +213,7 @@ SMALL_TREES = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}
 
 
 def _click_model(spark: SparkSession, folder: str) -> DataFrame:
-    return jobs.run_click_model(ad_log_table(spark, folder))["click_metrics"]
+    return jobs.run_click_model(ad_log_table(spark, folder), wanted=("click_metrics",))["click_metrics"]
 
 
 def _model_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -238,6 +254,7 @@ def _catalog() -> dict[str, Query]:
     return {
         # log building and attribution
         "ad_log": lambda s, d: ad_log(_table(s, d, "events")),
+        "ad_log_missing_users": _missing_users,
         "attribution_credits": lambda s, d: attribution.with_credits(log(s, d)).select(
             *KEY, "last_touch", "multi_touch_linear", "time_decay"
         ),
@@ -253,6 +270,7 @@ def _catalog() -> dict[str, Query]:
         "budget_views": lambda s, d: attribution.budget_views(log(s, d), n=4),
         # contracts and profiles
         "quality_violations": lambda s, d: contracts.quality_violations(log(s, d)),
+        "quality_violations_missing_users": lambda s, d: contracts.quality_violations(_missing_users(s, d)),
         "lineitem_quality_violations": _lineitem_duplicates,
         "table_profile": lambda s, d: profile.table_profile(
             log(s, d), mean_columns=("click", "conversion"),
@@ -262,6 +280,9 @@ def _catalog() -> dict[str, Query]:
             log(s, d), ["cost", "cpo", "time_since_last_click"]
         ),
         "lineitem_describe_numeric": _lineitem_quartiles,
+        "describe_numeric_with_nan": lambda s, d: profile.describe_numeric(
+            _discount_with_nan(s, d), ["l_discount", "l_tax"]
+        ),
         # sources
         "head_sample": lambda s, d: head_rows(_table(s, d, "orders"), 1000).select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
@@ -292,6 +313,9 @@ def _catalog() -> dict[str, Query]:
         "time_split": lambda s, d: splits.time_split(
             log(s, d), train_fraction=0.7, validation_fraction=0.1
         ).select(*KEY, "split"),
+        "time_split_other_column": lambda s, d: splits.time_split(
+            log(s, d), train_fraction=0.7, validation_fraction=0.1, order=splits.split_order("cost")
+        ).select(*KEY, "split"),
         "time_split_two_way": lambda s, d: splits.time_split(log(s, d), train_fraction=0.8)
         .groupBy("split")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")),

@@ -5,9 +5,10 @@ Each takes a log table and an output folder, appends its reports there under a r
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import reduce, wraps
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
@@ -22,9 +23,10 @@ from adtally.operators.features import apply_feature_set
 from adtally.operators.models import (
     Features, UpliftSpec, fit_click_model, fit_uplift, save_models, with_prediction, with_uplift_scores,
 )
-from adtally.operators.splits import time_split
-from adtally.plans.runs import append_report, append_run, metrics_of, new_run_id
-from adtally.sources.staging import stage
+from adtally.operators.splits import split_order, time_split
+from adtally.plans.runs import append_report, append_run, metrics_of, new_run_id, read_report
+from adtally.sources.staging import stage, staging_scope
+from adtally.sources.tables import head_rows
 
 # Default features of the click model and of the benchmark uplift models.
 CATEGORIES = tuple(f"cat{i}" for i in range(1, 10))
@@ -46,14 +48,39 @@ UPLIFT_FEATURES = Features(
 def _finish(
     reports: Mapping[str, DataFrame], folder: str | None, run_name: str, pipeline: str, dataset: str, **run: Any
 ) -> dict[str, DataFrame]:
-    """Append the reports and the run row when an output folder is given."""
-    if folder is not None:
-        run_id = new_run_id(run_name)
-        spark = next(iter(reports.values())).sparkSession
-        for name, report in reports.items():
-            append_report(report, folder, name, run_id)
-        append_run(spark, folder, run_id=run_id, run_name=run_name, pipeline_name=pipeline, dataset=dataset, **run)
-    return dict(reports)
+    """With an output folder: append the reports and the run row, and return the stored reports."""
+    if folder is None:
+        return dict(reports)
+    run_id = new_run_id(run_name)
+    spark = next(iter(reports.values())).sparkSession
+    for name, report in reports.items():
+        append_report(report, folder, name, run_id)
+    append_run(spark, folder, run_id=run_id, run_name=run_name, pipeline_name=pipeline, dataset=dataset, **run)
+    return {name: read_report(spark, folder, name, run_id) for name in reports}
+
+
+def _released(run):
+    """A run with an output folder deletes its intermediate tables; without one they live on with its reports."""
+
+    @wraps(run)
+    def scoped(*args: Any, **options: Any):
+        if options.get("folder") is None:
+            return run(*args, **options)
+        given = args[0] if args else next(iter(options.values()))
+        with staging_scope(given.sparkSession):
+            return run(*args, **options)
+
+    return scoped
+
+
+def _described(**parts: Any) -> dict[str, str]:
+    """Run metadata as text: label, features, model and parameters."""
+    return {name: value if isinstance(value, str) else json.dumps(value, default=str) for name, value in parts.items()}
+
+
+def _first_rows(log: DataFrame, max_rows: int | None) -> DataFrame:
+    """The whole log, or its first rows where a run is limited on purpose."""
+    return log if max_rows is None else stage(head_rows(log, max_rows), "head")
 
 
 def _split_rows(df: DataFrame) -> dict[str, int]:
@@ -65,6 +92,7 @@ def _part(df: DataFrame, split: str) -> DataFrame:
     return df.filter(F.col("split") == split)
 
 
+@_released
 def run_attribution(
     log: DataFrame,
     *,
@@ -121,7 +149,10 @@ def prepare_click_table(log: DataFrame, job: ClickJob, *, checked: bool = False)
     table = apply_feature_set(log, job.feature_set)
     before = [name for name in job.features.numeric if name not in job.train_only_encodings]
     check_training_table(table, numeric_features=before, **columns)
-    table = time_split(table, train_fraction=job.train_fraction, validation_fraction=job.validation_fraction)
+    order = split_order(job.timestamp_col)
+    table = time_split(
+        table, train_fraction=job.train_fraction, validation_fraction=job.validation_fraction, order=order
+    )
     if job.train_only_encodings:
         table = encode_campaign(table, label_col=job.label)
     table = stage(table, "click-table", partition_by=["split"])
@@ -138,6 +169,7 @@ def score_click_table(table: DataFrame, job: ClickJob):
     return model, stage(scored, "click-scores", partition_by=["split"])
 
 
+@_released
 def run_click_model(
     log: DataFrame,
     job: ClickJob = ClickJob(),
@@ -146,32 +178,58 @@ def run_click_model(
     run_name: str = "ctr_baseline",
     dataset: str = "",
     table: DataFrame | None = None,
+    max_rows: int | None = None,
+    wanted: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    table = prepare_click_table(log, job) if table is None else table
+    """Fit, score and report; without a folder only the `wanted` reports are built (all if None)."""
+    table = prepare_click_table(_first_rows(log, max_rows), job) if table is None else table
     model, scored = score_click_table(table, job)
     test = _part(scored, "test")
     names = {"label_col": job.label, "score_col": "pred_score"}
-    bins = evaluation.calibration_bins(test, **names)
-    reports = {
-        "click_metrics": evaluation.binary_metrics(scored, by=["split"], **names),
+    order = split_order(job.timestamp_col)
+    cache: dict[str, DataFrame] = {}
+
+    def bins() -> DataFrame:
+        if "bins" not in cache:
+            cache["bins"] = stage(evaluation.calibration_bins(test, **names), "bins")
+        return cache["bins"]
+
+    # Building a report already runs jobs, so only what is wanted is built.
+    makers = {
+        "click_metrics": lambda: stage(evaluation.binary_metrics(scored, by=["split"], **names), "metrics"),
         "click_calibration_bins": bins,
-        "click_calibration_summary": evaluation.calibration_summary(bins),
-        "click_campaign_slices": evaluation.campaign_slices(test, top_campaigns=job.top_campaigns, **names),
-        "click_time_slices": evaluation.time_slices(test, slices=job.time_slices, **names),
+        "click_calibration_summary": lambda: evaluation.calibration_summary(bins()),
+        "click_campaign_slices": lambda: evaluation.campaign_slices(test, top_campaigns=job.top_campaigns, **names),
+        "click_time_slices": lambda: evaluation.time_slices(
+            test, slices=job.time_slices, timestamp_col=job.timestamp_col, order=order, **names
+        ),
     }
     if job.train_only_encodings:
-        reports["click_encoding"] = encoding_metadata(table, label_col=job.label)
+        makers["click_encoding"] = lambda: encoding_metadata(table, label_col=job.label)
+    reports = {name: make() for name, make in makers.items() if wanted is None or folder is not None or name in wanted}
     if folder is None:
         return reports
     save_models({"click_model": model}, f"{folder}/models/{run_name}")
+    metrics = metrics_of(_part(reports["click_metrics"], "test"))
+    metrics |= {f"validation_{k}": v for k, v in metrics_of(_part(reports["click_metrics"], "validation")).items()}
     return _finish(
-        reports, folder, run_name, "click_model", dataset,
-        metrics=metrics_of(_part(reports["click_metrics"], "test")), **_split_rows(table),
+        reports, folder, run_name, "click_model", dataset, metrics=metrics, metadata=_click_metadata(job),
+        **_split_rows(table),
+    )
+
+
+def _click_metadata(job: ClickJob) -> dict[str, str]:
+    return _described(
+        label=job.label, timestamp_col=job.timestamp_col, feature_set=job.feature_set or "",
+        numeric_features=list(job.features.numeric), categorical_features=list(job.features.categorical),
+        train_only_encodings=list(job.train_only_encodings), model_type=job.model_type, model_params=dict(job.model_params),
     )
 
 
+@_released
 def compare_click_models(
-    log: DataFrame, candidates: Mapping[str, ClickJob], *, folder: str | None = None, run_name: str = "ctr_compare"
+    log: DataFrame, candidates: Mapping[str, ClickJob], *, folder: str | None = None, run_name: str = "ctr_compare",
+    dataset: str = "",
 ) -> DataFrame:
     """Test metrics of every candidate with four rankings; rank 1 by `rank_roc_auc` is the best model.
 
@@ -180,18 +238,27 @@ def compare_click_models(
     tables: dict[tuple, DataFrame] = {}
     rows = []
     for name, job in candidates.items():
-        key = (job.feature_set, tuple(job.train_only_encodings), job.train_fraction, job.validation_fraction)
+        key = (
+            job.label, job.timestamp_col, job.feature_set, tuple(job.features.numeric), tuple(job.features.categorical),
+            tuple(job.train_only_encodings), job.train_fraction, job.validation_fraction,
+        )
         if key not in tables:
             tables[key] = prepare_click_table(log, job, checked=bool(tables))
-        reports = run_click_model(log, job, table=tables[key])
+        reports = run_click_model(log, job, table=tables[key], wanted=("click_metrics", "click_calibration_summary"))
         metrics = _part(reports["click_metrics"], "test").drop("split")
+        held = _part(reports["click_metrics"], "validation").drop("split")
+        held = held.select(*[F.col(c).alias(f"validation_{c}") for c in held.columns], F.lit(1).alias("one"))
         summary = reports["click_calibration_summary"].withColumn("one", F.lit(1))
         # One row on both sides.
         rows.append(
             metrics.withColumn("one", F.lit(1))
             .join(F.broadcast(summary), "one")
+            .join(F.broadcast(held), "one", "left")
             .drop("one")
-            .select(F.lit(name).alias("name"), F.lit(job.model_type).alias("model_type"), "*")
+            .select(
+                F.lit(name).alias("name"), F.lit(job.model_type).alias("model_type"),
+                F.lit(json.dumps(dict(job.model_params))).alias("model_params"), "*",
+            )
         )
     metrics = stage(reduce(DataFrame.unionByName, rows), "comparison")
     everything = Window.partitionBy(F.lit(0))
@@ -204,10 +271,17 @@ def compare_click_models(
     # One row per candidate.
     ranked = metrics.withColumns(
         {name: F.row_number().over(everything.orderBy(order, "name")) for name, order in best.items()}
+    ).withColumn("is_best", F.col("rank_roc_auc") == 1)
+    if folder is None:
+        return ranked
+    winner = metrics_of(ranked.filter("is_best"))
+    metadata = {name: json.dumps(_click_metadata(job)) for name, job in candidates.items()}
+    metadata["best_model"] = ranked.filter("is_best").first()["name"]
+    stored = _finish(
+        {"click_comparison": ranked}, folder, run_name, "click_comparison", dataset, metrics=winner, metadata=metadata,
+        **_split_rows(next(iter(tables.values()))),
     )
-    if folder is not None:
-        append_report(ranked, folder, "click_comparison", new_run_id(run_name))
-    return ranked
+    return stored["click_comparison"]
 
 
 @dataclass(frozen=True)
@@ -285,10 +359,12 @@ def uplift_evaluation(scored: DataFrame, job: UpliftJob, splits: Sequence[str] =
     }
 
 
+@_released
 def run_uplift(
-    log: DataFrame, job: UpliftJob, *, folder: str | None = None, run_name: str = "uplift", dataset: str = ""
+    log: DataFrame, job: UpliftJob, *, folder: str | None = None, run_name: str = "uplift", dataset: str = "",
+    max_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    models, scored = score_uplift_table(log, job)
+    models, scored = score_uplift_table(_first_rows(log, max_rows), job)
     reports = uplift_evaluation(scored, job)
     if job.known_effect:
         reports["uplift_known_effect"] = targeting.known_effect_report(
@@ -298,9 +374,18 @@ def run_uplift(
         return reports
     save_models(models, f"{folder}/models/{run_name}")
     metrics = metrics_of(_part(reports["uplift_summary"], "test"))
-    return _finish(reports, folder, run_name, "uplift", dataset, metrics=metrics, **_split_rows(scored))
+    metrics |= {f"validation_{k}": v for k, v in metrics_of(_part(reports["uplift_summary"], "validation")).items()}
+    spec = job.spec
+    metadata = _described(
+        treatment_col=spec.treatment_col, outcome_col=spec.outcome_col, numeric_features=list(spec.features.numeric),
+        categorical_features=list(spec.features.categorical), learner=spec.learner, learner_params=dict(spec.learner_params),
+    )
+    return _finish(
+        reports, folder, run_name, "uplift", dataset, metrics=metrics, metadata=metadata, **_split_rows(scored)
+    )
 
 
+@_released
 def run_targeting(
     scored: DataFrame,
     job: UpliftJob,
@@ -340,6 +425,7 @@ def run_targeting(
     return _finish(reports, folder, run_name, "policy_simulation", dataset, metrics=metrics, **_split_rows(scored))
 
 
+@_released
 def run_batch_scoring(
     scored: DataFrame,
     job: UpliftJob,
@@ -373,6 +459,7 @@ def run_batch_scoring(
     )
 
 
+@_released
 def run_drift(
     scored: DataFrame,
     *,
@@ -388,10 +475,10 @@ def run_drift(
     """Feature and score drift of the test rows against the training rows of a scored table."""
     reference, current = _part(scored, "train"), _part(scored, "test")
     # Features and scores share the passes over both tables.
-    both = drift.numeric_drift(reference, current, columns=[*numeric, *scores], bins=bins)
+    both = stage(drift.numeric_drift(reference, current, columns=[*numeric, *scores], bins=bins), "drift")
     numeric_rows = both.filter(F.col("column").isin(*numeric))
     score_rows = both.filter(F.col("column").isin(*scores))
-    categorical_rows = drift.categorical_drift(reference, current, columns=categorical, top_n=top_n)
+    categorical_rows = stage(drift.categorical_drift(reference, current, columns=categorical, top_n=top_n), "drift")
     reports = {
         "numeric_drift": numeric_rows,
         "categorical_drift": categorical_rows,
@@ -404,6 +491,7 @@ def run_drift(
     return _finish(reports, folder, run_name, "drift_report", dataset, metrics=metrics, **_split_rows(scored))
 
 
+@_released
 def run_calibration_drift(
     log: DataFrame,
     job: ClickJob = ClickJob(),

@@ -50,3 +50,8 @@ def append_run(
 
 def append_report(report: DataFrame, folder: str, name: str, run_id: str) -> None:
     report.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(f"{folder}/{name}")
+
+
+def read_report(spark: SparkSession, folder: str, name: str, run_id: str) -> DataFrame:
+    """A stored report of one run."""
+    return spark.read.parquet(f"{folder}/{name}").filter(F.col("run_id") == run_id).drop("run_id")

@@ -4,8 +4,11 @@ The raw table has one row per user action: event_id, ts, user_id, event_type, va
 holding a number `k`). The ad log has one row per view or click, with the click path it belongs to.
 
 Path building needs running counts per user. One user may own a large share of all rows, so the windows
-never run over a whole heavy user: heavy users are cut into time chunks, each chunk is counted on its own,
-and small per-chunk summaries carry the counts across chunks.
+never run over a whole heavy user: heavy users are cut into time chunks, crowded hours into finer ones, each
+chunk is counted on its own, and small per-chunk summaries carry the counts across chunks.
+
+Events without a user belong to no path. They stay, each as a path of its own with a null `uid`, so that the
+null check of the contract reports them; they need no window and are not gathered anywhere.
 """
 
 from __future__ import annotations
@@ -14,13 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adtally.sources.staging import stage
+from adtally.sources.staging import stage, staged_cache
 
 HEAVY_USER_ROWS = 1_000_000
-MAX_HEAVY_USERS = 100_000
 CHUNK_MICROS = 3_600_000_000
 
-_logs: dict[tuple[str, str], DataFrame] = {}
+_logs: dict[tuple[str, str], DataFrame] = staged_cache()
 
 
 def _micros(events: DataFrame, name: str) -> Column:
@@ -43,17 +45,29 @@ def _user_events(events: DataFrame) -> DataFrame:
 
 
 def _with_chunk(rows: DataFrame, heavy_user_rows: int, chunk_micros: int) -> DataFrame:
-    """Chunk 0 for ordinary users, a time slot for users above the row limit."""
-    limit = max(heavy_user_rows, rows.count() // MAX_HEAVY_USERS)
-    heavy = (
-        rows.groupBy("uid").count().filter(F.col("count") > limit).select("uid", F.lit(True).alias("heavy"))
-    )
+    """Chunk 0 for ordinary users; for users above the row limit a time slot, cut finer where it is crowded.
+
+    A slot of more rows than the limit is cut into as many equal parts as it holds limits. Events without a
+    time come first, as they do in the order of a user's events.
+    """
     slot = F.floor(F.col("timestamp") / F.lit(chunk_micros))
+    heavy = rows.groupBy("uid").count().filter(F.col("count") > heavy_user_rows).select("uid")
+    slots = (
+        rows.join(heavy, "uid", "left_semi")
+        .groupBy("uid", slot.alias("slot"))
+        .count()
+        .select("uid", "slot", F.greatest(F.lit(1), F.ceil(F.col("count") / F.lit(heavy_user_rows))).alias("parts"))
+    )
+    begin = F.col("r.slot") * F.lit(chunk_micros)
+    within = F.floor((F.col("timestamp") - begin) * F.col("parts") / F.lit(chunk_micros))
+    chunk = F.coalesce(F.col("r.slot") * F.lit(1 << 20) + F.least(within, F.lit((1 << 20) - 1)), F.lit(-(1 << 62)))
+    # Few rows: one per slot of a heavy user. No hint: the planner sees their number at run time.
     return (
-        # Fewer than MAX_HEAVY_USERS users can each hold more than that share of the rows.
-        rows.join(F.broadcast(heavy), "uid", "left")
-        .withColumn("chunk", F.when(F.col("heavy"), slot).otherwise(F.lit(0)).cast("long"))
-        .drop("heavy")
+        rows.withColumn("slot", slot)
+        .alias("r")
+        .join(slots.alias("h"), (F.col("r.uid") == F.col("h.uid")) & F.col("r.slot").eqNullSafe(F.col("h.slot")), "left")
+        .select("r.*", F.when(F.col("parts").isNotNull(), chunk).otherwise(F.lit(0)).cast("long").alias("chunk"))
+        .drop("slot")
     )
 
 
@@ -71,7 +85,8 @@ def ad_log(
     """
     is_click = F.col("event_type") == "click"
     is_purchase = F.col("event_type") == "purchase"
-    rows = _with_chunk(_user_events(events), heavy_user_rows, chunk_micros)
+    given = _user_events(events)
+    rows = _with_chunk(given.filter(F.col("uid").isNotNull()), heavy_user_rows, chunk_micros)
 
     in_chunk = Window.partitionBy("uid", "chunk").orderBy("timestamp", "event_id")
     earlier = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -122,25 +137,43 @@ def ad_log(
     path_start = F.coalesce(F.col("clicks_before") + F.col("start_here"), F.col("start_before"))
     path_end = F.coalesce(F.col("clicks_before") + F.col("end_here"), F.col("end_after"), F.col("user_clicks"))
     previous_click = F.coalesce("prev_click_here", "click_before")
+    shown = ("view", "click")
+    paths = (
+        local.join(carried, ["uid", "chunk"])
+        .filter(F.col("event_type").isin(*shown))
+        .withColumns(
+            {
+                "path_ends": F.col("purchases_before") + F.col("purchases_here") < F.col("user_purchases"),
+                "place": clicks_so_far - path_start,
+                "path_clicks": path_end - path_start,
+                "since": F.floor((F.col("timestamp") - previous_click) / F.lit(1_000_000)),
+            }
+        )
+    )
+    alone = given.filter(F.col("uid").isNull() & F.col("event_type").isin(*shown)).withColumns(
+        {
+            "path_ends": F.lit(False),
+            "place": F.lit(0).cast("long"),
+            "path_clicks": is_click.cast("long"),
+            "since": F.lit(None).cast("long"),
+        }
+    )
+    columns = [*given.columns, "path_ends", "place", "path_clicks", "since"]
     k = F.col("k")
     return (
-        local.join(carried, ["uid", "chunk"])
-        .filter(F.col("event_type").isin("view", "click"))
+        paths.select(*columns)
+        .unionByName(alone.select(*columns))
         .select(
             "timestamp",
             "uid",
             (k % 10).alias("campaign"),
             is_click.cast("int").alias("click"),
-            (F.col("purchases_before") + F.col("purchases_here") < F.col("user_purchases"))
-            .cast("int")
-            .alias("conversion"),
-            F.when(is_click, clicks_so_far - path_start).otherwise(F.lit(-1)).cast("long").alias("click_pos"),
-            (path_end - path_start).cast("long").alias("click_nb"),
+            F.col("path_ends").cast("int").alias("conversion"),
+            F.when(is_click, F.col("place")).otherwise(F.lit(-1)).cast("long").alias("click_pos"),
+            F.col("path_clicks").cast("long").alias("click_nb"),
             (F.col("value") * (k % 10 + 5) / F.lit(10.0)).alias("cost"),
             (k % 10 + 5).cast("double").alias("cpo"),
-            F.coalesce(F.floor((F.col("timestamp") - previous_click) / F.lit(1_000_000)), F.lit(-1))
-            .cast("long")
-            .alias("time_since_last_click"),
+            F.coalesce(F.col("since"), F.lit(-1)).cast("long").alias("time_since_last_click"),
             (k % 7).alias("cat1"),
             (k % 13).alias("cat2"),
             (F.col("uid") % 11).alias("cat3"),

@@ -11,11 +11,20 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_caches: list[dict] = []
+_scopes: list[list[str]] = []
+
+
+def staged_cache() -> dict:
+    """A dictionary for staged DataFrames that is emptied when their tables are deleted."""
+    _caches.append({})
+    return _caches[-1]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,6 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     configured = configured or context.getCheckpointDir()
     if configured:
+        if configured.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must be a folder every executor can reach, not a local one")
         return f"{configured.rstrip('/')}/adtally-{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -41,10 +52,33 @@ def stage(df: DataFrame, label: str = "table", *, partition_by: Sequence[str] =
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end; caches keep what was staged before."""
+    before = [dict(cache) for cache in _caches]
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+        for cache, kept in zip(_caches, before):
+            for key in cache.keys() - kept.keys():
+                del cache[key]
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete every intermediate table this application wrote. Staged DataFrames cannot be read afterwards."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, shared_folder(spark))
+    for cache in _caches:
+        cache.clear()

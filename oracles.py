@@ -35,6 +35,11 @@ log AS MATERIALIZED (
     (t // 86400000000) % 7 AS cat6, event_id % 17 AS cat7, k // 10 AS cat8, (uid + k) % 23 AS cat9
   FROM paths WHERE event_type IN ('view', 'click'))"""
 
+# Every tenth event loses its user: such events are paths of their own.
+LOG_MISSING_USERS = LOG.replace(
+    "FROM events)", "FROM (SELECT * REPLACE (CASE WHEN event_id % 10 <> 0 THEN user_id END AS user_id) FROM events))"
+).replace("PARTITION BY uid", "PARTITION BY uid, CASE WHEN uid IS NULL THEN event_id END")
+
 CREDITED = """
 credited AS (
   SELECT *,
@@ -239,6 +244,7 @@ budget AS (
     )
     return {
         "ad_log": _final([LOG], "SELECT * FROM log", log_columns),
+        "ad_log_missing_users": _final([LOG_MISSING_USERS], "SELECT * FROM log", log_columns),
         "attribution_credits": _final([LOG, CREDITED], "SELECT * FROM credited", f"{KEY_COLUMNS} {CREDIT_COLUMNS}"),
         "attribution_campaign": _final(
             base,
@@ -370,6 +376,19 @@ def _tables() -> dict[str, str]:
         "quality_violations": _final(
             [LOG], _violations("log", SOURCE_COLUMNS, ["uid", "timestamp", "campaign"], minimums, ["click"]), check_columns
         ),
+        "quality_violations_missing_users": _final(
+            [LOG_MISSING_USERS],
+            _violations("log", SOURCE_COLUMNS, ["uid", "timestamp", "campaign"], minimums, ["click"]),
+            check_columns,
+        ),
+        "describe_numeric_with_nan": _final(
+            [],
+            _describe(
+                "(SELECT CASE WHEN l_linenumber <> 3 THEN l_discount END AS l_discount, l_tax FROM lineitem)",
+                ["l_discount", "l_tax"],
+            ),
+            DESCRIBE_COLUMNS,
+        ),
         "lineitem_quality_violations": _final(
             [],
             _violations("lineitem", LINE_COLUMNS, ["l_orderkey", "l_linenumber"], {"l_quantity": 10, "l_discount": 0}, []),
@@ -424,6 +443,11 @@ def _features() -> dict[str, str]:
             KEY_COLUMNS + " observational_score:d conversion:l position:l cumulative_outcomes:l",
         ),
         "time_split": _final([LOG, FEATURES, SPLIT_LOG], "SELECT * FROM split_log", KEY_COLUMNS + " split:s"),
+        "time_split_other_column": _final(
+            [LOG, FEATURES, _split("feat", "split_log").replace('ORDER BY "timestamp"', 'ORDER BY cost, "timestamp"')],
+            "SELECT * FROM split_log",
+            KEY_COLUMNS + " split:s",
+        ),
         "time_split_two_way": _final(
             [LOG],
             f"""SELECT CASE WHEN rn <= floor(n * 8e-1) THEN 'train' ELSE 'test' END AS split, count(*) AS "rows",

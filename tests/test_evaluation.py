@@ -95,3 +95,10 @@ def test_slices(spark):
         check(row, part)
         assert (row.timestamp_min, row.timestamp_max) == (part.timestamp.min(), part.timestamp.max())
         assert row["group"] == f"slice_{row.time_slice}"
+
+
+@pytest.mark.parametrize("row, message", [((None, 0.5), "label column"), ((1, None), "score column"), ((1, float("nan")), "score column")])
+def test_rows_without_label_or_score_are_refused(spark, row, message):
+    df = spark.createDataFrame([(1, 0.2), (0, 0.4), row], "y int, s double")
+    with pytest.raises(ValueError, match=f"1 rows have no value in the {message}"):
+        E.binary_metrics(df, label_col="y", score_col="s")

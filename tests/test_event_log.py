@@ -1,7 +1,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from adtally.sources.event_log import ad_log
+from adtally.sources.event_log import _user_events, _with_chunk, ad_log
 
 
 def expected(events: pd.DataFrame) -> pd.DataFrame:
@@ -58,3 +58,35 @@ def test_one_user_holding_every_row(spark):
     chunked = ad_log(events, heavy_user_rows=100, chunk_micros=3_600_000_000)
     assert whole.exceptAll(chunked).isEmpty() and chunked.exceptAll(whole).isEmpty()
     assert {row[0] for row in chunked.select("click_nb").distinct().collect()} == {10}
+
+
+def test_events_without_user_or_time_stay(spark, folder):
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    holey = events.withColumns(
+        {
+            "user_id": F.when(F.col("event_id") % 10 != 0, F.col("user_id")),
+            "ts": F.when(F.col("event_id") % 7 != 0, F.col("ts")),
+        }
+    )
+    shown = holey.filter(F.col("event_type").isin("view", "click"))
+    for options in ({}, {"heavy_user_rows": 5, "chunk_micros": 3_600_000_000}):
+        log = ad_log(holey, **options)
+        assert log.count() == shown.count()
+        assert log.filter("uid is null").count() == shown.filter("user_id is null").count()
+        assert log.filter("uid is null and (conversion <> 0 or click_nb <> click)").isEmpty()
+
+
+def test_a_crowded_hour_is_cut(spark):
+    """All rows of one user in one hour: finer slots, the same paths."""
+    events = spark.range(0, 2000).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_micros(F.col("id") * 1_000_000).cast("timestamp_ntz").alias("ts"),
+        F.lit(7).cast("long").alias("user_id"),
+        F.when(F.col("id") % 50 == 49, "purchase").when(F.col("id") % 5 == 0, "click").otherwise("view").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 100).alias("props"),
+    )
+    cut = _with_chunk(_user_events(events), 100, 3_600_000_000)
+    assert cut.groupBy("chunk").count().agg(F.max("count")).first()[0] <= 200
+    whole, chunked = ad_log(events), ad_log(events, heavy_user_rows=100, chunk_micros=3_600_000_000)
+    assert whole.exceptAll(chunked).isEmpty() and chunked.exceptAll(whole).isEmpty()

@@ -24,10 +24,9 @@ def frame(spark, rows=5000):
 
 
 @pytest.mark.parametrize("finish_rows", [0, 5000])
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_values_at_ranks_are_exact(spark, monkeypatch, accuracy, finish_rows):
-    monkeypatch.setattr(selection, "ACCURACY", accuracy)
-    monkeypatch.setattr(selection, "EXACT_ROWS", 0 if finish_rows else 100)
+@pytest.mark.parametrize("size", [64, 2_000])
+def test_values_at_ranks_are_exact(spark, monkeypatch, size, finish_rows):
+    monkeypatch.setattr(selection, "SKETCH_SIZE", size)
     pdf, df = frame(spark)
     ranks = [1, 2, 17, 1234, 2500, 4999, 5000]
     asks = [Ask(F.col(name), ranks) for name in ("x", "tied", "big")]
@@ -96,3 +95,17 @@ def test_any_sample(spark, values, data):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     hit = values_at_ranks(df, [Ask(F.col("v"), [rank])])[0][rank]
     assert hit.value == sorted(values)[rank - 1]
+
+
+def test_sketches_are_near_and_end_in_the_extremes(spark):
+    df = spark.range(100_000).selectExpr("id", "CAST(NULL AS DOUBLE) AS none").repartition(30)
+    found = selection.sketched_quantiles(df, {"id": (F.col("id"), [0.1, 0.5, 0.9]), "none": (F.col("none"), [0.5])})
+    *middle, least, most = found["id"]
+    assert (least, most) == (0, 99_999) and found["none"] == []
+    assert all(abs(v / 100_000 - share) < selection.rank_error(selection.SKETCH_SIZE) for v, share in zip(middle, [0.1, 0.5, 0.9]))
+
+
+def test_nan_has_no_rank(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
+    assert selection.medians(df, {"v": F.col("v")}) == {"v": 2.0}
+    assert selection.quantiles(df, {"v": F.col("v")}, bins=2) == {"v": [1.0, 2.0, 3.0]}

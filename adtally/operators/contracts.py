@@ -131,6 +131,12 @@ def quality_violations(
     return spark.createDataFrame(rows, VIOLATION_SCHEMA)
 
 
+def contract_report(violations: DataFrame) -> DataFrame:
+    """(check, column, verdict): `ok` or `violated`, without raising."""
+    verdict = F.when(F.col("violations") == 0, "ok").otherwise("violated")
+    return violations.select("check", "column", verdict.alias("verdict"))
+
+
 def require(violations: DataFrame, *, minimums: Mapping[str, float] = SOURCE_MINIMUMS) -> None:
     """Raise for the first kind of violation found: nulls, duplicate rows, duplicate keys, then minimums."""
     found = [row for row in violations.collect() if row["violations"]]

@@ -372,7 +372,7 @@ def batch_scores(
 ) -> DataFrame:
     """Every row with its scores, its rank by the preferred score, its percentile and the targeting flag.
 
-    Equal scores are ranked in time order. Rows are written range-partitioned by rank on the way.
+    Equal scores are ranked in time order. Rows come in rank order, range-partitioned and sorted.
     """
     check_fraction(recommended_top_fraction, name="recommended_top_fraction")
     check_present(df, id_columns, "batch score input is missing id columns")
@@ -395,7 +395,7 @@ def batch_scores(
         (F.lit(1.0) - (rank - 1) / F.lit(float(max(rows, 1)))).alias("policy_score_percentile"),
         F.lit(float(recommended_top_fraction)).alias("recommended_top_fraction"),
         (rank <= first_k(rows, recommended_top_fraction)).cast("int").alias("recommended_policy"),
-    )
+    ).orderBy("policy_score_rank")
 
 
 def batch_summary(scored: DataFrame, *, preferred_score_col: str, true_effect_col: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,10 @@ from adtally.operators.benchmark import add_known_effect_columns
 from adtally.operators.ranking import with_average_ranks
 from adtally.plans import jobs
 from adtally.sources.event_log import ad_log, ad_log_table
-from adtally.sources.staging import stage, staged_cache
-from adtally.sources.tables import head_rows
+from adtally.sources.staging import shared_folder, stage, staged_cache
+from adtally.sources.tables import (
+    head_rows, read_json, read_table, write_csv, write_json, write_parquet, write_tsv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +206,32 @@ def _discount_with_nan(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "lineitem").withColumn("l_discount", value)
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+def _round_trip(write: Callable[[DataFrame, str], None], suffix: str) -> Query:
+    """Orders written to the shared folder in a format and read back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        orders = _table(spark, folder, "orders").select(*ORDER_COLUMNS)
+        path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}{suffix}"
+        write(orders, path)
+        if suffix == ".json":
+            return read_json(spark, path, schema=orders.schema)
+        return read_table(spark, path, schema=None if suffix == ".parquet" else orders.schema)
+
+    return query
+
+
+def _runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The run row of an attribution run, and its metrics as the run stored them."""
+    target = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    jobs.run_attribution(ad_log_table(spark, folder), folder=target, run_name="weekly", dataset="events")
+    runs = spark.read.parquet(f"{target}/runs")
+    names = ("run_name", "pipeline_name", "dataset", "test_rows")
+    return runs.select(*names, F.explode("metrics").alias("metric", "value")).filter("metric in ('rows', 'total_clicks', 'total_conversions')")
+
+
 def _holey(spark: SparkSession, folder: str) -> DataFrame:
     """Split rows with nulls in a category: every row whose cat7 is 3 loses its cat4."""
     return split_log(spark, folder).withColumn("cat4", F.when(F.col("cat7") != 3, F.col("cat4")))
@@ -284,6 +313,12 @@ def _catalog() -> dict[str, Query]:
             _discount_with_nan(s, d), ["l_discount", "l_tax"]
         ),
         # sources
+        "round_trip_csv": _round_trip(write_csv, ".csv"),
+        "round_trip_tsv": _round_trip(write_tsv, ".tsv"),
+        "round_trip_json": _round_trip(write_json, ".json"),
+        "round_trip_parquet": _round_trip(write_parquet, ".parquet"),
+        "runs_table": _runs,
+        "contract_report": lambda s, d: contracts.contract_report(contracts.quality_violations(_missing_users(s, d))),
         "head_sample": lambda s, d: head_rows(_table(s, d, "orders"), 1000).select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
         ),

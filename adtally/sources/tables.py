@@ -76,14 +76,24 @@ def read_table(
 
 
 def _first_in_files(df: DataFrame, n: int, block: Column, index: Column) -> DataFrame:
-    """The first n rows by file path, block and position in it, as a filter: no rows are moved."""
-    placed = df.select(
+    """The first n rows by file path, block and position in it, as a filter: no rows are moved.
+
+    Files are counted in path order, four times as many each time, until they hold n rows; no later file is opened.
+    """
+    everything = df.select(
         "*", F.col("_metadata.file_path").alias("__in_file"), block.alias("__in_block"), index.alias("__in_place")
     )
-    # One row per file block.
-    sizes = placed.groupBy("__in_file", "__in_block").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("__in_place").alias("start")
-    )
+    files, taken = sorted(df.inputFiles()), 1
+    while True:
+        # A plain condition on the path, which prunes files before they are read.
+        placed = everything.filter(F.col("__in_file") <= files[taken - 1]) if taken < len(files) else everything
+        # One row per file block.
+        sizes = placed.groupBy("__in_file", "__in_block").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("__in_place").alias("start")
+        )
+        if taken >= len(files) or (sizes.agg(F.sum("rows")).first()[0] or 0) >= n:
+            break
+        taken *= 4
     earlier = Window.partitionBy(F.lit(0)).orderBy("__in_file", "__in_block").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         sizes.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
@@ -97,7 +107,7 @@ def _first_in_files(df: DataFrame, n: int, block: Column, index: Column) -> Data
     inside = (F.col("__in_block") == cut["__in_block"]) & (F.col("__in_place") - cut["start"] < n - cut["before"])
     earlier_block = F.col("__in_block") < cut["__in_block"]
     wanted = (F.col("__in_file") < cut["__in_file"]) | (same_file & (earlier_block | inside))
-    return placed.filter(wanted).select(*df.columns)
+    return placed.filter(F.col("__in_file") <= cut["__in_file"]).filter(wanted).select(*df.columns)
 
 
 def head_rows(df: DataFrame, n: int, *, order: list[Column] | None = None) -> DataFrame:
@@ -126,3 +136,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object per row, nulls kept as null."""
     df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+
+
+def write_tsv(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").option("header", True).option("sep", "\t").csv(path)
+
+
+def read_json(spark: SparkSession, path: str, *, schema: T.StructType | None = None) -> DataFrame:
+    """One JSON object per row. Without a schema the types are inferred by an extra pass."""
+    return (spark.read if schema is None else spark.read.schema(schema)).json(path)

@@ -381,6 +381,27 @@ def _tables() -> dict[str, str]:
             _violations("log", SOURCE_COLUMNS, ["uid", "timestamp", "campaign"], minimums, ["click"]),
             check_columns,
         ),
+        "contract_report": _final(
+            [LOG_MISSING_USERS],
+            "SELECT *, CASE WHEN violations = 0 THEN 'ok' ELSE 'violated' END AS verdict FROM ("
+            + _violations("log", SOURCE_COLUMNS, ["uid", "timestamp", "campaign"], minimums, ["click"])
+            + ")",
+            "check:s column:s verdict:s",
+        ),
+        "runs_table": _final(
+            [LOG],
+            """SELECT 'weekly' AS run_name, 'attribution' AS pipeline_name, 'events' AS dataset, test_rows, metric, value
+            FROM (SELECT count(*) AS test_rows, count(*) AS "rows", sum(click) AS clicks, sum(conversion) AS conversions FROM log),
+            LATERAL (VALUES ('rows', "rows"), ('total_clicks', clicks), ('total_conversions', conversions)) AS t(metric, value)""",
+            "run_name:s pipeline_name:s dataset:s test_rows:l metric:s value:d",
+        ),
+        **{
+            f"round_trip_{kind}": _final(
+                [], "SELECT * FROM orders",
+                "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:d o_orderpriority:s",
+            )
+            for kind in ("csv", "tsv", "json", "parquet")
+        },
         "describe_numeric_with_nan": _final(
             [],
             _describe(

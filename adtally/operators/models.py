@@ -35,6 +35,10 @@ UPLIFT_TREE_DEFAULTS = {
 }
 
 
+# The encoders keep every category of the training rows on the driver.
+MAX_CATEGORIES = 100_000
+
+
 @dataclass(frozen=True)
 class Features:
     numeric: Sequence[str]
@@ -72,11 +76,20 @@ def _numeric_inputs(train: DataFrame, features: Features) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
+def _check_categories(train: DataFrame, names: Sequence[str]) -> None:
+    """Refuse, by name, columns with more categories than the driver should hold."""
+    found = train.agg(*[F.approx_count_distinct(name).alias(name) for name in names]).first()
+    wide = [name for name in names if found[name] > MAX_CATEGORIES]
+    if wide:
+        raise ValueError(f"too many categories to encode (over {MAX_CATEGORIES}): {wide}")
+
+
 def _preparation(train: DataFrame, features: Features, *, one_hot: bool) -> list:
     """Fitted stages from raw columns to the `features` vector."""
     stages = [_numeric_inputs(train, features)]
     inputs = [f"num_{name}" for name in features.numeric]
     if features.categorical:
+        _check_categories(train, features.categorical)
         texts = [f"cat_{name}" for name in features.categorical]
         codes = [f"idx_{name}" for name in features.categorical]
         # Codes follow numeric order; values never trained on get the code after the last.

@@ -1,8 +1,13 @@
+import os
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
+from adtally.operators import models
 from adtally.operators.models import Features
 from adtally.plans import jobs
+from adtally.sources import staging
 
 
 def test_attribution_run_writes_reports_and_a_run_row(spark, log, tmp_path):
@@ -125,3 +130,50 @@ def test_linear_model_recovers_the_known_effect(spark):
     found = {row.score_col: row for row in rows}
     assert found["doubly_robust_score"].spearman_corr_with_true_effect > 0.8
     assert 1.2 < found["doubly_robust_score"].true_effect_lift < found["oracle_true_effect"].true_effect_lift
+
+
+def test_a_run_with_a_folder_leaves_no_intermediate_tables(spark, log, tmp_path):
+    with staging.staging_scope(spark):
+        folder = staging.shared_folder(spark)
+        before = set(os.listdir(folder))
+        reports = jobs.run_click_model(log, jobs.ClickJob(features=SMALL), folder=str(tmp_path), run_name="ctr")
+        assert set(os.listdir(folder)) == before
+    assert reports["click_metrics"].count() == 2
+    run = spark.read.parquet(f"{tmp_path}/runs").first()
+    assert run.metadata["label"] == "click" and "validation_roc_auc" in run.metrics
+
+
+def test_dropping_staged_tables_empties_the_caches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "own"))
+    monkeypatch.setattr(staging, "_caches", [])
+    cache = staging.staged_cache()
+    cache["t"] = staging.stage(spark.range(3).toDF("id"))
+    assert cache["t"].count() == 3
+    staging.drop_staged(spark)
+    assert cache == {} and not (tmp_path / "own").exists()
+
+
+def test_the_chosen_time_column_orders_the_split(spark, log):
+    turned = log.withColumn("late_first", -F.col("timestamp"))
+    job = jobs.ClickJob(features=SMALL, timestamp_col="late_first")
+    ranges = jobs.prepare_click_table(turned, job).groupBy("split").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("z"))
+    found = {r["split"]: (r["a"], r["z"]) for r in ranges.collect()}
+    assert found["train"][0] >= found["validation"][1] >= found["test"][1]
+
+
+def test_candidates_with_other_labels_do_not_share_a_table(spark, log):
+    flipped = log.withColumn("not_click", 1 - F.col("click"))
+    job = jobs.ClickJob(features=SMALL)
+    rows = jobs.compare_click_models(flipped, {"a": job, "b": replace(job, label="not_click")}).collect()
+    rates = {r["name"]: r["positive_rate"] for r in rows}
+    assert abs(rates["a"] + rates["b"] - 1) < 1e-9
+    assert {"validation_roc_auc", "model_params", "is_best"} <= set(rows[0].asDict())
+
+
+def test_training_columns_without_values_are_refused(spark, log, monkeypatch):
+    empty = log.withColumn("has_prev_click", F.lit(None).cast("int"))
+    with pytest.raises(ValueError, match="without any value.*has_prev_click"):
+        models.fit_logistic(empty, Features(numeric=("has_prev_click",), categorical=()), "click")
+    monkeypatch.setattr(models, "MAX_CATEGORIES", 3)
+    with pytest.raises(ValueError, match="too many categories.*campaign"):
+        models.fit_logistic(log, Features(numeric=(), categorical=("campaign",)), "click")

@@ -1,10 +1,12 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from adtally.plans.catalog import named_queries
 from check_oracles import compare, connect
+from oracles import oracle_queries
 
-QUERIES = queries()
-ORACLES = oracle_sql()
+QUERIES = named_queries()
+ORACLES = oracle_queries()
 FITTED = {name for name in QUERIES if name not in ORACLES}
 
 
@@ -13,6 +15,10 @@ def test_every_oracle_has_a_query_and_only_fits_lack_one():
     assert all("model" in name for name in FITTED)
 
 
+def test_entry_points_hold_every_query():
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
+
+
 def test_entry(spark):
     assert entry(spark).count() == 10
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import SPACES
+from adtally.llm.common import SPACES, WORD
 from adtally.sources.staging import stage
 
 MIN_DOCS = 10
@@ -30,22 +30,37 @@ AGREE = 0.6  # share of places in which a line must agree with it
 ANY = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    return F.regexp_replace(line, f"[^{SPACES}]*[0-9][^{SPACES}]*", ANY)
+MAX_BROADCAST_DOCS = 1_000_000  # of 24 bytes each; beyond that both sides are partitioned by document
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, f"[{SPACES}]+"), lambda w: w != "")
+    """The words of a line, those with digits masked; a blank line has one empty word."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"[^{SPACES}0-9]*[0-9][^{SPACES}]*", ANY)).otherwise(line)
+    return F.split(F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: id, version (hash of the text), place, and its words."""
     each = docs.select("line_doc", "line_version", F.posexplode(F.split("line_text", "\n")).alias("place", "line"))
-    each = each.withColumn("words", _words(_masked(F.col("line")))).filter(F.size("words") > 0)
+    each = each.filter(F.col("line").rlike(WORD)).withColumn("words", _words(F.col("line")))
     leaf = F.xxhash64(F.size("words"), F.slice("words", 1, LEADING))
     return each.select("line_doc", "line_version", "place", leaf.alias("leaf"), F.xxhash64("words").alias("body"), "words")
 
 
+def _one_of_each(docs: DataFrame, lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Rows (leaf, body, words) of the lines of some leaves, the words read where a line is first found."""
+    spot = F.min(F.struct("line_version", "line_doc", "place")).alias("spot")
+    spots = lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "body").agg(spot)
+    spots = stage(spots.select("leaf", "body", "spot.line_version", F.col("spot.line_doc").alias("spot_doc"), F.col("spot.place").alias("spot_place")), "spots")
+    wanted = spots.groupBy("line_version", "spot_doc").agg(F.collect_list(F.struct("leaf", "body", "spot_place")).alias("spots"))
+    wanted = stage(wanted, "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_DOCS else wanted
+    same = (docs["line_version"] == wanted["line_version"]) & docs["line_doc"].eqNullSafe(wanted["spot_doc"])
+    met = docs.join(wanted, same).select("line_text", F.explode("spots").alias("s"))
+    words = _words(F.get(F.split("line_text", "\n"), F.col("s.spot_place")))
+    return met.select("s.leaf", "s.body", words.alias("words")).dropDuplicates(["leaf", "body"])
+
+
 def recurring_lines(docs: DataFrame, *, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
     lines = stage(_lines(docs).drop("words"), "lines")
@@ -59,8 +74,7 @@ def recurring_lines(docs: DataFrame, *, min_docs: int) -> tuple[DataFrame, DataF
     leaves = bodies.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"))
     varied = leaves.filter((F.col("texts") >= min_docs) & (F.col("kinds") > 1)).select("leaf")
     varied = stage(varied, "leaves")
-    seen = _lines(docs).join(varied, "leaf", "left_semi").groupBy("leaf", "body").agg(F.any_value("words").alias("words"))
-    seen = stage(seen.join(bodies, ["leaf", "body"]), "seen")
+    seen = stage(_one_of_each(docs, lines, varied).join(bodies, ["leaf", "body"]), "seen")
     words = seen.select("leaf", "body", "texts", F.posexplode("words").alias("at", "word"))
     votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"))
     ruling = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))

@@ -54,7 +54,30 @@ def stage(df: DataFrame, label: str = "table", *, partition_by: Sequence[str] =
     df.write.partitionBy(*partition_by).parquet(path)
     if _scopes:
         _scopes[-1].append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    staged._staged_path = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete the tables of staged DataFrames that nothing will read again."""
+    for df in staged:
+        _delete(df.sparkSession, df._staged_path)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Collects the paths of the tables staged inside, for `delete_tables` once they are not needed."""
+    _scopes.append([])
+    try:
+        yield _scopes[-1]
+    finally:
+        _scopes.pop()
+
+
+def delete_tables(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        _delete(spark, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

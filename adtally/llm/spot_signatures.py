@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adtally.sources.staging import stage
+
 # Common words of four languages.
 ANCHORS = (
     "a an and are as at be but by for from had has have he her his i in is it not of on or she that the their "
@@ -36,6 +38,7 @@ ANCHORS = (
 CHAIN = 3
 RANGE_ROWS = 1000
 CUTS = 64
+MAX_BROADCAST_RANGES = 1_000_000  # of two numbers each
 NOT_WORDS = "[^\\p{L}\\p{N}]+"
 
 
@@ -107,6 +110,9 @@ def with_next_row(df: DataFrame, key: str, order: str, columns: dict[str, str],
     before = F.lag("range_no").over(order_of)
     last = F.max("range_no").over(Window.partitionBy(F.lit(0)))
     firsts = firsts.select("first_key", F.coalesce(before, last).alias("goes_to"))
+    firsts = stage(firsts, "firsts")
+    # A task needs the few first ids only; beyond the limit both sides are partitioned by id.
+    firsts = F.broadcast(firsts) if firsts.count() <= MAX_BROADCAST_RANGES else firsts
     heads = df.join(firsts, F.col(key).eqNullSafe(F.col("first_key"))).withColumn("range_no", F.col("goes_to"))
     heads = heads.drop("first_key", "goes_to").withColumn("is_head", F.lit(1))
     rows = ranged.withColumn("is_head", F.lit(0)).unionByName(heads)

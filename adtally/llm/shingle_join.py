@@ -2,12 +2,13 @@
 
 A document's set are its distinct runs of five words. Two sets link if their Jaccard similarity is at least
 80 percent. Of a set of n shingles, a linked partner lacks at most d(n) = n - ceil(0.8 n). Under any order of
-all shingles, linked sets therefore share one shingle among their first d + 1, and two among their first d + 2.
+all shingles, linked sets therefore share at least k shingles among the first d + k of each.
 
 * Light sets, of at most `boundary` shingles, give all pairs among their first d + 2 shingles as keys: few, as
   d is small, and a key of two shingles brings together far fewer strangers than one shingle.
-* Heavy sets, and the largest light ones that can link to them, give their first d + 1 shingles as keys of
-  inverted lists.
+* Heavy sets, and the largest light ones that can link to them, give their first d + k shingles as keys of
+  inverted lists, k a fifth of the set. A set of which fewer than its share of keys are shared has no partner
+  among them; dropping such sets leaves others with fewer shared keys, so this is done a few times over.
 * The boundary is the size for which the estimated work is least: keys written, and list entries read at the
   mean length of a list.
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from adtally.llm.common import chunks_by_size, map_texts, mix64
 from adtally.llm.rolling import Words
-from adtally.sources.staging import stage
+from adtally.sources.staging import release, stage
 
 SHINGLE = 5
 NEED, OF = 80, 100
@@ -47,6 +48,7 @@ LONG_LIST = 50_000  # lists above this many sets are not gathered by one task
 BUCKET_TOKENS = 2_000_000  # shingles counted by one group
 MAX_BROADCAST_IDS = 2_000_000
 MAX_LIGHT = 512  # sizes the boundary is searched in
+PEELS = 4
 STAR_ROUNDS = 6
 PAIRS_PER_ENTRY = 20
 _FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -57,6 +59,11 @@ def slack(size: int) -> int:
     return size - -(-NEED * size // OF)
 
 
+def depth(size: int) -> int:
+    """How many shared keys a heavy set offers beyond its slack."""
+    return max(1, size // 5)
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = Words(texts, lower_ascii=True)
@@ -151,7 +158,7 @@ def count_tokens(texts: DataFrame, buckets: int) -> DataFrame:
 def cheapest_boundary(sizes: dict[int, int], list_length: float) -> int:
     """The largest size of light sets for which keys written and entries read are fewest."""
     light = {n: f * (slack(n) + 2) * (slack(n) + 1) / 2 for n, f in sizes.items() if n > 1}
-    heavy = {n: f * (slack(n) + 1) * (1 + list_length) for n, f in sizes.items() if n > 1}
+    heavy = {n: f * (slack(n) + depth(n)) * (1 + list_length) for n, f in sizes.items() if n > 1}
     best, least = 0, float("inf")
     for x in range(0, MAX_LIGHT + 1):
         work = sum(c for n, c in light.items() if n <= x) + sum(c for n, c in heavy.items() if OF * n > NEED * x)
@@ -170,29 +177,26 @@ class Order:
     boundary: int
     long_list: int = LONG_LIST
 
-    def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The keys of a set, and for each the number of sets its rarest shingle is known to be in."""
+    def keys(self, tokens: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+        """The keys of a set, for each the number of sets its rarest shingle is known to be in, and if single."""
         size, lack = len(tokens), slack(len(tokens))
         if size < 2:  # links only with equal sets
-            return tokens[:0], np.zeros(0, np.int64)
+            return []
         known = _known(tokens, self.buckets)
         place = np.minimum(np.searchsorted(self.tokens, known), max(len(self.tokens) - 1, 0))
         often = np.where(self.tokens[place] == known, self.sets[place], 0) if len(self.tokens) else np.zeros(size, np.int64)
-        order = np.argsort(often, kind="stable")[: lack + 2]
-        first, often = tokens[order], often[order]
-        keys, lists = [], []
+        order = np.argsort(often, kind="stable")[: lack + max(2, depth(size))]
+        first, often, out = tokens[order], often[order], []
         if size <= self.boundary:
-            a, b = np.triu_indices(len(first), 1)
-            keys.append(mix64(first[a] * np.uint64(3) + first[b]))
-            lists.append(often[a])
+            a, b = np.triu_indices(min(len(first), lack + 2), 1)
+            out.append((mix64(first[a] * np.uint64(3) + first[b]), often[a], False))
         if OF * size > NEED * self.boundary:
-            keys.append(first[: lack + 1])
-            lists.append(often[: lack + 1])
-        return np.concatenate(keys), np.concatenate(lists)
+            out.append((first[: lack + depth(size)], often[: lack + depth(size)], True))
+        return out
 
 
 def shared_keys(texts: DataFrame, order: Order) -> DataFrame:
-    """Rows (key, node) of keys that at least two sets have.
+    """Rows (key, node, single) of keys that at least two sets have; `single` if the key is one shingle.
 
     Lists are gathered by bucket. A list known to be long is not: its entries pass through any bucket.
     """
@@ -203,19 +207,24 @@ def shared_keys(texts: DataFrame, order: Order) -> DataFrame:
         for batch in batches:
             rows = [t or "" for t in batch.column(0).to_pylist()]
             for start, end in chunks_by_size(rows):
-                found = [(set_name(s), *shared.value.keys(s)) for s in _distinct_sets(rows[start:end])]
-                if not found:
-                    continue
-                keys = np.concatenate([k for _, k, _ in found])
-                nodes = np.repeat(np.array([n for n, _, _ in found], dtype=np.int64), [len(k) for _, k, _ in found])
-                long = np.concatenate([o for _, _, o in found]) >= shared.value.long_list
-                rest = keys[~long]
-                made = [(b, False, k, n) for b, k, n in _by_bucket(_bucket(rest, buckets), _short(rest), nodes[~long])]
-                if long.any():
-                    made.append((int(mix64(keys[:1])[0] % np.uint64(buckets)), True, keys[long].tobytes(), nodes[long].tobytes()))
-                kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+                found = [(set_name(s), *k) for s in _distinct_sets(rows[start:end]) for k in shared.value.keys(s)]
+                made = []
+                for single in (False, True):
+                    own = [f for f in found if f[3] == single]
+                    if not own:
+                        continue
+                    keys = np.concatenate([k for _, k, _, _ in own])
+                    nodes = np.repeat(np.array([n for n, _, _, _ in own], dtype=np.int64), [len(k) for _, k, _, _ in own])
+                    long = np.concatenate([o for _, _, o, _ in own]) >= shared.value.long_list
+                    rest = keys[~long]
+                    for b, k, n in _by_bucket(_bucket(rest, buckets), _short(rest), nodes[~long]):
+                        made.append((b, single, False, k, n))
+                    if long.any():
+                        any_bucket = int(mix64(keys[:1])[0] % np.uint64(buckets))
+                        made.append((any_bucket, single, True, keys[long].tobytes(), nodes[long].tobytes()))
+                kinds = (pa.int32(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary())
                 columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "is_long", "keys", "nodes"])
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "single", "is_long", "keys", "nodes"])
 
     def gather(table: pa.Table) -> pa.Table:
         long = table.column("is_long").to_numpy()
@@ -230,13 +239,44 @@ def shared_keys(texts: DataFrame, order: Order) -> DataFrame:
         same = keys[1:] == keys[:-1]
         common = np.append(same, False) | np.append(False, same) if len(keys) else np.zeros(0, bool)
         full = ((bucket << np.uint64(32)) | keys[common].astype(np.uint64)).astype(np.int64)
+        all_keys = np.append(full, read("keys", long, np.int64))
+        single = bool(table.column("single")[0].as_py())
         return pa.table({
-            "key": pa.array(np.append(full, read("keys", long, np.int64))),
-            "node": pa.array(np.append(nodes[common], read("nodes", long, np.int64))),
+            "key": pa.array(all_keys), "node": pa.array(np.append(nodes[common], read("nodes", long, np.int64))),
+            "single": pa.array(np.full(len(all_keys), single)),
         })
 
-    sent = texts.mapInArrow(send, "bucket int, is_long boolean, keys binary, nodes binary")
-    return sent.groupBy("bucket").applyInArrow(gather, "key long, node long")
+    sent = texts.mapInArrow(send, "bucket int, single boolean, is_long boolean, keys binary, nodes binary")
+    return sent.groupBy("bucket", "single").applyInArrow(gather, "key long, node long, single boolean")
+
+
+def few(nodes: DataFrame, number: int) -> DataFrame:
+    """Sent to every task only where few; else both sides of the join are partitioned by node."""
+    return F.broadcast(nodes) if number <= MAX_BROADCAST_IDS else nodes
+
+
+def peeled(lists: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The lists without sets that share too few of their keys to have a partner.
+
+    Linked sets share as many single keys as the smaller one offers, and that has at least 80 percent of the
+    size of the larger. Sets with a shared pair of shingles stay. Ends when few sets go.
+    """
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("size") * NEED / OF) / 5))
+    for step in range(PEELS):
+        had = lists
+        if step:
+            shared = lists.groupBy("key", "single").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").drop("sets")
+            had = lists.join(shared, ["key", "single"], "left_semi")
+        had = had.groupBy("node").agg(F.count_if("single").alias("singles"), F.count_if(~F.col("single")).alias("pairs"))
+        stays = (F.col("pairs") > 0) | (F.col("singles") >= least)
+        kept = stage(had.join(nodes.select("node", "size"), "node").select("node", stays.alias("stays")), "kept")
+        number, gone = kept.agg(F.count_if("stays"), F.count_if(~F.col("stays"))).first()
+        if gone * 10 < number + gone:
+            break
+        less = stage(lists.join(few(kept.filter("stays").select("node"), number), "node", "left_semi"), "lists")
+        release(lists, kept)
+        lists = less
+    return lists
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -293,7 +333,7 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     buckets = max(1, -(-entries // BUCKET_TOKENS))
     counted = stage(count_tokens(texts, buckets), "counts")
     order = token_order(nodes, counted, buckets)
-    lists = stage(shared_keys(texts, order), "lists")
+    lists = peeled(stage(shared_keys(texts, order), "lists"), nodes)
     parts = resolve(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), nodes, lists)
     least = nodes.join(parts, "node").groupBy("part").agg(F.min("least_id").alias("component_id"))
     of_node = parts.join(least, "part").select("node", "component_id")
@@ -319,39 +359,56 @@ def token_order(nodes: DataFrame, counted: DataFrame, buckets: int) -> Order:
 
 
 def resolve(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
-    """Rows (node, part) for all nodes of the lists."""
-    degrees = lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    met = stage(degrees.join(nodes, "node"), "met")
+    """Rows (node, part) for all nodes of the lists.
+
+    Star rounds look at every eighth key only: they are there to connect what is alike cheaply. The last round
+    looks at all keys and forms all pairs of sets that are still apart.
+    """
+    met = stage(lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree")).join(nodes, "node"), "met")
     number = met.count()
     sets = stage(sets_of(docs, met, number), "sets")
-    entries = stage(lists.join(met.select("node", "degree", "size"), "node"), "entries")
-    rows = entries.count()
     parts = stage(met.select("node", F.col("node").alias("part")), "parts")
-    links, tested = None, None
+    links = tested = None
     for step in range(STAR_ROUNDS + 1):
-        placed = stage(entries.join(parts, "node"), "placed")
-        shares = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-        apart = shares.groupBy("key").agg(
-            F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares")
-        )
-        apart = stage(apart.filter(F.col("main.n") < F.col("all")), "apart")
-        crossing = apart.agg(F.sum(F.col("all") * F.col("all") - F.col("squares")) / 2).first()[0]
-        if not crossing:
-            break
-        last = step == STAR_ROUNDS or (step and crossing <= PAIRS_PER_ENTRY * rows)
-        open_lists = placed.join(apart.select("key", F.col("main.part").alias("main")), "key")
+        info = stage(met.select("node", "degree", "size").join(parts, "node"), "info")
+        placed = lists.join(few(info, number), "node")
+        # In the first round everything is apart.
+        if step:
+            ends = placed.groupBy("key", "single").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+            apart = stage(ends.filter("low < high").drop("high"), "apart")
+            shares = placed.join(apart, ["key", "single"]).groupBy("key", "single").agg(
+                F.count(F.lit(1)).alias("sets"), F.count_if(F.col("part") != F.col("low")).alias("others")
+            )
+            crossing = shares.agg(F.sum(F.col("sets") * F.col("others"))).first()[0]
+            if not crossing:
+                break
+            open_lists = placed.join(apart, ["key", "single"])
+            last = step == STAR_ROUNDS or crossing <= PAIRS_PER_ENTRY * lists.count()
+        else:
+            open_lists, last = placed.withColumn("low", F.lit(None).cast("long")), False
         if last:
-            a = open_lists.select("key", "node", "part", "size")
-            b = open_lists.select("key", F.col("node").alias("hub"), F.col("part").alias("hub_part"), F.col("size").alias("hub_size"))
-            met_pairs = a.join(b, "key").filter("node < hub and part != hub_part")
+            a = open_lists.select("key", "single", "node", "part", "size")
+            b = open_lists.select(
+                "key", "single", F.col("node").alias("hub"), F.col("part").alias("hub_part"), F.col("size").alias("hub_size")
+            )
+            each = a.join(b, ["key", "single"]).filter((F.col("node") < F.col("hub")) & (F.col("part") != F.col("hub_part")))
+            # All keys of such a pair are in open lists, so too few of them rule it out unread.
+            offered = F.greatest(F.lit(1), F.floor(F.least("size", "hub_size") / 5))
+            counted = each.filter(_fitting()).groupBy("node", "hub", "size", "hub_size").agg(
+                F.count_if("single").alias("singles"), F.count_if(~F.col("single")).alias("pairs")
+            )
+            pairs = counted.filter((F.col("pairs") > 0) | (F.col("singles") >= offered)).select("node", "hub")
         else:
-            rank = F.struct("degree", "node") if not step else F.struct(F.xxhash64("node", F.lit(step)).alias("degree"), "node")
-            pool = open_lists if not step else open_lists.filter("part != main")
-            hubs = pool.groupBy("key").agg(F.max(F.struct(rank.alias("rank"), "part", "size")).alias("h"))
-            hubs = hubs.select("key", F.col("h.rank.node").alias("hub"), F.col("h.part").alias("hub_part"), F.col("h.size").alias("hub_size"))
-            met_pairs = open_lists.join(hubs, "key").filter("part != hub_part")
-        fitting = met_pairs.filter(F.least("size", "hub_size") * OF >= F.greatest("size", "hub_size") * NEED)
-        pairs = fitting.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
+            open_lists = open_lists.filter(F.pmod(F.xxhash64("key"), F.lit(8)) == 0)
+            # First the set found in most lists, which an original is; then any of those not in the first part.
+            rank = F.col("degree") if not step else F.xxhash64("node", F.lit(step))
+            pool = open_lists if not step else open_lists.filter("part != low")
+            best = F.max(F.struct(rank.alias("rank"), "node", "part", "size")).alias("h")
+            hubs = pool.groupBy("key", "single").agg(best).select(
+                "key", "single", F.col("h.node").alias("hub"), F.col("h.part").alias("hub_part"), F.col("h.size").alias("hub_size")
+            )
+            met_pairs = open_lists.join(hubs, ["key", "single"]).filter((F.col("part") != F.col("hub_part")) & _fitting())
+            pairs = met_pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["node", "hub"], "left_anti")
         pairs = stage(pairs, "pairs")
@@ -362,14 +419,18 @@ def resolve(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
             parts = connected(met.select("node"), links)
         if last:
             break
+    release(sets, lists)
     return parts
 
 
+def _fitting():
+    """Sets of too different size cannot link."""
+    return F.least("size", "hub_size") * OF >= F.greatest("size", "hub_size") * NEED
+
+
 def sets_of(docs: DataFrame, met: DataFrame, number: int) -> DataFrame:
     """Rows (name, tokens) of the nodes of `met`, read from the document of the least id that has the set."""
-    wanted = met.select("least_id").distinct()
-    # Ids are sent to every task only where few; else both sides are partitioned by id.
-    wanted = F.broadcast(wanted) if number <= MAX_BROADCAST_IDS else wanted
+    wanted = few(met.select("least_id").distinct(), number)
     chosen = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id")), "left_semi")
 
     def read(batch: list[str]) -> dict:
@@ -378,4 +439,4 @@ def sets_of(docs: DataFrame, met: DataFrame, number: int) -> DataFrame:
 
     made = map_texts(chosen, keep=(), text_col="text", outputs={"name": "long", "tokens": "binary"}, compute=read)
     # Rows of one id may have several texts, and several rows the same.
-    return made.join(met.select(F.col("node").alias("name")), "name", "left_semi").dropDuplicates(["name"])
+    return made.join(few(met.select(F.col("node").alias("name")), number), "name", "left_semi").dropDuplicates(["name"])

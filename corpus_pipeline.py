@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from adtally.llm import bpe, language_id, line_templates, mixture, shingle_join
 from adtally.llm.common import fold
-from adtally.sources.staging import shared_folder, stage
+from adtally.sources.staging import delete_tables, recorded, shared_folder, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -31,6 +32,23 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MAX_BROADCAST_IDS = 2_000_000
 
 
+_staged: list[str] = []
+
+
+def _released(step: Stage) -> Stage:
+    """A stage's intermediate tables go when the next stage begins: by then its result has been written."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_tables(spark, _staged)
+        with recorded() as paths:
+            result = step(spark, docs, sf_dir)
+        _staged[:] = paths
+        return result
+
+    return run_step
+
+
 def _checked(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
 
@@ -73,11 +91,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("language", language),
-    ("lines", lines),
-    ("near_duplicates", near_duplicates),
-    ("mixture", mixed),
-    ("bpe", tokens),
+    ("language", _released(language)),
+    ("lines", _released(lines)),
+    ("near_duplicates", _released(near_duplicates)),
+    ("mixture", _released(mixed)),
+    ("bpe", _released(tokens)),
 ]
 ORACLE_SQL = None
 

@@ -14,7 +14,7 @@ SPACES = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACES}]+"
 
 # Rows of one output batch are cut so that their texts stay below this many characters.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

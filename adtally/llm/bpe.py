@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from adtally.llm.common import chunks_by_size
 
 NEVER = 1 << 60
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 CACHED_LENGTH = 48
-ENCODED_CHARS = 1_000_000  # characters of one output batch
+ENCODED_CHARS = 500_000  # characters of one output batch
 DECODED_ROWS = 200
 # Below this code point composition changes nothing and all Unicode versions agree.
 SIMPLE_END = 0x250

@@ -83,7 +83,8 @@ def _first_in_files(df: DataFrame, n: int, block: Column, index: Column) -> Data
     everything = df.select(
         "*", F.col("_metadata.file_path").alias("__in_file"), block.alias("__in_block"), index.alias("__in_place")
     )
-    files, taken = sorted(df.inputFiles()), 1
+    # Local paths are listed with three slashes, but rows carry one.
+    files, taken = sorted(name.replace("file:///", "file:/", 1) for name in df.inputFiles()), 1
     while True:
         # A plain condition on the path, which prunes files before they are read.
         placed = everything.filter(F.col("__in_file") <= files[taken - 1]) if taken < len(files) else everything
@@ -91,7 +92,7 @@ def _first_in_files(df: DataFrame, n: int, block: Column, index: Column) -> Data
         sizes = placed.groupBy("__in_file", "__in_block").agg(
             F.count(F.lit(1)).alias("rows"), F.min("__in_place").alias("start")
         )
-        if taken >= len(files) or (sizes.agg(F.sum("rows")).first()[0] or 0) >= n:
+        if taken >= len(files) or (sizes.agg(F.sum("rows")).first()[0] or 0) >= max(n, 1):
             break
         taken *= 4
     earlier = Window.partitionBy(F.lit(0)).orderBy("__in_file", "__in_block").rowsBetween(Window.unboundedPreceding, -1)

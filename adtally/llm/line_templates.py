@@ -3,11 +3,16 @@
 A line's words containing digits become `<*>`. Lines of one word count that begin with the same words share a
 leaf. In leaves whose lines recur, the most common word of each place makes a template; places without a
 common word become `<*>` too. Lines that agree with the template in enough places belong to it, the others
-stand for themselves. A template found in at least `min_docs` distinct texts is boilerplate: its lines are
-dropped from every document but the first (the smallest id, then the smallest text hash) that has it.
+stand for themselves. A template found in enough distinct texts is boilerplate: its lines are dropped from
+every document but the first (the smallest id, then the smallest text hash) that has it.
+
+How many texts are enough falls with the length of the line, as a long line does not recur by chance: 10 for
+lines of under 10 words, 5 from 10 words, 3 from 20 and 2 from 50 (`NEEDED`). A given `min_docs` holds for all.
 
 Copies of one text count once, so a group of exact copies does not lose its lines: that is for the
-near-duplicate stage. Only leaf keys, hashes and places are shuffled per line; words only for lines of leaves
+near-duplicate stage. For the same reason, where fewer than `MIN_DOCS` texts are enough, edited copies count
+once too: a text counts if no earlier text of the group shares half of what both hold besides the line, by
+runs of `RUN` words. The share is read off the `SKETCH` smallest hashes of the runs of both. Only leaf keys, hashes and places are shuffled per line; words only for lines of leaves
 that recur without being equal.
 
 Defined results: null texts stay null; blank lines are never dropped; repeated rows are treated alike; a
@@ -24,6 +29,10 @@ from adtally.llm.common import SPACES, WORD
 from adtally.sources.staging import stage
 
 MIN_DOCS = 10
+NEEDED = ((50, 2), (20, 3), (10, 5))  # from so many words on, so many texts are enough; MIN_DOCS for shorter lines
+RUN = 5
+SKETCH = 256
+SAME = 0.5  # share of common runs from which two texts are copies of each other
 LEADING = 3
 COMMON = 0.5  # share of a leaf's lines that makes a place's word part of the template
 AGREE = 0.6  # share of places in which a line must agree with it
@@ -44,7 +53,68 @@ def _lines(docs: DataFrame) -> DataFrame:
     each = docs.select("line_doc", "line_version", F.posexplode(F.split("line_text", "\n")).alias("place", "line"))
     each = each.filter(F.col("line").rlike(WORD)).withColumn("words", _words(F.col("line")))
     leaf = F.xxhash64(F.size("words"), F.slice("words", 1, LEADING))
-    return each.select("line_doc", "line_version", "place", leaf.alias("leaf"), F.xxhash64("words").alias("body"), "words")
+    return each.select(
+        "line_doc", "line_version", "place", leaf.alias("leaf"), F.xxhash64("words").alias("body"), F.size("words").alias("size"), "words"
+    )
+
+
+def _needed(size: Column, min_docs: int | None) -> Column:
+    """The number of distinct texts a line of `size` words must be found in."""
+    if min_docs is not None:
+        return F.lit(min_docs)
+    needed = F.lit(MIN_DOCS)
+    for words, texts in reversed(NEEDED):
+        needed = F.when(size >= words, texts).otherwise(needed)
+    return needed
+
+
+def _runs(words: Column) -> Column:
+    """The distinct hashes of the runs among some words; fewer words are one run."""
+    starts = lambda w: F.sequence(F.lit(1), F.greatest(F.size(w) - RUN + 1, F.lit(1)))
+    runs = F.transform(F.array(words), lambda w: F.transform(starts(w), lambda i: F.xxhash64(F.slice(w, i, RUN))))
+    return F.array_distinct(F.get(runs, F.lit(0)))
+
+
+def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFrame:
+    """The number of texts of each group (leaf, template) that are no edited copies of an earlier one: `unlike`.
+
+    `texts` has a row (leaf, template, size, body, line_version, line_doc) per text, `seen` the words of bodies that
+    differ inside a template; groups have under MIN_DOCS texts.
+    """
+    wanted = texts.groupBy("line_version").agg(F.min("line_doc").alias("text_doc"))
+    wanted = stage(wanted, "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_DOCS else wanted
+    same = (docs["line_version"] == wanted["line_version"]) & docs["line_doc"].eqNullSafe(wanted["text_doc"])
+    every = F.split(F.btrim("line_text", F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
+    read = docs.join(wanted, same).select(docs["line_version"], _runs(every).alias("runs"))
+    sketch = F.slice(F.sort_array("runs"), 1, SKETCH)
+    sketches = stage(read.select("line_version", F.size("runs").alias("n"), sketch.alias("s")).dropDuplicates(["line_version"]), "sketches")
+    one = texts.select("leaf", "template", "size", F.col("body").alias("a_body"), F.col("line_doc").alias("a_doc"), F.col("line_version").alias("a"))
+    two = texts.select("leaf", "template", F.col("body").alias("b_body"), F.col("line_doc").alias("b_doc"), F.col("line_version").alias("b"))
+    met = one.join(two, ["leaf", "template"]).filter(F.struct("a_doc", "a") < F.struct("b_doc", "b"))
+    met = stage(met.drop("a_doc", "b_doc"), "met")
+    # The runs that the two lines share; all, if they are equal.
+    bodies = met.filter("a_body != b_body").select("leaf", "a_body", "b_body").distinct()
+    for side in ("a", "b"):
+        words = seen.select("leaf", F.col("body").alias(f"{side}_body"), _runs(F.col("words")).alias(f"{side}_runs"))
+        bodies = bodies.join(words, ["leaf", f"{side}_body"])
+    shared = F.size(F.array_intersect("a_runs", "b_runs")).alias("shared")
+    met = met.join(bodies.select("leaf", "a_body", "b_body", shared), ["leaf", "a_body", "b_body"], "left")
+    left = sketches.select(F.col("line_version").alias("a"), F.col("n").alias("a_n"), F.col("s").alias("a_s"))
+    right = sketches.select(F.col("line_version").alias("b"), F.col("n").alias("b_n"), F.col("s").alias("b_s"))
+    pairs = met.select("a", "b").distinct().join(left, "a").join(right, "b")
+    least = F.slice(F.sort_array(F.array_union("a_s", "b_s")), 1, SKETCH)
+    both = F.array_intersect(least, F.array_intersect("a_s", "b_s"))
+    pairs = pairs.select("a", "b", "a_n", "b_n", (F.size(both) / F.size(least)).alias("share"))
+    # The runs of both and of either, without those inside the lines.
+    common = F.col("share") / (1 + F.col("share")) * (F.col("a_n") + F.col("b_n"))
+    inside = F.greatest(F.col("size") - RUN + 1, F.lit(1))
+    shared = F.coalesce("shared", inside)
+    alike = common - shared >= SAME * (F.col("a_n") + F.col("b_n") - common - (2 * inside - shared))
+    copies = met.join(pairs, ["a", "b"]).filter(alike).select("leaf", "template", F.col("b").alias("line_version")).distinct()
+    return texts.join(copies, ["leaf", "template", "line_version"], "left_anti").groupBy("leaf", "template").agg(
+        F.count(F.lit(1)).alias("unlike")
+    )
 
 
 def _one_of_each(docs: DataFrame, lines: DataFrame, leaves: DataFrame) -> DataFrame:
@@ -61,18 +131,21 @@ def _one_of_each(docs: DataFrame, lines: DataFrame, leaves: DataFrame) -> DataFr
     return met.select("s.leaf", "s.body", words.alias("words")).dropDuplicates(["leaf", "body"])
 
 
-def recurring_lines(docs: DataFrame, *, min_docs: int) -> tuple[DataFrame, DataFrame]:
+def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
     lines = stage(_lines(docs).drop("words"), "lines")
-    holders = lines.select("leaf", "body", "line_version", "line_doc").groupBy("leaf", "body", "line_version").agg(
-        F.min("line_doc").alias("line_doc")
+    holders = lines.select("leaf", "body", "line_version", "line_doc", "size").groupBy("leaf", "body", "line_version").agg(
+        F.min("line_doc").alias("line_doc"), F.min("size").alias("size")
     )
     holders = stage(holders, "holders")
-    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"))
+    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size"))
     bodies = stage(bodies, "bodies")
     # Leaves with several different lines and enough of them for a template.
-    leaves = bodies.groupBy("leaf").agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"))
-    varied = leaves.filter((F.col("texts") >= min_docs) & (F.col("kinds") > 1)).select("leaf")
+    leaves = bodies.groupBy("leaf").agg(
+        F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"), F.min("size").alias("size")
+    )
+    enough = F.col("texts") >= _needed(F.col("size"), min_docs)
+    varied = leaves.filter(enough & (F.col("kinds") > 1)).select("leaf")
     varied = stage(varied, "leaves")
     seen = stage(_one_of_each(docs, lines, varied).join(bodies, ["leaf", "body"]), "seen")
     words = seen.select("leaf", "body", "texts", F.posexplode("words").alias("at", "word"))
@@ -84,20 +157,31 @@ def recurring_lines(docs: DataFrame, *, min_docs: int) -> tuple[DataFrame, DataF
     member = joined.select("leaf", "body", F.lit(0).cast("long").alias("template"))
     # Members share template 0 of their leaf; other lines are their own template.
     named = holders.join(member, ["leaf", "body"], "left").withColumn("template", F.coalesce("template", "body"))
-    texts = named.groupBy("leaf", "template", "line_version").agg(F.min("line_doc").alias("line_doc"))
+    texts = named.groupBy("leaf", "template", "line_version").agg(
+        F.min("line_doc").alias("line_doc"), F.min("size").alias("size"), F.min("body").alias("body")
+    )
     groups = texts.groupBy("leaf", "template").agg(
-        F.count(F.lit(1)).alias("texts"), F.min(F.struct("line_doc", "line_version")).alias("first")
+        F.count(F.lit(1)).alias("texts"), F.min(F.struct("line_doc", "line_version")).alias("first"), F.min("size").alias("size")
     )
-    groups = groups.filter(F.col("texts") >= min_docs).select("leaf", "template", "first")
+    groups = groups.filter(enough)
+    if min_docs is None:
+        groups = stage(groups, "groups")
+        few = groups.filter(F.col("texts") < MIN_DOCS).select("leaf", "template")
+        unlike = _unlike_texts(docs, stage(texts.join(few, ["leaf", "template"], "left_semi"), "few"), seen)
+        groups = groups.join(unlike, ["leaf", "template"], "left").withColumn("texts", F.coalesce("unlike", "texts")).filter(enough)
+    groups = groups.select("leaf", "template", "first")
     members = bodies.select("leaf", "body").join(member, ["leaf", "body"], "left")
     found = members.withColumn("template", F.coalesce("template", "body")).join(groups, ["leaf", "template"])
     return lines, found
 
 
 def drop_recurring_lines(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int | None = None
 ) -> DataFrame:
-    """The rows of `docs` with recurring lines cut from the text, and `n_dropped`, the number of lines cut."""
+    """The rows of `docs` with recurring lines cut from the text, and `n_dropped`, the number of lines cut.
+
+    Without `min_docs` the number of texts a line must be found in follows from its length.
+    """
     given = docs.withColumns({"line_doc": F.col(id_col), "line_version": F.xxhash64(text_col)})
     source = given.select("line_doc", "line_version", F.col(text_col).alias("line_text"))
     lines, found = recurring_lines(source, min_docs=min_docs)

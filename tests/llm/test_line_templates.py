@@ -86,3 +86,50 @@ def test_awkward_and_empty(spark):
     assert rows.count() == df.count()
     assert rows.filter("text is null").count() == df.filter("text is null").count()
     assert line_templates.drop_recurring_lines(empty(spark)).count() == 0
+
+
+def passage(words: int, name: str) -> str:
+    return " ".join(f"{name}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(words))
+
+
+def shared_by(count: int, words: int, name: str, own: int = 40) -> list[str]:
+    return ["\n".join([passage(own, f"{name}own{'abcdefghij'[i]}"), passage(words, name), f"end of {name}{'abcdefghij'[i]}"]) for i in range(count)]
+
+
+def test_default_follows_length(spark):
+    """A long passage goes from 2 and from 5 texts on, also where it is most of the text; a short line needs 10."""
+    cases = {"two": (2, 60), "five": (5, 55), "half": (2, 30), "three": (3, 30), "short": (5, 6), "mid": (4, 12), "mids": (5, 12)}
+    texts = [t for name, (count, words) in cases.items() for t in shared_by(count, words, name)]
+    texts += shared_by(2, 60, "brief", own=6)
+    rows = line_templates.drop_recurring_lines(documents(spark, texts)).collect()
+    left = {name: sum(f"{passage(words, name)}\n" in r["text"] for r in rows) for name, (_, words) in cases.items()}
+    assert left == {"two": 1, "five": 1, "half": 2, "three": 1, "short": 5, "mid": 4, "mids": 1}
+    assert sum(passage(60, "brief") in r["text"] for r in rows) == 1
+
+
+def test_edited_copies_count_once(spark):
+    one = [passage(60, name) for name in ("first", "second", "third", "fourth")]
+    texts = ["\n".join(one), "\n".join([*one[:3], one[3].replace("fourthak", "changed")])]
+    rows = line_templates.drop_recurring_lines(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts))
+    rows = line_templates.drop_recurring_lines(documents(spark, [*texts, f"another text\n{one[1]}"])).collect()
+    assert [r["n_dropped"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [0, 1, 1]
+
+
+def test_default_on_the_whole_table(spark, folder):
+    """Planted passages go from all but their first documents, and nothing else changes by them."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("text is not null")
+    plain = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(docs).collect()}
+    ids = sorted(plain)
+    holders = {ids[3]: "two", ids[150]: "two", **{ids[i]: "five" for i in (10, 40, 70, 100, 130)}}
+    mark = F.lit("")
+    for doc, name in holders.items():
+        mark = F.when(F.col("doc_id") == doc, "\n" + passage(60, name)).otherwise(mark)
+    rows = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(docs.withColumn("text", F.concat("text", mark))).collect()}
+    first = {ids[3], ids[10]}
+    for doc, row in rows.items():
+        kept = f"\n{passage(60, holders[doc])}" if doc in first else ""
+        assert row["text"] == plain[doc]["text"] + kept
+        assert row["n_dropped"] == plain[doc]["n_dropped"] + (doc in holders and doc not in first)

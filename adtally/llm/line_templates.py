@@ -2,8 +2,10 @@
 
 A line's words containing digits become `<*>`. Lines of one word count that begin with the same words share a
 leaf. In leaves whose lines recur, the most common word of each place makes a template; places without a
-common word become `<*>` too. Lines that agree with the template in enough places belong to it, the others
-stand for themselves. A template found in enough distinct texts is boilerplate: its lines are dropped from
+common word become `<*>` too. Lines that agree with the template in enough places after the leading words, one
+of them a word and not `<*>`, belong to it. The others are searched for further templates: in the same leaf if
+the template took half of it, else in parts by each line's most common word there, and so on until no part has
+lines enough. Lines too few of whose words are common to enough texts drop out; they stand for themselves. A template found in enough distinct texts is boilerplate: its lines are dropped from
 every document but the first (the smallest id, then the smallest text hash) that has it.
 
 How many texts are enough falls with the length of the line, as a long line does not recur by chance: 10 for
@@ -35,7 +37,7 @@ SKETCH = 256
 SAME = 0.5  # share of common runs from which two texts are copies of each other
 LEADING = 3
 COMMON = 0.5  # share of a leaf's lines that makes a place's word part of the template
-AGREE = 0.6  # share of places in which a line must agree with it
+AGREE = 0.6  # share of places after the leading ones in which a line must agree with it
 ANY = "<*>"
 
 
@@ -131,6 +133,46 @@ def _one_of_each(docs: DataFrame, lines: DataFrame, leaves: DataFrame) -> DataFr
     return met.select("s.leaf", "s.body", words.alias("words")).dropDuplicates(["leaf", "body"])
 
 
+def _templates(seen: DataFrame, min_docs: int | None) -> DataFrame:
+    """Rows (leaf, body, template) of the lines that belong to a template found in enough texts."""
+    rest, found, step = seen.withColumn("part", F.col("leaf")), None, 0
+    needed, agreed = _needed(F.col("size"), min_docs), AGREE * (F.col("size") - LEADING)
+    while True:
+        words = rest.select("part", "leaf", "body", "texts", "size", F.posexplode("words").alias("at", "word"))
+        words = words.filter(F.col("at") >= LEADING)
+        votes = words.groupBy("part", "at", "word").agg(F.sum("texts").alias("votes"))
+        ruling = votes.groupBy("part", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
+        rules = (F.col("word") == F.col("top.word")) & (F.col("votes") >= COMMON * F.col("all"))
+        marks = votes.join(ruling, ["part", "at"]).select("part", "at", "word", "votes", "all", rules.alias("rules"))
+        constant, often = F.col("word") != ANY, F.col("votes") >= needed
+        splits = constant & often & (F.col("votes") < F.col("all"))
+        lines = words.join(marks, ["part", "at", "word"]).groupBy("part", "leaf", "body", "texts", "size").agg(
+            F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & constant).alias("constants"),
+            F.count_if(often).alias("often"), F.max(F.when(splits, F.struct("votes", -F.col("at"), "word"))).alias("next"),
+        )
+        lines = stage(lines.withColumn("member", (F.col("agree") >= agreed) & (F.col("constants") > 0)), "agreeing")
+        parts = lines.groupBy("part").agg(
+            F.sum("texts").alias("total"), F.sum(F.when(F.col("member"), F.col("texts")).otherwise(0)).alias("taken")
+        )
+        lines = lines.join(parts, "part").withColumn("taken", F.when(F.col("taken") >= needed, F.col("taken")).otherwise(0))
+        inside = F.col("member") & (F.col("taken") > 0)
+        made = lines.filter(inside).select("leaf", "body", F.xxhash64("part", F.lit(step)).alias("template"))
+        found = made if found is None else found.unionByName(made)
+        # Every part left is at most half of what it was, or one of several.
+        part = F.when(2 * F.col("taken") >= F.col("total"), F.col("part")).when(
+            F.col("next").isNotNull(), F.xxhash64("part", "next")
+        )
+        left = lines.filter(~inside & (F.col("often") >= agreed)).select("leaf", "body", "texts", "size", part.alias("part"))
+        left = stage(left.filter("part is not null"), "left")
+        large = left.groupBy("part").agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"), F.min("size").alias("size"))
+        large = large.filter((F.col("texts") >= needed) & (F.col("kinds") > 1)).select("part")
+        left = left.join(large, "part", "left_semi").select("leaf", "body", "part")
+        if left.isEmpty():
+            return found
+        rest = stage(seen.join(left, ["leaf", "body"]), "rest")
+        step += 1
+
+
 def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
     lines = stage(_lines(docs).drop("words"), "lines")
@@ -148,14 +190,8 @@ def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[Da
     varied = leaves.filter(enough & (F.col("kinds") > 1)).select("leaf")
     varied = stage(varied, "leaves")
     seen = stage(_one_of_each(docs, lines, varied).join(bodies, ["leaf", "body"]), "seen")
-    words = seen.select("leaf", "body", "texts", F.posexplode("words").alias("at", "word"))
-    votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"))
-    ruling = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
-    ruling = ruling.filter(F.col("top.votes") >= COMMON * F.col("all")).select("leaf", "at", F.col("top.word").alias("word"))
-    agreeing = words.join(ruling, ["leaf", "at", "word"]).groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("agree"))
-    joined = seen.join(agreeing, ["leaf", "body"], "left").filter(F.col("agree") >= AGREE * F.size("words"))
-    member = joined.select("leaf", "body", F.lit(0).cast("long").alias("template"))
-    # Members share template 0 of their leaf; other lines are their own template.
+    member = _templates(seen, min_docs)
+    # Lines without a template are their own.
     named = holders.join(member, ["leaf", "body"], "left").withColumn("template", F.coalesce("template", "body"))
     texts = named.groupBy("leaf", "template", "line_version").agg(
         F.min("line_doc").alias("line_doc"), F.min("size").alias("size"), F.min("body").alias("body")

@@ -133,3 +133,21 @@ def test_default_on_the_whole_table(spark, folder):
         kept = f"\n{passage(60, holders[doc])}" if doc in first else ""
         assert row["text"] == plain[doc]["text"] + kept
         assert row["n_dropped"] == plain[doc]["n_dropped"] + (doc in holders and doc not in first)
+
+
+def test_templates_need_a_constant_after_the_leading_words(spark):
+    texts = [f"We are all {w}\nThis is my {w} {passage(1, w)}" for w in passage(12, "own").split()]
+    rows = line_templates.drop_recurring_lines(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts))
+
+
+def test_several_templates_in_a_leaf(spark):
+    """Two templates with a variable word among ordinary lines that outnumber them."""
+    lead, names = "Some leading words", passage(12, "name").split()
+    one = [f"{lead} please call our office {n} before noon" for n in names]
+    two = [f"{lead} never send your password to {n} again" for n in names]
+    ordinary = [f"{lead} {passage(7, f'plain{a}{b}')}" for a in "abcdef" for b in "ghijklmn"]
+    texts = [*one, *two, *ordinary]
+    rows = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(documents(spark, texts), min_docs=10).collect()}
+    gone = {*range(1, 12), *range(13, 24)}
+    assert rows == {i: "" if i in gone else t for i, t in enumerate(texts)}

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import (
-    bpe, chat, language_id, line_templates, mixture, nearest, personal_data, quality, shingle_join,
-    spot_signatures,
+    bpe, chat, language_id, line_templates, mixture, nearest, personal_data, quality, sharding, shingle_join,
+    spelling, spot_signatures, whitening,
 )
 from adtally.llm.common import fold, read_table
 
@@ -128,13 +128,32 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(held, model, keep=("doc_id", "held_out"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    made = whitening.whiten(read_table(spark, folder, "embeddings"))
+    # A long holds the deviations of some ten million vectors; the operator's decimals go on, the column is null.
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    made = sharding.shard_by_bytes(read_table(spark, folder, "documents"), shards=8)
+    return made.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_forms(read_table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_nearest": op2_nearest,
         "op3_personal_data": op3_personal_data,
         "op4_quality": op4_quality, "op5_shingle_join": op5_shingle_join,
         "op6_mixture": op6_mixture, "op7_spot_signatures": op7_spot_signatures,
         "op8_line_templates": op8_line_templates,
-        "op9_chat": op9_chat, "op10_language_id": op10_language_id}
+        "op9_chat": op9_chat, "op10_language_id": op10_language_id,
+        "op11_whitening": op11_whitening, "op12_kd_shards": op12_kd_shards, "op13_spelling": op13_spelling}
 
 
 def llm_oracles() -> dict[str, str]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.operators.ranking import with_row_number
+from adtally.operators.coding import category_codes, with_code
 from adtally.operators.selection import medians
 from adtally.sources.staging import stage
 
@@ -96,35 +96,35 @@ def impute(
 
 
 def ordinal_codes(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> DataFrame:
-    """0-based code of every training value per column, in numeric order: (name, value, code).
-
-    The distinct values of all columns are numbered as one range-partitioned order; a column's codes start
-    at its first number.
-    """
-    pairs = [item for name in columns for item in (F.lit(name), F.col(name).cast("long"))]
-    values = (
-        _train(df, split_col)
-        .select(F.stack(F.lit(len(columns)), *pairs).alias("name", "value"))
-        .filter(F.col("value").isNotNull())
-        .distinct()
-    )
-    numbered = stage(with_row_number(values, [F.asc("name"), F.asc("value")], "number"), "codes")
-    first = numbered.groupBy("name").agg(F.min("number").alias("first"))
-    # One row per column is broadcast.
-    code = (F.col("number") - F.col("first")).alias("code")
-    return numbered.join(F.broadcast(first), "name").select("name", "value", code)
+    """0-based code of every training value per column, in numeric order: (name, value, code)."""
+    return category_codes(_train(df, split_col), columns)
 
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> DataFrame:
     """Replace every column by its training code; -1 for values never trained on."""
     codes = ordinal_codes(df, columns, split_col=split_col)
     for name in columns:
-        one = codes.filter(F.col("name") == name).select(
-            F.col("value").alias("__coded_value"), F.col("code").alias("__coded")
-        )
-        df = (
-            df.join(one, F.col(name).cast("long") == F.col("__coded_value"), "left")
-            .withColumn(name, F.coalesce("__coded", F.lit(-1)).cast("int"))
-            .drop("__coded_value", "__coded")
-        )
+        df = with_code(df, name, codes, name, name).withColumn(name, F.coalesce(name, F.lit(-1)).cast("int"))
     return df
+
+
+def one_hot_slots(df: DataFrame, columns: Sequence[str], *, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
+    """(rows with the sparse one-hot vector as `slots`, table of slots: name, value, slot).
+
+    Slots of a column follow its training values in numeric order, columns follow each other by name. A row's vector has a one at each of
+    its slots, listed ascending; values never trained on, and nulls, have none.
+    """
+    codes = stage(ordinal_codes(df, columns, split_col=split_col), "codes")
+    sizes = {row["name"]: row["count"] for row in codes.groupBy("name").count().collect()}
+    start, starts = 0, {}
+    for name in sorted(columns):
+        starts[name] = start
+        start += sizes.get(name, 0)
+    offset = F.coalesce(*[F.when(F.col("name") == name, F.lit(first)) for name, first in starts.items()])
+    table = codes.select("name", "value", (F.col("code") + offset).alias("slot"))
+    own = []
+    for i, name in enumerate(sorted(columns)):
+        df = with_code(df, name, codes, name, f"__slot{i}")
+        own.append(F.col(f"__slot{i}") + F.lit(starts[name]))
+    slots = F.filter(F.array(*own), lambda slot: slot.isNotNull())
+    return df.withColumn("slots", slots).drop(*[f"__slot{i}" for i in range(len(own))]), table

@@ -1,7 +1,9 @@
-"""Click and uplift models on Spark ML.
+"""Click and uplift models as Spark ML pipelines.
 
-A fitted model is one saved-and-loadable PipelineModel: imputation with training statistics, encoding,
-assembling and the estimator. Scoring is a plain `transform`.
+A fitted model is one saved-and-loadable PipelineModel: imputation with training statistics, category codes
+joined from a written table, assembling and the estimator. Scoring is a plain `transform`. Linear fits of up to
+`linear.MAX_SLOTS` features come from sufficient statistics; wider ones, and trees, from Spark's own solvers on
+sparse vectors.
 """
 
 from __future__ import annotations
@@ -12,17 +14,19 @@ from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.expressions import clip
+from adtally.operators import linear
+from adtally.operators.coding import CategoryCodes
 from adtally.operators.contracts import check_overlap
 from adtally.operators.encoding import most_frequent
 from adtally.operators.selection import medians
-from adtally.sources.staging import stage
+from adtally.sources.staging import release, stage
 
 # Default boosted-tree settings of the click model and of the uplift models.
 CLICK_TREE_DEFAULTS = {
@@ -35,10 +39,6 @@ UPLIFT_TREE_DEFAULTS = {
 }
 
 
-# The encoders keep every category of the training rows on the driver.
-MAX_CATEGORIES = 100_000
-
-
 @dataclass(frozen=True)
 class Features:
     numeric: Sequence[str]
@@ -57,8 +57,8 @@ class UpliftSpec:
     learner_params: Mapping[str, Any] = field(default_factory=dict)
 
 
-def _numeric_inputs(train: DataFrame, features: Features) -> SQLTransformer:
-    """Fills nulls with training medians and modes; categories become fixed-width text, ordered like numbers."""
+def _filled_inputs(train: DataFrame, features: Features) -> SQLTransformer:
+    """Fills nulls with training medians and modes."""
     fills = medians(train, {name: F.col(name) for name in features.numeric}) if features.numeric else {}
     modes = most_frequent(train, features.categorical)
     empty = [name for name in features.numeric if fills[name] is None]
@@ -69,46 +69,41 @@ def _numeric_inputs(train: DataFrame, features: Features) -> SQLTransformer:
         f"CAST(COALESCE(CAST(`{name}` AS DOUBLE), {fills[name]!r}D) AS DOUBLE) AS `num_{name}`"
         for name in features.numeric
     ]
-    parts += [
-        f"LPAD(CAST(COALESCE(CAST(`{name}` AS BIGINT), {modes[name]}) AS STRING), 20, '0') AS `cat_{name}`"
-        for name in features.categorical
-    ]
+    parts += [f"COALESCE(CAST(`{name}` AS BIGINT), {modes[name]}L) AS `cat_{name}`" for name in features.categorical]
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def _check_categories(train: DataFrame, names: Sequence[str]) -> None:
-    """Refuse, by name, columns with more categories than the driver should hold."""
-    found = train.agg(*[F.approx_count_distinct(name).alias(name) for name in names]).first()
-    wide = [name for name in names if found[name] > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many categories to encode (over {MAX_CATEGORIES}): {wide}")
+def _coded(stages: Sequence, features: Features) -> tuple[list[str], list[int]]:
+    """The code columns and their number of codes, as fitted in the preparation stages."""
+    codes = next((s for s in stages if isinstance(s, CategoryCodes)), None)
+    return ([f"idx_cat_{name}" for name in features.categorical], codes.getOrDefault(codes.sizes)) if codes else ([], [])
+
 
+def _preparation(train: DataFrame, features: Features, *, one_hot: bool, codes: CategoryCodes | None = None) -> list:
+    """Fitted stages from raw columns to the `features` vector.
 
-def _preparation(train: DataFrame, features: Features, *, one_hot: bool) -> list:
-    """Fitted stages from raw columns to the `features` vector."""
-    stages = [_numeric_inputs(train, features)]
+    Given codes may know more values than `train` has: under a penalty their coefficients are zero, as if unknown.
+    """
+    stages = [_filled_inputs(train, features)]
     inputs = [f"num_{name}" for name in features.numeric]
     if features.categorical:
-        _check_categories(train, features.categorical)
-        texts = [f"cat_{name}" for name in features.categorical]
-        codes = [f"idx_{name}" for name in features.categorical]
         # Codes follow numeric order; values never trained on get the code after the last.
-        indexer = StringIndexer(
-            inputCols=texts, outputCols=codes, handleInvalid="keep", stringOrderType="alphabetAsc"
-        ).fit(stages[0].transform(train))
-        stages.append(indexer)
+        texts = [f"cat_{name}" for name in features.categorical]
+        stages.append(codes or CategoryCodes.fit(stages[0].transform(train), texts))
+        columns, sizes = _coded(stages, features)
         if one_hot:
             # The dropped last slot is the one of unknown values: they become all-zero vectors.
             vectors = [f"hot_{name}" for name in features.categorical]
-            encoder = OneHotEncoder(inputCols=codes, outputCols=vectors, dropLast=True, handleInvalid="error")
-            # The encoder's sizes are the indexer's, read from the column metadata: no row is needed.
-            stages.append(encoder.fit(indexer.transform(stages[0].transform(train.filter(F.lit(False))))))
+            encoder = OneHotEncoder(inputCols=columns, outputCols=vectors, dropLast=True, handleInvalid="error")
+            # The encoder only needs the largest code of each column: one made row holds them.
+            largest = train.sparkSession.createDataFrame([tuple(sizes)], ", ".join(f"`{name}` int" for name in columns))
+            stages.append(encoder.fit(largest))
             inputs += vectors
         else:
             # Plain numbers, -1 for unknown: trees then split by order instead of by category sets.
             parts = [
-                f"CASE WHEN `idx_{name}` = {len(labels)}D THEN -1D ELSE `idx_{name}` + 0D END AS `ord_{name}`"
-                for name, labels in zip(features.categorical, indexer.labelsArray, strict=True)
+                f"CASE WHEN `{column}` = {size} THEN -1D ELSE CAST(`{column}` AS DOUBLE) END AS `ord_{name}`"
+                for name, column, size in zip(features.categorical, columns, sizes, strict=True)
             ]
             stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"))
             inputs += [f"ord_{name}" for name in features.categorical]
@@ -116,6 +111,21 @@ def _preparation(train: DataFrame, features: Features, *, one_hot: bool) -> list
     return stages
 
 
+def _fit_linear(train: DataFrame, features: Features, label_col: str, stages: Sequence, *, solve, wide, probability: bool) -> PipelineModel:
+    """The model solved from sums where its features are few enough, else by the iterative estimator `wide`."""
+    layout = linear.Layout([f"num_{name}" for name in features.numeric], *_coded(stages, features))
+    label = F.col(label_col).cast("double")
+    if layout.width > linear.MAX_SLOTS:
+        return _fit(train, stages, label_col, wide)
+    ready = [s for s in stages if not isinstance(s, VectorAssembler) and "hot_" not in str(getattr(s, "getOutputCols", list)())]
+    # Every pass rereads the coded rows, and only them.
+    rows = PipelineModel(ready).transform(train).select(*layout.numeric, *layout.codes, label.alias("__label"))
+    rows = stage(rows.filter(F.col("__label").isNotNull()), "coded-rows")
+    fitted = linear.LinearScorer(layout, *solve(rows, layout), probability=probability)
+    release(rows)
+    return PipelineModel([*stages, fitted])
+
+
 def _tree_settings(params: Mapping[str, Any], label_col: str) -> dict[str, Any]:
     return {
         "featuresCol": "features",
@@ -130,13 +140,10 @@ def _tree_settings(params: Mapping[str, Any], label_col: str) -> dict[str, Any]:
     }
 
 
-def _fit(
-    train: DataFrame, features: Features, label_col: str, *, one_hot: bool, estimator, like: PipelineModel | None = None
-) -> PipelineModel:
-    """Fit on `train`; a model fitted on the same rows and features may lend its preparation stages."""
-    stages = _preparation(train, features, one_hot=one_hot) if like is None else like.stages[:-1]
+def _fit(train: DataFrame, stages: Sequence, label_col: str, estimator) -> PipelineModel:
+    """An estimator fitted on the prepared vectors of `train`."""
     label = F.col(label_col).cast("double").alias(label_col)
-    prepared = PipelineModel(stages).transform(train).select("features", label)
+    prepared = PipelineModel(list(stages)).transform(train).select("features", label)
     # Every solver iteration rereads the prepared vectors.
     prepared.persist()
     try:
@@ -146,12 +153,25 @@ def _fit(
     return PipelineModel([*stages, fitted])
 
 
+def _codes_of(model: PipelineModel) -> CategoryCodes | None:
+    return next((s for s in model.stages if isinstance(s, CategoryCodes)), None)
+
+
 def fit_logistic(
-    train: DataFrame, features: Features, label_col: str, *, max_iter: int = 100, penalty_c: float = 1.0
+    train: DataFrame,
+    features: Features,
+    label_col: str,
+    *,
+    max_iter: int = 100,
+    penalty_c: float = 1.0,
+    codes: CategoryCodes | None = None,
 ) -> PipelineModel:
-    """L2-penalised logistic regression. Spark averages the loss over rows, so the penalty is 1 / (C n)."""
+    """L2-penalised logistic regression with a free intercept.
+
+    Spark's solver averages the loss over rows, so its penalty is 1 / (C n).
+    """
 
-    def estimator(prepared: DataFrame):
+    def wide(prepared: DataFrame):
         return LogisticRegression(
             featuresCol="features",
             labelCol=label_col,
@@ -162,14 +182,18 @@ def fit_logistic(
             tol=1e-8,
         )
 
-    return _fit(train, features, label_col, one_hot=True, estimator=estimator)
+    def solve(rows: DataFrame, layout: linear.Layout):
+        return linear.solve_logistic(rows, layout, "__label", penalty=1.0 / penalty_c, max_iter=max_iter)
+
+    stages = _preparation(train, features, one_hot=True, codes=codes)
+    return _fit_linear(train, features, label_col, stages, solve=solve, wide=wide, probability=True)
 
 
 def fit_boosted_classifier(
     train: DataFrame, features: Features, label_col: str, params: Mapping[str, Any] | None = None
 ) -> PipelineModel:
     settings = _tree_settings(CLICK_TREE_DEFAULTS | dict(params or {}), label_col)
-    return _fit(train, features, label_col, one_hot=False, estimator=lambda _: GBTClassifier(**settings))
+    return _fit(train, _preparation(train, features, one_hot=False), label_col, lambda _: GBTClassifier(**settings))
 
 
 def fit_click_model(
@@ -208,21 +232,21 @@ def _constant(probability: float) -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=f"SELECT *, {limited!r}D AS prediction FROM __THIS__")])
 
 
-def _classifier(train: DataFrame, spec: UpliftSpec, label_col: str) -> PipelineModel:
+def _classifier(train: DataFrame, spec: UpliftSpec, label_col: str, codes: CategoryCodes | None = None) -> PipelineModel:
     if spec.learner == "linear":
-        return fit_logistic(train, spec.features, label_col, max_iter=spec.max_iter)
+        return fit_logistic(train, spec.features, label_col, max_iter=spec.max_iter, codes=codes)
     if spec.learner == "boosted_trees":
         settings = UPLIFT_TREE_DEFAULTS | dict(spec.learner_params)
         return fit_boosted_classifier(train, spec.features, label_col, settings)
     raise ValueError(f"Unsupported uplift learner: {spec.learner}")
 
 
-def _outcome_model(rows: DataFrame, spec: UpliftSpec) -> PipelineModel:
+def _outcome_model(rows: DataFrame, spec: UpliftSpec, codes: CategoryCodes | None = None) -> PipelineModel:
     outcome = F.col(spec.outcome_col).cast("double")
     found = rows.agg(F.avg(outcome).alias("rate"), F.min(outcome).alias("low"), F.max(outcome).alias("high")).first()
     if found["low"] == found["high"]:
         return _constant(found["rate"])
-    return _classifier(rows, spec, spec.outcome_col)
+    return _classifier(rows, spec, spec.outcome_col, codes)
 
 
 def fit_ridge(
@@ -230,11 +254,11 @@ def fit_ridge(
 ) -> PipelineModel:
     """Least squares with an L2 penalty of alpha on the squared-error sum.
 
-    Spark minimises the mean error of the label divided by its deviation, so the penalty is alpha times that
-    deviation over n.
+    A model fitted on the same rows and features may lend its preparation stages. Spark's solver minimises the
+    mean error of the label divided by its deviation, so its penalty is alpha times that deviation over n.
     """
 
-    def estimator(prepared: DataFrame):
+    def wide(prepared: DataFrame):
         stats = prepared.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label_col).alias("spread")).first()
         return LinearRegression(
             featuresCol="features",
@@ -247,14 +271,18 @@ def fit_ridge(
             tol=1e-10,
         )
 
-    return _fit(train, features, label_col, one_hot=True, estimator=estimator, like=like)
+    def solve(rows: DataFrame, layout: linear.Layout):
+        return linear.solve_ridge(rows, layout, "__label", alpha=alpha)
+
+    stages = _preparation(train, features, one_hot=True) if like is None else like.stages[:-1]
+    return _fit_linear(train, features, label_col, stages, solve=solve, wide=wide, probability=False)
 
 
 def _effect_model(train: DataFrame, spec: UpliftSpec, label_col: str, like: PipelineModel) -> PipelineModel:
     if spec.learner == "linear":
         return fit_ridge(train, spec.features, label_col, alpha=spec.ridge_alpha, like=like)
     settings = _tree_settings(UPLIFT_TREE_DEFAULTS | dict(spec.learner_params), label_col)
-    return _fit(train, spec.features, label_col, one_hot=False, estimator=lambda _: GBTRegressor(**settings), like=like)
+    return _fit(train, like.stages[:-1], label_col, lambda _: GBTRegressor(**settings))
 
 
 def doubly_robust_outcome(
@@ -280,11 +308,11 @@ def fit_uplift(train: DataFrame, spec: UpliftSpec) -> dict[str, PipelineModel]:
     check_overlap(train, spec.treatment_col)
     treated = train.filter(F.col(spec.treatment_col) == 1)
     control = train.filter(F.col(spec.treatment_col) == 0)
-    models = {
-        "propensity_model": _classifier(train, spec, spec.treatment_col),
-        "treated_outcome_model": _outcome_model(treated, spec),
-        "control_outcome_model": _outcome_model(control, spec),
-    }
+    models = {"propensity_model": _classifier(train, spec, spec.treatment_col)}
+    # The arms' categories are among those of all training rows.
+    codes = _codes_of(models["propensity_model"])
+    models["treated_outcome_model"] = _outcome_model(treated, spec, codes)
+    models["control_outcome_model"] = _outcome_model(control, spec, codes)
     effect = doubly_robust_outcome(
         treatment=F.col(spec.treatment_col),
         outcome=F.col(spec.outcome_col),
@@ -306,6 +334,24 @@ def with_uplift_scores(df: DataFrame, models: Mapping[str, PipelineModel], spec:
     return with_prediction(models["tau_model"], scored, "doubly_robust_score")
 
 
+def coefficient_table(model: PipelineModel, features: Features) -> DataFrame:
+    """(feature, coefficient) of a linear model solved from sums: the intercept, numeric columns, and name=value per category."""
+    fitted, codes = model.stages[-1], _codes_of(model)
+    if not isinstance(fitted, linear.LinearScorer):
+        raise ValueError("the model's coefficients do not come from sums")
+    layout, values = fitted.layout, [float(c) for c in fitted.coefficients.toArray()]
+    spark = SparkSession.active()
+    rows = [("intercept", fitted.intercept), *zip(features.numeric, values, strict=False)]
+    table = spark.createDataFrame([(name, float(value)) for name, value in rows], "feature string, coefficient double")
+    for name, size, start in zip(features.categorical, layout.sizes, layout.offsets(), strict=True):
+        own = codes.codes.filter(F.col("name") == f"cat_{name}")
+        slots = F.lit(values[start : start + size])
+        table = table.unionByName(
+            own.select(F.concat(F.lit(f"{name}="), F.col("value")).alias("feature"), F.get(slots, F.col("code").cast("int")).alias("coefficient"))
+        )
+    return table
+
+
 def save_models(models: Mapping[str, PipelineModel], folder: str) -> None:
     """One saved model per name."""
     for name, model in models.items():

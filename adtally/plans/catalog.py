@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtally.functions.expressions import clip, hash_uniform
-from adtally.operators import attribution, calibration, contracts, drift, encoding, evaluation, features
+from adtally.operators import artifacts, attribution, calibration, contracts, drift, encoding, evaluation, features
 from adtally.operators import models, profile, splits, targeting
 from adtally.operators.benchmark import add_known_effect_columns
 from adtally.operators.ranking import with_average_ranks
@@ -174,12 +174,15 @@ def _lineitem_quartiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _pseudo_outcome(spark: SparkSession, folder: str) -> DataFrame:
-    effect = models.doubly_robust_outcome(
+def _pseudo_outcome_column() -> Column:
+    return models.doubly_robust_outcome(
         treatment=F.col(TREATMENT), outcome=F.col(OUTCOME), propensity=F.col("propensity_score"),
         treated_score=F.col("treated_outcome_score"), control_score=F.col("control_outcome_score"),
     )
-    return uplift_table(spark, folder).select(*KEY, effect.alias("effect_outcome"))
+
+
+def _pseudo_outcome(spark: SparkSession, folder: str) -> DataFrame:
+    return uplift_table(spark, folder).select(*KEY, _pseudo_outcome_column().alias("effect_outcome"))
 
 
 def _click_time_slices(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,6 +240,69 @@ def _holey(spark: SparkSession, folder: str) -> DataFrame:
     return split_log(spark, folder).withColumn("cat4", F.when(F.col("cat7") != 3, F.col("cat4")))
 
 
+CLICK_PARTS = models.Features(numeric=("log_cost", "has_prev_click"), categorical=("cat4", "recency_bucket"))
+EFFECT_PARTS = models.Features(numeric=("log_cost", "cpo_rank", "has_prev_click"), categorical=("cat4", "recency_bucket"))
+
+
+def _short(df: DataFrame, *columns: str) -> DataFrame:
+    """Fitted values at five digits: solvers agree to some ten."""
+    return df.withColumns({name: F.round(name, 5) for name in columns})
+
+
+def _train(df: DataFrame) -> DataFrame:
+    return df.filter("split = 'train'")
+
+
+def _click_logistic(spark: SparkSession, folder: str):
+    """A logistic click model on rows of which some lack a category."""
+    table = _holey(spark, folder)
+    return table, models.fit_logistic(_train(table), CLICK_PARTS, "click")
+
+
+def _logistic_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return _short(models.coefficient_table(_click_logistic(spark, folder)[1], CLICK_PARTS), "coefficient")
+
+
+def _ridge_fit(spark: SparkSession, folder: str) -> DataFrame:
+    effect = _pseudo_outcome_column()
+    rows = _train(uplift_table(spark, folder)).withColumn("effect_outcome", effect)
+    model = models.fit_ridge(rows, EFFECT_PARTS, "effect_outcome", alpha=2.0)
+    return _short(models.coefficient_table(model, EFFECT_PARTS), "coefficient")
+
+
+def _uplift_linear(spark: SparkSession, folder: str) -> DataFrame:
+    """All five scores of the linear uplift models on every row."""
+
+    def build() -> DataFrame:
+        spec = models.UpliftSpec(treatment_col=TREATMENT, outcome_col=OUTCOME, features=EFFECT_PARTS)
+        table = uplift_table(spark, folder).drop("propensity_score", "treated_outcome_score", "control_outcome_score", *SCORES)
+        return models.with_uplift_scores(table, models.fit_uplift(_train(table), spec), spec)
+
+    return _once(spark, folder, "uplift-linear", build)
+
+
+def _uplift_linear_scores(spark: SparkSession, folder: str) -> DataFrame:
+    names = ("propensity_score", "treated_outcome_score", "control_outcome_score", *SCORES)
+    return _short(_uplift_linear(spark, folder).select(*KEY, "split", *names), *names)
+
+
+def _one_hot(spark: SparkSession, folder: str) -> DataFrame:
+    rows, _ = encoding.one_hot_slots(_holey(spark, folder), ["cat4", "cat9", "campaign"])
+    return rows.select(*KEY, F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))
+
+
+def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of a click model before it is saved and after it is read back, under its contract."""
+    table, model = _click_logistic(spark, folder)
+    target = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    artifacts.save_artifact(model, target, "click", trained_on=table, features=CLICK_PARTS, label="click")
+    saved = artifacts.load_artifact(spark, target, "click")
+    artifacts.check_columns(saved, table)
+    before = models.with_prediction(model, table, "score_before")
+    both = models.with_prediction(saved.model, before, "score_after")
+    return _short(both.select(*KEY, "split", "score_before", "score_after"), "score_before", "score_after")
+
+
 # Small boosted-tree settings: the fits below check the jobs end to end, not the best quality.
 SMALL_TREES = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1}
 
@@ -419,7 +485,13 @@ def _catalog() -> dict[str, Query]:
         ),
         "calibration_drift_bins": lambda s, d: calibration.calibration_drift_bins(_calibration_totals(s, d)),
         "calibration_drift": lambda s, d: calibration.calibration_drift_summary(_calibration_totals(s, d)),
-        # fitted models: iterative solvers, no SQL equivalent
+        # fits from sufficient statistics
+        "ridge_fit": _ridge_fit,
+        "logistic_fit": _logistic_fit,
+        "uplift_linear_scores": _uplift_linear_scores,
+        "one_hot": _one_hot,
+        "model_round_trip": _model_round_trip,
+        # fitted models: many features or trees, no SQL equivalent
         "click_model_metrics": _click_model,
         "click_model_comparison": _model_comparison,
         "uplift_model_scores": lambda s, d: _uplift_scored(s, d).select(

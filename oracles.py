@@ -959,7 +959,159 @@ bins AS MATERIALIZED (
     }
 
 
+NEWTON_STEPS = 9
+
+
+def _design(name: str, rows: str, numeric: list[str], categorical: list[str]) -> str:
+    """Sparse design of `rows` (rid, train, columns): name_x (rid, i, v), feature numbers name_slots, name_n columns in all.
+
+    Categories are those of the training rows; position 0 is the leading one.
+    """
+    p = len(numeric)
+    values = " UNION ALL ".join(f"SELECT {k} AS pos, '{c}' AS name, {c} AS value FROM {rows} WHERE train" for k, c in enumerate(categorical))
+    parts = [f"SELECT rid, 0 AS i, 1e0 AS v FROM {rows}"]
+    parts += [f"SELECT rid, {k + 1} AS i, CAST({c} AS DOUBLE) AS v FROM {rows}" for k, c in enumerate(numeric)]
+    parts += [f"SELECT rid, s.i, 1e0 AS v FROM {rows} r JOIN {name}_slots s ON s.name = '{c}' AND s.value = r.{c}" for c in categorical]
+    names = ["SELECT 0 AS i, 'intercept' AS feature"]
+    names += [f"SELECT {k + 1} AS i, '{c}' AS feature" for k, c in enumerate(numeric)]
+    names.append(f"SELECT i, name || '=' || value AS feature FROM {name}_slots")
+    return f"""
+{name}_slots AS MATERIALIZED (SELECT *, {p} + row_number() OVER (ORDER BY pos, value) AS i FROM (SELECT DISTINCT * FROM ({values}))),
+{name}_names AS ({' UNION ALL '.join(names)}),
+{name}_n AS MATERIALIZED (SELECT count(*) AS n FROM {name}_names),
+{name}_x AS MATERIALIZED ({' UNION ALL '.join(parts)})"""
+
+
+def _solved(name: str, design: str, gram: str, cross: str) -> str:
+    """name (i, b): the solution of gram (i, j, v) b = cross (i, v), by Gauss-Jordan steps."""
+    return f"""
+{name}_g AS (
+  SELECT 0 AS p, i, j, v FROM (
+    SELECT a.i, b.i AS j, coalesce(g.v, 0e0) AS v FROM {design}_names a CROSS JOIN {design}_names b LEFT JOIN {gram} g ON g.i = a.i AND g.j = b.i
+    UNION ALL SELECT a.i, n AS j, coalesce(c.v, 0e0) AS v FROM {design}_names a CROSS JOIN {design}_n LEFT JOIN {cross} c ON c.i = a.i)
+  UNION ALL
+  SELECT p + 1, i, j, CASE WHEN i = p THEN pj / pp ELSE v - ip * pj / pp END
+  FROM (SELECT *, max(CASE WHEN j = p THEN v END) OVER (PARTITION BY i) AS ip,
+          max(CASE WHEN i = p THEN v END) OVER (PARTITION BY j) AS pj,
+          max(CASE WHEN i = p AND j = p THEN v END) OVER () AS pp FROM {name}_g)
+  WHERE p < (SELECT n FROM {design}_n)),
+{name} AS MATERIALIZED (SELECT i, v AS b FROM {name}_g WHERE p = (SELECT n FROM {design}_n) AND j = (SELECT n FROM {design}_n))"""
+
+
+def _ridge(name: str, design: str, label: str, alpha: str) -> list[str]:
+    """name (i, b) from `label` (rid, y) over the rows that have one."""
+    return [
+        f"""
+{name}_gram AS MATERIALIZED (
+  SELECT i, j, v + CASE WHEN i = j AND i > 0 THEN {alpha} ELSE 0e0 END AS v FROM (
+    SELECT a.i, b.i AS j, sum(a.v * b.v) AS v
+    FROM {design}_x a JOIN {design}_x b USING (rid) WHERE rid IN (SELECT rid FROM {label}) GROUP BY a.i, b.i)),
+{name}_cross AS MATERIALIZED (SELECT i, sum(v * y) AS v FROM {design}_x JOIN {label} USING (rid) GROUP BY i)""",
+        _solved(name, design, f"{name}_gram", f"{name}_cross"),
+    ]
+
+
+def _newton(name: str, design: str, label: str, penalty: str = "1e0") -> list[str]:
+    """name (i, b): logistic coefficients for `label` (rid, y) by whole Newton steps from zero."""
+    ctes = [f"\n{name}_0 AS MATERIALIZED (SELECT i, 0e0 AS b FROM {design}_names)"]
+    for k in range(NEWTON_STEPS):
+        old, step = f"{name}_{k}", f"{name}_step{k}"
+        ctes.append(f"""
+{step}_p AS MATERIALIZED (
+  SELECT rid, any_value(y) AS y, 1e0 / (1e0 + exp(-sum(v * b))) AS p
+  FROM {design}_x JOIN {old} USING (i) JOIN {label} USING (rid) GROUP BY rid),
+{step}_gram AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(p * (1 - p) * a.v * b.v) + CASE WHEN a.i = b.i AND a.i > 0 THEN {penalty} ELSE 0e0 END AS v
+  FROM {step}_p JOIN {design}_x a USING (rid) JOIN {design}_x b USING (rid) GROUP BY a.i, b.i),
+{step}_cross AS MATERIALIZED (
+  SELECT i, sum((y - p) * v) - any_value(CASE WHEN i > 0 THEN {penalty} * b ELSE 0e0 END) AS v
+  FROM {step}_p JOIN {design}_x USING (rid) JOIN {old} USING (i) GROUP BY i)""")
+        ctes.append(_solved(step, design, f"{step}_gram", f"{step}_cross"))
+        ctes.append(f"\n{name}_{k + 1} AS MATERIALIZED (SELECT i, o.b + s.b AS b FROM {old} o JOIN {step} s USING (i))")
+    ctes.append(f"\n{name} AS MATERIALIZED (SELECT * FROM {name}_{NEWTON_STEPS})")
+    return ctes
+
+
+def _margin(design: str, beta: str) -> str:
+    return f"(SELECT rid, sum(v * b) AS m FROM {design}_x JOIN {beta} USING (i) GROUP BY rid)"
+
+
+def _five(column: str) -> str:
+    return f"round({column}, 5) AS {column}"
+
+
+def _fits() -> dict[str, str]:
+    base = [LOG, FEATURES, SPLIT_LOG]
+    click_rows = """
+rows_in AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY "timestamp", uid, campaign) AS rid, "timestamp", uid, campaign, split, split = 'train' AS train, click,
+    log_cost, has_prev_click, recency_bucket,
+    coalesce(CASE WHEN cat7 <> 3 THEN cat4 END, (SELECT cat4 FROM split_log WHERE split = 'train' AND cat7 <> 3 GROUP BY cat4
+      ORDER BY count(*) DESC, cat4 LIMIT 1)) AS cat4
+  FROM split_log),
+click_y AS MATERIALIZED (SELECT rid, click AS y FROM rows_in WHERE train)"""
+    click = [*base, click_rows, _design("d", "rows_in", ["log_cost", "has_prev_click"], ["cat4", "recency_bucket"]), *_newton("beta", "d", "click_y")]
+    uplift_rows = """
+rows_in AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY "timestamp", uid, campaign) AS rid, *, split = 'train' AS train FROM uplift)"""
+    design = _design("d", "rows_in", ["log_cost", "cpo_rank", "has_prev_click"], ["cat4", "recency_bucket"])
+    uplift = [LOG, FEATURES, KNOWN, uplift_rows, design]
+    effect = "(t - e) / (e * (1e0 - e)) * (y - CASE WHEN t = 1 THEN m1 ELSE m0 END) + (m1 - m0) AS y"
+    given = f"""
+effect_y AS MATERIALIZED (
+  SELECT rid, {effect} FROM (SELECT rid, synthetic_treatment AS t, synthetic_outcome AS y, propensity_score AS e,
+    treated_outcome_score AS m1, control_outcome_score AS m0 FROM rows_in WHERE train))"""
+    labels = """
+t_y AS MATERIALIZED (SELECT rid, synthetic_treatment AS y FROM rows_in WHERE train),
+y1 AS MATERIALIZED (SELECT rid, synthetic_outcome AS y FROM rows_in WHERE train AND synthetic_treatment = 1),
+y0 AS MATERIALIZED (SELECT rid, synthetic_outcome AS y FROM rows_in WHERE train AND synthetic_treatment = 0)"""
+    scored = f"""
+nuisances AS MATERIALIZED (
+  SELECT r.rid, synthetic_treatment AS t, synthetic_outcome AS y, train,
+    greatest(least(1e0 / (1e0 + exp(-e.m)), 95e-2), 5e-2) AS e, 1e0 / (1e0 + exp(-a.m)) AS m1, 1e0 / (1e0 + exp(-b.m)) AS m0
+  FROM rows_in r JOIN {_margin('d', 'beta_t')} e USING (rid) JOIN {_margin('d', 'beta_1')} a USING (rid) JOIN {_margin('d', 'beta_0')} b USING (rid)),
+effect_y AS MATERIALIZED (SELECT rid, {effect} FROM nuisances WHERE train)"""
+    fitted = [labels, *_newton("beta_t", "d", "t_y"), *_newton("beta_1", "d", "y1"), *_newton("beta_0", "d", "y0"), scored, *_ridge("tau", "d", "effect_y", "1e0")]
+    slots = "\nslots AS (SELECT *, row_number() OVER (ORDER BY name, value) - 1 AS slot FROM (" + " UNION ".join(
+        f"SELECT '{c}' AS name, {c} AS value FROM holey WHERE split = 'train' AND {c} IS NOT NULL" for c in ("campaign", "cat4", "cat9")
+    ) + "))"
+    holey = """
+holey AS (SELECT * EXCLUDE (cat4), CASE WHEN cat7 <> 3 THEN cat4 END AS cat4 FROM split_log)"""
+    listed = ", ".join(f"(SELECT slot FROM slots WHERE name = '{c}' AND value = h.{c})" for c in ("campaign", "cat4", "cat9"))
+    recursive = lambda ctes: ["RECURSIVE " + ctes[0], *ctes[1:]]
+    return {
+        "ridge_fit": _final(
+            recursive([*uplift, given, *_ridge("beta", "d", "effect_y", "2e0")]),
+            f"SELECT feature, {_five('coefficient')} FROM (SELECT feature, b AS coefficient FROM beta JOIN d_names USING (i))",
+            "feature:s coefficient:d",
+        ),
+        "logistic_fit": _final(
+            recursive(click),
+            f"SELECT feature, {_five('coefficient')} FROM (SELECT feature, b AS coefficient FROM beta JOIN d_names USING (i))",
+            "feature:s coefficient:d",
+        ),
+        "model_round_trip": _final(
+            recursive(click),
+            f"SELECT {TIME}, split, round(p, 5) AS score_before, round(p, 5) AS score_after "
+            f"FROM (SELECT *, 1e0 / (1e0 + exp(-m)) AS p FROM rows_in JOIN {_margin('d', 'beta')} USING (rid))",
+            KEY_COLUMNS + " split:s score_before:d score_after:d",
+        ),
+        "uplift_linear_scores": _final(
+            recursive([*uplift, *fitted]),
+            f"""SELECT {TIME}, split, round(e, 5) AS propensity_score, round(m1, 5) AS treated_outcome_score,
+              round(m0, 5) AS control_outcome_score, round(m1 - m0, 5) AS observational_score, round(m, 5) AS doubly_robust_score
+            FROM rows_in JOIN (SELECT rid, e, m1, m0 FROM nuisances) USING (rid) JOIN {_margin('d', 'tau')} USING (rid)""",
+            KEY_COLUMNS + " split:s propensity_score:d treated_outcome_score:d control_outcome_score:d observational_score:d doubly_robust_score:d",
+        ),
+        "one_hot": _final(
+            [*base, holey, slots],
+            f"SELECT {TIME}, array_to_string(list_filter([{listed}], lambda s: s IS NOT NULL), ',') AS slots FROM holey h",
+            KEY_COLUMNS + " slots:s",
+        ),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     return (
-        _attribution() | _tables() | _features() | _encodings() | _evaluation() | _uplift() | _targeting() | _drift()
+        _attribution() | _tables() | _features() | _encodings() | _evaluation() | _uplift() | _targeting() | _drift() | _fits()
     )

@@ -85,12 +85,12 @@ def _small(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 class _Tree:
-    """Grows the tree over `rows`: columns d0.. (dimensions), tie, spread, size."""
+    """Grows the tree over `rows`: columns d0.. (dimensions), tie, spread, size, and node, zero in all."""
 
     def __init__(self, rows: DataFrame, dimensions: int):
         self.rows, self.dimensions = rows, dimensions
         self.keys = [*[f"d{i}" for i in range(dimensions)], "tie", "spread"]
-        self.placed = rows.withColumn("node", F.lit(0).cast("long"))
+        self.placed = rows
 
     def _stats(self) -> dict[int, dict]:
         ends = [f(F.col(f"d{i}")).alias(f"{f.__name__}{i}") for i in range(self.dimensions) for f in (F.min, F.max)]
@@ -206,7 +206,7 @@ def shard_by_bytes(
         raise ValueError("give either shards or target_bytes")
     keep = list(dict.fromkeys(keep))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    made = {"size": F.octet_length(text).cast("long") + 1, "crc": F.crc32(text.cast("binary")), "row": F.monotonically_increasing_id()}
+    made = {"size": F.octet_length(text).cast("long") + 1, "crc": F.crc32(text.cast("binary")), "row": F.monotonically_increasing_id(), "node": F.lit(0).cast("long")}
     made |= {f"d{i}": _coordinate(df, name) for i, name in enumerate(dimensions)}
     made |= {"tie": F.shiftright(F.xxhash64(text), 1)}
     carried = [F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)]

@@ -1,10 +1,11 @@
 """Ridge and logistic fits by sufficient statistics.
 
-One pass over the rows sums everything a step needs: the Gram matrix of the features and their products with
-the response. Dense numeric columns and one-hot columns are summed apart. A one-hot column is never a vector:
-its products are sums per code, and pairs of them are counts per pair of codes, so a row adds one entry per pair
-of columns whatever the number of categories. The driver solves a system of as many unknowns as there are
-features, at most MAX_SLOTS. A ridge fit is one pass; a logistic fit is one pass per Newton step, some ten.
+One pass over the rows sums everything a step needs. A row is the sparse vector of a leading one and its features, scaled by
+the root of its weight, followed by its response over that root and the root of its loss: the Gram matrix of
+such vectors holds the weighted products of all features, their products with the response, and the total loss.
+A row adds one number per pair of its non-zero entries, whatever the number of categories, and tasks send one
+matrix each. The driver solves a system of as many unknowns as there are features, at most MAX_SLOTS. A ridge
+fit is one such pass; a logistic fit is one per Newton step, some five to ten.
 """
 
 from __future__ import annotations
@@ -14,17 +15,22 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Transformer
+from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.functions.expressions import add_all
+from adtally.sources.staging import release, stage
 
 # Unknowns of the dense solve; its matrix has 8 * MAX_SLOTS^2 bytes. Wider fits are iterative (`models.py`).
 MAX_SLOTS = 1_000
 TOLERANCE = 1e-12
+LEAST_WEIGHT = 1e-200
 
 
 @dataclass(frozen=True)
@@ -67,58 +73,27 @@ class Moments:
     loss: float
 
 
+def with_vector(df: DataFrame, layout: Layout) -> DataFrame:
+    """Adds the sparse vector of the features, as `vector`."""
+    hot = [f"hot_{name}" for name in layout.codes]
+    if hot:
+        encoder = OneHotEncoder(inputCols=list(layout.codes), outputCols=hot, dropLast=True, handleInvalid="error")
+        # The encoder only needs the largest code of each column, that of unknown values, which it drops: one made row.
+        largest = df.sparkSession.createDataFrame([tuple(layout.sizes)], ", ".join(f"`{name}` int" for name in layout.codes))
+        df = encoder.fit(largest).transform(df)
+    return VectorAssembler(inputCols=[*layout.numeric, *hot], outputCol="vector").transform(df).drop(*hot)
+
+
 def moments(df: DataFrame, layout: Layout, *, weight: Column, response: Column, loss: Column) -> Moments:
-    """One pass; the driver receives one number per pair of features that meet in a row."""
-    table = df.withColumns({"__w": weight, "__r": response, "__loss": loss})
-    numeric = [F.lit(1.0), *[F.col(name) for name in layout.numeric]]
-    count = len(numeric)
-    # Rows as (i, j, value): j is -1 for products with the response. Position 0 is the leading one.
-    cells = [(i, j, F.sum(F.col("__w") * numeric[i] * numeric[j])) for i in range(count) for j in range(i, count)]
-    cells += [(i, -1, F.sum(F.col("__r") * numeric[i])) for i in range(count)]
-    cells.append((-1, -1, F.sum("__loss")))
-    one = table.agg(*[value.alias(f"s{k}") for k, (_, _, value) in enumerate(cells)])
-    listed = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"s{k}").alias("value")) for k, (i, j, _) in enumerate(cells)]
-    found = one.select(F.inline(F.array(*listed)))
-    if layout.codes:
-        places = [
-            F.when(F.col(name) < size, F.col(name).cast("int") + F.lit(start + 1))
-            for name, size, start in zip(layout.codes, layout.sizes, layout.offsets(), strict=True)
-        ]
-        found = found.unionByName(_by_code(table, places, numeric)).unionByName(_by_pair(table, places))
+    """The sums of one pass over rows with a `vector`; the response is weight times what it stands for."""
+    root = F.sqrt(F.greatest(weight, F.lit(LEAST_WEIGHT)))
+    rows = df.select("vector", root.alias("root"), response.alias("response"), F.sqrt(loss).alias("loss"))
+    rows = rows.withColumn("response", F.col("response") / F.col("root"))
+    scaled = Interaction(inputCols=["root", "vector"], outputCol="scaled").transform(rows)
+    whole = VectorAssembler(inputCols=["root", "scaled", "response", "loss"], outputCol="row").transform(scaled).select("row")
+    sums = RowMatrix(MLUtils.convertVectorColumnsFromML(whole, "row")).computeGramianMatrix().toArray()
     size = layout.width + 1
-    gram, cross, total = np.zeros((size, size)), np.zeros(size), 0.0
-    for i, j, value in found.collect():
-        value = value or 0.0
-        if i < 0:
-            total = value
-        elif j < 0:
-            cross[i] = value
-        else:
-            gram[i, j] = gram[j, i] = value
-    return Moments(gram, cross, total)
-
-
-def _by_code(table: DataFrame, places: Sequence[Column], numeric: Sequence[Column]) -> DataFrame:
-    """Products of every code with the numeric columns and the response, and the code's own weight."""
-    rows = table.select("__w", "__r", *[c.alias(f"__x{k}") for k, c in enumerate(numeric)], F.explode(F.array(*places)).alias("i"))
-    sums = [F.sum(F.col("__w") * F.col(f"__x{k}")).alias(f"s{k}") for k in range(len(numeric))]
-    sums = rows.filter("i is not null").groupBy("i").agg(*sums, F.sum("__r").alias("r"))
-    pairs = [(F.lit(k), F.col("i"), F.col(f"s{k}")) for k in range(len(numeric))]
-    pairs += [(F.col("i"), F.col("i"), F.col("s0")), (F.col("i"), F.lit(-1), F.col("r"))]
-    listed = [F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), value.alias("value")) for i, j, value in pairs]
-    return sums.select(F.inline(F.array(*listed)))
-
-
-def _by_pair(table: DataFrame, places: Sequence[Column]) -> DataFrame:
-    """Weight of every pair of codes of two columns."""
-    named = table.select("__w", *[place.alias(f"__p{k}") for k, place in enumerate(places)])
-    pairs = [
-        F.struct(F.col(f"__p{a}").alias("i"), F.col(f"__p{b}").alias("j")) for a in range(len(places)) for b in range(a + 1, len(places))
-    ]
-    if not pairs:
-        return table.sparkSession.sql("SELECT 0 AS i, 0 AS j, 0D AS value WHERE false")
-    rows = named.select("__w", F.inline(F.array(*pairs))).filter("i is not null and j is not null")
-    return rows.groupBy("i", "j").agg(F.sum("__w").alias("value"))
+    return Moments(sums[:size, :size], sums[:size, size], float(sums[-1, -1]))
 
 
 @dataclass(frozen=True)
@@ -163,8 +138,8 @@ def _solve(matrix: np.ndarray, right: np.ndarray) -> np.ndarray:
 def solve_ridge(df: DataFrame, layout: Layout, label: str, *, alpha: float) -> tuple[float, np.ndarray]:
     """Least squares with a penalty of alpha on the squared coefficients: one pass and one solve."""
     scale = Scale.of(df, layout)
-    y = F.col(label)
-    found = moments(scale.apply(df, layout), layout, weight=F.lit(1.0), response=y, loss=y * y)
+    rows = with_vector(scale.apply(df, layout), layout)
+    found = moments(rows, layout, weight=F.lit(1.0), response=F.col(label), loss=F.lit(0.0))
     return scale.undo(_solve(found.gram + np.diag(scale.penalty(alpha)), found.cross))
 
 
@@ -176,15 +151,17 @@ def solve_logistic(
     A step that does not lower the objective is halved; the last step changes it by less than TOLERANCE of it.
     """
     scale = Scale.of(df, layout)
-    rows = scale.apply(df, layout)
+    # Every step rereads the vectors.
+    rows = stage(with_vector(scale.apply(df, layout), layout), "vectors")
     ridge = scale.penalty(penalty)
     y = F.col(label)
 
     def at(beta: np.ndarray) -> tuple[float, Moments]:
         margin = linear_sum(layout, beta[0], beta[1:])
-        p = logistic(margin)
-        loss = F.greatest(margin, F.lit(0.0)) - y * margin + F.log1p(F.exp(-F.abs(margin)))
-        found = moments(rows, layout, weight=p * (F.lit(1.0) - p), response=y - p, loss=loss)
+        scored = rows.withColumn("__margin", margin).withColumn("__p", logistic(F.col("__margin")))
+        m, p = F.col("__margin"), F.col("__p")
+        loss = F.greatest(m, F.lit(0.0)) - y * m + F.log1p(F.exp(-F.abs(m)))
+        found = moments(scored, layout, weight=p * (F.lit(1.0) - p), response=y - p, loss=loss)
         return found.loss + 0.5 * float(ridge @ beta**2), found
 
     beta = np.zeros(layout.width + 1)
@@ -202,6 +179,7 @@ def solve_logistic(
                 break
             share /= 2
         beta, objective, found = beta + share * step, later, found_later
+    release(rows)
     return scale.undo(beta)
 
 

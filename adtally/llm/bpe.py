@@ -40,8 +40,18 @@ ENCODED_CHARS = 500_000  # characters of one output batch
 DECODED_ROWS = 200
 # Below this code point composition changes nothing and all Unicode versions agree.
 SIMPLE_END = 0x250
-# The separators 28 to 31 are white space to Python but not to the file.
-BEYOND = re.compile(f"[^\x00-\x1b\x20-{chr(SIMPLE_END - 1)}]")
+
+
+def beyond_simple() -> re.Pattern:
+    """Finds what the simple pattern cannot split: other code points, and capitals whose lower case is one of them.
+
+    The separators 28 to 31 are white space to Python but not to the file.
+    """
+    simple = (chr(c) for c in range(SIMPLE_END) if not 28 <= c < 32)
+    return re.compile("[^" + "".join(re.escape(c) for c in simple if max(map(ord, c.lower())) < SIMPLE_END) + "]")
+
+
+BEYOND = beyond_simple()
 
 
 def simple_pattern() -> re.Pattern:

@@ -28,6 +28,21 @@ def test_random_words_match_the_library(library):
         assert own.encode(word).tolist() == library.encode(word, add_special_tokens=False).ids, word
 
 
+def test_every_simple_code_point_matches_the_library(library):
+    own = bpe.vocabulary(PATH)
+    for c in map(chr, range(1, 0x250)):
+        for text in (c, c + c, f"a{c}b", f"{c}ab", f"ab{c}", f"a{c}{c}b", f"x {c} y", f"A{c}B"):
+            assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_random_simple_texts_match_the_library(library):
+    rng, own = random.Random(5), bpe.vocabulary(PATH)
+    letters = [chr(c) for c in range(1, 0x250)] + ["\u0130", "\u018f", "\u212a", "\u1e9e", "\u0307", "\u0301", "e\u0301"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(letters, k=rng.randint(1, 12)))
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_awkward_rows(spark, library):
     df = awkward(spark)
     rows = bpe.decode(bpe.encode(df, PATH), PATH).collect()

@@ -1,25 +1,26 @@
 """Line deduplication by a log-template tree of fixed depth.
 
 A line's words containing digits become `<*>`. Lines of one word count that begin with the same words share a
-leaf. In leaves whose lines recur, the most common word of each place makes a template; places without a
-common word become `<*>` too. Lines that agree with the template in enough places after the leading words, one
-of them a word and not `<*>`, belong to it. The others are searched for further templates: in the same leaf if
-the template took half of it, else in parts by each line's most common word there, and so on until no part has
-lines enough. Lines too few of whose words are common to enough texts drop out; they stand for themselves. A template found in enough distinct texts is boilerplate: its lines are dropped from
-every document but the first (the smallest id, then the smallest text hash) that has it.
+leaf. In leaves whose lines recur, templates are made in two passes over the places after the leading words.
+First the most common word of each place makes the leaf's main template; places without a common word become
+`<*>` too, and the lines that agree with it in enough places, one of them a word and not `<*>`, belong to it.
+The other lines are generalised each by itself: words that enough texts of these lines have at that place
+stay, all others become `<*>`, and lines that come out equal, with enough words left, share a template.
+A template found in enough distinct texts is boilerplate: its lines are dropped from every document but the
+first (the smallest id, then the smallest text hash) that has it. Lines without a template stand for themselves.
 
 How many texts are enough falls with the length of the line, as a long line does not recur by chance: 10 for
 lines of under 10 words, 5 from 10 words, 3 from 20 and 2 from 50 (`NEEDED`). A given `min_docs` holds for all.
 
-Copies of one text count once, so a group of exact copies does not lose its lines: that is for the
-near-duplicate stage. For the same reason, where fewer than `MIN_DOCS` texts are enough, edited copies count
-once too: a text counts if no earlier text of the group shares half of what both hold besides the line, by
-runs of `RUN` words. The share is read off the `SKETCH` smallest hashes of the runs of both. Only leaf keys, hashes and places are shuffled per line; words only for lines of leaves
-that recur without being equal.
+Copies of one text count once, exact or edited, whatever their number: they are for the near-duplicate stage.
+A text of a group is a copy if it shares half of what both hold besides the line, by runs of `RUN` words, with an
+earlier text of the group. Texts meet by their `KEYS` smallest hashes of runs outside the line; each is compared with the
+first text of every key, by the `SKETCH` smallest hashes of either. The compared share is an estimate with a standard error of at
+most 0.5 / sqrt(SKETCH), some 0.045. With a given `min_docs` texts count as they are.
 
 Defined results: null texts stay null; blank lines are never dropped; repeated rows are treated alike; a
-document may become empty but its row stays; an empty table gives an empty table. Further columns are kept
-and cannot clash: the work happens on two columns with names of their own.
+document may become empty but its row stays; an empty table gives an empty table. Further columns are kept,
+inside one struct, so their names cannot clash; a column named `n_dropped` is replaced.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adtally.llm.common import SPACES, WORD
-from adtally.sources.staging import stage
+from adtally.sources.staging import release, stage
 
 MIN_DOCS = 10
 NEEDED = ((50, 2), (20, 3), (10, 5))  # from so many words on, so many texts are enough; MIN_DOCS for shorter lines
 RUN = 5
-SKETCH = 256
+SKETCH = 128
+KEYS = 16
 SAME = 0.5  # share of common runs from which two texts are copies of each other
 LEADING = 3
 COMMON = 0.5  # share of a leaf's lines that makes a place's word part of the template
@@ -41,7 +43,7 @@ AGREE = 0.6  # share of places after the leading ones in which a line must agree
 ANY = "<*>"
 
 
-MAX_BROADCAST_DOCS = 1_000_000  # of 24 bytes each; beyond that both sides are partitioned by document
+MAX_BROADCAST_SPOTS = 400_000  # of 48 bytes each; beyond that both sides are partitioned by document
 
 
 def _words(line: Column) -> Column:
@@ -77,110 +79,128 @@ def _runs(words: Column) -> Column:
     return F.array_distinct(F.get(runs, F.lit(0)))
 
 
+def _read_spots(docs: DataFrame, spots: DataFrame, payload: list[str]) -> DataFrame:
+    """The documents that hold some spots (line_version, spot_doc, and the columns of `payload`), with their spots."""
+    wanted = spots.groupBy("line_version", "spot_doc").agg(F.collect_list(F.struct(*payload)).alias("spots"))
+    wanted = wanted.withColumnsRenamed({"line_version": "spot_version"})
+    wanted = F.broadcast(wanted) if spots.count() <= MAX_BROADCAST_SPOTS else wanted
+    same = (docs["line_version"] == wanted["spot_version"]) & docs["line_doc"].eqNullSafe(wanted["spot_doc"])
+    # Repeated rows would read a spot twice.
+    return docs.join(wanted, same).dropDuplicates(["line_version", "spot_doc"])
+
+
 def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFrame:
-    """The number of texts of each group (leaf, template) that are no edited copies of an earlier one: `unlike`.
+    """The number of texts of each group (leaf, template) that are no copies of an earlier one: `unlike`.
 
-    `texts` has a row (leaf, template, size, body, line_version, line_doc) per text, `seen` the words of bodies that
-    differ inside a template; groups have under MIN_DOCS texts.
+    `texts` has a row (leaf, template, size, body, line_version, line_doc, place) per text, `seen` the words of bodies that
+    differ inside a template.
     """
-    wanted = texts.groupBy("line_version").agg(F.min("line_doc").alias("text_doc"))
-    wanted = stage(wanted, "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_DOCS else wanted
-    same = (docs["line_version"] == wanted["line_version"]) & docs["line_doc"].eqNullSafe(wanted["text_doc"])
+    spots = texts.withColumnRenamed("line_doc", "spot_doc")
+    read = _read_spots(docs, spots, ["leaf", "template", "size", "body", "place"])
     every = F.split(F.btrim("line_text", F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
-    read = docs.join(wanted, same).select(docs["line_version"], _runs(every).alias("runs"))
-    sketch = F.slice(F.sort_array("runs"), 1, SKETCH)
-    sketches = stage(read.select("line_version", F.size("runs").alias("n"), sketch.alias("s")).dropDuplicates(["line_version"]), "sketches")
-    one = texts.select("leaf", "template", "size", F.col("body").alias("a_body"), F.col("line_doc").alias("a_doc"), F.col("line_version").alias("a"))
-    two = texts.select("leaf", "template", F.col("body").alias("b_body"), F.col("line_doc").alias("b_doc"), F.col("line_version").alias("b"))
-    met = one.join(two, ["leaf", "template"]).filter(F.struct("a_doc", "a") < F.struct("b_doc", "b"))
-    met = stage(met.drop("a_doc", "b_doc"), "met")
+    rows = F.split("line_text", "\n")
+    read = read.select("line_version", "spot_doc", rows.alias("rows"), "spots", _runs(every).alias("runs"))
+    least = F.slice(F.sort_array("runs"), 1, SKETCH)
+    # The smallest runs outside the line: enough of the sketch is left for lines that are not most of the text.
+    own_words = lambda x: F.split(F.btrim(F.get(F.col("rows"), x["place"]), F.lit(" \t\x0b\x0c\r")), f"[{SPACES}]+")
+    keys = lambda x: F.slice(F.sort_array(F.array_except("runs", _runs(own_words(x)))), 1, KEYS)
+    keyed = F.transform("spots", lambda x: F.struct(x["leaf"], x["template"], x["size"], x["body"], keys(x).alias("keys")))
+    read = read.select("line_version", "spot_doc", F.size("runs").alias("n"), least.alias("s"), keyed.alias("spots"))
+    read = stage(read, "sketches")
+    sketches = read.select("line_version", "n", "s").dropDuplicates(["line_version"])
+    met = read.select("line_version", "spot_doc", F.explode("spots").alias("x")).select("line_version", "spot_doc", "x.*")
+    keyed = met.select("leaf", "template", F.explode("keys").alias("key"), "line_version", "spot_doc", "body", "size")
+    # A bucket of one key holds the texts of a group that share a run; each meets the first of them.
+    order = F.struct("spot_doc", "line_version", "body")
+    first = keyed.groupBy("leaf", "template", "key").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("texts"))
+    first = first.filter("texts > 1").select(
+        "leaf", "template", "key", F.col("first.line_version").alias("a"), F.col("first.body").alias("a_body")
+    )
+    pairs = keyed.join(first, ["leaf", "template", "key"]).filter("line_version != a").select(
+        "leaf", "template", "size", "a", "a_body", F.col("line_version").alias("b"), F.col("body").alias("b_body")
+    )
+    pairs = stage(pairs.distinct(), "met")
     # The runs that the two lines share; all, if they are equal.
-    bodies = met.filter("a_body != b_body").select("leaf", "a_body", "b_body").distinct()
+    bodies = pairs.filter("a_body != b_body").select("leaf", "a_body", "b_body").distinct()
     for side in ("a", "b"):
         words = seen.select("leaf", F.col("body").alias(f"{side}_body"), _runs(F.col("words")).alias(f"{side}_runs"))
         bodies = bodies.join(words, ["leaf", f"{side}_body"])
     shared = F.size(F.array_intersect("a_runs", "b_runs")).alias("shared")
-    met = met.join(bodies.select("leaf", "a_body", "b_body", shared), ["leaf", "a_body", "b_body"], "left")
+    bodies = bodies.select("leaf", "a_body", "b_body", shared)
     left = sketches.select(F.col("line_version").alias("a"), F.col("n").alias("a_n"), F.col("s").alias("a_s"))
     right = sketches.select(F.col("line_version").alias("b"), F.col("n").alias("b_n"), F.col("s").alias("b_s"))
-    pairs = met.select("a", "b").distinct().join(left, "a").join(right, "b")
+    compared = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
     least = F.slice(F.sort_array(F.array_union("a_s", "b_s")), 1, SKETCH)
     both = F.array_intersect(least, F.array_intersect("a_s", "b_s"))
-    pairs = pairs.select("a", "b", "a_n", "b_n", (F.size(both) / F.size(least)).alias("share"))
+    compared = compared.select("a", "b", "a_n", "b_n", (F.size(both) / F.size(least)).alias("share"))
     # The runs of both and of either, without those inside the lines.
     common = F.col("share") / (1 + F.col("share")) * (F.col("a_n") + F.col("b_n"))
     inside = F.greatest(F.col("size") - RUN + 1, F.lit(1))
     shared = F.coalesce("shared", inside)
     alike = common - shared >= SAME * (F.col("a_n") + F.col("b_n") - common - (2 * inside - shared))
-    copies = met.join(pairs, ["a", "b"]).filter(alike).select("leaf", "template", F.col("b").alias("line_version")).distinct()
+    copies = pairs.join(bodies, ["leaf", "a_body", "b_body"], "left").join(compared, ["a", "b"]).filter(alike)
+    copies = stage(copies.select("leaf", "template", F.col("b").alias("line_version")).distinct(), "copies")
+    release(pairs, read)
     return texts.join(copies, ["leaf", "template", "line_version"], "left_anti").groupBy("leaf", "template").agg(
         F.count(F.lit(1)).alias("unlike")
     )
 
 
-def _one_of_each(docs: DataFrame, lines: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Rows (leaf, body, words) of the lines of some leaves, the words read where a line is first found."""
-    spot = F.min(F.struct("line_version", "line_doc", "place")).alias("spot")
-    spots = lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "body").agg(spot)
-    spots = stage(spots.select("leaf", "body", "spot.line_version", F.col("spot.line_doc").alias("spot_doc"), F.col("spot.place").alias("spot_place")), "spots")
-    wanted = spots.groupBy("line_version", "spot_doc").agg(F.collect_list(F.struct("leaf", "body", "spot_place")).alias("spots"))
-    wanted = stage(wanted, "wanted")
-    wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_DOCS else wanted
-    same = (docs["line_version"] == wanted["line_version"]) & docs["line_doc"].eqNullSafe(wanted["spot_doc"])
-    met = docs.join(wanted, same).select("line_text", F.explode("spots").alias("s"))
-    words = _words(F.get(F.split("line_text", "\n"), F.col("s.spot_place")))
-    return met.select("s.leaf", "s.body", words.alias("words")).dropDuplicates(["leaf", "body"])
+def _one_of_each(docs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Rows (leaf, body, texts, size, words) of some bodies, the words read where a line is first found."""
+    payload = ["leaf", "body", "texts", "size", "place"]
+    met = _read_spots(docs, bodies, payload).select("line_text", F.explode("spots").alias("x"))
+    words = _words(F.get(F.split("line_text", "\n"), F.col("x.place")))
+    return met.select("x.leaf", "x.body", "x.texts", "x.size", words.alias("words"))
+
+
+def _marked(rows: DataFrame, needed: Column) -> DataFrame:
+    """Lines with their places marked: the words (at, word) that rule their place, and those enough texts have there."""
+    words = rows.select("leaf", "body", "texts", "size", F.posexplode("words").alias("at", "word"))
+    words = words.filter(F.col("at") >= LEADING)
+    votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"))
+    ruling = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
+    rules = (F.col("word") == F.col("top.word")) & (F.col("votes") >= COMMON * F.col("all"))
+    marks = votes.join(ruling, ["leaf", "at"]).select("leaf", "at", "word", "votes", rules.alias("rules"))
+    constant, often = F.col("word") != ANY, F.col("votes") >= needed
+    return words.join(marks, ["leaf", "at", "word"]).groupBy("leaf", "body", "texts", "size").agg(
+        F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & constant).alias("constants"),
+        F.count_if(often).alias("often"), F.count_if(often & constant).alias("often_constants"),
+        F.xxhash64(F.sort_array(F.collect_list(F.when(often, F.struct("at", "word"))))).alias("form"),
+    )
+
+
+def _enough(members: DataFrame, by: list[str], needed: Column) -> DataFrame:
+    """The members of groups that hold enough texts."""
+    groups = members.groupBy(*by).agg(F.sum("texts").alias("all_texts"), F.min("size").alias("size"))
+    return members.join(groups.filter(F.col("all_texts") >= needed).select(*by), by, "left_semi")
 
 
 def _templates(seen: DataFrame, min_docs: int | None) -> DataFrame:
     """Rows (leaf, body, template) of the lines that belong to a template found in enough texts."""
-    rest, found, step = seen.withColumn("part", F.col("leaf")), None, 0
     needed, agreed = _needed(F.col("size"), min_docs), AGREE * (F.col("size") - LEADING)
-    while True:
-        words = rest.select("part", "leaf", "body", "texts", "size", F.posexplode("words").alias("at", "word"))
-        words = words.filter(F.col("at") >= LEADING)
-        votes = words.groupBy("part", "at", "word").agg(F.sum("texts").alias("votes"))
-        ruling = votes.groupBy("part", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
-        rules = (F.col("word") == F.col("top.word")) & (F.col("votes") >= COMMON * F.col("all"))
-        marks = votes.join(ruling, ["part", "at"]).select("part", "at", "word", "votes", "all", rules.alias("rules"))
-        constant, often = F.col("word") != ANY, F.col("votes") >= needed
-        splits = constant & often & (F.col("votes") < F.col("all"))
-        lines = words.join(marks, ["part", "at", "word"]).groupBy("part", "leaf", "body", "texts", "size").agg(
-            F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & constant).alias("constants"),
-            F.count_if(often).alias("often"), F.max(F.when(splits, F.struct("votes", -F.col("at"), "word"))).alias("next"),
-        )
-        lines = stage(lines.withColumn("member", (F.col("agree") >= agreed) & (F.col("constants") > 0)), "agreeing")
-        parts = lines.groupBy("part").agg(
-            F.sum("texts").alias("total"), F.sum(F.when(F.col("member"), F.col("texts")).otherwise(0)).alias("taken")
-        )
-        lines = lines.join(parts, "part").withColumn("taken", F.when(F.col("taken") >= needed, F.col("taken")).otherwise(0))
-        inside = F.col("member") & (F.col("taken") > 0)
-        made = lines.filter(inside).select("leaf", "body", F.xxhash64("part", F.lit(step)).alias("template"))
-        found = made if found is None else found.unionByName(made)
-        # Every part left is at most half of what it was, or one of several.
-        part = F.when(2 * F.col("taken") >= F.col("total"), F.col("part")).when(
-            F.col("next").isNotNull(), F.xxhash64("part", "next")
-        )
-        left = lines.filter(~inside & (F.col("often") >= agreed)).select("leaf", "body", "texts", "size", part.alias("part"))
-        left = stage(left.filter("part is not null"), "left")
-        large = left.groupBy("part").agg(F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"), F.min("size").alias("size"))
-        large = large.filter((F.col("texts") >= needed) & (F.col("kinds") > 1)).select("part")
-        left = left.join(large, "part", "left_semi").select("leaf", "body", "part")
-        if left.isEmpty():
-            return found
-        rest = stage(seen.join(left, ["leaf", "body"]), "rest")
-        step += 1
+    lines = stage(_marked(seen, needed), "agreeing")
+    member = (F.col("agree") >= agreed) & (F.col("constants") > 0)
+    main = stage(_enough(lines.filter(member), ["leaf"], needed).select("leaf", "body", F.col("leaf").alias("template")), "main")
+    # Only lines with words enough that enough texts have can share a generalised form.
+    rest = lines.filter(F.col("often") >= agreed).select("leaf", "body").join(main, ["leaf", "body"], "left_anti")
+    rest = stage(seen.join(rest, ["leaf", "body"], "left_semi"), "rest")
+    formed = stage(_marked(rest, needed).filter((F.col("often") >= agreed) & (F.col("often_constants") > 0)), "formed")
+    formed = _enough(formed, ["leaf", "form"], needed).select("leaf", "body", F.xxhash64("leaf", "form").alias("template"))
+    found = stage(main.unionByName(formed), "members")
+    return found
 
 
 def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
     lines = stage(_lines(docs).drop("words"), "lines")
-    holders = lines.select("leaf", "body", "line_version", "line_doc", "size").groupBy("leaf", "body", "line_version").agg(
-        F.min("line_doc").alias("line_doc"), F.min("size").alias("size")
+    holders = lines.groupBy("leaf", "body", "line_version").agg(
+        F.min(F.struct("line_doc", "place")).alias("spot"), F.min("size").alias("size")
     )
-    holders = stage(holders, "holders")
-    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size"))
+    holders = stage(holders.select("leaf", "body", "line_version", "size", "spot.line_doc", "spot.place"), "holders")
+    spot = F.min(F.struct("line_version", "line_doc", "place")).alias("spot")
+    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size"), spot)
+    bodies = bodies.select("leaf", "body", "texts", "size", "spot.line_version", F.col("spot.line_doc").alias("spot_doc"), "spot.place")
     bodies = stage(bodies, "bodies")
     # Leaves with several different lines and enough of them for a template.
     leaves = bodies.groupBy("leaf").agg(
@@ -188,26 +208,28 @@ def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[Da
     )
     enough = F.col("texts") >= _needed(F.col("size"), min_docs)
     varied = leaves.filter(enough & (F.col("kinds") > 1)).select("leaf")
-    varied = stage(varied, "leaves")
-    seen = stage(_one_of_each(docs, lines, varied).join(bodies, ["leaf", "body"]), "seen")
+    unread = stage(bodies.join(varied, "leaf", "left_semi"), "varied")
+    seen = stage(_one_of_each(docs, unread), "seen")
     member = _templates(seen, min_docs)
     # Lines without a template are their own.
     named = holders.join(member, ["leaf", "body"], "left").withColumn("template", F.coalesce("template", "body"))
     texts = named.groupBy("leaf", "template", "line_version").agg(
-        F.min("line_doc").alias("line_doc"), F.min("size").alias("size"), F.min("body").alias("body")
+        F.min(F.struct("line_doc", "place", "body")).alias("spot"), F.min("size").alias("size")
     )
+    texts = texts.select("leaf", "template", "line_version", "size", "spot.line_doc", "spot.place", "spot.body")
     groups = texts.groupBy("leaf", "template").agg(
         F.count(F.lit(1)).alias("texts"), F.min(F.struct("line_doc", "line_version")).alias("first"), F.min("size").alias("size")
     )
-    groups = groups.filter(enough)
+    groups = stage(groups.filter(enough), "groups")
     if min_docs is None:
-        groups = stage(groups, "groups")
-        few = groups.filter(F.col("texts") < MIN_DOCS).select("leaf", "template")
-        unlike = _unlike_texts(docs, stage(texts.join(few, ["leaf", "template"], "left_semi"), "few"), seen)
-        groups = groups.join(unlike, ["leaf", "template"], "left").withColumn("texts", F.coalesce("unlike", "texts")).filter(enough)
+        held = stage(texts.join(groups.select("leaf", "template"), ["leaf", "template"], "left_semi"), "held")
+        unlike = _unlike_texts(docs, held, seen).withColumnRenamed("unlike", "texts")
+        groups = groups.drop("texts").join(unlike, ["leaf", "template"]).filter(enough)
     groups = groups.select("leaf", "template", "first")
     members = bodies.select("leaf", "body").join(member, ["leaf", "body"], "left")
     found = members.withColumn("template", F.coalesce("template", "body")).join(groups, ["leaf", "template"])
+    found = stage(found, "recurring")
+    release(holders, unread)
     return lines, found
 
 
@@ -218,8 +240,12 @@ def drop_recurring_lines(
 
     Without `min_docs` the number of texts a line must be found in follows from its length.
     """
-    given = docs.withColumns({"line_doc": F.col(id_col), "line_version": F.xxhash64(text_col)})
-    source = given.select("line_doc", "line_version", F.col(text_col).alias("line_text"))
+    # The given columns travel in one struct.
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("line_row"), F.col(f"`{id_col}`").alias("line_doc"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("line_version"), F.col(f"`{text_col}`").alias("line_text"),
+    )
+    source = given.select("line_doc", "line_version", "line_text")
     lines, found = recurring_lines(source, min_docs=min_docs)
     hits = lines.join(found, ["leaf", "body"]).filter(
         ~(F.col("line_doc").eqNullSafe(F.col("first.line_doc")) & (F.col("line_version") == F.col("first.line_version")))
@@ -230,8 +256,8 @@ def drop_recurring_lines(
     cuts = stage(cuts, "cuts")
     same = F.col("line_doc").eqNullSafe(F.col("cut_doc")) & (F.col("line_version") == F.col("cut_version"))
     met = given.join(cuts, same, "left")
-    kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("cut_places", i))
-    text = F.when(F.col("cut_places").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    dropped = F.coalesce(F.size("cut_places"), F.lit(0)).cast("long")
-    dropped = F.when(F.col("cut_places").isNull(), F.lit(0).cast("long")).otherwise(dropped)
-    return met.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], dropped.alias("n_dropped"))
+    kept = F.filter(F.split("line_text", "\n"), lambda _, i: ~F.array_contains("cut_places", i))
+    text = F.when(F.col("cut_places").isNull(), F.col("line_text")).otherwise(F.array_join(kept, "\n"))
+    dropped = F.when(F.col("cut_places").isNull(), F.lit(0)).otherwise(F.size("cut_places")).cast("long")
+    own = [c for c in docs.columns if c != "n_dropped"]
+    return met.select(*[text.alias(c) if c == text_col else F.col("line_row").getField(c).alias(c) for c in own], dropped.alias("n_dropped"))

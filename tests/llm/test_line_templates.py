@@ -151,3 +151,34 @@ def test_several_templates_in_a_leaf(spark):
     rows = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(documents(spark, texts), min_docs=10).collect()}
     gone = {*range(1, 12), *range(13, 24)}
     assert rows == {i: "" if i in gone else t for i, t in enumerate(texts)}
+
+
+def edited(text: str, k: int) -> str:
+    """A copy whose k-th word of every line but the first is another one."""
+    first, *rest = text.split("\n")
+    return "\n".join([first, *[" ".join("other" + "abcdefghijklmnopqrstuvwxyz"[k] if i == k else w for i, w in enumerate(line.split())) for line in rest]])
+
+
+def test_edited_copies_keep_their_lines_at_every_number(spark):
+    """9, 12 and 25 near copies of one document: their lines are not boilerplate, whatever their number."""
+    for count in (9, 12, 25):
+        text = "\n".join([passage(60, "body"), *[passage(30, f"line{c}") for c in "abcde"]])
+        texts = [edited(text, k) for k in range(count)]
+        rows = line_templates.drop_recurring_lines(documents(spark, texts)).collect()
+        assert {r["doc_id"]: r["text"] for r in rows} == dict(enumerate(texts)), count
+    others = [f"a text of {w} own words\n{passage(60, 'body')}" for w in passage(3, "quite").split()]
+    rows = line_templates.drop_recurring_lines(documents(spark, [*texts, *others])).collect()
+    assert sum(r["n_dropped"] for r in rows if r["doc_id"] >= len(texts)) == 3
+
+
+def test_no_column_name_clashes(spark):
+    from pyspark.sql import functions as F
+
+    names = ("line_doc", "line_version", "line_text", "line_row", "cut_places", "cut_doc", "cut_version", "leaf", "body", "place", "first", "n_dropped")
+    df = documents(spark, made())
+    plain = {(r["doc_id"], r["text"], r["n_dropped"]) for r in line_templates.drop_recurring_lines(df).collect()}
+    more = line_templates.drop_recurring_lines(df.withColumns({name: F.lit("x") for name in names}))
+    assert more.columns == [*df.columns, *names[:-1], "n_dropped"]
+    rows = more.collect()
+    assert {(r["doc_id"], r["text"], r["n_dropped"]) for r in rows} == plain
+    assert {r[name] for r in rows for name in names[:-1]} == {"x"}

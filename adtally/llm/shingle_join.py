@@ -17,9 +17,13 @@ counted; those of at least HOT sets keep their count, the others are alike. The
 most MAX_HOT entries (the most frequent; the order is a matter of speed, any order gives all links).
 
 Sets that share a key are candidates. Not all pairs of a list are formed: each member is first compared with
-one hub of the list, the set found in most lists. Members already connected need no comparison. What stays
-apart is compared with further hubs while there is much of it, and then pair by pair, so no link between
-components is missed. Every comparison is exact, on the sorted shingle hashes of both sets.
+one hub of the list, the set found in most lists, and with further hubs as long as that connects much. Members
+already connected need no comparison. The sets of lists that still hold several components are then compared
+across them by position: if a key is the first that two sets share, both can share at most what follows it in
+either, and a linked pair passes this bound at its first shared key. So no link between components is missed,
+while texts that only share what is frequent have too many rare shingles before it. Of a list, the
+sets outside its largest component meet the others, by bands of size. Every comparison is exact, on the sorted
+shingle hashes of both sets.
 
 Defined results: equal sets are one node. Null, empty and blank texts have no shingles and link with nothing;
 texts of fewer than five words have one shingle. A null id never is a component's id unless all its members'
@@ -28,6 +32,7 @@ ids are null. Repeated rows repeat, an empty table gives an empty table, and onl
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,7 +55,9 @@ MAX_BROADCAST_IDS = 2_000_000
 MAX_LIGHT = 512  # sizes the boundary is searched in
 PEELS = 4
 STAR_ROUNDS = 6
-PAIRS_PER_ENTRY = 20
+BAND = 1.001 * math.log(OF / NEED)  # width of a band of sizes, a little above what linked sets differ by
+POSITIONED_AT_ONCE = 512  # sets whose keys make one output batch
+STILL_FALLING = 0.7  # further hubs are tried while what is apart falls below this share of what it was
 _FACTORS = mix64(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -177,16 +184,36 @@ class Order:
     boundary: int
     long_list: int = LONG_LIST
 
+    def _first(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first shingles of a set, rare ones first, and the number of sets each is known to be in."""
+        size = len(tokens)
+        known = _known(tokens, self.buckets)
+        place = np.minimum(np.searchsorted(self.tokens, known), max(len(self.tokens) - 1, 0))
+        often = np.where(self.tokens[place] == known, self.sets[place], 0) if len(self.tokens) else np.zeros(size, np.int64)
+        order = np.argsort(often, kind="stable")[: slack(size) + max(2, depth(size))]
+        return tokens[order], often[order]
+
+    def positions(self, tokens: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+        """The keys that can be the first a set shares with a linked one, for each its place in the set, and if single."""
+        size, lack = len(tokens), slack(len(tokens))
+        if size < 2:
+            return []
+        first, _ = self._first(tokens)
+        out = []
+        if size <= self.boundary:
+            a, b = np.triu_indices(min(len(first), lack + 2), 1)
+            out.append((mix64(first[a] * np.uint64(3) + first[b]), b, False))
+        if OF * size > NEED * self.boundary:
+            out.append((first[: lack + 1], np.arange(len(first[: lack + 1])), True))
+        return out
+
     def keys(self, tokens: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
         """The keys of a set, for each the number of sets its rarest shingle is known to be in, and if single."""
         size, lack = len(tokens), slack(len(tokens))
         if size < 2:  # links only with equal sets
             return []
-        known = _known(tokens, self.buckets)
-        place = np.minimum(np.searchsorted(self.tokens, known), max(len(self.tokens) - 1, 0))
-        often = np.where(self.tokens[place] == known, self.sets[place], 0) if len(self.tokens) else np.zeros(size, np.int64)
-        order = np.argsort(often, kind="stable")[: lack + max(2, depth(size))]
-        first, often, out = tokens[order], often[order], []
+        first, often = self._first(tokens)
+        out = []
         if size <= self.boundary:
             a, b = np.triu_indices(min(len(first), lack + 2), 1)
             out.append((mix64(first[a] * np.uint64(3) + first[b]), often[a], False))
@@ -307,10 +334,13 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
         lower = labels.join(near, "node", "left").select("node", "part", F.least("part", "near").alias("to"))
         lower = stage(lower, "lower")
         if lower.filter("to < part").isEmpty():
+            release(both, lower)
             return labels
         # Each label then jumps to the label of the node it names.
         jump = lower.select(F.col("node").alias("to"), F.col("to").alias("further"))
-        labels = stage(lower.join(jump, "to").select("node", F.col("further").alias("part")), "labels")
+        jumped = stage(lower.join(jump, "to").select("node", F.col("further").alias("part")), "labels")
+        release(labels, lower)
+        labels = jumped
 
 
 def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,7 +364,7 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     counted = stage(count_tokens(texts, buckets), "counts")
     order = token_order(nodes, counted, buckets)
     lists = peeled(stage(shared_keys(texts, order), "lists"), nodes)
-    parts = resolve(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), nodes, lists)
+    parts = resolve(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), nodes, lists, order)
     least = nodes.join(parts, "node").groupBy("part").agg(F.min("least_id").alias("component_id"))
     of_node = parts.join(least, "part").select("node", "component_id")
     own = nodes.join(of_node, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
@@ -358,17 +388,31 @@ def token_order(nodes: DataFrame, counted: DataFrame, buckets: int) -> Order:
     return Order(tokens[by_token], table.column("sets").to_numpy()[by_token], buckets, boundary)
 
 
-def resolve(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
+def resolve(docs: DataFrame, nodes: DataFrame, lists: DataFrame, order: Order) -> DataFrame:
     """Rows (node, part) for all nodes of the lists.
 
-    Star rounds look at every eighth key only: they are there to connect what is alike cheaply. The last round
-    looks at all keys and forms all pairs of sets that are still apart.
+    Star rounds look at every eighth key only: they are there to connect what is alike cheaply. What is still apart
+    in any list is then compared by position.
     """
     met = stage(lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree")).join(nodes, "node"), "met")
     number = met.count()
     sets = stage(sets_of(docs, met, number), "sets")
     parts = stage(met.select("node", F.col("node").alias("part")), "parts")
     links = tested = None
+
+    def compared(pairs: DataFrame) -> None:
+        nonlocal links, tested, parts
+        if tested is not None:
+            pairs = pairs.join(tested, ["node", "hub"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        found = stage(linked(pairs, sets), "found")
+        links = found if links is None else links.unionByName(found)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if not found.isEmpty():
+            before, parts = parts, connected(met.select("node"), links)
+            release(before)
+
+    crossing = None
     for step in range(STAR_ROUNDS + 1):
         info = stage(met.select("node", "degree", "size").join(parts, "node"), "info")
         placed = lists.join(few(info, number), "node")
@@ -379,50 +423,74 @@ def resolve(docs: DataFrame, nodes: DataFrame, lists: DataFrame) -> DataFrame:
             shares = placed.join(apart, ["key", "single"]).groupBy("key", "single").agg(
                 F.count(F.lit(1)).alias("sets"), F.count_if(F.col("part") != F.col("low")).alias("others")
             )
-            crossing = shares.agg(F.sum(F.col("sets") * F.col("others"))).first()[0]
-            if not crossing:
-                break
+            before, crossing = crossing, shares.agg(F.sum(F.col("sets") * F.col("others"))).first()[0]
             open_lists = placed.join(apart, ["key", "single"])
-            last = step == STAR_ROUNDS or crossing <= PAIRS_PER_ENTRY * lists.count()
-        else:
-            open_lists, last = placed.withColumn("low", F.lit(None).cast("long")), False
-        if last:
-            a = open_lists.select("key", "single", "node", "part", "size")
-            b = open_lists.select(
-                "key", "single", F.col("node").alias("hub"), F.col("part").alias("hub_part"), F.col("size").alias("hub_size")
-            )
-            each = a.join(b, ["key", "single"]).filter((F.col("node") < F.col("hub")) & (F.col("part") != F.col("hub_part")))
-            # All keys of such a pair are in open lists, so too few of them rule it out unread.
-            offered = F.greatest(F.lit(1), F.floor(F.least("size", "hub_size") / 5))
-            counted = each.filter(_fitting()).groupBy("node", "hub", "size", "hub_size").agg(
-                F.count_if("single").alias("singles"), F.count_if(~F.col("single")).alias("pairs")
-            )
-            pairs = counted.filter((F.col("pairs") > 0) | (F.col("singles") >= offered)).select("node", "hub")
+            if not crossing or step == STAR_ROUNDS or (before is not None and crossing > STILL_FALLING * before):
+                break
         else:
-            open_lists = open_lists.filter(F.pmod(F.xxhash64("key"), F.lit(8)) == 0)
-            # First the set found in most lists, which an original is; then any of those not in the first part.
-            rank = F.col("degree") if not step else F.xxhash64("node", F.lit(step))
-            pool = open_lists if not step else open_lists.filter("part != low")
-            best = F.max(F.struct(rank.alias("rank"), "node", "part", "size")).alias("h")
-            hubs = pool.groupBy("key", "single").agg(best).select(
-                "key", "single", F.col("h.node").alias("hub"), F.col("h.part").alias("hub_part"), F.col("h.size").alias("hub_size")
-            )
-            met_pairs = open_lists.join(hubs, ["key", "single"]).filter((F.col("part") != F.col("hub_part")) & _fitting())
-            pairs = met_pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["node", "hub"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(linked(pairs, sets), "found")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not found.isEmpty():
-            parts = connected(met.select("node"), links)
-        if last:
-            break
-    release(sets, lists)
+            open_lists = placed.withColumn("low", F.lit(None).cast("long"))
+        open_lists = open_lists.filter(F.pmod(F.xxhash64("key"), F.lit(8)) == 0)
+        # First the set found in most lists, which an original is; then any of those not in the first part.
+        rank = F.col("degree") if not step else F.xxhash64("node", F.lit(step))
+        pool = open_lists if not step else open_lists.filter("part != low")
+        best = F.max(F.struct(rank.alias("rank"), "node", "part", "size")).alias("h")
+        hubs = pool.groupBy("key", "single").agg(best).select(
+            "key", "single", F.col("h.node").alias("hub"), F.col("h.part").alias("hub_part"), F.col("h.size").alias("hub_size")
+        )
+        met_pairs = open_lists.join(hubs, ["key", "single"]).filter((F.col("part") != F.col("hub_part")) & _fitting())
+        compared(met_pairs.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct())
+        release(info, *([apart] if step else []))
+    if crossing:
+        still = stage(open_lists.select("node", "part").distinct(), "still")
+        compared(_pairs_apart(sets, still, order))
+        release(still)
+    release(sets, lists, met)
     return parts
 
 
+def _pairs_apart(sets: DataFrame, still: DataFrame, order: Order) -> DataFrame:
+    """Pairs (node, hub) of sets of `still` (node, part) that are in different parts, share a key and pass its bound."""
+    shared = sets.sparkSession.sparkContext.broadcast(order)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, parts = (batch.column(i).to_numpy() for i in range(2))
+            for start in range(0, len(nodes), POSITIONED_AT_ONCE):
+                made = []
+                for i in range(start, min(start + POSITIONED_AT_ONCE, len(nodes))):
+                    tokens = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
+                    made += [(nodes[i], parts[i], len(tokens), *k) for k in shared.value.positions(tokens)]
+                lengths = [len(m[3]) for m in made]
+                column = lambda i: np.repeat(np.array([m[i] for m in made], dtype=np.int64), lengths)
+                keys, at = (np.concatenate([m[i] for m in made] or [np.zeros(0, np.int64)]) for i in (3, 4))
+                single = np.repeat(np.array([m[5] for m in made], dtype=bool), lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.astype(np.int64)), pa.array(single), pa.array(column(0)), pa.array(column(1)),
+                     pa.array(column(2).astype(np.int32)), pa.array(at.astype(np.int32))],
+                    ["key", "single", "node", "part", "size", "at"],
+                )
+
+    whole = still.join(sets, F.col("node") == F.col("name")).select("node", "part", "tokens")
+    entries = stage(whole.mapInArrow(keyed, "key long, single boolean, node long, part long, size int, at int"), "entries")
+    counts = entries.groupBy("key", "single", "part").agg(F.count(F.lit(1)).alias("sets"))
+    tops = counts.groupBy("key", "single").agg(F.max(F.struct("sets", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    tops = tops.filter("parts > 1").select("key", "single", F.col("top.part").alias("top"))
+    entries = entries.join(tops, ["key", "single"]).withColumn("band", F.floor(F.log("size") / F.lit(BAND)))
+    # Sizes of linked sets lie in the same or in neighbouring bands.
+    others = entries.filter("part != top").withColumn("band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
+    all_sets = entries.select(
+        "key", "single", "band", F.col("node").alias("hub"), F.col("part").alias("hub_part"), F.col("size").alias("hub_size"), F.col("at").alias("hub_at")
+    )
+    first = F.when(F.col("single"), 1).otherwise(2)
+    most = first + F.least(F.col("size") - F.col("at"), F.col("hub_size") - F.col("hub_at")) - 1
+    # Of two sets outside the largest part, one order of the two suffices.
+    once = (F.col("hub_part") == F.col("top")) | (F.col("node") < F.col("hub"))
+    met = others.join(all_sets, ["key", "single", "band"]).filter(
+        (F.col("part") != F.col("hub_part")) & once & _fitting() & (most * (OF + NEED) >= NEED * (F.col("size") + F.col("hub_size")))
+    )
+    return met.select(F.least("node", "hub").alias("node"), F.greatest("node", "hub").alias("hub")).distinct()
+
+
 def _fitting():
     """Sets of too different size cannot link."""
     return F.least("size", "hub_size") * OF >= F.greatest("size", "hub_size") * NEED

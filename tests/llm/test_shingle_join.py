@@ -75,9 +75,11 @@ def test_components_against_all_pairs(spark, seed):
     assert result(df) == brute(list(enumerate(texts)))
 
 
-def test_large_group_and_chains(spark, monkeypatch):
-    """Copies of copies: neighbours link, the ends do not; long lists, several hubs."""
-    monkeypatch.setattr(shingle_join, "PAIRS_PER_ENTRY", 0)
+@pytest.mark.parametrize("rounds", [1, 6])
+def test_large_group_and_chains(spark, monkeypatch, rounds):
+    """Copies of copies: neighbours link, the ends do not; long lists, several hubs, or one and then positions."""
+    monkeypatch.setattr(shingle_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(shingle_join, "STILL_FALLING", 2.0)
     rng = random.Random(4)
     words = [f"w{i}" for i in range(120)]
     texts = []
@@ -106,6 +108,24 @@ def test_any_boundary_gives_all_links(spark, monkeypatch, boundary):
     assert result(documents(spark, texts)) == brute(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("boundary", [0, 500])
+def test_strangers_sharing_a_passage_make_few_pairs(spark, monkeypatch, boundary):
+    """2,000 texts of which most is one passage, and 200 copies: compared pairs stay a small multiple of the texts."""
+    monkeypatch.setattr(shingle_join, "cheapest_boundary", lambda sizes, length: boundary)
+    rng, compared = random.Random(9), []
+    given = shingle_join.linked
+    monkeypatch.setattr(shingle_join, "linked", lambda pairs, sets: compared.append(pairs.count()) or given(pairs, sets))
+    passage = [f"passage{i}" for i in range(60)]
+    texts = []
+    for i in range(2000):
+        own = [f"own{rng.randrange(10**9)}" for _ in range(rng.randrange(12, 25))]
+        texts.append(" ".join(own[:6] + passage + own[6:]))
+    texts += [texts[i] + " and one more" for i in range(0, 2000, 10)]
+    got = result(documents(spark, texts).repartition(4))
+    assert [c for _, _, c in sorted(got)] == [*range(2000), *range(0, 2000, 10)]
+    assert sum(compared) <= 5 * len(texts)
+
+
 def test_boundary_follows_the_cost():
     assert shingle_join.cheapest_boundary({}, 1.0) == 0
     assert shingle_join.cheapest_boundary({300: 10}, 1.0) == 0

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import bpe, language_id, line_templates, mixture, shingle_join
-from adtally.llm.common import fold
+from adtally.llm.common import WORD, fold
 from adtally.sources.staging import delete_tables, recorded, shared_folder, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,32 +32,40 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MAX_BROADCAST_IDS = 2_000_000
 
 
-_staged: list[str] = []
+_staged: dict[str, list[str]] = {}
 
 
 def _released(step: Stage) -> Stage:
-    """A stage's intermediate tables go when the next stage begins: by then its result has been written."""
+    """A stage's intermediate tables go when the session's next stage begins: by then its result has been written."""
 
     @wraps(step)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete_tables(spark, _staged)
+        session = spark.sparkContext.applicationId
+        delete_tables(spark, _staged.pop(session, []))
         with recorded() as paths:
             result = step(spark, docs, sf_dir)
-        _staged[:] = paths
+        _staged[session] = paths
         return result
 
     return run_step
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the documents begins with them."""
+    longest = max(map(len, docs.columns), default=0)
+    return [name.ljust(longest + 1, "_") if any(c.startswith(name) for c in docs.columns) else name for name in names]
+
+
 def _checked(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.learn(docs, fold("doc_id", 3) != 1)
-    found = language_id.predict(docs, model, keep=tuple(docs.columns), prefix="language_stage_")
-    known = F.col("language_stage_lang_pred") != language_id.UNKNOWN
-    return found.filter(known & ~F.col("language_stage_ambiguous")).select(*docs.columns)
+    (prefix,) = _free(docs, "language_stage_")
+    found = language_id.predict(docs, model, keep=tuple(docs.columns), prefix=prefix)
+    known = F.col(f"{prefix}lang_pred") != language_id.UNKNOWN
+    return found.filter(known & ~F.col(f"{prefix}ambiguous")).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,23 +74,27 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    gone_id, once = _free(docs, "gone_id", "only_once")
     found = stage(shingle_join.join_similar(docs), "components")
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone_id)).distinct()
     gone = _checked(stage(gone, "gone"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    kept = docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")
     repeated = found.filter("node is not null and doc_id is not null").groupBy("doc_id", "node").count().filter("count > 1")
     if repeated.isEmpty():
         return kept
-    once = F.when(F.col("doc_id").isNull() | (F.trim("text") == ""), F.uuid()).otherwise(F.xxhash64("text").cast("string"))
-    return kept.withColumn("only_once", once).dropDuplicates(["doc_id", "only_once"]).select(*docs.columns)
+    # Rows with an id and words stand once per text; all others stay as they are.
+    named = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    single = kept.filter(named).withColumn(once, F.xxhash64("text")).dropDuplicates(["doc_id", once]).select(*docs.columns)
+    return single.unionByName(kept.filter(~named))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mix_id, mix_times, mix_copy = _free(docs, "mix_id", "mix_times", "mix_copy")
     rows = mixture.mix_sources(docs).documents
-    times = mixture.copies(F.col("size"), F.col("taken"), "doc_id")
-    times = stage(rows.groupBy(F.col("doc_id").alias("mix_id")).agg(F.max(times).alias("mix_times")).filter("mix_times > 0"), "copies")
-    met = docs.join(_checked(times), F.col("doc_id").eqNullSafe(F.col("mix_id")))
-    return met.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*docs.columns)
+    times = F.max(mixture.copies(F.col("size"), F.col("taken"), "doc_id")).alias(mix_times)
+    times = stage(rows.groupBy(F.col("doc_id").alias(mix_id)).agg(times).filter(F.col(mix_times) > 0), "copies")
+    met = docs.join(_checked(times), F.col("doc_id").eqNullSafe(F.col(mix_id)))
+    return met.withColumn(mix_copy, F.explode(F.sequence(F.lit(1), F.col(mix_times)))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -102,9 +114,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, step in STAGES:
         path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        # What the stage read is not needed any more.
+        delete_tables(spark, before)
+        before = [path]
     return docs

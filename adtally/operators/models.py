@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.expressions import clip
-from adtally.operators import linear
+from adtally.operators import linear, trees
 from adtally.operators.coding import CategoryCodes
 from adtally.operators.contracts import check_overlap
 from adtally.operators.encoding import most_frequent
@@ -196,6 +196,18 @@ def fit_boosted_classifier(
     return _fit(train, _preparation(train, features, one_hot=False), label_col, lambda _: GBTClassifier(**settings))
 
 
+def _fit_histogram_trees(
+    train: DataFrame, stages: Sequence, label_col: str, params: Mapping[str, Any], *, probability: bool
+) -> PipelineModel:
+    """Second-order boosted trees on the inputs of the prepared vector."""
+    inputs = stages[-1].getInputCols()
+    rows = PipelineModel(list(stages[:-1])).transform(train).select(*inputs, F.col(label_col).cast("double").alias("__label"))
+    rows = stage(rows.filter(F.col("__label").isNotNull()), "tree-rows")
+    fitted = trees.fit_trees(rows, inputs, "__label", trees.TreeSettings.of(params), probability=probability)
+    release(rows)
+    return PipelineModel([*stages, fitted])
+
+
 def fit_click_model(
     train: DataFrame,
     features: Features,
@@ -211,6 +223,9 @@ def fit_click_model(
         )
     if model_type == "boosted_trees":
         return fit_boosted_classifier(train, features, label_col, params)
+    if model_type == "histogram_trees":
+        stages = _preparation(train, features, one_hot=False)
+        return _fit_histogram_trees(train, stages, label_col, CLICK_TREE_DEFAULTS | params, probability=True)
     raise ValueError(f"Unsupported model_type: {model_type}")
 
 
@@ -238,6 +253,9 @@ def _classifier(train: DataFrame, spec: UpliftSpec, label_col: str, codes: Categ
     if spec.learner == "boosted_trees":
         settings = UPLIFT_TREE_DEFAULTS | dict(spec.learner_params)
         return fit_boosted_classifier(train, spec.features, label_col, settings)
+    if spec.learner == "histogram_trees":
+        settings = UPLIFT_TREE_DEFAULTS | dict(spec.learner_params)
+        return _fit_histogram_trees(train, _preparation(train, spec.features, one_hot=False), label_col, settings, probability=True)
     raise ValueError(f"Unsupported uplift learner: {spec.learner}")
 
 
@@ -281,7 +299,10 @@ def fit_ridge(
 def _effect_model(train: DataFrame, spec: UpliftSpec, label_col: str, like: PipelineModel) -> PipelineModel:
     if spec.learner == "linear":
         return fit_ridge(train, spec.features, label_col, alpha=spec.ridge_alpha, like=like)
-    settings = _tree_settings(UPLIFT_TREE_DEFAULTS | dict(spec.learner_params), label_col)
+    params = UPLIFT_TREE_DEFAULTS | dict(spec.learner_params)
+    if spec.learner == "histogram_trees":
+        return _fit_histogram_trees(train, like.stages[:-1], label_col, params, probability=False)
+    settings = _tree_settings(params, label_col)
     return _fit(train, like.stages[:-1], label_col, lambda _: GBTRegressor(**settings))
 
 
@@ -310,7 +331,7 @@ def fit_uplift(train: DataFrame, spec: UpliftSpec) -> dict[str, PipelineModel]:
     control = train.filter(F.col(spec.treatment_col) == 0)
     models = {"propensity_model": _classifier(train, spec, spec.treatment_col)}
     # The arms' categories are among those of all training rows.
-    codes = _codes_of(models["propensity_model"])
+    codes = _codes_of(models["propensity_model"]) if spec.learner == "linear" else None
     models["treated_outcome_model"] = _outcome_model(treated, spec, codes)
     models["control_outcome_model"] = _outcome_model(control, spec, codes)
     effect = doubly_robust_outcome(

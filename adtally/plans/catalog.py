@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adtally.functions.binning import with_right_closed_bin
 from adtally.functions.expressions import clip, hash_uniform
 from adtally.operators import artifacts, attribution, calibration, contracts, drift, encoding, evaluation, features
-from adtally.operators import models, profile, splits, targeting
+from adtally.operators import models, profile, splits, targeting, trees
 from adtally.operators.benchmark import add_known_effect_columns
 from adtally.operators.ranking import with_average_ranks
 from adtally.plans import jobs
@@ -286,6 +287,29 @@ def _uplift_linear_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _short(_uplift_linear(spark, folder).select(*KEY, "split", *names), *names)
 
 
+STUMP_INPUTS = ("has_prev_click", "recency_bucket", "cat4", "cat6", "cpo", "cat9")
+
+
+def _stump_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Every split of the root of a first tree for clicks, its gain and leaves, and whether it is the one taken."""
+    rows = _train(split_log(spark, folder)).select(*[F.col(c).cast("double").alias(c) for c in STUMP_INPUTS], F.col("click").cast("double").alias("label"))
+    rows = stage(rows, "stump")
+    cuts = trees.cut_points(rows, STUMP_INPUTS)
+    start = rows.agg(F.avg("label")).first()[0]
+    binned = with_right_closed_bin(rows, {f"b{i}": (F.col(c), cuts[c]) for i, c in enumerate(STUMP_INPUTS)})
+    curved = binned.withColumns({"node": F.lit(0), "g": F.lit(start) - F.col("label"), "h": F.lit(start * (1.0 - start))})
+    gains = trees.split_gains(trees.histogram(curved, range(len(STUMP_INPUTS))))
+    model = trees.fit_trees(rows, STUMP_INPUTS, "label", trees.TreeSettings(trees=1, depth=1, rate=1.0), probability=True)
+    own, cut = model.trees["trees"][0]["splits"]["0"]
+    names, listed = F.lit(list(STUMP_INPUTS)), F.lit([cuts[c] + [0.0] * (trees.MAX_BINS - len(cuts[c])) for c in STUMP_INPUTS])
+    leaf = lambda side: F.round(-F.col(f"{side}_g") / (F.col(f"{side}_h") + trees.LEAF_PENALTY), 6)
+    at = F.get(F.get(listed, F.col("input")), F.col("bin"))
+    return gains.select(
+        F.get(names, F.col("input")).alias("input"), at.alias("cut"), F.round("gain", 5).alias("gain"), leaf("left").alias("left_value"),
+        leaf("right").alias("right_value"), ((F.col("input") == own) & (at == cut)).cast("int").alias("taken"),
+    )
+
+
 def _one_hot(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = encoding.one_hot_slots(_holey(spark, folder), ["cat4", "cat9", "campaign"])
     return rows.select(*KEY, F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))
@@ -490,6 +514,7 @@ def _catalog() -> dict[str, Query]:
         "logistic_fit": _logistic_fit,
         "uplift_linear_scores": _uplift_linear_scores,
         "one_hot": _one_hot,
+        "stump_fit": _stump_fit,
         "model_round_trip": _model_round_trip,
         # fitted models: many features or trees, no SQL equivalent
         "click_model_metrics": _click_model,

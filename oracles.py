@@ -1072,6 +1072,18 @@ nuisances AS MATERIALIZED (
   FROM rows_in r JOIN {_margin('d', 'beta_t')} e USING (rid) JOIN {_margin('d', 'beta_1')} a USING (rid) JOIN {_margin('d', 'beta_0')} b USING (rid)),
 effect_y AS MATERIALIZED (SELECT rid, {effect} FROM nuisances WHERE train)"""
     fitted = [labels, *_newton("beta_t", "d", "t_y"), *_newton("beta_1", "d", "y1"), *_newton("beta_0", "d", "y0"), scored, *_ridge("tau", "d", "effect_y", "1e0")]
+    inputs = ("has_prev_click", "recency_bucket", "cat4", "cat6", "cpo", "cat9")
+    long = " UNION ALL ".join(f"SELECT {k} AS k, '{c}' AS input, CAST({c} AS DOUBLE) AS v, click FROM split_log WHERE split = 'train'" for k, c in enumerate(inputs))
+    stump = f"""
+long AS MATERIALIZED ({long}),
+prior AS (SELECT avg(click) AS p FROM split_log WHERE split = 'train'),
+cells AS (SELECT k, input, v, sum(p - click) AS g, sum(p * (1 - p)) AS h FROM long, prior GROUP BY k, input, v),
+sides AS (SELECT *, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh, sum(g) OVER (PARTITION BY k) AS ag, sum(h) OVER (PARTITION BY k) AS ah,
+    max(v) OVER (PARTITION BY k) AS top
+  FROM cells WINDOW upto AS (PARTITION BY k ORDER BY v ROWS UNBOUNDED PRECEDING)),
+splits AS (SELECT k, input, v AS cut, round(5e-1 * (lg * lg / (lh + 1) + (ag - lg) * (ag - lg) / (ah - lh + 1) - ag * ag / (ah + 1)), 9) AS gain,
+    -lg / (lh + 1) AS left_value, -(ag - lg) / (ah - lh + 1) AS right_value
+  FROM sides WHERE v < top AND lh >= 1 AND ah - lh >= 1)"""
     slots = "\nslots AS (SELECT *, row_number() OVER (ORDER BY name, value) - 1 AS slot FROM (" + " UNION ".join(
         f"SELECT '{c}' AS name, {c} AS value FROM holey WHERE split = 'train' AND {c} IS NOT NULL" for c in ("campaign", "cat4", "cat9")
     ) + "))"
@@ -1103,6 +1115,12 @@ holey AS (SELECT * EXCLUDE (cat4), CASE WHEN cat7 <> 3 THEN cat4 END AS cat4 FRO
             FROM rows_in JOIN (SELECT rid, e, m1, m0 FROM nuisances) USING (rid) JOIN {_margin('d', 'tau')} USING (rid)""",
             KEY_COLUMNS + " split:s propensity_score:d treated_outcome_score:d control_outcome_score:d observational_score:d doubly_robust_score:d",
         ),
+        "stump_fit": _final(
+            [*base, stump],
+            """SELECT input, cut, round(gain, 5) AS gain, left_value, right_value,
+              CASE WHEN row_number() OVER (ORDER BY gain DESC, k, cut) = 1 AND gain > 0 THEN 1 ELSE 0 END AS taken FROM splits""",
+            "input:s cut:d gain:d left_value:d right_value:d taken:l",
+        ),
         "one_hot": _final(
             [*base, holey, slots],
             f"SELECT {TIME}, array_to_string(list_filter([{listed}], lambda s: s IS NOT NULL), ',') AS slots FROM holey h",

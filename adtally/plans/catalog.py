@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from adtally.functions.binning import with_right_closed_bin
 from adtally.functions.expressions import clip, hash_uniform
 from adtally.operators import artifacts, attribution, calibration, contracts, drift, encoding, evaluation, features
-from adtally.operators import models, profile, splits, targeting, trees
+from adtally.operators import models, profile, splits, targeting, trees, verdicts
 from adtally.operators.benchmark import add_known_effect_columns
 from adtally.operators.ranking import with_average_ranks
 from adtally.plans import jobs
@@ -287,6 +288,50 @@ def _uplift_linear_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _short(_uplift_linear(spark, folder).select(*KEY, "split", *names), *names)
 
 
+def _column_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """The source contract and the attribution contract on the log and on broken copies of it."""
+    log = ad_log_table(spark, folder)
+    copies = {
+        "as given": log,
+        "no campaign": log.drop("campaign"),
+        "fractional uid": log.withColumn("uid", F.col("uid").cast("double")),
+        "cost as text": log.withColumn("cost", F.col("cost").cast("string")),
+    }
+    needed = {name: "any" for name in attribution.REQUIRED_COLUMNS}
+    parts = [verdicts.column_verdicts(df).withColumns({"copy": F.lit(name), "contract": F.lit("source")}) for name, df in copies.items()]
+    lost = log.drop("click_pos", "conversion")
+    parts += [
+        verdicts.column_verdicts(df, needed).withColumns({"copy": F.lit(name), "contract": F.lit("attribution")})
+        for name, df in {"as given": log, "no path": lost}.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _label_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Split rows of which some have lost their label or carry another one."""
+    label = F.when(F.col("cat7") == 3, None).when((F.col("cat6") == 2) & (F.col("split") == "test"), 2).otherwise(F.col("click"))
+    return verdicts.label_verdicts(split_log(spark, folder).withColumn("click", label), label_col="click", split_col="split")
+
+
+def _calibration_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored clicks as they are, with holes, with other labels and scores, and none at all."""
+    scored = click_scored(spark, folder)
+    copies = {
+        "as given": scored,
+        "holes": scored.withColumn("pred_score", F.when(F.col("cat4") != 1, F.col("pred_score"))),
+        "other values": scored.withColumns({"click": F.col("click") * 2, "pred_score": F.col("pred_score") * 2 - 0.5}),
+        "empty": scored.filter("cost < 0"),
+    }
+    parts = [verdicts.calibration_verdicts(df, label_col="click", score_col="pred_score").withColumn("copy", F.lit(n)) for n, df in copies.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _overlap_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark rows whose validation split has lost its treated rows."""
+    table = uplift_table(spark, folder).filter((F.col("split") != "validation") | (F.col(TREATMENT) == 0))
+    return verdicts.overlap_verdicts(table, treatment_col=TREATMENT, split_col="split")
+
+
 STUMP_INPUTS = ("has_prev_click", "recency_bucket", "cat4", "cat6", "cpo", "cat9")
 
 
@@ -515,6 +560,12 @@ def _catalog() -> dict[str, Query]:
         "uplift_linear_scores": _uplift_linear_scores,
         "one_hot": _one_hot,
         "stump_fit": _stump_fit,
+        # refusals as rows
+        "column_verdicts": _column_verdicts,
+        "label_verdicts": _label_verdicts,
+        "calibration_verdicts": _calibration_verdicts,
+        "overlap_verdicts": _overlap_verdicts,
+        "split_verdicts": lambda s, d: verdicts.split_verdicts(log(s, d), [(0.7, 0.1), (0.8, 0.0), (0.9, 0.1), (0.5, 0.6), (0.0, 0.1), (0.6, -0.1)]),
         "model_round_trip": _model_round_trip,
         # fitted models: many features or trees, no SQL equivalent
         "click_model_metrics": _click_model,

@@ -101,7 +101,9 @@ def run_attribution(
     dataset: str = "",
     decay_rate: float = 0.5,
     top_campaigns: int = 20,
+    max_rows: int | None = None,
 ) -> dict[str, DataFrame]:
+    log = _first_rows(log, max_rows)
     # One row per campaign; reread by all reports below, so it is written once.
     report = stage(attribution.campaign_report(log, decay_rate=decay_rate), "campaigns")
     decisions = attribution.decision_report(report)
@@ -321,9 +323,12 @@ def prepare_uplift_table(log: DataFrame, job: UpliftJob) -> DataFrame:
     return time_split(table, train_fraction=job.train_fraction, validation_fraction=job.validation_fraction)
 
 
-def score_uplift_table(log: DataFrame, job: UpliftJob):
-    """(four fitted models, all rows with split and five scores). Fitted once, read by every report below."""
-    table = prepare_uplift_table(log, job)
+def score_uplift_table(log: DataFrame, job: UpliftJob, *, max_rows: int | None = None):
+    """(four fitted models, all rows with split and five scores). Fitted once, read by every report below.
+
+    With `max_rows` targeting, scoring and drift rest on the first rows of the log only.
+    """
+    table = prepare_uplift_table(_first_rows(log, max_rows), job)
     models = fit_uplift(_part(table, "train"), job.spec)
     return models, stage(with_uplift_scores(table, models, job.spec), "uplift-scores", partition_by=["split"])
 
@@ -364,7 +369,7 @@ def run_uplift(
     log: DataFrame, job: UpliftJob, *, folder: str | None = None, run_name: str = "uplift", dataset: str = "",
     max_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    models, scored = score_uplift_table(_first_rows(log, max_rows), job)
+    models, scored = score_uplift_table(log, job, max_rows=max_rows)
     reports = uplift_evaluation(scored, job)
     if job.known_effect:
         reports["uplift_known_effect"] = targeting.known_effect_report(
@@ -483,7 +488,10 @@ def run_drift(
         "numeric_drift": numeric_rows,
         "categorical_drift": categorical_rows,
         "score_drift": score_rows,
-        "drift_summary": drift.drift_summary(numeric_rows, categorical_rows, score_rows),
+        # Validation rows are neither reference nor current; their number says what the report leaves out.
+        "drift_summary": drift.drift_summary(numeric_rows, categorical_rows, score_rows).withColumn(
+            "validation_rows", F.lit(_part(scored, "validation").count())
+        ),
     }
     if folder is None:
         return reports

@@ -1129,7 +1129,81 @@ holey AS (SELECT * EXCLUDE (cat4), CASE WHEN cat7 <> 3 THEN cat4 END AS cat4 FRO
     }
 
 
+WHOLE, ANY_NUMBER = "('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT')", "('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT')"
+
+
+def _verdicts() -> dict[str, str]:
+    base = [LOG, FEATURES, SPLIT_LOG]
+
+    def columns(copy: str, contract: str, expected: dict[str, str], casts: dict[str, str], lost: tuple[str, ...] = ()) -> list[str]:
+        rows = []
+        for name, kind in expected.items():
+            kinds = {"integer": WHOLE, "numeric": ANY_NUMBER}.get(kind)
+            found = f"typeof({casts.get(name, name)}) IN {kinds}" if kinds else "true"
+            verdict = "'missing'" if name in lost else f"CASE WHEN (SELECT any_value({found}) FROM log) THEN 'ok' ELSE 'wrong type' END"
+            rows.append(f"SELECT '{copy}' AS copy, '{contract}' AS contract, '{name}' AS \"column\", '{kind}' AS expected, {verdict} AS verdict")
+        return rows
+
+    source = {n: "numeric" if n in ("cost", "cpo") else "integer" for n in ["timestamp", "uid", "campaign", "click", "cost", "cpo", "time_since_last_click"] + [f"cat{i}" for i in range(1, 10)]}
+    quoted = {"timestamp": '"timestamp"'}
+    needed = {n: "any" for n in ("campaign", "click", "conversion", "click_pos", "click_nb", "cost", "cpo")}
+    listed = columns("as given", "source", source, quoted)
+    listed += columns("no campaign", "source", source, quoted, ("campaign",))
+    listed += columns("fractional uid", "source", source, quoted | {"uid": "CAST(uid AS DOUBLE)"})
+    listed += columns("cost as text", "source", source, quoted | {"cost": "CAST(cost AS VARCHAR)"})
+    listed += columns("as given", "attribution", needed, {}) + columns("no path", "attribution", needed, {}, ("click_pos", "conversion"))
+    verdict = lambda count, refusal: f"CASE WHEN {count} = 0 THEN 'ok' ELSE '{refusal}' END AS verdict"
+    labels = """
+labels_in AS (SELECT split, CASE WHEN cat7 = 3 THEN NULL WHEN cat6 = 2 AND split = 'test' THEN 2 ELSE click END AS click FROM split_log),
+counted AS (SELECT split, count(*) FILTER (click IS NOT NULL AND click NOT IN (0, 1)) AS other, count(*) FILTER (click IS NULL) AS nulls FROM labels_in GROUP BY split)"""
+    copies = {
+        "as given": "SELECT click AS y, pred_score AS s FROM clicks",
+        "holes": "SELECT click AS y, CASE WHEN cat4 <> 1 THEN pred_score END AS s FROM clicks",
+        "other values": "SELECT click * 2 AS y, pred_score * 2 - 5e-1 AS s FROM clicks",
+        "empty": "SELECT click AS y, pred_score AS s FROM clicks WHERE cost < 0",
+    }
+    calibration = "\ncounted AS (" + " UNION ALL ".join(
+        f"""SELECT '{name}' AS copy, CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS empty, count(*) FILTER (y IS NULL OR s IS NULL) AS nulls,
+          count(*) FILTER (y NOT IN (0, 1)) AS labels, count(*) FILTER (s < 0 OR s > 1) AS scores FROM ({rows})"""
+        for name, rows in copies.items()
+    ) + ")"
+    checks = {"rows": ("empty", "empty"), "nulls": ("nulls", "missing values"), "labels": ("labels", "not binary"), "scores": ("scores", "no probability")}
+    asked = "(VALUES (7e-1, 1e-1), (8e-1, 0e0), (9e-1, 1e-1), (5e-1, 6e-1), (0e0, 1e-1), (6e-1, -1e-1)) AS f(a, b)"
+    return {
+        "column_verdicts": _final([LOG], " UNION ALL ".join(listed), "copy:s contract:s column:s expected:s verdict:s"),
+        "label_verdicts": _final(
+            [*base, labels],
+            f"SELECT split, 'binary' AS \"check\", other AS violations, {verdict('other', 'not binary')} FROM counted "
+            f"UNION ALL SELECT split, 'null', nulls, {verdict('nulls', 'missing')} FROM counted",
+            "split:s check:s violations:l verdict:s",
+        ),
+        "calibration_verdicts": _final(
+            [*base, CLICKS, calibration],
+            " UNION ALL ".join(f"SELECT copy, '{n}' AS \"check\", {c} AS violations, {verdict(c, r)} FROM counted" for n, (c, r) in checks.items()),
+            "copy:s check:s violations:l verdict:s",
+        ),
+        "overlap_verdicts": _final(
+            [LOG, FEATURES, KNOWN],
+            """SELECT *, CASE WHEN treated = 0 THEN 'no treated rows' WHEN control = 0 THEN 'no control rows' ELSE 'ok' END AS verdict
+            FROM (SELECT split, count(*) FILTER (synthetic_treatment = 1) AS treated, count(*) FILTER (synthetic_treatment = 0) AS control
+                  FROM uplift WHERE split <> 'validation' OR synthetic_treatment = 0 GROUP BY split)""",
+            "split:s treated:l control:l verdict:s",
+        ),
+        "split_verdicts": _final(
+            [LOG],
+            f"""SELECT a AS train_fraction, b AS validation_fraction, verdict,
+              CASE WHEN verdict = 'ok' THEN floor(n * a) END AS train_rows,
+              CASE WHEN verdict = 'ok' THEN floor(n * (a + b)) - floor(n * a) END AS validation_rows,
+              CASE WHEN verdict = 'ok' THEN n - floor(n * (a + b)) END AS test_rows
+            FROM (SELECT *, CASE WHEN a <= 0 OR a >= 1 THEN 'train fraction out of range' WHEN b < 0 THEN 'validation fraction out of range'
+                    WHEN a + b >= 1 THEN 'no test rows left' ELSE 'ok' END AS verdict
+                  FROM {asked} CROSS JOIN (SELECT count(*) AS n FROM log))""",
+            "train_fraction:d validation_fraction:d verdict:s train_rows:l validation_rows:l test_rows:l",
+        ),
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     return (
-        _attribution() | _tables() | _features() | _encodings() | _evaluation() | _uplift() | _targeting() | _drift() | _fits()
+        _attribution() | _tables() | _features() | _encodings() | _evaluation() | _uplift() | _targeting() | _drift() | _fits() | _verdicts()
     )

@@ -360,6 +360,38 @@ def _one_hot(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*KEY, F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))
 
 
+def _click_linear_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of a logistic click model on its splits, fitted, scored and evaluated."""
+    table, model = _click_logistic(spark, folder)
+    scored = stage(models.with_prediction(model, table, "pred_score"), "linear-clicks")
+    # Equal features give equal scores in any engine only up to the order of sums.
+    scored = scored.withColumn("pred_score", F.round("pred_score", 9))
+    return evaluation.binary_metrics(scored, by=["split"], label_col="click", score_col="pred_score")
+
+
+LINEAR_CANDIDATES = {
+    "cost": models.Features(numeric=("log_cost", "has_prev_click"), categorical=("cat4",)),
+    "recency": models.Features(numeric=("log_cost",), categorical=("recency_bucket", "cat6")),
+}
+
+
+def _click_linear_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Two logistic click models compared by the job: test metrics and four rankings."""
+    candidates = {name: jobs.ClickJob(features=own, train_only_encodings=()) for name, own in LINEAR_CANDIDATES.items()}
+    found = jobs.compare_click_models(ad_log_table(spark, folder), candidates)
+    ranks = [name for name in found.columns if name.startswith("rank_")]
+    numbers = ("roc_auc", "pr_auc", "log_loss", "brier_score")
+    return _short(found, *numbers).select("name", "model_type", *numbers, *ranks, F.col("is_best").cast("int").alias("is_best"))
+
+
+def _uplift_linear_evaluation(spark: SparkSession, folder: str) -> DataFrame:
+    """The split summary of the linear uplift models."""
+    names = ("propensity_score", "treated_outcome_score", "control_outcome_score", *SCORES)
+    scored = _uplift_linear(spark, folder).withColumns({name: F.round(name, 9) for name in names})
+    summary = jobs.uplift_evaluation(scored, _uplift_job())["uplift_summary"]
+    return _short(summary, *[name for name, kind in summary.dtypes if kind == "double"])
+
+
 def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of a click model before it is saved and after it is read back, under its contract."""
     table, model = _click_logistic(spark, folder)
@@ -558,6 +590,9 @@ def _catalog() -> dict[str, Query]:
         "ridge_fit": _ridge_fit,
         "logistic_fit": _logistic_fit,
         "uplift_linear_scores": _uplift_linear_scores,
+        "click_linear_metrics": _click_linear_metrics,
+        "click_linear_comparison": _click_linear_comparison,
+        "uplift_linear_evaluation": _uplift_linear_evaluation,
         "one_hot": _one_hot,
         "stump_fit": _stump_fit,
         # refusals as rows

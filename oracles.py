@@ -1090,6 +1090,23 @@ splits AS (SELECT k, input, v AS cut, round(5e-1 * (lg * lg / (lh + 1) + (ag - l
     holey = """
 holey AS (SELECT * EXCLUDE (cat4), CASE WHEN cat7 <> 3 THEN cat4 END AS cat4 FROM split_log)"""
     listed = ", ".join(f"(SELECT slot FROM slots WHERE name = '{c}' AND value = h.{c})" for c in ("campaign", "cat4", "cat9"))
+    pred = "\npred AS MATERIALIZED (SELECT split, click, round(1e0 / (1e0 + exp(-m)), 9) AS s FROM rows_in JOIN " + _margin("d", "beta") + " USING (rid))"
+    compared = [*base, """
+rows_in AS MATERIALIZED (SELECT row_number() OVER (ORDER BY "timestamp", uid, campaign) AS rid, *, split = 'train' AS train FROM split_log),
+click_y AS MATERIALIZED (SELECT rid, click AS y FROM rows_in WHERE train)"""]
+    compared += [_design("d", "rows_in", ["log_cost", "has_prev_click"], ["cat4"]), *_newton("beta", "d", "click_y")]
+    compared += [_design("e", "rows_in", ["log_cost"], ["recency_bucket", "cat6"]), *_newton("gamma", "e", "click_y")]
+    compared.append("\npred AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, click, round(1e0 / (1e0 + exp(-m)), 9) AS s FROM rows_in JOIN {_margin(d, b)} USING (rid) WHERE split = 'test'"
+        for name, d, b in (("cost", "d", "beta"), ("recency", "e", "gamma"))
+    ) + ")")
+    compared.append(f"\nmeasured AS MATERIALIZED ({_metrics('pred', 'click', 's', 'name')})")
+    ranked = {"roc_auc": "DESC NULLS LAST", "pr_auc": "DESC NULLS LAST", "log_loss": "ASC", "brier_score": "ASC"}
+    ranks = ", ".join(f"row_number() OVER (ORDER BY {c} {order}, name) AS rank_{c}" for c, order in ranked.items())
+    rounded = """
+scored AS MATERIALIZED (
+  SELECT split, synthetic_treatment, synthetic_outcome, round(e, 9) AS e, round(m1 - m0, 9) AS o, round(m, 9) AS dr
+  FROM rows_in JOIN (SELECT rid, e, m1, m0 FROM nuisances) USING (rid) JOIN """ + _margin("d", "tau") + """ USING (rid) WHERE split <> 'train')"""
     recursive = lambda ctes: ["RECURSIVE " + ctes[0], *ctes[1:]]
     return {
         "ridge_fit": _final(
@@ -1115,6 +1132,25 @@ holey AS (SELECT * EXCLUDE (cat4), CASE WHEN cat7 <> 3 THEN cat4 END AS cat4 FRO
             FROM rows_in JOIN (SELECT rid, e, m1, m0 FROM nuisances) USING (rid) JOIN {_margin('d', 'tau')} USING (rid)""",
             KEY_COLUMNS + " split:s propensity_score:d treated_outcome_score:d control_outcome_score:d observational_score:d doubly_robust_score:d",
         ),
+        "click_linear_metrics": _final(
+            recursive([*click, pred]), _metrics("pred", "click", "s", "split"), "split:s " + METRIC_COLUMNS
+        ),
+        "click_linear_comparison": _final(
+            recursive(compared),
+            f"""SELECT name, model_type, {', '.join(_five(c) for c in ranked)}, {', '.join(f'rank_{c}' for c in ranked)},
+              CASE WHEN rank_roc_auc = 1 THEN 1 ELSE 0 END AS is_best
+            FROM (SELECT *, 'logistic_regression' AS model_type, {ranks} FROM measured)""",
+            "name:s model_type:s roc_auc:d pr_auc:d log_loss:d brier_score:d rank_roc_auc:l rank_pr_auc:l rank_log_loss:l rank_brier_score:l is_best:l",
+        ),
+        "uplift_linear_evaluation": _final(
+            recursive([*uplift, *fitted, rounded]),
+            f"""SELECT split, "rows", {', '.join(_five(c) for c in ('positive_rate', 'avg_score', 'roc_auc', 'pr_auc', 'log_loss', 'brier_score',
+                'treatment_rate', 'outcome_rate', 'score_correlation'))}
+            FROM ({_metrics('scored', 'synthetic_treatment', 'e', 'split')}) JOIN (
+              SELECT split, avg(synthetic_treatment) AS treatment_rate, avg(synthetic_outcome) AS outcome_rate, corr(o, dr) AS score_correlation
+              FROM scored GROUP BY split) USING (split)""",
+            "split:s " + METRIC_COLUMNS + " treatment_rate:d outcome_rate:d score_correlation:d",
+        ),
         "stump_fit": _final(
             [*base, stump],
             """SELECT input, cut, round(gain, 5) AS gain, left_value, right_value,

@@ -74,8 +74,11 @@ def _needed(size: Column, min_docs: int | None) -> Column:
 
 def _runs(words: Column) -> Column:
     """The distinct hashes of the runs among some words; fewer words are one run."""
-    starts = lambda w: F.sequence(F.lit(1), F.greatest(F.size(w) - RUN + 1, F.lit(1)))
-    runs = F.transform(F.array(words), lambda w: F.transform(starts(w), lambda i: F.xxhash64(F.slice(w, i, RUN))))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    starts = lambda h: F.sequence(F.lit(0), F.greatest(F.size(h) - RUN, F.lit(0)))
+    run = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(RUN)])
+    # Bound as a lambda's variable, the words are hashed once.
+    runs = F.transform(F.array(hashes), lambda h: F.transform(starts(h), lambda i: run(h, i)))
     return F.array_distinct(F.get(runs, F.lit(0)))
 
 
@@ -100,12 +103,13 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     every = F.split(F.btrim("line_text", F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
     rows = F.split("line_text", "\n")
     read = read.select("line_version", "spot_doc", rows.alias("rows"), "spots", _runs(every).alias("runs"))
-    least = F.slice(F.sort_array("runs"), 1, SKETCH)
-    # The smallest runs outside the line: enough of the sketch is left for lines that are not most of the text.
+    least = F.slice(F.sort_array("runs"), 1, SKETCH).alias("s")
+    read = read.select("line_version", "spot_doc", "rows", "spots", F.size("runs").alias("n"), least)
+    # The smallest runs outside the line: of the sketch enough is left where the line is not most of the text.
     own_words = lambda x: F.split(F.btrim(F.get(F.col("rows"), x["place"]), F.lit(" \t\x0b\x0c\r")), f"[{SPACES}]+")
-    keys = lambda x: F.slice(F.sort_array(F.array_except("runs", _runs(own_words(x)))), 1, KEYS)
+    keys = lambda x: F.slice(F.array_except("s", _runs(own_words(x))), 1, KEYS)
     keyed = F.transform("spots", lambda x: F.struct(x["leaf"], x["template"], x["size"], x["body"], keys(x).alias("keys")))
-    read = read.select("line_version", "spot_doc", F.size("runs").alias("n"), least.alias("s"), keyed.alias("spots"))
+    read = read.select("line_version", "spot_doc", "n", "s", keyed.alias("spots"))
     read = stage(read, "sketches")
     sketches = read.select("line_version", "n", "s").dropDuplicates(["line_version"])
     met = read.select("line_version", "spot_doc", F.explode("spots").alias("x")).select("line_version", "spot_doc", "x.*")

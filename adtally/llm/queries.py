@@ -146,6 +146,49 @@ def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_forms(read_table(spark, folder, "documents"))
 
 
+# The crc32 of a text's bytes, by a table of 256 remainders; near words by what is left when a letter is dropped.
+SPELLING_SQL = """
+WITH RECURSIVE steps AS (
+    SELECT i AS i, 0 AS k, CAST(i AS BIGINT) AS c FROM range(256) AS r(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), remainders AS MATERIALIZED (
+    SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8
+), runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{00C0}-\\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), counted AS MATERIALIZED (
+    SELECT doc_id, run, count(*) AS times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS digits
+    FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, times, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(digits) // 2), lambda i: CAST('0x' || substr(digits, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) AS h
+    FROM counted, remainders
+), words AS MATERIALIZED (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+        SELECT times, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), dropped AS MATERIALIZED (
+    SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS near FROM dropped a JOIN dropped b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT w.word, d.word FROM words w JOIN dropped d ON d.rest = w.word
+    UNION SELECT d.word, w.word FROM words w JOIN dropped d ON d.rest = w.word
+), nearest AS (
+    SELECT p.word, count(*) AS n_near, arg_min(p.near, struct_pack(m := -v.n, w := p.near)) AS best, max(v.n) AS best_n
+    FROM pairs p JOIN words v ON v.word = p.near GROUP BY p.word
+), forms AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+    FROM words w LEFT JOIN nearest USING (word)
+), ways AS (
+    SELECT word, word AS place, 0 AS k FROM forms
+    UNION ALL SELECT ways.word, forms.form, k + 1 FROM ways JOIN forms ON forms.word = ways.place WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.form, arg_max(place, k) AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN ways USING (word) GROUP BY f.word, f.form, f.n, f.n_near, f.form_n
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_nearest": op2_nearest,
         "op3_personal_data": op3_personal_data,
@@ -157,4 +200,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_chat": CHAT_SQL}
+    return {"op9_chat": CHAT_SQL, "op13_spelling": SPELLING_SQL}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally.llm import spelling
 from adtally.llm.fm_index import WordIndex
-from adtally.llm.queries import op13_spelling
+from adtally.llm.queries import SPELLING_SQL, op13_spelling
 from tests.llm.helpers import awkward, documents, empty
 
 
@@ -53,6 +53,12 @@ def test_query_equals_brute_force(spark, folder):
     assert got == want and any(row[1] for row in got)
 
 
+def test_query_equals_sql(spark, folder):
+    from check_oracles import compare, connect
+
+    assert compare(spark, connect(folder), folder, "op13_spelling", op13_spelling, SPELLING_SQL).startswith("ok")
+
+
 def chained(spark):
     texts = ["lettern " * 700, "letterm " * 130 + "lettexm " * 25 + "lattexm " * 5, "letter " * 6, "ÀÉÎõüÿ " * 5 + "àéîõüÿ " * 30, "×÷×÷×÷ " * 5]
     return documents(spark, texts)

@@ -1,8 +1,9 @@
 """Chat formatting over reply trees.
 
-Messages point to the message they answer. Self-joins on jump tables, doubled each round, enumerate every
-root-to-leaf path in as many rounds as the depth has binary digits. Branches of one conversation are ranked
-by the sum of their messages' scores, ties to the smaller leaf, and the best ones are written as one text.
+Messages point to the message they answer. Self-joins on jump tables, doubled each round, first carry every
+message's score sum up to its root, in as many rounds as the depth has binary digits, one row per message.
+Branches of one conversation are ranked by the sum of their messages' scores, ties to the smaller leaf. Only the
+best ones are then enumerated from leaf to root, by the same doubling, and written as one text.
 
 The template puts every message between `<turn>` and `</turn>`, its role on the first line. `&`, `<` and, in
 roles, line breaks are escaped, so no text can hold a control string, and reading back gives every role and
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.sources.staging import stage
+from adtally.sources.staging import release, stage
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 TRAINED = "assistant"
@@ -54,20 +55,57 @@ def as_chain(rows: DataFrame, *, conv_col: str, turn_col: str, role_col: str, te
     return placed.select("conv", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def enumerate_paths(messages: DataFrame) -> DataFrame:
-    """Rows (conv_key, leaf, node, height): every message on every root-to-leaf path, height 0 at the leaf.
+def _longest(messages: DataFrame) -> int:
+    """The number of messages of the largest conversation: no path is longer."""
+    return messages.groupBy("conv_key").count().agg(F.max("count")).first()[0] or 0
 
-    `messages` has conv_key, node and parent. Both tables are written each round, so plans stay small and a
+
+def sums_to_root(messages: DataFrame, longest: int) -> DataFrame:
+    """Rows (conv_key, node, path_score, depth) of the messages that have a root, with the scores' sum from it.
+
+    One row per message and round. What still has a message above it after as many steps as the largest conversation
+    has messages leads into a cycle.
+    """
+    known = messages.select("conv_key", F.col("node").alias("parent"), F.lit(True).alias("is_known"))
+    first = messages.select("conv_key", "node", "parent", "score").join(known, ["conv_key", "parent"], "left")
+    above = F.when(F.col("is_known"), F.col("parent")).alias("above")
+    reach = stage(first.select("conv_key", "node", above, F.col("score").alias("path_score"), F.lit(1).cast("long").alias("depth")), "reach")
+    span = 1
+    while span <= longest and not reach.filter("above is not null").isEmpty():
+        further = reach.select(
+            "conv_key", F.col("node").alias("above"), F.col("above").alias("top"), F.col("path_score").alias("more"), F.col("depth").alias("steps")
+        )
+        later = reach.join(further, ["conv_key", "above"], "left").select(
+            "conv_key", "node", F.col("top").alias("above"), (F.col("path_score") + F.coalesce("more", F.lit(0.0))).alias("path_score"),
+            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth"),
+        )
+        later = stage(later, "reach")
+        release(reach)
+        reach = later
+        span *= 2
+    return reach.filter("above is null").select("conv_key", "node", "path_score", "depth")
+
+
+def _leaves(messages: DataFrame) -> DataFrame:
+    """(conv_key, node) of the messages that no other one answers."""
+    answered = messages.filter("parent is not null").select("conv_key", F.col("parent").alias("node")).distinct()
+    return messages.select("conv_key", "node").join(answered, ["conv_key", "node"], "left_anti")
+
+
+def enumerate_paths(messages: DataFrame, leaves: DataFrame | None = None, longest: int | None = None) -> DataFrame:
+    """Rows (conv_key, leaf, node, height): every message on the paths of the leaves, height 0 at the leaf.
+
+    `messages` has conv_key, node and parent, `leaves` conv_key and node (all leaves, if not given). All tables are written each round, so plans stay small and a
     lost executor costs a reread.
     """
+    leaves = _leaves(messages) if leaves is None else leaves
+    longest = _longest(messages) if longest is None else longest
     edges = messages.select("conv_key", "node", "parent")
     known = edges.select("conv_key", F.col("node").alias("parent"))
     jumps = stage(edges.join(known, ["conv_key", "parent"]).select("conv_key", "node", F.col("parent").alias("above")), "jumps")
-    answered = jumps.select("conv_key", F.col("above").alias("node"))
-    leaves = edges.join(answered, ["conv_key", "node"], "left_anti").select("conv_key", "node")
     paths = stage(leaves.select("conv_key", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("height")), "paths")
-    found, span, rows = [paths], 1, messages.count()
-    while span <= rows:
+    found, span = [paths], 1
+    while span <= longest:
         so_far = found[0]
         for part in found[1:]:
             so_far = so_far.unionByName(part)
@@ -103,17 +141,13 @@ def format_conversations(messages: DataFrame, *, branches: int = 1) -> DataFrame
         ),
         "messages",
     )
-    paths = enumerate_paths(nodes)
-    # A path is whole if its highest message answers nothing known; only cycles have none.
-    tops = nodes.join(
-        nodes.select("conv_key", F.col("node").alias("parent"), F.lit(True).alias("answers")), ["conv_key", "parent"], "left"
-    ).select("conv_key", "node", F.col("answers").isNull().alias("is_root"), "score")
-    scored = paths.join(tops, ["conv_key", "node"])
-    totals = scored.groupBy("conv_key", "leaf").agg(
-        F.sum("score").alias("path_score"), F.max("is_root").alias("whole"), F.max("height").alias("top")
-    )
+    longest = _longest(nodes)
+    leaves = sums_to_root(nodes, longest).join(_leaves(nodes), ["conv_key", "node"], "left_semi")
     best = Window.partitionBy("conv_key").orderBy(F.desc("path_score"), "leaf")
-    chosen = totals.filter("whole").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= branches)
+    ranked = leaves.withColumnRenamed("node", "leaf").withColumn("rank", F.row_number().over(best))
+    top = (F.col("depth") - 1).alias("top")
+    chosen = stage(ranked.filter(F.col("rank") <= branches).select("conv_key", "leaf", "path_score", "rank", top), "chosen")
+    paths = enumerate_paths(nodes, chosen.select("conv_key", F.col("leaf").alias("node")), longest)
     head = F.concat(F.lit(OPEN), escaped_role(F.col("role")), F.lit("\n"))
     steps = (
         paths.join(chosen, ["conv_key", "leaf"])

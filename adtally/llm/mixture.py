@@ -127,14 +127,25 @@ def draw_slots(sources: DataFrame, *, seed: int, block_words: int, most: float)
     each = ranges.withColumn("k", F.explode(F.sequence("from", F.col("until") - 1)))
     turn = F.floor(F.col("k") / F.col("n_blocks")).cast("long")
     index = F.col("k") - turn * F.col("n_blocks")
-    primes = F.array(*[F.lit(p) for p in PRIMES])
-    usable = F.filter(primes, lambda p: F.pmod(F.col("n_blocks"), p) != 0)
-    first = F.pmod(F.xxhash64(F.lit(seed), "sid", turn, F.lit("factor")), F.size(usable))
-    shift = F.pmod(F.xxhash64(F.lit(seed), "sid", turn, F.lit("shift")), F.col("n_blocks"))
-    block = F.pmod(F.pmod(index * F.get(usable, first.cast("int")), F.col("n_blocks")) + shift, F.col("n_blocks"))
+    block = permuted(index, F.col("n_blocks"), seed, F.col("sid"), turn)
     return each.select("shard", "sid", "k", turn.alias("pass"), block.alias("block"))
 
 
+def permuted(index: Column, blocks: Column, seed: int, *key: Column) -> Column:
+    """The place of `index` in a pseudorandom order of 0 .. blocks - 1 that the key chooses: factor and shift modulo `blocks`.
+
+    The factor is a prime that does not divide `blocks`; the product is formed in 38 digits, so it cannot overflow.
+    """
+    primes = F.array(*[F.lit(p) for p in PRIMES])
+    usable = F.filter(primes, lambda p: F.pmod(blocks, p) != 0)
+    first = F.pmod(F.xxhash64(F.lit(seed), *key, F.lit("factor")), F.size(usable))
+    shift = F.pmod(F.xxhash64(F.lit(seed), *key, F.lit("shift")), blocks)
+    wide = lambda c: c.cast("decimal(19,0)")
+    product = F.pmod(wide(index) * wide(F.pmod(F.get(usable, first.cast("int")), blocks)), wide(blocks)).cast("long")
+    # Both summands are below `blocks`, and so is the larger of the two differences.
+    return F.when(product >= blocks - shift, product - (blocks - shift)).otherwise(product + shift)
+
+
 def mix_sources(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17,
     block_words: int = BLOCK_WORDS, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,

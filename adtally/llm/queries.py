@@ -85,7 +85,9 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = made.withColumn("turns", chat.read_back(F.col("formatted")))
     each = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    trained = F.array_join(F.transform("loss_turns", lambda i: F.col("turns")[(i - 1).cast("int")]["text"]), "")
+    # Read off the output: what stands under the mask, unescaped.
+    under = lambda s: F.substr(F.col("formatted"), (s["begin"] + 1).cast("int"), (s["end"] - s["begin"]).cast("int"))
+    trained = F.array_join(F.transform("loss_spans", lambda s: chat.unescaped(under(s))), "")
     return turns.select(
         F.col("conv").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),

@@ -99,3 +99,23 @@ def test_awkward_and_empty(spark):
     got = {r["conv"]: [tuple(t) for t in r["turns"]] for r in made.withColumn("turns", chat.read_back(F.col("formatted"))).collect()}
     assert got == {None: [("user", "no key"), ("", "")], 1: [("user", "no turn"), ("a\nb<c&d", "x"), ("a\nb<c&d", "x")], 2: [("assistant", "")]}
     assert chat.format_conversations(chat.as_chain(df.limit(0), conv_col="c", turn_col="t", role_col="r", text_col="x")).count() == 0
+
+
+def test_many_cycles_write_one_row_per_message(spark, monkeypatch):
+    """1,000 reply cycles with a leaf each beside single messages: tables stay as small as the messages."""
+    rows = [(i, i, None, "user", f"t{i}", 0.0) for i in range(1000)]
+    for c in range(1000):
+        conv = 10_000 + c
+        rows += [(conv, 1, 2, "user", "a", 0.0), (conv, 2, 1, "user", "b", 0.0), (conv, 3, 1, "user", "c", 0.0)]
+    df = spark.createDataFrame(rows, "conv long, node long, parent long, role string, text string, score double")
+    given, written = chat.stage, []
+
+    def counted(frame, label="table", **more):
+        made = given(frame, label, **more)
+        written.append(made.count())
+        return made
+
+    monkeypatch.setattr(chat, "stage", counted)
+    made = chat.format_conversations(df).collect()
+    assert sorted(r["conv"] for r in made) == list(range(1000))
+    assert max(written) <= len(rows)

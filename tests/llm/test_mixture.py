@@ -77,3 +77,19 @@ def test_awkward_and_empty(spark):
     assert mixture.mix_sources(empty(spark)).documents.count() == 0
     blank = documents(spark, [None, "", " \n"])
     assert [r["taken"] for r in mixture.mix_sources(blank).documents.collect()] == [0, 0, 0]
+
+
+def test_orders_of_many_blocks(spark):
+    """A permutation of few blocks, and no overflow with far more than fit a product of 64 bits."""
+    from adtally.llm.mixture import permuted
+
+    few = spark.range(5000).select(permuted(F.col("id"), F.lit(5000).cast("long"), 17, F.lit(1), F.lit(0)).alias("b"))
+    assert sorted(r["b"] for r in few.collect()) == list(range(5000))
+    for blocks in (10**12, 9 * 10**18):
+        index = [blocks - 1 - i for i in range(1000)]
+        df = spark.createDataFrame([(i,) for i in index], "i long")
+        rows = df.select(permuted(F.col("i"), F.lit(blocks).cast("long"), 17, F.lit(1), F.lit(3)).alias("b")).collect()
+        got = [r["b"] for r in rows]
+        assert len(set(got)) == 1000 and all(0 <= b < blocks for b in got)
+        steps = {(got[k] - got[k + 1]) % blocks for k in range(999)}
+        assert len(steps) == 1

@@ -27,9 +27,9 @@ from adtally.functions.expressions import add_all
 
 # Values a sketch keeps; with no more rows than that its proposals are exact. Open ranges with no more rows than
 # FINISH_ROWS are read.
-SKETCH_SIZE = 2_000
+SKETCH_SIZE = 4_000
 SKETCH_GROUPS = 64
-FINISH_ROWS = 5_000
+FINISH_ROWS = 30_000
 
 
 def rank_error(size: int) -> float:

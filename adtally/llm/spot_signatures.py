@@ -94,11 +94,11 @@ def with_next_row(df: DataFrame, key: str, order: str, columns: dict[str, str],
     `columns` maps new names to existing ones.
     """
     cuts = [i / CUTS for i in range(CUTS)]
-    number, lows = df.agg(F.count(F.lit(1)), F.percentile_approx(key, cuts, 1000)).first()
+    number, lows, high = df.agg(F.count(F.lit(1)), F.percentile_approx(key, cuts, 1000), F.max(key)).first()
     if not number:
         return df.withColumns({new: F.col(old) for new, old in columns.items()})
     lows = sorted(set(lows or []))
-    steps = [max(1, (hi - lo) * CUTS * range_rows // number) for lo, hi in zip(lows, [*lows[1:], lows[-1] + 1])] if lows else []
+    steps = [max(1, (hi - lo) * CUTS * range_rows // number) for lo, hi in zip(lows, [*lows[1:], (high or 0) + 1])] if lows else []
     part = F.lit(-1).cast("long")
     for place, (low, step) in enumerate(zip(lows, steps)):
         part = F.when(F.col(key) >= low, place * (1 << 40) + F.floor((F.col(key) - low) / step)).otherwise(part)

@@ -69,3 +69,18 @@ def test_awkward_and_empty(spark):
     assert spots.fingerprint_neighbours(df).count() == df.count()
     assert spots.fingerprint_neighbours(empty(spark)).count() == 0
     assert spots.fingerprint_neighbours(documents(spark, ["the one text"])).first()["near_next"] == 1.0
+
+
+def test_ranges_hold_many_ids_up_to_the_last(spark):
+    """The last cut's range step follows the largest id: no range of its own for every id there."""
+    df = spark.range(20_000).select("id", F.col("id").cast("string").alias("t"))
+    made = spots.with_next_row(df, "id", "t", {"next_t": "t"}, range_rows=1000)
+    assert made.filter((F.col("id") < 19_999) & (F.col("next_t") != (F.col("id") + 1).cast("string"))).isEmpty()
+    ranges = []
+    given = spots.stage
+    try:
+        spots.stage = lambda frame, label="table", **more: ranges.append(frame.count()) or given(frame, label, **more)
+        spots.with_next_row(df, "id", "t", {"next_t": "t"}, range_rows=1000).count()
+    finally:
+        spots.stage = given
+    assert ranges and max(ranges) <= 2 * spots.CUTS

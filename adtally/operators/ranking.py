@@ -1,7 +1,7 @@
 """Per-row global ranks.
 
 Two shapes are needed. Average ranks (ties share a rank) use value buckets: approximate boundaries, exact
-bucket counts, and a window inside each bucket. Unique row numbers range-partition the rows by the full
+bucket counts, and a window over (row number, value) pairs inside each bucket. Unique row numbers range-partition the rows by the full
 ordering, write them once, and add each partition's starting offset. Neither ever sorts the table in one task.
 """
 
@@ -22,7 +22,6 @@ ROWS_PER_BUCKET = 20_000
 MIN_BUCKETS = 64
 MAX_BUCKETS = 16_384
 MAX_SKETCH = 16_384
-SALTS = 1_024
 ROWS_PER_TASK = 2_000_000
 
 
@@ -68,10 +67,6 @@ def with_bucket(df: DataFrame, column: Column, buckets: Buckets, output: str) ->
     return numbered.withColumn(output, F.coalesce(F.col(output), F.lit(-1)))
 
 
-def _spread(columns: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id()), F.lit(SALTS)).cast("int")
-
-
 def _bucket_totals(df: DataFrame, columns: Mapping[str, Column], buckets: Mapping[str, Buckets]) -> DataFrame:
     """(name, __bucket, __one_value, __base) of all columns, counted in one pass.
 
@@ -102,30 +97,22 @@ def _bucket_totals(df: DataFrame, columns: Mapping[str, Column], buckets: Mappin
     )
 
 
-def _with_rank(
-    df: DataFrame, column: Column, output: str, buckets: Buckets, totals: DataFrame, as_share: bool
-) -> DataFrame:
-    names = df.columns
-    kept = [F.col(name) for name in names if name != output]
-    bucketed = with_bucket(df.withColumn("__value", column), F.col("__value"), buckets, "__bucket")
-    per_row = F.lit(float(buckets.rows)) if as_share else F.lit(1.0)
-    if totals.filter(~F.col("__one_value")).isEmpty():
-        # Few distinct values: every bucket holds one, its rank is known, and no row has to move.
-        rank = F.when(F.col("__value").isNotNull(), F.col("__base") / per_row)
-        return bucketed.join(F.broadcast(totals), "__bucket").select(*kept, rank.alias(output))
-    joined = bucketed.join(F.broadcast(totals), "__bucket").withColumn(
-        # Rows of a bucket holding one value need no ordering and are spread over many tasks.
-        "__salt", F.when(F.col("__one_value"), _spread(names)).otherwise(F.lit(-1))
-    ).drop("__one_value")
-    tasks = task_count(df, buckets.rows)
-    if tasks > task_count(df, 0):
+def _ranked(numbered: DataFrame, column: Column, buckets: Buckets, totals: DataFrame) -> DataFrame:
+    """(__row, rank) of the rows that have a value: only row numbers and values are ordered."""
+    named = numbered.select("__row", column.alias("__value")).filter(F.col("__value").isNotNull())
+    # One row per bucket is broadcast.
+    bucketed = with_bucket(named, F.col("__value"), buckets, "__bucket").join(F.broadcast(totals), "__bucket")
+    # Rows of a bucket holding one value need no order, however many they are.
+    single = bucketed.filter("__one_value").select("__row", F.col("__base").alias("rank"))
+    rest = bucketed.filter(~F.col("__one_value")).select("__row", "__bucket", "__value", "__base")
+    tasks = task_count(numbered, buckets.rows)
+    if tasks > task_count(numbered, 0):
         # Adaptive execution merges shuffle partitions but never adds any.
-        joined = joined.repartition(tasks, "__bucket", "__salt")
-    inside = Window.partitionBy("__bucket", "__salt").orderBy("__value")
+        rest = rest.repartition(tasks, "__bucket")
+    inside = Window.partitionBy("__bucket").orderBy("__value")
     ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
-    ordered = F.rank().over(inside) + (ties - 1) / F.lit(2.0)
-    rank = (F.col("__base") + F.when(F.col("__salt") == -1, ordered).otherwise(0.0)) / per_row
-    return joined.select(*kept, F.when(F.col("__value").isNotNull(), rank).alias(output))
+    rank = F.col("__base") + F.rank().over(inside) + (ties - 1) / F.lit(2.0)
+    return single.unionByName(rest.select("__row", rank.alias("rank")))
 
 
 def with_average_ranks(
@@ -138,16 +125,40 @@ def with_average_ranks(
     """Ascending rank per column with ties sharing their mean rank, null for null.
 
     The rank is divided by the column's non-null count unless `as_share` is off. Boundaries and bucket counts
-    of all columns come from shared passes over `df`; after them each column costs one shuffle by bucket.
+    of all columns come from shared passes over `df`. Columns of few distinct values are ranked without moving a row.
+    For all others the rows are numbered and written; (row number, value) pairs are ranked, and the ranks of all
+    columns meet the rows in one join by number: whole rows are shuffled once, whatever the number of columns.
     """
     buckets = value_buckets(df, columns, rows_per_bucket=rows_per_bucket)
     # Counted once and read back, so that ranking the next column does not recount the one before.
     totals = stage(_bucket_totals(df, columns, buckets), "buckets")
-    base = df
-    for name, column in columns.items():
-        own = totals.filter(F.col("name") == name).drop("name")
-        base = _with_rank(base, column, name, buckets[name], own, as_share)
-    return base
+    mixed = {row["name"] for row in totals.filter(~F.col("__one_value")).select("name").distinct().collect()}
+    own = {name: totals.filter(F.col("name") == name).drop("name") for name in columns}
+    kept = [name for name in df.columns if name not in columns]
+    shares = {name: F.lit(float(buckets[name].rows)) if as_share else F.lit(1.0) for name in columns}
+    # Values are read before an output may take the place of its column.
+    base = df.withColumns({f"__value{i}": column for i, column in enumerate(columns.values())}).select(*kept, *[f"__value{i}" for i in range(len(columns))])
+    places = {name: i for i, name in enumerate(columns)}
+    if mixed:
+        base = stage(base.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+        parts = [
+            _ranked(base, F.col(f"__value{places[name]}"), buckets[name], own[name]).withColumn("__place", F.lit(places[name])) for name in sorted(mixed)
+        ]
+        pairs = parts[0]
+        for part in parts[1:]:
+            pairs = pairs.unionByName(part)
+        found = pairs.groupBy("__row").agg(
+            *[F.max(F.when(F.col("__place") == places[name], F.col("rank"))).alias(f"__rank{places[name]}") for name in sorted(mixed)]
+        )
+        base = base.join(found, "__row", "left").drop("__row")
+    for name, i in places.items():
+        if name in mixed:
+            continue
+        # Every bucket holds one value, its rank is known, and no row has to move.
+        bucketed = with_bucket(base, F.col(f"__value{i}"), buckets[name], "__bucket").join(F.broadcast(own[name]), "__bucket")
+        rank = F.when(F.col(f"__value{i}").isNotNull(), F.col("__base"))
+        base = bucketed.withColumn(f"__rank{i}", rank).drop("__bucket", "__one_value", "__base")
+    return base.select(*kept, *[(F.col(f"__rank{i}") / shares[name]).alias(name) for name, i in places.items()])
 
 
 def with_row_number(

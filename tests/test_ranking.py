@@ -3,7 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from adtally.operators.ranking import with_average_ranks, with_row_number
+from adtally.operators import ranking
+from adtally.operators.ranking import value_buckets, with_average_ranks, with_bucket, with_row_number
 
 
 def frame(spark, rows=4000):
@@ -33,11 +34,20 @@ def test_average_ranks_match_pandas_with_hot_values_and_nulls(spark, partitions)
     np.testing.assert_allclose(got.b.to_numpy(float), pdf.holes.rank(pct=True).to_numpy())
 
 
-def test_hot_value_is_spread_over_tasks(spark):
-    """The rows sharing one value do not meet in one window group."""
+def test_hot_value_is_in_no_window(spark):
+    """The rows sharing one value do not meet in one window group, and windows hold row numbers and values only."""
     _, df = frame(spark)
-    plan = with_average_ranks(df, {"a": F.col("hot")}, rows_per_bucket=100)._jdf.queryExecution().toString()
-    assert "__salt" in plan and "Exchange SinglePartition" not in plan
+    columns = {"a": F.col("hot")}
+    plan = with_average_ranks(df, columns, rows_per_bucket=100)._jdf.queryExecution().toString()
+    assert "Exchange SinglePartition" not in plan
+    windows = [line for line in plan.split("== Physical Plan ==")[0].splitlines() if "Window [" in line]
+    assert windows and not any("holes" in line or "id#" in line for line in windows)
+    buckets = value_buckets(df, columns, rows_per_bucket=100)
+    totals = ranking._bucket_totals(df, columns, buckets)
+    counted = with_bucket(df.filter("hot is not null"), F.col("hot"), buckets["a"], "__bucket").groupBy("__bucket").count()
+    both = counted.join(totals, "__bucket")
+    assert both.filter("not __one_value").agg(F.max("count")).first()[0] < 400
+    assert both.filter("__one_value").agg(F.max("count")).first()[0] > 1000
 
 
 @pytest.mark.parametrize("partitions", [1, 7])

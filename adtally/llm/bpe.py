@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from adtally.llm.common import chunks_by_size
 
 NEVER = 1 << 60
-CACHED_WORDS = 150_000
+CACHED_WORDS = 75_000
 CACHED_LENGTH = 48
 ENCODED_CHARS = 500_000  # characters of one output batch
 DECODED_ROWS = 200
@@ -211,6 +211,10 @@ class WordBpe:
             packed = self._plain(text)
         return np.frombuffer(packed, dtype=np.int32)
 
+    def forget(self) -> None:
+        """Worker processes outlive their tasks: the older half of what is remembered goes."""
+        self.words.old, self.runs.old = {}, {}
+
     def _plain(self, text: str) -> bytes:
         """Words never span white space, so whole runs between white space are remembered too."""
         if len(self.pairs) > 4 * CACHED_WORDS:
@@ -255,6 +259,7 @@ def encode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                 np.cumsum([len(x) for x in found], out=offsets[1:])
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), ids], ["key", "ids"])
+        bpe.forget()
 
     key_type = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, text_col).mapInArrow(run, f"key {key_type}, ids array<int>")

@@ -170,10 +170,17 @@ def test_candidates_with_other_labels_do_not_share_a_table(spark, log):
     assert {"validation_roc_auc", "model_params", "is_best"} <= set(rows[0].asDict())
 
 
-def test_training_columns_without_values_are_refused(spark, log, monkeypatch):
+def test_training_columns_without_values_are_refused(spark, log):
     empty = log.withColumn("has_prev_click", F.lit(None).cast("int"))
     with pytest.raises(ValueError, match="without any value.*has_prev_click"):
         models.fit_logistic(empty, Features(numeric=("has_prev_click",), categorical=()), "click")
-    monkeypatch.setattr(models, "MAX_CATEGORIES", 3)
-    with pytest.raises(ValueError, match="too many categories.*campaign"):
-        models.fit_logistic(log, Features(numeric=(), categorical=("campaign",)), "click")
+    empty = log.withColumn("campaign", F.lit(None).cast("long"))
+    with pytest.raises(ValueError, match="without any value.*campaign"):
+        models.fit_logistic(empty, Features(numeric=(), categorical=("campaign",)), "click")
+
+
+def test_no_number_of_categories_is_refused(spark, log):
+    """Every row a category of its own: fitted by the iterative solver, scored by the joined codes."""
+    wide = log.withColumn("own", F.col("timestamp") + F.col("uid"))
+    model = models.fit_logistic(wide, Features(numeric=("cost",), categorical=("own",)), "click", max_iter=5)
+    assert models.with_prediction(model, wide, "p").filter("p > 0 and p < 1").count() == wide.count() > 300

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adtally.sources.staging import release, stage
+from adtally.sources.staging import stage
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 TRAINED = "assistant"
@@ -70,20 +70,20 @@ def sums_to_root(messages: DataFrame, longest: int) -> DataFrame:
     first = messages.select("conv_key", "node", "parent", "score").join(known, ["conv_key", "parent"], "left")
     above = F.when(F.col("is_known"), F.col("parent")).alias("above")
     reach = stage(first.select("conv_key", "node", above, F.col("score").alias("path_score"), F.lit(1).cast("long").alias("depth")), "reach")
-    span = 1
-    while span <= longest and not reach.filter("above is not null").isEmpty():
-        further = reach.select(
+    # Only messages still on their way are joined; those that have arrived are looked up.
+    arrived, on_way, span = reach.filter("above is null"), reach.filter("above is not null"), 1
+    while span <= longest and not on_way.isEmpty():
+        further = arrived.unionByName(on_way).select(
             "conv_key", F.col("node").alias("above"), F.col("above").alias("top"), F.col("path_score").alias("more"), F.col("depth").alias("steps")
         )
-        later = reach.join(further, ["conv_key", "above"], "left").select(
-            "conv_key", "node", F.col("top").alias("above"), (F.col("path_score") + F.coalesce("more", F.lit(0.0))).alias("path_score"),
-            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth"),
+        later = on_way.join(further, ["conv_key", "above"]).select(
+            "conv_key", "node", F.col("top").alias("above"), (F.col("path_score") + F.col("more")).alias("path_score"),
+            (F.col("depth") + F.col("steps")).alias("depth"),
         )
         later = stage(later, "reach")
-        release(reach)
-        reach = later
+        arrived, on_way = arrived.unionByName(later.filter("above is null")), later.filter("above is not null")
         span *= 2
-    return reach.filter("above is null").select("conv_key", "node", "path_score", "depth")
+    return arrived.select("conv_key", "node", "path_score", "depth")
 
 
 def _leaves(messages: DataFrame) -> DataFrame:

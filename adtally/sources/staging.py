@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
 _caches: list[dict] = []
 _scopes: list[list[str]] = []
 
@@ -28,21 +27,30 @@ def staged_cache() -> dict:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables; a temporary one only in local mode with nothing configured."""
+    """The folder for intermediate tables, under `spark.checkpoint.dir`.
+
+    Where nothing is configured, a local session gets a checkpoint folder of its own beside its warehouse.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     configured = configured or context.getCheckpointDir()
-    if configured:
-        if configured.startswith("file:") and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must be a folder every executor can reach, not a local one")
-        return f"{configured.rstrip('/')}/adtally-{context.applicationId}"
-    if not context.master.startswith("local"):
+    local = context.master.startswith("local")
+    if not configured and local:
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+        configured = context.getCheckpointDir()
+        _remove_at_exit(configured)
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_folders:
-        folder = tempfile.mkdtemp(prefix="adtally-")
-        _local_folders[context.applicationId] = folder
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return _local_folders[context.applicationId]
+    if configured.startswith("file:") and not local:
+        raise RuntimeError("spark.checkpoint.dir must be a folder every executor can reach, not a local one")
+    return f"{configured.rstrip('/')}/adtally-{context.applicationId}"
+
+
+def _remove_at_exit(folder: str) -> None:
+    """A checkpoint folder that this process made goes with it."""
+    path = urlparse(folder)
+    if path.scheme in ("", "file"):
+        atexit.register(shutil.rmtree, path.path, ignore_errors=True)
 
 
 def stage(df: DataFrame, label: str = "table", *, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -134,7 +134,7 @@ def test_linear_model_recovers_the_known_effect(spark):
 
 def test_a_run_with_a_folder_leaves_no_intermediate_tables(spark, log, tmp_path):
     with staging.staging_scope(spark):
-        folder = staging.shared_folder(spark)
+        folder = staging.shared_folder(spark).removeprefix("file:")
         before = set(os.listdir(folder))
         reports = jobs.run_click_model(log, jobs.ClickJob(features=SMALL), folder=str(tmp_path), run_name="ctr")
         assert set(os.listdir(folder)) == before

@@ -54,7 +54,7 @@ def test_calibration_drift_run(spark, log):
     reports = jobs.run_calibration_drift(log, jobs.ClickJob(features=SMALL), bins=5)
     row = reports["calibration_drift"].first()
     assert row.bins == 5 and reports["calibration_drift_bins"].count() == 5
-    with pytest.raises(ValueError, match="non-empty validation"):
+    with pytest.raises(ValueError, match="no validation rows"):
         jobs.run_calibration_drift(log, jobs.ClickJob(features=SMALL, validation_fraction=0.0))
 
 

@@ -118,6 +118,20 @@ def test_query(spark, folder):
             assert row[f"n_{kind}"] == sum(s.startswith(f"{kind}:") for s in spans)
 
 
+def test_the_query_counts_base_spans_only(spark, tagger, tmp_path, monkeypatch):
+    texts = ["of 1 (512) 555-1234 er", "of and 999.12.3.21 er", "of heerth abcdef.12@mail3 example.com er", "of 27.109.211.155 the ip: card:", None]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(pii, "learn", lambda docs: tagger)
+    rows = op3_personal_data(spark, str(tmp_path)).collect()
+    added = 0
+    for row in rows:
+        base = brute(texts[row["doc_id"]] or "")
+        added += row["spans"].count(":") // 2 - len(base)
+        assert [row[f"n_{kind}"] for kind in pii.KINDS] == [sum(b[0] == kind for b in base) for kind in pii.KINDS]
+        assert row["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+    assert len(rows) == len(texts) and added >= 3
+
+
 def test_awkward_and_empty(spark):
     df = awkward(spark)
     assert pii.find(df, pii.learn(df)).count() == df.count()

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import SPACES, WORD
+from adtally.llm.common import SPACES
 from adtally.sources.staging import release, stage
 
 MIN_DOCS = 10
@@ -46,20 +46,31 @@ ANY = "<*>"
 MAX_BROADCAST_SPOTS = 400_000  # of 48 bytes each; beyond that both sides are partitioned by document
 
 
-def _words(line: Column) -> Column:
-    """The words of a line, those with digits masked; a blank line has one empty word."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, f"[^{SPACES}0-9]*[0-9][^{SPACES}]*", ANY)).otherwise(line)
-    return F.split(F.btrim(masked, F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
+def _masked(line: Column) -> Column:
+    """A line whose words with digits are masked. Anchored at the words' first letters, a word without digits is read once."""
+    word = f"(?<![^{SPACES}])[^{SPACES}0-9]*+[0-9][^{SPACES}]*+"
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, word, ANY)).otherwise(line)
+
+
+def _split(text: Column) -> Column:
+    """The words of a text. Where only spaces and line breaks part them, they need no pattern."""
+    plain = F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+    spaced = F.array_remove(F.split(text, f"[{SPACES}]+"), "")
+    return F.when(text.rlike("[\\x09\\x0B-\\x0D]"), spaced).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line that is not blank: id, version (hash of the text), place, and its words."""
-    each = docs.select("line_doc", "line_version", F.posexplode(F.split("line_text", "\n")).alias("place", "line"))
-    each = each.filter(F.col("line").rlike(WORD)).withColumn("words", _words(F.col("line")))
-    leaf = F.xxhash64(F.size("words"), F.slice("words", 1, LEADING))
-    return each.select(
-        "line_doc", "line_version", "place", leaf.alias("leaf"), F.xxhash64("words").alias("body"), F.size("words").alias("size"), "words"
-    )
+    """One row per line that is not blank: id, version (hash of the text), place, and hashes and number of its words."""
+    # White space but line breaks becomes spaces; words are then parted by one space each, and a line's text stands for them.
+    text, others = F.col("line_text"), "\t\x0b\x0c\r"
+    text = F.when(text.rlike("[\\x09\\x0B-\\x0D]"), F.translate(text, others, " " * len(others))).otherwise(text)
+    each = docs.select("line_doc", "line_version", F.posexplode(F.split(text, "\n")).alias("place", "line"))
+    each = each.filter(F.trim("line") != "").withColumn("line", F.trim(_masked(F.col("line"))))
+    single = F.when(F.contains("line", F.lit("  ")), F.regexp_replace("line", " +", " ")).otherwise(F.col("line"))
+    each = each.withColumn("line", single)
+    each = each.withColumn("size", 1 + F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))))
+    leaf = F.xxhash64("size", F.substring_index("line", " ", LEADING))
+    return each.select("line_doc", "line_version", "place", leaf.alias("leaf"), F.xxhash64("line").alias("body"), "size")
 
 
 def _needed(size: Column, min_docs: int | None) -> Column:
@@ -72,14 +83,17 @@ def _needed(size: Column, min_docs: int | None) -> Column:
     return needed
 
 
+def _hashed_runs(hashes: Column) -> Column:
+    """The hash of the run at every place of some words' hashes; fewer words are one run."""
+    run = lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, RUN)])
+    return F.slice(F.transform(hashes, run), 1, F.greatest(F.size(hashes) - (RUN - 1), F.lit(1)))
+
+
 def _runs(words: Column) -> Column:
     """The distinct hashes of the runs among some words; fewer words are one run."""
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    starts = lambda h: F.sequence(F.lit(0), F.greatest(F.size(h) - RUN, F.lit(0)))
-    run = lambda h, i: F.xxhash64(*[F.get(h, i + k) for k in range(RUN)])
     # Bound as a lambda's variable, the words are hashed once.
-    runs = F.transform(F.array(hashes), lambda h: F.transform(starts(h), lambda i: run(h, i)))
-    return F.array_distinct(F.get(runs, F.lit(0)))
+    return F.array_distinct(F.get(F.transform(F.array(hashes), _hashed_runs), F.lit(0)))
 
 
 def _read_spots(docs: DataFrame, spots: DataFrame, payload: list[str]) -> DataFrame:
@@ -100,14 +114,12 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     """
     spots = texts.withColumnRenamed("line_doc", "spot_doc")
     read = _read_spots(docs, spots, ["leaf", "template", "size", "body", "place"])
-    every = F.split(F.btrim("line_text", F.lit(" \t\n\x0b\x0c\r")), f"[{SPACES}]+")
     rows = F.split("line_text", "\n")
-    read = read.select("line_version", "spot_doc", rows.alias("rows"), "spots", _runs(every).alias("runs"))
+    read = read.select("line_version", "spot_doc", rows.alias("rows"), "spots", _runs(_split(F.col("line_text"))).alias("runs"))
     least = F.slice(F.sort_array("runs"), 1, SKETCH).alias("s")
     read = read.select("line_version", "spot_doc", "rows", "spots", F.size("runs").alias("n"), least)
     # The smallest runs outside the line: of the sketch enough is left where the line is not most of the text.
-    own_words = lambda x: F.split(F.btrim(F.get(F.col("rows"), x["place"]), F.lit(" \t\x0b\x0c\r")), f"[{SPACES}]+")
-    keys = lambda x: F.slice(F.array_except("s", _runs(own_words(x))), 1, KEYS)
+    keys = lambda x: F.slice(F.array_except("s", _runs(_split(F.get(F.col("rows"), x["place"])))), 1, KEYS)
     keyed = F.transform("spots", lambda x: F.struct(x["leaf"], x["template"], x["size"], x["body"], keys(x).alias("keys")))
     read = read.select("line_version", "spot_doc", "n", "s", keyed.alias("spots"))
     read = stage(read, "sketches")
@@ -154,23 +166,27 @@ def _one_of_each(docs: DataFrame, bodies: DataFrame) -> DataFrame:
     """Rows (leaf, body, texts, size, words) of some bodies, the words read where a line is first found."""
     payload = ["leaf", "body", "texts", "size", "place"]
     met = _read_spots(docs, bodies, payload).select("line_text", F.explode("spots").alias("x"))
-    words = _words(F.get(F.split("line_text", "\n"), F.col("x.place")))
-    return met.select("x.leaf", "x.body", "x.texts", "x.size", words.alias("words"))
+    met = met.select("x.leaf", "x.body", "x.texts", "x.size", _masked(F.get(F.split("line_text", "\n"), F.col("x.place"))).alias("line"))
+    return met.select("leaf", "body", "texts", "size", _split(F.col("line")).alias("words"))
 
 
 def _marked(rows: DataFrame, needed: Column) -> DataFrame:
     """Lines with their places marked: the words (at, word) that rule their place, and those enough texts have there."""
     words = rows.select("leaf", "body", "texts", "size", F.posexplode("words").alias("at", "word"))
     words = words.filter(F.col("at") >= LEADING)
-    votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"))
+    votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"), F.min("size").alias("size"))
     ruling = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
     rules = (F.col("word") == F.col("top.word")) & (F.col("votes") >= COMMON * F.col("all"))
-    marks = votes.join(ruling, ["leaf", "at"]).select("leaf", "at", "word", "votes", rules.alias("rules"))
-    constant, often = F.col("word") != ANY, F.col("votes") >= needed
-    return words.join(marks, ["leaf", "at", "word"]).groupBy("leaf", "body", "texts", "size").agg(
-        F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & constant).alias("constants"),
-        F.count_if(often).alias("often"), F.count_if(often & constant).alias("often_constants"),
-        F.xxhash64(F.sort_array(F.collect_list(F.when(often, F.struct("at", "word"))))).alias("form"),
+    # A place and its word go as one hash.
+    mark, constant, often = F.xxhash64("leaf", "at", "word").alias("mark"), F.col("word") != ANY, F.col("votes") >= needed
+    marks = votes.join(ruling, ["leaf", "at"]).select(mark, constant.alias("constant"), rules.alias("rules"), often.alias("often"))
+    # Lines whose words neither rule nor stand often have no template.
+    marks = marks.filter("rules or often")
+    return words.select("leaf", "body", "texts", "size", mark).join(marks, "mark").groupBy("leaf", "body", "texts", "size").agg(
+        F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & F.col("constant")).alias("constants"),
+        F.count_if("often").alias("often"), F.count_if(F.col("often") & F.col("constant")).alias("often_constants"),
+        # The marks of a line differ, so their sum in bits does not depend on their order.
+        F.xxhash64(F.bit_xor(F.when(F.col("often"), F.col("mark"))), F.count_if("often")).alias("form"),
     )
 
 
@@ -197,15 +213,15 @@ def _templates(seen: DataFrame, min_docs: int | None) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
-    lines = stage(_lines(docs).drop("words"), "lines")
-    holders = lines.groupBy("leaf", "body", "line_version").agg(
-        F.min(F.struct("line_doc", "place")).alias("spot"), F.min("size").alias("size")
-    )
-    holders = stage(holders.select("leaf", "body", "line_version", "size", "spot.line_doc", "spot.place"), "holders")
-    spot = F.min(F.struct("line_version", "line_doc", "place")).alias("spot")
-    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size"), spot)
-    bodies = bodies.select("leaf", "body", "texts", "size", "spot.line_version", F.col("spot.line_doc").alias("spot_doc"), "spot.place")
-    bodies = stage(bodies, "bodies")
+    lines = stage(_lines(docs), "lines")
+    # Equal texts have a line at equal places. A null id comes first.
+    least = F.when(~F.bool_or(F.col("line_doc").isNull()), F.min("line_doc")).alias("line_doc")
+    holders = lines.groupBy("leaf", "body", "line_version").agg(F.min("size").alias("size"), least, F.min("place").alias("place"))
+    holders = stage(holders, "holders")
+    # Any one text shows the words of a body: the first that is met.
+    spot = [F.first(c).alias(c) for c in ("line_version", "line_doc", "place")]
+    bodies = holders.groupBy("leaf", "body").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size"), *spot)
+    bodies = stage(bodies.withColumnRenamed("line_doc", "spot_doc"), "bodies")
     # Leaves with several different lines and enough of them for a template.
     leaves = bodies.groupBy("leaf").agg(
         F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"), F.min("size").alias("size")
@@ -217,16 +233,20 @@ def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[Da
     member = _templates(seen, min_docs)
     # Lines without a template are their own.
     named = holders.join(member, ["leaf", "body"], "left").withColumn("template", F.coalesce("template", "body"))
-    texts = named.groupBy("leaf", "template", "line_version").agg(
+    named = stage(named.drop("texts"), "named")
+    # Lines of one template in one text count once.
+    counted = named.groupBy("leaf", "template", "line_version").agg(F.min("size").alias("size"))
+    counted = counted.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("texts"), F.min("size").alias("size")).filter(enough)
+    counted = stage(counted, "counted")
+    held = named.join(counted.select("leaf", "template"), ["leaf", "template"], "left_semi")
+    held = held.groupBy("leaf", "template", "line_version").agg(
         F.min(F.struct("line_doc", "place", "body")).alias("spot"), F.min("size").alias("size")
     )
-    texts = texts.select("leaf", "template", "line_version", "size", "spot.line_doc", "spot.place", "spot.body")
-    groups = texts.groupBy("leaf", "template").agg(
-        F.count(F.lit(1)).alias("texts"), F.min(F.struct("line_doc", "line_version")).alias("first"), F.min("size").alias("size")
-    )
-    groups = stage(groups.filter(enough), "groups")
+    held = stage(held.select("leaf", "template", "line_version", "size", "spot.line_doc", "spot.place", "spot.body"), "held")
+    firsts = held.groupBy("leaf", "template").agg(F.min(F.struct("line_doc", "line_version")).alias("first"))
+    groups = stage(counted.join(firsts, ["leaf", "template"]), "groups")
+    release(named)
     if min_docs is None:
-        held = stage(texts.join(groups.select("leaf", "template"), ["leaf", "template"], "left_semi"), "held")
         unlike = _unlike_texts(docs, held, seen).withColumnRenamed("unlike", "texts")
         groups = groups.drop("texts").join(unlike, ["leaf", "template"]).filter(enough)
     groups = groups.select("leaf", "template", "first")

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from adtally.llm import line_templates
 from tests.llm.helpers import awkward, documents, empty
 
@@ -183,3 +185,41 @@ def test_no_column_name_clashes(spark):
     rows = more.collect()
     assert {(r["doc_id"], r["text"], r["n_dropped"]) for r in rows} == plain
     assert {r[name] for r in rows for name in names[:-1]} == {"x"}
+
+
+def test_lines_of_equal_words_are_one(spark):
+    """White space of every kind parts words; a word with a digit is masked as a whole, whatever stands beside it."""
+    ways = ["the ab1cd words of one line", "  the\tab1cd words  of one line ", "the x9 words\x0bof \x0cone line\r", "the 7z-words words of one line"]
+    one = line_templates._lines(_given(documents(spark, ["\n".join(["", " \t", *ways]), None, ""]))).collect()
+    assert sorted((r["place"], r["size"]) for r in one) == [(i + 2, 6) for i in range(4)]
+    assert len({(r["leaf"], r["body"]) for r in one}) == 1
+    words = line_templates._split(line_templates._masked(F.col("line")))
+    split = spark.createDataFrame([(w,) for w in ways], "line string").select(words.alias("words")).collect()
+    assert {tuple(r["words"]) for r in split} == {("the", "<*>", "words", "of", "one", "line")}
+
+
+def test_runs_are_hashes_of_five_words(spark):
+    for text in ("a", "a b c d", "a b c d e", "a b c d e f a b c d e g"):
+        words = text.split()
+        expected = [" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))]
+        row = spark.createDataFrame([(words, [e.split() for e in dict.fromkeys(expected)])], "w array<string>, r array<array<string>>")
+        hashed = F.transform("r", lambda run: F.xxhash64(F.transform(run, lambda w: F.xxhash64(w))))
+        got, want = row.select(line_templates._runs(F.col("w")), hashed).first()
+        assert got == want, text
+
+
+def test_line_steps_need_few_sorts(spark):
+    """The pass over all lines and the votes aggregate by hash; before, three of them sorted every line."""
+    docs = _given(documents(spark, made()))
+    kept, plans = line_templates.stage, {}
+    try:
+        line_templates.stage = lambda df, label="table", **more: plans.setdefault(label, df._jdf.queryExecution().sparkPlan().toString()) and kept(df, label, **more)
+        line_templates.recurring_lines(docs)
+    finally:
+        line_templates.stage = kept
+    assert not [name for name in ("holders", "bodies", "counted") if "SortAggregate" in plans[name]]
+    assert "ObjectHashAggregate" not in plans["agreeing"]
+
+
+def _given(docs):
+    return docs.select(F.col("doc_id").alias("line_doc"), F.xxhash64("text").alias("line_version"), F.col("text").alias("line_text"))

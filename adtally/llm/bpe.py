@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from adtally.llm.common import chunks_by_size
+from adtally.llm.common import BATCH_ROWS, chunks_by_size, give_back
 
 NEVER = 1 << 60
 CACHED_WORDS = 150_000
@@ -199,6 +199,13 @@ class WordBpe:
         ids.reverse()
         return ids
 
+    def forget(self) -> None:
+        """At the end of a task: what is remembered goes, since the worker process waits on through other operators."""
+        for words in (self.words, self.runs):
+            words.clear()
+            words.old.clear()
+        self.pairs.clear()
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
         if self.special_pattern and any(name in text for name in self.special):
@@ -248,13 +255,17 @@ def encode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, end in chunks_by_size(texts, ENCODED_CHARS):
-                found = [bpe.encode(t) for t in texts[start:end]]
-                offsets = np.zeros(len(found) + 1, dtype=np.int32)
-                np.cumsum([len(x) for x in found], out=offsets[1:])
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), ids], ["key", "ids"])
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(begin, BATCH_ROWS)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for start, end in chunks_by_size(texts, ENCODED_CHARS):
+                    found = [bpe.encode(t) for t in texts[start:end]]
+                    offsets = np.zeros(len(found) + 1, dtype=np.int32)
+                    np.cumsum([len(x) for x in found], out=offsets[1:])
+                    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                    yield pa.RecordBatch.from_arrays([part.column(0).slice(start, end - start), ids], ["key", "ids"])
+        bpe.forget()
+        give_back()
 
     key_type = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, text_col).mapInArrow(run, f"key {key_type}, ids array<int>")
@@ -271,6 +282,7 @@ def decode(df: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "
                 part = batch.slice(start, DECODED_ROWS)
                 text = pc.fill_null(decode_ids(part.column(1), names), "")
                 yield pa.RecordBatch.from_arrays([*part.columns, text], ["key", "ids", "decoded"])
+        give_back()
 
     key_type = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, ids_col).mapInArrow(run, f"key {key_type}, ids array<int>, decoded string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -15,6 +16,7 @@ WORD = f"[^{SPACES}]+"
 
 # Rows of one output batch are cut so that their texts stay below this many characters.
 BATCH_CHARS = 1_000_000
+BATCH_ROWS = 1_000  # texts held as Python strings at a time
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +69,14 @@ def mix64(values: np.ndarray) -> np.ndarray:
 ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
 
 
+def give_back() -> None:
+    """At the end of a task: memory that Arrow and the C library keep goes back, as the worker process waits on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_texts(
     df: DataFrame, *, keep: Sequence[str], text_col: str, outputs: dict[str, str],
     compute: Callable[[list[str]], dict[str, Sequence]], limit: int = BATCH_CHARS,
@@ -78,12 +88,15 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for start, end in chunks_by_size(texts, limit):
-                found = compute(texts[start:end])
-                kept = [batch.column(i).slice(start, end - start) for i in range(len(keep))]
-                made = [pa.array(found[name], type=ARROW[kind]) for name, kind in outputs.items()]
-                yield pa.RecordBatch.from_arrays([*kept, *made], names=[f"c{i}" for i in range(len(kept) + len(made))])
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(begin, BATCH_ROWS)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                for start, end in chunks_by_size(texts, limit):
+                    found = compute(texts[start:end])
+                    kept = [part.column(i).slice(start, end - start) for i in range(len(keep))]
+                    made = [pa.array(found[name], type=ARROW[kind]) for name, kind in outputs.items()]
+                    yield pa.RecordBatch.from_arrays([*kept, *made], names=[f"c{i}" for i in range(len(kept) + len(made))])
+        give_back()
 
     kinds = [*(df.schema[name].dataType.simpleString() for name in keep), *outputs.values()]
     inner = df.select(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)])

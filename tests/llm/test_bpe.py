@@ -4,12 +4,13 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from adtally.llm import bpe
 from adtally.llm.queries import op1_bpe
-from tests.llm.helpers import awkward, empty
+from tests.llm.helpers import awkward, documents, empty
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -70,3 +71,17 @@ def test_query(spark, folder, library):
         assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         text = library.decode(ids, skip_special_tokens=False)
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_workers_remember_nothing_after_a_task(spark):
+    """A worker process waits on through other operators; its remembered words would stand beside theirs."""
+    texts = documents(spark, [f"some words {w} of text {i}" for i, w in enumerate("abcdefghijkl")])
+    bpe.encode(texts.repartition(4), PATH).collect()
+
+    def known(batches):
+        for _ in batches:
+            own = bpe.vocabulary(PATH)
+            yield pa.RecordBatch.from_pydict({"n": [len(own.words) + len(own.runs) + len(own.pairs)]})
+
+    rows = spark.range(0, 8, 1, 4).mapInArrow(known, "n long").collect()
+    assert len(rows) >= 4 and not any(r["n"] for r in rows)

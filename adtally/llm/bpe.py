@@ -246,7 +246,9 @@ def decode_ids(ids: pa.ListArray, names: pa.Array) -> pa.Array:
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> WordBpe:
     """One per worker process."""
-    return WordBpe(path)
+    made = WordBpe(path)
+    give_back()  # what reading the file left
+    return made
 
 
 def encode(df: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adtally.llm.common import chunks_by_size, map_texts, mix64
+from adtally.llm.common import chunks_by_size, give_back, map_texts, mix64
 from adtally.llm.rolling import Words
 from adtally.sources.staging import release, stage
 
@@ -143,6 +143,7 @@ def count_tokens(texts: DataFrame, buckets: int) -> DataFrame:
                     parts.setdefault(b, [b"", b"", b""])[1:] = [x, n]
                 columns = [pa.array(list(parts), pa.int32()), *(pa.array([p[i] for p in parts.values()], pa.binary()) for i in range(3))]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "ones", "many", "counts"])
+        give_back()
 
     def add(table: pa.Table) -> pa.Table:
         read = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), np.uint32)
@@ -252,6 +253,7 @@ def shared_keys(texts: DataFrame, order: Order) -> DataFrame:
                 kinds = (pa.int32(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary())
                 columns = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "single", "is_long", "keys", "nodes"])
+        give_back()
 
     def gather(table: pa.Table) -> pa.Table:
         long = table.column("is_long").to_numpy()
@@ -320,6 +322,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 inside = int((y[place] == x).sum())
                 good.append(OF * inside >= NEED * (len(x) + len(y) - inside))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        give_back()
 
     return both.mapInArrow(compare, "node long, hub long")
 

@@ -14,7 +14,7 @@ lines of under 10 words, 5 from 10 words, 3 from 20 and 2 from 50 (`NEEDED`). A
 
 Copies of one text count once, exact or edited, whatever their number: they are for the near-duplicate stage.
 A text of a group is a copy if it shares half of what both hold besides the line, by runs of `RUN` words, with an
-earlier text of the group. Texts meet by their `KEYS` smallest hashes of runs outside the line; each is compared with the
+earlier text of the group. As only earlier texts matter, a group is settled once its first texts hold enough that are no copies. Texts meet by their `KEYS` smallest hashes of runs outside the line; each is compared with the
 first text of every key, by the `SKETCH` smallest hashes of either. The compared share is an estimate with a standard error of at
 most 0.5 / sqrt(SKETCH), some 0.045. With a given `min_docs` texts count as they are.
 
@@ -25,7 +25,10 @@ inside one struct, so their names cannot clash; a column named `n_dropped` is re
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.common import SPACES
@@ -36,12 +39,13 @@ NEEDED = ((50, 2), (20, 3), (10, 5))  # from so many words on, so many texts are
 RUN = 5
 SKETCH = 128
 KEYS = 16
+FIRST = 2  # times the texts needed: so many first texts of a group are compared before all of them
 SAME = 0.5  # share of common runs from which two texts are copies of each other
 LEADING = 3
-COMMON = 0.5  # share of a leaf's lines that makes a place's word part of the template
+COMMON = 0.5  # share of a leaf's lines that makes a place's word part of the template, one half at least
 AGREE = 0.6  # share of places after the leading ones in which a line must agree with it
 ANY = "<*>"
-
+OTHERS = "\t\x0b\x0c\r"  # white space besides spaces and line breaks
 
 MAX_BROADCAST_SPOTS = 400_000  # of 48 bytes each; beyond that both sides are partitioned by document
 
@@ -52,18 +56,23 @@ def _masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, word, ANY)).otherwise(line)
 
 
+def _holds_any(text: Column, parts: str) -> Column:
+    """Whether a text holds one of some characters; a search for each is faster than a pattern."""
+    return reduce(or_, [F.contains(text, F.lit(part)) for part in parts])
+
+
 def _split(text: Column) -> Column:
     """The words of a text. Where only spaces and line breaks part them, they need no pattern."""
     plain = F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
     spaced = F.array_remove(F.split(text, f"[{SPACES}]+"), "")
-    return F.when(text.rlike("[\\x09\\x0B-\\x0D]"), spaced).otherwise(plain)
+    return F.when(_holds_any(text, OTHERS), spaced).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: id, version (hash of the text), place, and hashes and number of its words."""
     # White space but line breaks becomes spaces; words are then parted by one space each, and a line's text stands for them.
-    text, others = F.col("line_text"), "\t\x0b\x0c\r"
-    text = F.when(text.rlike("[\\x09\\x0B-\\x0D]"), F.translate(text, others, " " * len(others))).otherwise(text)
+    text = F.col("line_text")
+    text = F.when(_holds_any(text, OTHERS), F.translate(text, OTHERS, " " * len(OTHERS))).otherwise(text)
     each = docs.select("line_doc", "line_version", F.posexplode(F.split(text, "\n")).alias("place", "line"))
     each = each.filter(F.trim("line") != "").withColumn("line", F.trim(_masked(F.col("line"))))
     single = F.when(F.contains("line", F.lit("  ")), F.regexp_replace("line", " +", " ")).otherwise(F.col("line"))
@@ -83,6 +92,16 @@ def _needed(size: Column, min_docs: int | None) -> Column:
     return needed
 
 
+def _crowded(lines: DataFrame, min_docs: int | None) -> DataFrame:
+    """The lines of leaves with as many lines as a template needs texts: no others can be dropped."""
+    leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.min("size").alias("size"))
+    leaves = stage(leaves.filter(F.col("rows") >= _needed(F.col("size"), min_docs)).select("leaf"), "crowded")
+    few = F.broadcast(leaves) if leaves.count() <= MAX_BROADCAST_SPOTS else leaves
+    crowded = stage(lines.join(few, "leaf", "left_semi").select(*lines.columns), "lines")
+    release(lines, leaves)
+    return crowded
+
+
 def _hashed_runs(hashes: Column) -> Column:
     """The hash of the run at every place of some words' hashes; fewer words are one run."""
     run = lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, RUN)])
@@ -97,33 +116,41 @@ def _runs(words: Column) -> Column:
 
 
 def _read_spots(docs: DataFrame, spots: DataFrame, payload: list[str]) -> DataFrame:
-    """The documents that hold some spots (line_version, spot_doc, and the columns of `payload`), with their spots."""
+    """The documents that hold some spots (line_version, spot_doc, and the columns of `payload`), with their spots.
+
+    Repeated rows are all returned.
+    """
     wanted = spots.groupBy("line_version", "spot_doc").agg(F.collect_list(F.struct(*payload)).alias("spots"))
     wanted = wanted.withColumnsRenamed({"line_version": "spot_version"})
     wanted = F.broadcast(wanted) if spots.count() <= MAX_BROADCAST_SPOTS else wanted
     same = (docs["line_version"] == wanted["spot_version"]) & docs["line_doc"].eqNullSafe(wanted["spot_doc"])
-    # Repeated rows would read a spot twice.
-    return docs.join(wanted, same).dropDuplicates(["line_version", "spot_doc"])
+    return docs.join(wanted, same)
 
 
 def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFrame:
-    """The number of texts of each group (leaf, template) that are no copies of an earlier one: `unlike`.
+    """The number of texts of each group (leaf, template, size) that are no copies of an earlier one: `unlike`.
 
     `texts` has a row (leaf, template, size, body, line_version, line_doc, place) per text, `seen` the words of bodies that
     differ inside a template.
     """
     spots = texts.withColumnRenamed("line_doc", "spot_doc")
     read = _read_spots(docs, spots, ["leaf", "template", "size", "body", "place"])
-    rows = F.split("line_text", "\n")
-    read = read.select("line_version", "spot_doc", rows.alias("rows"), "spots", _runs(_split(F.col("line_text"))).alias("runs"))
+    read = read.select("line_version", "spot_doc", "line_text", "spots", _runs(_split(F.col("line_text"))).alias("runs"))
     least = F.slice(F.sort_array("runs"), 1, SKETCH).alias("s")
-    read = read.select("line_version", "spot_doc", "rows", "spots", F.size("runs").alias("n"), least)
+    read = read.select("line_version", "spot_doc", "line_text", "spots", F.size("runs").alias("n"), least)
     # The smallest runs outside the line: of the sketch enough is left where the line is not most of the text.
-    keys = lambda x: F.slice(F.array_except("s", _runs(_split(F.get(F.col("rows"), x["place"])))), 1, KEYS)
-    keyed = F.transform("spots", lambda x: F.struct(x["leaf"], x["template"], x["size"], x["body"], keys(x).alias("keys")))
+    keys = lambda line: F.slice(F.array_except("s", _runs(_split(line))), 1, KEYS)
+    keyed_spot = lambda x, rows: F.struct(
+        x["leaf"], x["template"], x["size"], x["body"], keys(F.get(rows, x["place"])).alias("keys")
+    )
+    # Bound as a lambda's variable, the text is split into lines once.
+    rows = F.array(F.split("line_text", "\n"))
+    keyed = F.get(F.transform(rows, lambda r: F.transform("spots", lambda x: keyed_spot(x, r))), F.lit(0))
     read = read.select("line_version", "spot_doc", "n", "s", keyed.alias("spots"))
-    read = stage(read, "sketches")
-    sketches = read.select("line_version", "n", "s").dropDuplicates(["line_version"])
+    # Repeated rows were read as often; their sketches are shorter than their texts.
+    read = stage(read.dropDuplicates(["line_version", "spot_doc"]), "sketches")
+    # Hashes are never null; where Spark knows it, it sorts them as plain numbers.
+    sketches = read.select("line_version", "n", F.array_compact("s").alias("s")).dropDuplicates(["line_version"])
     met = read.select("line_version", "spot_doc", F.explode("spots").alias("x")).select("line_version", "spot_doc", "x.*")
     keyed = met.select("leaf", "template", F.explode("keys").alias("key"), "line_version", "spot_doc", "body", "size")
     # A bucket of one key holds the texts of a group that share a run; each meets the first of them.
@@ -138,8 +165,10 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     pairs = stage(pairs.distinct(), "met")
     # The runs that the two lines share; all, if they are equal.
     bodies = pairs.filter("a_body != b_body").select("leaf", "a_body", "b_body").distinct()
+    used = bodies.select("leaf", F.explode(F.array("a_body", "b_body")).alias("body")).distinct()
+    used = seen.select("leaf", "body", "words").join(used, ["leaf", "body"], "left_semi")
     for side in ("a", "b"):
-        words = seen.select("leaf", F.col("body").alias(f"{side}_body"), _runs(F.col("words")).alias(f"{side}_runs"))
+        words = used.select("leaf", F.col("body").alias(f"{side}_body"), _runs(F.col("words")).alias(f"{side}_runs"))
         bodies = bodies.join(words, ["leaf", f"{side}_body"])
     shared = F.size(F.array_intersect("a_runs", "b_runs")).alias("shared")
     bodies = bodies.select("leaf", "a_body", "b_body", shared)
@@ -148,7 +177,9 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     compared = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
     least = F.slice(F.sort_array(F.array_union("a_s", "b_s")), 1, SKETCH)
     both = F.array_intersect(least, F.array_intersect("a_s", "b_s"))
-    compared = compared.select("a", "b", "a_n", "b_n", (F.size(both) / F.size(least)).alias("share"))
+    # A share that cannot be null is not evaluated again for a check of the join.
+    share = F.coalesce(F.size(both) / F.size(least), F.lit(0.0))
+    compared = compared.select("a", "b", "a_n", "b_n", share.alias("share"))
     # The runs of both and of either, without those inside the lines.
     common = F.col("share") / (1 + F.col("share")) * (F.col("a_n") + F.col("b_n"))
     inside = F.greatest(F.col("size") - RUN + 1, F.lit(1))
@@ -158,30 +189,63 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     copies = stage(copies.select("leaf", "template", F.col("b").alias("line_version")).distinct(), "copies")
     release(pairs, read)
     return texts.join(copies, ["leaf", "template", "line_version"], "left_anti").groupBy("leaf", "template").agg(
-        F.count(F.lit(1)).alias("unlike")
+        F.count(F.lit(1)).alias("unlike"), F.min("size").alias("size")
     )
 
 
+def _unlike_groups(docs: DataFrame, texts: DataFrame, counted: DataFrame, seen: DataFrame) -> DataFrame:
+    """The groups (leaf, template) with enough texts that are no copies of an earlier one."""
+    needed, group = _needed(F.col("size"), None), ["leaf", "template"]
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("line_doc", "line_version"))
+    # The number alone lets each task leave out the other texts before they are sent.
+    early = texts.withColumn("rank", rank).filter((F.col("rank") <= FIRST * MIN_DOCS) & (F.col("rank") <= FIRST * needed))
+    early = stage(early.drop("rank"), "early")
+    settled = stage(_unlike_texts(docs, early, seen).filter(F.col("unlike") >= needed).select(*group), "settled")
+    # What a text is follows from earlier ones: the settled groups would be found again, the others may hold more texts.
+    more = counted.filter(F.col("texts") > FIRST * needed).select(*group).join(settled, group, "left_anti")
+    late = stage(texts.join(more, group, "left_semi"), "late")
+    if late.isEmpty():
+        return settled
+    return settled.unionByName(_unlike_texts(docs, late, seen).filter(F.col("unlike") >= needed).select(*group))
+
+
 def _one_of_each(docs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Rows (leaf, body, texts, size, words) of some bodies, the words read where a line is first found."""
-    payload = ["leaf", "body", "texts", "size", "place"]
-    met = _read_spots(docs, bodies, payload).select("line_text", F.explode("spots").alias("x"))
-    met = met.select("x.leaf", "x.body", "x.texts", "x.size", _masked(F.get(F.split("line_text", "\n"), F.col("x.place"))).alias("line"))
-    return met.select("leaf", "body", "texts", "size", _split(F.col("line")).alias("words"))
+    """Rows (leaf, body, texts, size, leaf_texts, words) of some bodies, the words read where a line is first found."""
+    kept = ["leaf", "body", "texts", "size", "leaf_texts"]
+    met = _read_spots(docs, bodies, [*kept, "place"]).select(F.split("line_text", "\n").alias("rows"), "spots")
+    met = met.select("rows", F.explode("spots").alias("x"))
+    met = met.select(*[f"x.{c}" for c in kept], _masked(F.get("rows", F.col("x.place"))).alias("line"))
+    # Repeated rows were read as often.
+    return met.dropDuplicates(["leaf", "body"]).select(*kept, _split(F.col("line")).alias("words"))
 
 
 def _marked(rows: DataFrame, needed: Column) -> DataFrame:
-    """Lines with their places marked: the words (at, word) that rule their place, and those enough texts have there."""
-    words = rows.select("leaf", "body", "texts", "size", F.posexplode("words").alias("at", "word"))
+    """Lines with their places marked: the words (at, word) that rule their place, and those enough texts have there.
+
+    `leaf_texts` is the number of texts of the leaf's lines, and so of the votes at each of its places.
+    """
+    words = rows.select("leaf", "body", "texts", "size", "leaf_texts", F.posexplode("words").alias("at", "word"))
     words = words.filter(F.col("at") >= LEADING)
-    votes = words.groupBy("leaf", "at", "word").agg(F.sum("texts").alias("votes"), F.min("size").alias("size"))
-    ruling = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "word")).alias("top"), F.sum("votes").alias("all"))
-    rules = (F.col("word") == F.col("top.word")) & (F.col("votes") >= COMMON * F.col("all"))
+    votes = words.groupBy("leaf", "at", "word").agg(
+        F.sum("texts").alias("votes"), F.min("size").alias("size"), F.min("leaf_texts").alias("leaf_texts")
+    )
     # A place and its word go as one hash.
     mark, constant, often = F.xxhash64("leaf", "at", "word").alias("mark"), F.col("word") != ANY, F.col("votes") >= needed
-    marks = votes.join(ruling, ["leaf", "at"]).select(mark, constant.alias("constant"), rules.alias("rules"), often.alias("often"))
-    # Lines whose words neither rule nor stand often have no template.
-    marks = marks.filter("rules or often")
+    share = COMMON * F.col("leaf_texts")
+    # Lines whose words neither rule nor stand often have no template. Two words can share the first rank only with half the votes each.
+    marks = votes.filter((F.col("votes") >= share) | often).select(
+        mark, constant.alias("constant"), (F.col("votes") >= share).alias("rules"), often.alias("often"),
+        F.when(2 * F.col("votes") == F.col("leaf_texts"), F.struct("leaf", "at", "word")).alias("half"),
+    )
+    marks = stage(marks, "marks")
+    lower = marks.filter("half is not null").select("half.*").groupBy("leaf", "at").agg(
+        F.min("word").alias("word"), F.count(F.lit(1)).alias("words")
+    )
+    lower = lower.filter("words > 1").select(mark, F.lit(True).alias("lower"))
+    rules = F.col("rules") & F.col("lower").isNull()
+    marks = marks.join(lower, "mark", "left").select("mark", "constant", rules.alias("rules"), "often").filter("rules or often")
+    # A mark stands in one row, so its side is small in every task.
+    marks = marks.hint("shuffle_hash")
     return words.select("leaf", "body", "texts", "size", mark).join(marks, "mark").groupBy("leaf", "body", "texts", "size").agg(
         F.count_if("rules").alias("agree"), F.count_if(F.col("rules") & F.col("constant")).alias("constants"),
         F.count_if("often").alias("often"), F.count_if(F.col("often") & F.col("constant")).alias("often_constants"),
@@ -212,8 +276,8 @@ def _templates(seen: DataFrame, min_docs: int | None) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """All lines as hashes, and the recurring templates' lines: leaf, body, template, first document."""
-    lines = stage(_lines(docs), "lines")
+    """The lines of crowded leaves as hashes, and the recurring templates' lines: leaf, body, template, first document."""
+    lines = _crowded(stage(_lines(docs), "all_lines"), min_docs)
     # Equal texts have a line at equal places. A null id comes first.
     least = F.when(~F.bool_or(F.col("line_doc").isNull()), F.min("line_doc")).alias("line_doc")
     holders = lines.groupBy("leaf", "body", "line_version").agg(F.min("size").alias("size"), least, F.min("place").alias("place"))
@@ -227,8 +291,8 @@ def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[Da
         F.sum("texts").alias("texts"), F.count(F.lit(1)).alias("kinds"), F.min("size").alias("size")
     )
     enough = F.col("texts") >= _needed(F.col("size"), min_docs)
-    varied = leaves.filter(enough & (F.col("kinds") > 1)).select("leaf")
-    unread = stage(bodies.join(varied, "leaf", "left_semi"), "varied")
+    varied = leaves.filter(enough & (F.col("kinds") > 1)).select("leaf", F.col("texts").alias("leaf_texts"))
+    unread = stage(bodies.join(varied, "leaf"), "varied")
     seen = stage(_one_of_each(docs, unread), "seen")
     member = _templates(seen, min_docs)
     # Lines without a template are their own.
@@ -247,8 +311,7 @@ def recurring_lines(docs: DataFrame, *, min_docs: int | None = None) -> tuple[Da
     groups = stage(counted.join(firsts, ["leaf", "template"]), "groups")
     release(named)
     if min_docs is None:
-        unlike = _unlike_texts(docs, held, seen).withColumnRenamed("unlike", "texts")
-        groups = groups.drop("texts").join(unlike, ["leaf", "template"]).filter(enough)
+        groups = groups.join(_unlike_groups(docs, held, counted, seen), ["leaf", "template"], "left_semi")
     groups = groups.select("leaf", "template", "first")
     members = bodies.select("leaf", "body").join(member, ["leaf", "body"], "left")
     found = members.withColumn("template", F.coalesce("template", "body")).join(groups, ["leaf", "template"])
@@ -279,9 +342,10 @@ def drop_recurring_lines(
     )
     cuts = stage(cuts, "cuts")
     same = F.col("line_doc").eqNullSafe(F.col("cut_doc")) & (F.col("line_version") == F.col("cut_version"))
-    met = given.join(cuts, same, "left")
-    kept = F.filter(F.split("line_text", "\n"), lambda _, i: ~F.array_contains("cut_places", i))
-    text = F.when(F.col("cut_places").isNull(), F.col("line_text")).otherwise(F.array_join(kept, "\n"))
+    # The text goes once, inside the struct.
+    met, text = given.drop("line_text").join(cuts, same, "left"), F.col("line_row").getField(text_col)
+    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("cut_places", i))
+    text = F.when(F.col("cut_places").isNull(), text).otherwise(F.array_join(kept, "\n"))
     dropped = F.when(F.col("cut_places").isNull(), F.lit(0)).otherwise(F.size("cut_places")).cast("long")
     own = [c for c in docs.columns if c != "n_dropped"]
     return met.select(*[text.alias(c) if c == text_col else F.col("line_row").getField(c).alias(c) for c in own], dropped.alias("n_dropped"))

@@ -221,5 +221,59 @@ def test_line_steps_need_few_sorts(spark):
     assert "ObjectHashAggregate" not in plans["agreeing"]
 
 
+def _staged_rows(call) -> dict:
+    """The rows of each intermediate table that a call writes, by label."""
+    kept, rows = line_templates.stage, {}
+
+    def stage(df, label="table", **more):
+        staged = kept(df, label, **more)
+        rows.setdefault(label, []).append(staged.count())
+        return staged
+
+    try:
+        line_templates.stage = stage
+        call()
+    finally:
+        line_templates.stage = kept
+    return rows
+
+
+def test_first_texts_settle_a_group(spark):
+    """A short line needs 10 texts: of 60, the first 20 are compared; before, all of them were."""
+    line = "All rights of this page are ours alone"
+    texts = [f"{passage(40, w)}\n{line}" for w in passage(60, "own").split()]
+    got = []
+    rows = _staged_rows(lambda: got.extend(line_templates.drop_recurring_lines(documents(spark, texts)).collect()))
+    assert rows["sketches"] == [20]
+    assert {r["doc_id"]: r["text"] for r in got} == {i: t if i == 0 else t.split("\n")[0] for i, t in enumerate(texts)}
+
+
+def test_other_texts_are_compared_where_the_first_are_copies(spark):
+    """The first 25 holders are copies of each other, the last two are not; rows stand twice."""
+    text = "\n".join([passage(60, "body"), *[passage(30, f"line{c}") for c in "abcde"]])
+    texts = [edited(text, k) for k in range(25)] + [f"a text of {w} own words\n{passage(60, 'body')}" for w in ("quite", "rather")]
+    df = documents(spark, texts)
+    got = []
+    rows = _staged_rows(lambda: got.extend(line_templates.drop_recurring_lines(df.unionAll(df)).collect()))
+    first, every = rows["sketches"]
+    assert first < every == len(texts) and len(got) == 2 * len(texts)
+    dropped = {(r["doc_id"], r["n_dropped"]) for r in got}
+    assert len(dropped) == len(texts) and sum(n for _, n in dropped) == 26
+
+
+def test_lines_of_small_leaves_are_left_out_early(spark):
+    """A leaf of fewer lines than a template needs texts cannot hold one; before, its lines went through every step."""
+    texts = [f"{passage(8, w)}\n{passage(12, 'shared')}" for w in passage(6, "own").split()]
+    rows = _staged_rows(lambda: line_templates.recurring_lines(_given(documents(spark, texts))))
+    assert rows["holders"] == [6] and rows["recurring"] == [1]
+
+
+def test_equal_votes_go_to_the_larger_word(spark):
+    lines = [(1, body, 5, 6, 10, f"a b c {word} p q".split()) for body, word in ((1, "x"), (2, "y"))]
+    rows = spark.createDataFrame(lines, "leaf long, body long, texts long, size int, leaf_texts long, words array<string>")
+    marked = line_templates._marked(rows, F.lit(6)).collect()
+    assert {r["body"]: (r["agree"], r["often"]) for r in marked} == {1: (2, 2), 2: (3, 2)}
+
+
 def _given(docs):
     return docs.select(F.col("doc_id").alias("line_doc"), F.xxhash64("text").alias("line_version"), F.col("text").alias("line_text"))

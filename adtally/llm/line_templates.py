@@ -47,7 +47,13 @@ AGREE = 0.6  # share of places after the leading ones in which a line must agree
 ANY = "<*>"
 OTHERS = "\t\x0b\x0c\r"  # white space besides spaces and line breaks
 
-MAX_BROADCAST_SPOTS = 400_000  # of 48 bytes each; beyond that both sides are partitioned by document
+MAX_BROADCAST_SPOTS = 400_000  # of 48 bytes each, or keys of fewer; beyond that both sides of a join are partitioned
+
+
+def _sent_whole(rows: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """`rows`, to be broadcast if they, or what they were grouped from, are few."""
+    counted = rows if counted is None else counted
+    return F.broadcast(rows) if counted.count() <= MAX_BROADCAST_SPOTS else rows
 
 
 def _masked(line: Column) -> Column:
@@ -96,8 +102,7 @@ def _crowded(lines: DataFrame, min_docs: int | None) -> DataFrame:
     """The lines of leaves with as many lines as a template needs texts: no others can be dropped."""
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.min("size").alias("size"))
     leaves = stage(leaves.filter(F.col("rows") >= _needed(F.col("size"), min_docs)).select("leaf"), "crowded")
-    few = F.broadcast(leaves) if leaves.count() <= MAX_BROADCAST_SPOTS else leaves
-    crowded = stage(lines.join(few, "leaf", "left_semi").select(*lines.columns), "lines")
+    crowded = stage(lines.join(_sent_whole(leaves), "leaf", "left_semi").select(*lines.columns), "lines")
     release(lines, leaves)
     return crowded
 
@@ -122,7 +127,7 @@ def _read_spots(docs: DataFrame, spots: DataFrame, payload: list[str]) -> DataFr
     """
     wanted = spots.groupBy("line_version", "spot_doc").agg(F.collect_list(F.struct(*payload)).alias("spots"))
     wanted = wanted.withColumnsRenamed({"line_version": "spot_version"})
-    wanted = F.broadcast(wanted) if spots.count() <= MAX_BROADCAST_SPOTS else wanted
+    wanted = _sent_whole(wanted, spots)
     same = (docs["line_version"] == wanted["spot_version"]) & docs["line_doc"].eqNullSafe(wanted["spot_doc"])
     return docs.join(wanted, same)
 
@@ -166,7 +171,7 @@ def _unlike_texts(docs: DataFrame, texts: DataFrame, seen: DataFrame) -> DataFra
     # The runs that the two lines share; all, if they are equal.
     bodies = pairs.filter("a_body != b_body").select("leaf", "a_body", "b_body").distinct()
     used = bodies.select("leaf", F.explode(F.array("a_body", "b_body")).alias("body")).distinct()
-    used = seen.select("leaf", "body", "words").join(used, ["leaf", "body"], "left_semi")
+    used = seen.select("leaf", "body", "words").join(_sent_whole(used), ["leaf", "body"], "left_semi")
     for side in ("a", "b"):
         words = used.select("leaf", F.col("body").alias(f"{side}_body"), _runs(F.col("words")).alias(f"{side}_runs"))
         bodies = bodies.join(words, ["leaf", f"{side}_body"])
@@ -268,7 +273,7 @@ def _templates(seen: DataFrame, min_docs: int | None) -> DataFrame:
     main = stage(_enough(lines.filter(member), ["leaf"], needed).select("leaf", "body", F.col("leaf").alias("template")), "main")
     # Only lines with words enough that enough texts have can share a generalised form.
     rest = lines.filter(F.col("often") >= agreed).select("leaf", "body").join(main, ["leaf", "body"], "left_anti")
-    rest = stage(seen.join(rest, ["leaf", "body"], "left_semi"), "rest")
+    rest = stage(seen.join(_sent_whole(rest), ["leaf", "body"], "left_semi"), "rest")
     formed = stage(_marked(rest, needed).filter((F.col("often") >= agreed) & (F.col("often_constants") > 0)), "formed")
     formed = _enough(formed, ["leaf", "form"], needed).select("leaf", "body", F.xxhash64("leaf", "form").alias("template"))
     found = stage(main.unionByName(formed), "members")
